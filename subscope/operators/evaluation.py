@@ -36,10 +36,11 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFr
         )
     )
     shares = [i / RANGES for i in range(1, RANGES)]
-    edges = by_score.agg(F.percentile_approx("s", shares, RANGES * 20).alias("edges")).scalar()
+    quantiles = F.percentile_approx("s", shares, RANGES * 20)
+    edges = by_score.agg(F.array_distinct(quantiles).alias("edges")).scalar()
     ranged = by_score.withColumn("edges", edges).select(
         "s", "pos", "neg",
-        F.size(F.filter(F.array_distinct("edges"), lambda e: e < F.col("s"))).alias("r"),
+        F.size(F.filter("edges", lambda e: e < F.col("s"))).alias("r"),
     )
     inside = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     pairs = (

@@ -31,6 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PLACES = 9
 MAX_CELLS = 1024  # bounds what travels to every task: the pivots and one summary row per cell
+MAX_LISTED = 64 * MAX_CELLS  # cells of all groups together that may travel the same way
 BLOCK_ROWS = 2048
 SLACK = 1e-6  # radians added to a cell's radius, above any rounding of arccos
 
@@ -101,25 +102,24 @@ def _search(
     laid_out = _with_fields(kept.drop("copy").schema, ("cell", T.IntegerType()), ("angle", T.DoubleType()))
     cells = cut(kept.drop("copy").mapInArrow(_assigner(centres), laid_out))
 
-    # One row per group, at most MAX_CELLS entries in it.
-    summary = cells.groupBy("g", "cell").agg(
-        F.count("*").alias("n"), F.max("angle").alias("radius")
-    ).groupBy("g").agg(F.collect_list(F.struct("cell", "n", "radius")).alias("cells"))
-    if match is None:
-        summary = F.broadcast(summary)  # a single row
+    summary = cells.groupBy("g", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius"))
+    listing = _listing(summary)
     visits_schema = _with_fields(
         asks.schema, ("cell", T.IntegerType()), ("blocks", T.IntegerType())
     )
-    visits = asks.join(summary, "g").mapInArrow(
-        _chooser(centres, centre_groups if match else None, k, probes, block_rows), visits_schema
-    )
+    choose = _chooser(centres, centre_groups if match else None, k, probes, block_rows, listing)
+    if listing is None:  # too long to send along: every query meets its own group's cells instead
+        asks = asks.join(
+            summary.groupBy("g").agg(F.collect_list(F.struct("cell", "n", "radius")).alias("cells")), "g"
+        )
+    visits = asks.mapInArrow(choose, visits_schema)
 
-    # How many blocks of queries visit each cell; at most MAX_CELLS rows per group.
+    # How many blocks of queries visit each cell: no more rows than the summary.
     load = visits.groupBy("g", "cell").agg(
         F.ceil(F.count("*") / block_rows).cast("int").alias("query_blocks"),
         F.max("blocks").alias("row_blocks"),
     )
-    if match is None:
+    if listing is not None:
         load = F.broadcast(load)
     key = ["g", "cell", "query_block", "row_block"]
     left = (
@@ -211,8 +211,23 @@ def _assigner(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return assign
 
 
+Cells = tuple[np.ndarray, np.ndarray, np.ndarray]  # cell, rows in it, its radius
+
+
+def _listing(summary: DataFrame) -> dict[object, Cells] | None:
+    """The cells of every group, or None if there are more than ``MAX_LISTED`` in all."""
+    found = summary.limit(MAX_LISTED + 1).collect()
+    if len(found) > MAX_LISTED:
+        return None
+    by_group: dict[object, list] = {}
+    for row in found:
+        by_group.setdefault(row["g"], []).append((row["cell"], row["n"], row["radius"]))
+    return {g: tuple(map(np.array, zip(*entries))) for g, entries in by_group.items()}
+
+
 def _chooser(
-    centres: np.ndarray, centre_groups: Sequence | None, k: int, probes: int | None, block_rows: int
+    centres: np.ndarray, centre_groups: Sequence | None, k: int, probes: int | None, block_rows: int,
+    listing: dict[object, Cells] | None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,39 +235,53 @@ def _chooser(
                 continue
             units, good = _unit(_matrix(batch.column("v")))
             angles = _angles(units, centres)
-            groups = batch.column("g").to_pylist()
-            listed = batch.column("cells")
-            starts = listed.offsets.to_numpy() - listed.offsets[0].as_py()
-            entries = listed.flatten()
-            cell = entries.field("cell").to_numpy(zero_copy_only=False)
-            radius = entries.field("radius").to_numpy(zero_copy_only=False) + SLACK
-            blocks = -(-entries.field("n").to_numpy(zero_copy_only=False) // block_rows)
-            row, picked = [], []
-            for i in np.flatnonzero(good):
-                span = slice(starts[i], starts[i + 1])
-                away = angles[i, cell[span]]
+            rows, chosen, blocks = [], [], []
+            for group, members, (cell, n, radius) in _groups(batch, good, listing):
+                away = angles[np.ix_(members, cell)]
                 if probes is not None:
-                    take = np.argsort(away, kind="stable")[:probes]
+                    near = np.argsort(away, axis=1, kind="stable")[:, :probes]
+                    which, at = np.repeat(np.arange(len(members)), near.shape[1]), near.ravel()
                 else:
-                    take = np.flatnonzero(away - radius[span] <= _reach(angles[i], groups[i], centre_groups, k))
-                row.append(np.full(len(take), i))
-                picked.append(take + span.start)
-            if not row:
+                    reach = _reach(angles[members], group, centre_groups, k)
+                    which, at = np.nonzero(away - radius - SLACK <= reach[:, None])
+                rows.append(members[which])
+                chosen.append(cell[at])
+                blocks.append(-(-n[at] // block_rows))
+            if not rows:
                 continue
-            rows, chosen = np.concatenate(row), np.concatenate(picked)
-            out = batch.select(["q", "g", "v"]).take(pa.array(rows))
-            out = out.append_column("cell", pa.array(cell[chosen].astype(np.int32)))
-            yield out.append_column("blocks", pa.array(blocks[chosen].astype(np.int32)))
+            out = batch.select(["q", "g", "v"]).take(pa.array(np.concatenate(rows)))
+            out = out.append_column("cell", pa.array(np.concatenate(chosen).astype(np.int32)))
+            yield out.append_column("blocks", pa.array(np.concatenate(blocks).astype(np.int32)))
 
     return choose
 
 
-def _reach(angles: np.ndarray, group: object, centre_groups: Sequence | None, k: int) -> float:
-    """The angle within which all ``k`` results lie: that of the k-th nearest pivot the query may
-    return."""
+def _groups(
+    batch: pa.RecordBatch, good: np.ndarray, listing: dict[object, Cells] | None
+) -> Iterator[tuple[object, np.ndarray, Cells]]:
+    """The searchable rows of a batch by group, with the group's cells: listed, or brought along by
+    each row."""
+    groups = batch.column("g").to_pylist()
+    members: dict[object, list[int]] = {}
+    for i in np.flatnonzero(good):
+        members.setdefault(groups[i], []).append(i)
+    for group, rows in members.items():
+        if listing is None:
+            brought = batch.column("cells")[rows[0]].values
+            fields = (brought.field(name) for name in ("cell", "n", "radius"))
+            yield group, np.array(rows), tuple(f.to_numpy(zero_copy_only=False) for f in fields)
+        elif group in listing:
+            yield group, np.array(rows), listing[group]
+
+
+def _reach(angles: np.ndarray, group: object, centre_groups: Sequence | None, k: int) -> np.ndarray:
+    """Per query, the angle within which all ``k`` results lie: that of the k-th nearest pivot the
+    query may return."""
     if centre_groups is not None:
-        angles = angles[[g == group for g in centre_groups]]
-    return math.inf if len(angles) < k else float(np.partition(angles, k - 1)[k - 1]) + SLACK
+        angles = angles[:, [g == group for g in centre_groups]]
+    if angles.shape[1] < k:
+        return np.full(len(angles), np.inf)
+    return np.partition(angles, k - 1, axis=1)[:, k - 1] + SLACK
 
 
 def _scorer(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:

@@ -391,7 +391,7 @@ ORACLE: dict[str, str] = {
         FROM a FULL JOIN b ON a.doc_id = b.doc_id
         WHERE a.doc_id IS NULL OR b.doc_id IS NULL OR a.grade IS DISTINCT FROM b.grade OR a.text IS DISTINCT FROM b.text"""),
     "index_synced": _with(THEN_NOW, query="SELECT doc_id, grade, 256 AS n_dims FROM b"),
-    "index_sync_stream": "SELECT doc_id, lang, 256 AS n_dims FROM documents",
+    "index_sync_stream": _with(THEN_NOW, query="SELECT doc_id, grade, 256 AS n_dims FROM b"),
     "flatten_content": "SELECT conv_id, turn, text AS content FROM conversations",
     "normalize_roles": "SELECT conv_id, turn, role FROM conversations WHERE role IN ('user', 'assistant', 'system')",
     "chat_messages": f"""

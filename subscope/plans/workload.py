@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,24 +28,41 @@ SYSTEM_TEXT = "Responda em português do Brasil, apenas com o que as ferramentas
 GRADED_CHARS = 500
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    users, plays, titles = (f(spark, sf_dir) for f in (proxy.users, proxy.plays, proxy.titles))
-    return {
-        "users": users,
-        "titles": titles,
-        "plays": plays,
-        "user_features": features.user_features(users, plays, titles, AS_OF),
-        "churn_scores": proxy.churn_scores(users),
-        "upgrade_scores": proxy.upgrade_scores(users),
-    }
+class Warehouse(Mapping[str, DataFrame]):
+    """The tables by name; a plan is built for those that are asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._at = (spark, sf_dir)
+        self._views: dict[str, Callable[[], DataFrame]] = {
+            "users": lambda: proxy.users(*self._at),
+            "titles": lambda: proxy.titles(*self._at),
+            "plays": lambda: proxy.plays(*self._at),
+            "user_features": lambda: features.user_features(
+                self["users"], self["plays"], self["titles"], AS_OF
+            ),
+            "churn_scores": lambda: proxy.churn_scores(self["users"]),
+            "upgrade_scores": lambda: proxy.upgrade_scores(self["users"]),
+        }
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._views[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._views)
+
+    def __len__(self) -> int:
+        return len(self._views)
 
 
 def _table(name: str) -> Query:
-    return lambda spark, sf_dir: warehouse(spark, sf_dir)[name]
+    return lambda spark, sf_dir: Warehouse(spark, sf_dir)[name]
 
 
 def _question(ask: Callable[[metrics.Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: ask(warehouse(spark, sf_dir))
+    return lambda spark, sf_dir: ask(Warehouse(spark, sf_dir))
 
 
 def _run_folder(spark: SparkSession, name: str) -> str:
@@ -72,7 +89,7 @@ def partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = warehouse(spark, sf_dir)
+    held = Warehouse(spark, sf_dir)
     reports = [tables.write_report(held[t], t) for t in ("users", "titles", "plays", "churn_scores")]
     return reduce(DataFrame.unionByName, reports)
 
@@ -89,7 +106,7 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = warehouse(spark, sf_dir)
+    held = Warehouse(spark, sf_dir)
     labels = proxy.source(spark, sf_dir, "labels")
     documents = proxy.source(spark, sf_dir, "documents")
     checks = {
@@ -130,7 +147,7 @@ def snapshot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = metrics.users_by_plan(warehouse(spark, sf_dir))
+    counts = metrics.users_by_plan(Warehouse(spark, sf_dir))
     return ranking.result_envelope(counts, ["plan"])
 
 
@@ -173,12 +190,12 @@ def gen_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = metrics.star(warehouse(spark, sf_dir), "plays", ["users", "titles"])
+    joined = metrics.star(Warehouse(spark, sf_dir), "plays", ["users", "titles"])
     return joined.select("event_id", "user_id", "plan", "state", "content_id", "genre", "watch_min")
 
 
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = warehouse(spark, sf_dir)
+    held = Warehouse(spark, sf_dir)
     return metrics.user_profile(held, held["plays"].select("user_id"))
 
 
@@ -267,7 +284,7 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec):
-    stored = cut(warehouse(spark, sf_dir)["user_features"])
+    stored = cut(Warehouse(spark, sf_dir)["user_features"])
     rows = cut(models.split(models.targets(stored, spec), "user_id"))
     model = models.fit(rows.where(F.col("split") == "train"), spec, ROUNDS)
     return model, rows
@@ -278,7 +295,7 @@ def onehot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
-    rows = models.targets(warehouse(spark, sf_dir)["user_features"], models.CHURN)
+    rows = models.targets(Warehouse(spark, sf_dir)["user_features"], models.CHURN)
     encoded = Pipeline(stages=models.feature_stages(models.CHURN)).fit(rows).transform(rows)
     values = vector_to_array("features")
     levels = F.slice(values, F.lit(1), F.size(values) - len(models.CHURN.numeric))
@@ -396,22 +413,22 @@ def index_synced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents arriving as a file stream, taken into an index by one triggered run."""
-    path = f"{sf_dir.rstrip('/')}/documents.parquet"
-    documents = _documents(spark, sf_dir)
-    embedder = index.TextEmbedder.fit(documents, "text")
-    arriving = (
-        spark.readStream.schema(proxy.source(spark, sf_dir, "documents").schema).parquet(path)
-        .select("doc_id", "text", "lang")
-        .withColumns({"deleted": F.lit(False), "changed_at": F.lit(AS_OF)})
-    )
+    """An index following a change feed: one triggered run takes in the first state of the source,
+    another what changed after it."""
+    then, now = _labelled(spark, sf_dir)
+    embedder = index.TextEmbedder.fit(then, "text")
     folder = _run_folder(spark, "stream")
-    run = index_sync.start_sync(
-        arriving, f"{folder}/index", f"{folder}/progress", "doc_id", "text", embedder
-    )
-    run.awaitTermination()
-    level = index_sync.read_index(spark, f"{folder}/index")
-    return level.select("doc_id", "lang", F.size("embedding").alias("n_dims"))
+    feed, held = f"{folder}/feed", f"{folder}/index"
+    first = diff.snapshot_diff(then.limit(0), then, "doc_id")
+    second = diff.snapshot_diff(then, now, "doc_id")
+    for version, changes in enumerate((first, second), start=1):
+        changes.withColumn("version", F.lit(version)).write.mode("append").parquet(feed)
+        arriving = spark.readStream.schema(spark.read.parquet(feed).schema).parquet(feed)
+        index_sync.start_sync(
+            arriving, held, f"{folder}/progress", "doc_id", "text", embedder
+        ).awaitTermination()
+    level = index_sync.read_index(spark, held)
+    return level.select("doc_id", "grade", F.size("embedding").alias("n_dims"))
 
 
 def _user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Keeping an index level with a stream of source rows, one triggered run at a time."""
+"""Keeping an index level with a change feed, one triggered run at a time."""
 
 from __future__ import annotations
 
@@ -8,64 +8,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from subscope.operators.diff import DELETE
 from subscope.operators.index import TextEmbedder, build_index, sync_index
 
-VERSION = "version"
 
+def _state(index_path: str, number: int) -> str:
+    return f"{index_path}/state={number}"
 
-def latest_version(spark: SparkSession, index_path: str) -> int | None:
-    """The newest complete version of the index, or None before the first run."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(index_path)
-    files = root.getFileSystem(conf)
+
+def latest_state(spark: SparkSession, index_path: str) -> int | None:
+    """The newest state of the index that was written to the end, or None before the first run."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(index_path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(root):
         return None
-    done = [
-        int(status.getPath().getName().split("=")[1])
-        for status in files.listStatus(root)
-        if status.getPath().getName().startswith(f"{VERSION}=")
-        and files.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+    complete = [
+        int(entry.getPath().getName().split("=")[1])
+        for entry in files.listStatus(root)
+        if files.exists(hadoop.Path(entry.getPath(), "_SUCCESS"))
     ]
-    return max(done, default=None)
+    return max(complete, default=None)
 
 
-def read_index(spark: SparkSession, index_path: str, version: int | None = None) -> DataFrame:
-    version = latest_version(spark, index_path) if version is None else version
-    return spark.read.parquet(f"{index_path}/{VERSION}={version}")
+def read_index(spark: SparkSession, index_path: str) -> DataFrame:
+    state = latest_state(spark, index_path)
+    if state is None:
+        raise ValueError(f"no index at {index_path}")
+    return spark.read.parquet(_state(index_path, state))
 
 
-def sync_once(
+def take_in(
     index_path: str, pk: str, text_col: str, embedder: TextEmbedder
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function. A batch brings new states of rows; ``deleted`` set marks a row as
-    gone. The outcome is written as version ``batch + 1`` beside the one it is read from, so a batch
-    that is run again after a failure gives the same version."""
+    """A ``foreachBatch`` function for a feed of ``pk, change, payload.., version``.
+
+    The last version of each key counts. Batch ``b`` reads state ``b - 1`` and writes state ``b``
+    beside it, so a batch that is run again after a failure writes the same state again and readers
+    never see one half written.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last = batch.groupBy(pk).agg(
-            F.max_by(F.struct(*batch.columns), F.col("changed_at")).alias("row")
-        ).select("row.*")
-        arriving = last.where(~F.col("deleted")).drop("deleted", "changed_at")
+        newest = batch.groupBy(pk).agg(
+            F.max_by(F.struct(*batch.columns), "version").alias("row")
+        ).select("row.*").persist()
+        arriving = newest.where(F.col("change") != DELETE).drop("change", "version")
         if batch_id == 0:
             after = build_index(arriving, pk, text_col, embedder=embedder)
         else:
-            before = read_index(spark, index_path, batch_id)
+            before = batch.sparkSession.read.parquet(_state(index_path, batch_id - 1))
             source = before.drop("embedding", "content_hash")
-            level = source.join(last.select(pk), pk, "left_anti").unionByName(arriving)
+            level = source.join(newest.select(pk), pk, "left_anti").unionByName(arriving)
             after = sync_index(before, level, pk, text_col, embedder=embedder)
-        after.write.mode("overwrite").parquet(f"{index_path}/{VERSION}={batch_id + 1}")
+        after.write.mode("overwrite").parquet(_state(index_path, batch_id))
+        newest.unpersist()
 
     return run
 
 
 def start_sync(
-    changes: DataFrame, index_path: str, checkpoint: str, pk: str, text_col: str, embedder: TextEmbedder
+    feed: DataFrame, index_path: str, checkpoint: str, pk: str, text_col: str, embedder: TextEmbedder
 ) -> StreamingQuery:
     """Take in all that has arrived since the last run, then stop."""
     return (
-        changes.writeStream.trigger(availableNow=True)
+        feed.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(sync_once(index_path, pk, text_col, embedder))
+        .foreachBatch(take_in(index_path, pk, text_col, embedder))
         .start()
     )
