@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ PLACES = 9
 MAX_CELLS = 1024  # bounds what travels to every task: the pivots and one summary row per cell
 MAX_LISTED = 64 * MAX_CELLS  # cells of all groups together that may travel the same way
 BLOCK_ROWS = 2048
+VISITS_AT_ONCE = 10_000  # rows per batch handed back to Spark
 SLACK = 1e-6  # radians added to a cell's radius, above any rounding of arccos
 
 
@@ -86,7 +88,10 @@ def _search(
     asks = queries.select(F.col(query_id).alias("q"), group.alias("g"), as_floats.alias("v")).where(
         F.size("v") > 0
     )
-    pivots = choose_pivots(rows, k, max_cells)
+    # Every cell a query visits is another copy of the query: exact search, which visits many, has
+    # cells the size of a block, approximate search has many smaller ones to choose from.
+    per_cell = block_rows if probes is None else None
+    pivots = choose_pivots(rows, k, max_cells, per_cell)
     if pivots is None:
         empty = T.StructType([
             T.StructField("q", asks.schema["q"].dataType),
@@ -96,31 +101,34 @@ def _search(
         return rows.sparkSession.createDataFrame([], empty)
     centres, centre_groups = pivots
 
+    laid_out = rows.mapInArrow(
+        _assigner(centres),
+        _packed_schema(rows.schema, ("cell", T.IntegerType()), ("angle", T.DoubleType())),
+    )
     # Of equal vectors only the k smallest keys can ever be returned.
     copies = Window.partitionBy("g", "v").orderBy("pk")
-    kept = rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
-    laid_out = _with_fields(kept.drop("copy").schema, ("cell", T.IntegerType()), ("angle", T.DoubleType()))
-    cells = cut(kept.drop("copy").mapInArrow(_assigner(centres), laid_out))
+    kept = laid_out.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
+    cells = cut(kept.drop("copy"))
 
     summary = cells.groupBy("g", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius"))
     listing = _listing(summary)
-    visits_schema = _with_fields(
-        asks.schema, ("cell", T.IntegerType()), ("blocks", T.IntegerType())
-    )
-    choose = _chooser(centres, centre_groups if match else None, k, probes, block_rows, listing)
     if listing is None:  # too long to send along: every query meets its own group's cells instead
         asks = asks.join(
             summary.groupBy("g").agg(F.collect_list(F.struct("cell", "n", "radius")).alias("cells")), "g"
         )
-    visits = asks.mapInArrow(choose, visits_schema)
-
-    # How many blocks of queries visit each cell: no more rows than the summary.
-    load = visits.groupBy("g", "cell").agg(
-        F.ceil(F.count("*") / block_rows).cast("int").alias("query_blocks"),
+    choose = _Chooser(centres, centre_groups if match else None, k, probes, block_rows, listing)
+    extra = ("cell", T.IntegerType()), ("blocks", T.IntegerType())
+    visits = asks.mapInArrow(choose.visits, _packed_schema(asks.select("q", "g", "v").schema, *extra))
+    counted = T.StructType([asks.schema["g"]] + [
+        T.StructField(name, T.IntegerType()) for name in ("cell", "blocks", "n")
+    ])
+    # How many blocks of queries visit each cell, counted without moving any query.
+    load = asks.mapInArrow(choose.tally, counted).groupBy("g", "cell").agg(
+        F.ceil(F.sum("n") / block_rows).cast("int").alias("query_blocks"),
         F.max("blocks").alias("row_blocks"),
     )
-    if listing is not None:
-        load = F.broadcast(load)
+    if listing is not None:  # no more rows than the listing
+        load = F.broadcast(rows.sparkSession.createDataFrame(load.collect(), load.schema))
     key = ["g", "cell", "query_block", "row_block"]
     left = (
         visits.join(load, ["g", "cell"])
@@ -146,19 +154,24 @@ def _block_of(key: str, blocks: str) -> Column:
     return F.pmod(F.xxhash64(key), F.col(blocks)).cast("int")
 
 
-def _with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(n, t) for n, t in fields])
+def _packed_schema(schema: T.StructType, *extra: tuple[str, T.DataType]) -> T.StructType:
+    """``schema`` with ``v`` as the bytes of its floats, which move faster than an array of them, and
+    the extra fields."""
+    fields = [T.StructField("v", T.BinaryType()) if f.name == "v" else f for f in schema.fields]
+    return T.StructType(fields + [T.StructField(name, dtype) for name, dtype in extra])
 
 
 def choose_pivots(
-    rows: DataFrame, k: int, max_cells: int = MAX_CELLS
+    rows: DataFrame, k: int, max_cells: int, per_cell: int | None = None
 ) -> tuple[np.ndarray, list] | None:
     """Unit vectors of up to ``max_cells`` index rows, different from one another, and their groups.
 
-    Taken in hash order of the keys: a random choice that a rerun repeats. About the root of the row
-    count, at least ``k``; a few times that many are looked at, since copies and zeros drop out.
+    Taken in hash order of the keys: a random choice that a rerun repeats. One for ``per_cell`` rows,
+    or about the root of the row count, at least ``k``; a few times that many are looked at, since
+    copies and zeros drop out.
     """
-    wanted = min(max_cells, max(k, math.isqrt(rows.count()) + 1))
+    n = rows.count()
+    wanted = min(max_cells, max(k, math.isqrt(n) + 1 if per_cell is None else -(-n // per_cell)))
     found = (
         rows.orderBy(F.xxhash64("pk"), "pk").limit(4 * wanted).select("g", "v").collect()
     )
@@ -175,20 +188,36 @@ def choose_pivots(
 
 
 def _unit(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The vectors at length one, and which of them have a direction at all."""
+    """The vectors in double at length one, and which of them have a direction at all."""
+    vectors = vectors.astype(np.float64)
     norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
     good = np.isfinite(norms) & (norms > 0)
     return vectors / np.where(good, norms, 1.0)[:, None], good
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Float32 vectors, one per row, from arrays of floats or from their bytes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    width = len(column[0]) if len(column) else 0
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if len(values) != width * len(column):
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        values = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32)
+    else:
+        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    if len(values) % len(column) or not _even(column):
         raise ValueError("vectors differ in length")
-    return values.reshape(len(column), width)
+    return values.reshape(len(column), -1)
+
+
+def _even(column: pa.Array) -> bool:
+    ends = pc.binary_length(column) if pa.types.is_binary(column.type) else pc.list_value_length(column)
+    return pc.min(ends) == pc.max(ends)
+
+
+def _packed(matrix: np.ndarray) -> pa.Array:
+    width = matrix.shape[1] * matrix.itemsize
+    offsets = np.arange(0, (len(matrix) + 1) * width, width, dtype=np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(matrix))]
+    return pa.Array.from_buffers(pa.binary(), len(matrix), buffers)
 
 
 def _angles(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -200,13 +229,14 @@ def _assigner(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Itera
         for batch in batches:
             if not batch.num_rows:
                 continue
-            units, good = _unit(_matrix(batch.column("v")))
+            vectors = _matrix(batch.column("v"))
+            units, good = _unit(vectors)
             angles = _angles(units, centres)
             cell = angles.argmin(axis=1)
             nearest = angles[np.arange(len(cell)), cell]
-            out = batch.append_column("cell", pa.array(cell.astype(np.int32)))
-            out = out.append_column("angle", pa.array(nearest))
-            yield out.filter(pa.array(good))
+            columns = {name: batch.column(name) for name in ("pk", "g")}
+            columns |= {"v": _packed(vectors), "cell": pa.array(cell.astype(np.int32)), "angle": pa.array(nearest)}
+            yield pa.record_batch(columns).filter(pa.array(good))
 
     return assign
 
@@ -225,35 +255,61 @@ def _listing(summary: DataFrame) -> dict[object, Cells] | None:
     return {g: tuple(map(np.array, zip(*entries))) for g, entries in by_group.items()}
 
 
-def _chooser(
-    centres: np.ndarray, centre_groups: Sequence | None, k: int, probes: int | None, block_rows: int,
-    listing: dict[object, Cells] | None,
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Chooser:
+    """Picks the cells each query visits."""
+
+    def __init__(
+        self, centres: np.ndarray, centre_groups: Sequence | None, k: int, probes: int | None,
+        block_rows: int, listing: dict[object, Cells] | None,
+    ):
+        self.centres, self.centre_groups, self.k = centres, centre_groups, k
+        self.probes, self.block_rows, self.listing = probes, block_rows, listing
+
+    def _pick(
+        self, batch: pa.RecordBatch, vectors: np.ndarray
+    ) -> Iterator[tuple[object, np.ndarray, np.ndarray, np.ndarray]]:
+        """By group: rows of the batch, the cells they visit, and the blocks those cells have."""
+        units, good = _unit(vectors)
+        angles = _angles(units, self.centres)
+        for group, members, (cell, n, radius) in _groups(batch, good, self.listing):
+            away = angles[np.ix_(members, cell)]
+            if self.probes is not None:
+                near = np.argsort(away, axis=1, kind="stable")[:, : self.probes]
+                which, at = np.repeat(np.arange(len(members)), near.shape[1]), near.ravel()
+            else:
+                reach = _reach(angles[members], group, self.centre_groups, self.k)
+                which, at = np.nonzero(away - radius - SLACK <= reach[:, None])
+            yield group, members[which], cell[at], -(-n[at] // self.block_rows)
+
+    def visits(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            units, good = _unit(_matrix(batch.column("v")))
-            angles = _angles(units, centres)
-            rows, chosen, blocks = [], [], []
-            for group, members, (cell, n, radius) in _groups(batch, good, listing):
-                away = angles[np.ix_(members, cell)]
-                if probes is not None:
-                    near = np.argsort(away, axis=1, kind="stable")[:, :probes]
-                    which, at = np.repeat(np.arange(len(members)), near.shape[1]), near.ravel()
-                else:
-                    reach = _reach(angles[members], group, centre_groups, k)
-                    which, at = np.nonzero(away - radius - SLACK <= reach[:, None])
-                rows.append(members[which])
-                chosen.append(cell[at])
-                blocks.append(-(-n[at] // block_rows))
-            if not rows:
+            vectors = _matrix(batch.column("v"))
+            for _, rows, cells, blocks in self._pick(batch, vectors):
+                for start in range(0, len(rows), VISITS_AT_ONCE):
+                    part = slice(start, start + VISITS_AT_ONCE)
+                    asked = pa.array(rows[part])
+                    yield pa.record_batch({
+                        "q": batch.column("q").take(asked),
+                        "g": batch.column("g").take(asked),
+                        "v": _packed(vectors[rows[part]]),
+                        "cell": pa.array(cells[part].astype(np.int32)),
+                        "blocks": pa.array(blocks[part].astype(np.int32)),
+                    })
+
+    def tally(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            out = batch.select(["q", "g", "v"]).take(pa.array(np.concatenate(rows)))
-            out = out.append_column("cell", pa.array(np.concatenate(chosen).astype(np.int32)))
-            yield out.append_column("blocks", pa.array(np.concatenate(blocks).astype(np.int32)))
-
-    return choose
+            for group, _, cells, blocks in self._pick(batch, _matrix(batch.column("v"))):
+                cell, first, n = np.unique(cells, return_index=True, return_counts=True)
+                yield pa.record_batch({
+                    "g": pa.array([group] * len(cell), batch.column("g").type),
+                    "cell": pa.array(cell.astype(np.int32)),
+                    "blocks": pa.array(blocks[first].astype(np.int32)),
+                    "n": pa.array(n.astype(np.int32)),
+                })
 
 
 def _groups(

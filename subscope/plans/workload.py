@@ -155,7 +155,7 @@ def result_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keys(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
-    return proxy.source(spark, sf_dir, table).select(F.col(key).alias("n"))
+    return tables.spread_scan(proxy.source(spark, sf_dir, table).select(F.col(key).alias("n")), "n")
 
 
 def gen_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +373,8 @@ def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proxy.source(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = proxy.source(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return tables.spread_scan(documents, "doc_id")
 
 
 def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -434,6 +435,7 @@ def index_sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What people asked, every user message."""
     said = proxy.source(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    said = tables.spread_scan(said, "conv_id")
     query_id = F.concat_ws("-", "conv_id", "turn")
     return said.select(query_id.alias("query_id"), "text")
 

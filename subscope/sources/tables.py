@@ -17,6 +17,13 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target) if _is_path(target) else spark.table(target)
 
 
+def spread_scan(scan: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer partitions than there are cores, spread over them by ``key``; any other as it
+    is. For a table of few files that heavy work per row follows."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def write_table(
     df: DataFrame,
     target: str,
