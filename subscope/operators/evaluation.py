@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from subscope.functions.scoring import flag, hard_label
 
-RANGES = 512
-
 
 def label_base_rate(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg(
@@ -22,9 +20,9 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFr
     """``auc, n_positive, n_negative``; equal scores count half, one class alone has no AUC.
 
     The chance that a positive outranks a negative, summed over distinct scores. The running count of
-    negatives is taken inside ``RANGES`` score ranges of about equal size and carried over from range
-    to range, so no task ever sorts more than its range. All counts are whole numbers until the last
-    division.
+    negatives is taken inside score ranges of about equal size, one per shuffle partition, and carried
+    over from range to range, so no task ever sorts more than its range. All counts are whole numbers
+    until the last division.
     """
     by_score = (
         df.select(F.col(score).alias("s"), F.col(label).alias("y"))
@@ -35,13 +33,7 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFr
             F.sum(flag(F.col("y") == 0)).alias("neg"),
         )
     )
-    shares = [i / RANGES for i in range(1, RANGES)]
-    quantiles = F.percentile_approx("s", shares, RANGES * 20)
-    edges = by_score.agg(F.array_distinct(quantiles).alias("edges")).scalar()
-    ranged = by_score.withColumn("edges", edges).select(
-        "s", "pos", "neg",
-        F.size(F.filter("edges", lambda e: e < F.col("s"))).alias("r"),
-    )
+    ranged = by_score.repartitionByRange("s").withColumn("r", F.spark_partition_id())
     inside = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     pairs = (
         ranged.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
@@ -53,7 +45,7 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFr
             F.sum(_wide("pos") * (2 * _wide("below") + _wide("neg"))).alias("twice_won"),
         )
     )
-    # From here on there are at most RANGES rows.
+    # From here on there is one row per range.
     earlier = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     carried = pairs.withColumn("carried", F.coalesce(F.sum("neg").over(earlier), F.lit(0)))
     total = carried.agg(

@@ -30,39 +30,32 @@ def user_features(
     """Every user once: those without plays get zeros and ``no_recency``; plays of users not in
     ``users`` do not appear; plays of unknown titles count, without a genre.
 
-    Plays are reduced to one row per (user, genre, device) first. That step combines before it
-    shuffles and spreads a user who holds a large part of the plays over its genres and devices; the
-    two distinct counts then run over a handful of rows per user. ``pct_watched`` is summed as whole
-    numbers, so the average does not depend on how the rows were split.
+    One aggregation and one shuffle of the plays. Each task first combines its plays to one row per
+    user, so a user who holds a large part of them arrives as one row per task; the sets behind the
+    two distinct counts hold genres and devices, as many as there are in the data at most.
+    ``pct_watched`` is summed as whole numbers, so the average does not depend on how the rows were
+    split.
     """
     require(users, USERS, "user_id", "plan", "state", "age_band", "main_device", "signup_date", "status")
     require(plays, PLAYS, "user_id", "content_id", "ts", "event", "device", "pct_watched", "watch_min")
     require(titles, TITLES, "content_id", "genre")
 
     pct = F.rint(F.col("pct_watched") * PCT_GRID).cast("bigint")
-    reduced = (
+    n = F.count("*")
+    engagement = (
         plays.join(titles.select("content_id", "genre"), "content_id", "left")
-        .groupBy("user_id", "genre", "device")
+        .groupBy("user_id")
         .agg(
-            F.count("*").alias("n"),
-            F.sum("watch_min").alias("watch"),
-            F.count("watch_min").alias("n_watch"),
-            F.sum(pct).alias("pct"),
-            F.count("pct_watched").alias("n_pct"),
-            F.sum(flag(F.col("event") == COMPLETE)).alias("done"),
-            F.max(F.to_date("ts")).alias("last"),
+            n.alias("n_events"),
+            F.sum("watch_min").alias("watch_total"),
+            F.avg("watch_min").alias("watch_avg"),
+            (F.sum(pct) / (F.count("pct_watched") * float(PCT_GRID))).alias("pct_avg"),
+            completion_rate(F.sum(flag(F.col("event") == COMPLETE)), n).alias("completion_rate"),
+            F.size(F.collect_set("genre")).alias("n_genres"),
+            F.size(F.collect_set("device")).alias("n_devices"),
+            F.datediff(F.lit(as_of), F.max(F.to_date("ts"))).alias("recency_days"),
         )
     )
-    engagement = reduced.groupBy("user_id").agg(
-        F.sum("n").alias("n_events"),
-        F.sum("watch").alias("watch_total"),
-        (F.sum("watch") / F.sum("n_watch")).alias("watch_avg"),
-        (F.sum("pct") / (F.sum("n_pct") * float(PCT_GRID))).alias("pct_avg"),
-        completion_rate(F.sum("done"), F.sum("n")).alias("completion_rate"),
-        F.count_distinct("genre").alias("n_genres"),
-        F.count_distinct("device").alias("n_devices"),
-        F.datediff(F.lit(as_of), F.max("last")).alias("recency_days"),
-    )
     defaults = {
         "n_events": 0, "watch_total": 0, "watch_avg": 0.0, "pct_avg": 0.0, "completion_rate": 0,
         "n_genres": 0, "n_devices": 0, "recency_days": no_recency,
