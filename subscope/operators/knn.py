@@ -31,8 +31,8 @@ from subscope.settings import cut
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PLACES = 9
-MAX_CELLS = 1024  # bounds what travels to every task: the pivots and one summary row per cell
-MAX_LISTED = 64 * MAX_CELLS  # cells of all groups together that may travel the same way
+MAX_CELLS = 4096  # bounds what travels to every task: the pivots and one summary row per cell
+MAX_LISTED = 16 * MAX_CELLS  # cells of all groups together that may travel the same way
 BLOCK_ROWS = 2048
 VISITS_AT_ONCE = 10_000  # rows per batch handed back to Spark
 SLACK = 1e-6  # radians added to a cell's radius, above any rounding of arccos
@@ -167,8 +167,8 @@ def choose_pivots(
     """Unit vectors of up to ``max_cells`` index rows, different from one another, and their groups.
 
     Taken in hash order of the keys: a random choice that a rerun repeats. One for ``per_cell`` rows,
-    or about the root of the row count, at least ``k``; a few times that many are looked at, since
-    copies and zeros drop out.
+    or about the root of the row count, at least ``k``; twice that many are looked at, since copies and
+    zeros drop out.
     """
     n = rows.count()
     wanted = min(max_cells, max(k, math.isqrt(n) + 1 if per_cell is None else -(-n // per_cell)))
@@ -344,29 +344,34 @@ def _scorer(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(asks: pa.Table, rows: pa.Table) -> pa.Table:
         names = ["q", "pk", "score"]
         if not asks.num_rows or not rows.num_rows:
-            return pa.table({"q": asks["q"].slice(0, 0), "pk": rows["pk"].slice(0, 0), "score": pa.array([], pa.float64())})
+            none = asks["q"].slice(0, 0), rows["pk"].slice(0, 0), pa.array([], pa.float64())
+            return pa.table(none, names=names)
         rows = rows.sort_by("pk")  # so that, of equal scores, the leftmost has the smallest key
         left, _ = _unit(_matrix(asks["v"]))
         right, _ = _unit(_matrix(rows["v"]))
-        scores = np.round(left @ right.T, PLACES) + 0.0
-        which, take = np.nonzero(_best(scores, min(k, rows.num_rows)))
-        columns = [
-            asks["q"].take(pa.array(which)),
-            rows["pk"].take(pa.array(take)),
-            pa.array(scores[which, take]),
-        ]
-        return pa.table(columns, names=names)
+        which, at, scores = _best(left, right, min(k, rows.num_rows))
+        return pa.table(
+            [asks["q"].take(pa.array(which)), rows["pk"].take(pa.array(at)), pa.array(scores)], names=names
+        )
 
     return score
 
 
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Per row, a mask of the ``k`` largest scores; of equal ones, the leftmost."""
-    at = scores.shape[1] - k
-    floor = np.partition(scores, at, axis=1)[:, at, None]
-    above, ties = scores > floor, scores == floor
-    room = k - above.sum(axis=1, keepdims=True)
-    return above | (ties & (np.cumsum(ties, axis=1) <= room))
+def _best(left: np.ndarray, right: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best rows of ``right`` for each row of ``left``, as pairs of positions with scores.
+
+    Single precision decides who is in question, double precision among those.
+    """
+    rough = left.astype(np.float32) @ right.astype(np.float32).T
+    error = (left.shape[1] + 4) * np.finfo(np.float32).eps + 10.0**-PLACES
+    at_least = np.partition(rough, rough.shape[1] - k, axis=1)[:, -k] - np.float32(2 * error)
+    which, at = np.nonzero(rough >= at_least[:, None])
+    scores = np.round(np.einsum("ij,ij->i", left[which], right[at]), PLACES) + 0.0
+    order = np.lexsort((at, -scores, which))
+    which, at, scores = which[order], at[order], scores[order]
+    place = np.arange(len(which)) - np.searchsorted(which, which)
+    kept = place < k
+    return which[kept], at[kept], scores[kept]
 
 
 def recall(found: DataFrame, exact: DataFrame, query_id: str, pk: str) -> DataFrame:

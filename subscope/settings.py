@@ -29,9 +29,11 @@ class Settings:
         return f"{self.database}.{name}"
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, warehouse: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("subscope")
         .config("spark.ui.enabled", "false")
@@ -41,8 +43,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    if warehouse is not None:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
     definition. A cluster that names no folder is refused rather than given a machine-local one.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
