@@ -59,8 +59,9 @@ def hash_uniform(key: Key, salt: str, mode: str = "murmur3") -> Column:
     return F.shiftrightunsigned(bits, 11) / F.lit(2.0**53)
 
 
-def padded_key(prefix: str, number: str | Column, width: int) -> Column:
-    """``prefix`` and the zero-padded number. A number wider than ``width`` keeps all its digits."""
+def padded_key(key_format: tuple[str, int], number: str | Column) -> Column:
+    """Prefix and zero-padded number. A number wider than the format keeps all its digits."""
+    prefix, width = key_format
     digits = (F.col(number) if isinstance(number, str) else number).cast("string")
     return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 

@@ -34,6 +34,7 @@ PLACES = 9
 MAX_CELLS = 4096  # bounds what travels to every task: the pivots and one summary row per cell
 MAX_LISTED = 16 * MAX_CELLS  # cells of all groups together that may travel the same way
 BLOCK_ROWS = 2048
+ROWS_AT_ONCE = 1024  # rows compared with all pivots in one go
 VISITS_AT_ONCE = 10_000  # rows per batch handed back to Spark
 SLACK = 1e-6  # radians added to a cell's radius, above any rounding of arccos
 
@@ -65,9 +66,10 @@ def search(
         bound = queries.where(F.col(match).isNotNull())
         free = queries.where(F.col(match).isNull())
         hits = _search(index, bound, k, pk, query_id, vector, match, probes, max_cells, block_rows)
-        hits = hits.unionByName(
-            _search(index, free, k, pk, query_id, vector, None, probes, max_cells, block_rows)
-        )
+        if not free.isEmpty():  # spares laying out the index a second time
+            hits = hits.unionByName(
+                _search(index, free, k, pk, query_id, vector, None, probes, max_cells, block_rows)
+            )
     best = Window.partitionBy("q").orderBy(F.desc("score"), "pk")
     return (
         hits.withColumn("rank", F.row_number().over(best))
@@ -172,9 +174,7 @@ def choose_pivots(
     """
     n = rows.count()
     wanted = min(max_cells, max(k, math.isqrt(n) + 1 if per_cell is None else -(-n // per_cell)))
-    found = (
-        rows.orderBy(F.xxhash64("pk"), "pk").limit(4 * wanted).select("g", "v").collect()
-    )
+    found = rows.orderBy(F.xxhash64("pk"), "pk").limit(2 * wanted).select("g", "v").collect()
     if not found:
         return None
     units, good = _unit(np.array([r["v"] for r in found], dtype=np.float64))
@@ -224,11 +224,15 @@ def _angles(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(units @ centres.T, -1.0, 1.0))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def _assigner(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches):
             vectors = _matrix(batch.column("v"))
             units, good = _unit(vectors)
             angles = _angles(units, centres)
@@ -282,9 +286,7 @@ class _Chooser:
             yield group, members[which], cell[at], -(-n[at] // self.block_rows)
 
     def visits(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches):
             vectors = _matrix(batch.column("v"))
             for _, rows, cells, blocks in self._pick(batch, vectors):
                 for start in range(0, len(rows), VISITS_AT_ONCE):
@@ -299,9 +301,7 @@ class _Chooser:
                     })
 
     def tally(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches):
             for group, _, cells, blocks in self._pick(batch, _matrix(batch.column("v"))):
                 cell, first, n = np.unique(cells, return_index=True, return_counts=True)
                 yield pa.record_batch({
@@ -332,12 +332,13 @@ def _groups(
 
 def _reach(angles: np.ndarray, group: object, centre_groups: Sequence | None, k: int) -> np.ndarray:
     """Per query, the angle within which all ``k`` results lie: that of the k-th nearest pivot the
-    query may return."""
+    query may return, and of whatever rounds to the same score."""
     if centre_groups is not None:
         angles = angles[:, [g == group for g in centre_groups]]
     if angles.shape[1] < k:
         return np.full(len(angles), np.inf)
-    return np.partition(angles, k - 1, axis=1)[:, k - 1] + SLACK
+    floor = np.cos(np.partition(angles, k - 1, axis=1)[:, k - 1]) - 2 * 10.0**-PLACES
+    return np.arccos(np.clip(floor, -1.0, 1.0)) + SLACK
 
 
 def _scorer(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:

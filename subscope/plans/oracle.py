@@ -15,7 +15,8 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _key(prefix: str, number: str, width: int) -> str:
+def _key(key_format: tuple[str, int], number: str) -> str:
+    prefix, width = key_format
     digits = f"CAST({number} AS VARCHAR)"
     return f"'{prefix}' || lpad({digits}, CAST(greatest({width}, length({digits})) AS INTEGER), '0')"
 
@@ -49,7 +50,7 @@ def _u(keys: str, salt: str) -> str:
 
 USERS = f"""
 users AS (
-  SELECT {_key('U', 'c_custkey', 7)} AS user_id, c_name AS name,
+  SELECT {_key(banks.USER_KEY, 'c_custkey')} AS user_id, c_name AS name,
          CASE WHEN c_acctbal < 2500 THEN 'Free' WHEN c_acctbal < 6500 THEN 'Standard' ELSE 'Premium' END AS plan,
          n_name AS state, {_nth(banks.AGE_BANDS, 'c_custkey % 5')} AS age_band, c_mktsegment AS main_device,
          coalesce(CAST(min(o_orderdate) AS DATE), DATE '1995-01-01') AS signup_date,
@@ -59,12 +60,12 @@ users AS (
   GROUP BY c_custkey, c_name, c_acctbal, n_name, c_mktsegment)"""
 TITLES = f"""
 titles AS (
-  SELECT {_key('NBP', 'p_partkey', 6)} AS content_id, p_name AS title, p_type AS genre,
+  SELECT {_key(banks.TITLE_KEY, 'p_partkey')} AS content_id, p_name AS title, p_type AS genre,
          CASE WHEN p_size <= 30 THEN 'Filme' ELSE 'Série' END AS kind
   FROM part)"""
 PLAYS = f"""
 plays AS (
-  SELECT event_id, {_key('U', 'user_id', 7)} AS user_id, {_key('NBP', 'k', 6)} AS content_id, ts,
+  SELECT event_id, {_key(banks.USER_KEY, 'user_id')} AS user_id, {_key(banks.TITLE_KEY, 'k')} AS content_id, ts,
          CASE event_type WHEN 'purchase' THEN 'complete' WHEN 'click' THEN 'pause' WHEN 'error' THEN 'stop'
               ELSE 'play' END AS event,
          {_nth(banks.DEVICES, 'k % 5')} AS device, least(100e0, value) AS pct_watched,
@@ -120,7 +121,7 @@ def _with(*views: str, query: str) -> str:
 
 def _customers_of(first: str, last: str) -> str:
     return (
-        f"SELECT {_key('U', 'o_custkey', 7)} AS user_id, count(*) AS n_orders, "
+        f"SELECT {_key(banks.USER_KEY, 'o_custkey')} AS user_id, count(*) AS n_orders, "
         f"max(CAST(o_orderdate AS DATE)) AS last_order FROM orders "
         f"WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY o_custkey"
     )
@@ -140,7 +141,7 @@ def _gen_titles() -> str:
     )
     cast = ", ".join(_pick(banks.CAST_NAMES, salt) for salt in ("e1", "e2", "e3"))
     return f"""
-    SELECT {_key('NBP', 'n', 6)} AS content_id,
+    SELECT {_key(banks.TITLE_KEY, 'n')} AS content_id,
            trim(concat_ws(' ', {_pick(banks.TITLE_PREFIXES, 'pfx')},
                 {_pick(banks.TITLE_CORES, 'nuc')} || {_pick(banks.TITLE_SUFFIXES, 'sfx')})) AS title,
            kind, genre, {_pick(banks.GENRES, 'gen2')} AS genre2, {_int('n', 'ano', 1990, 36)} AS year,
@@ -168,7 +169,7 @@ latent AS (
 def _gen_users() -> str:
     first, last = _pick(banks.FIRST_NAMES, "pn"), _pick(banks.LAST_NAMES, "un")
     return f"""
-    SELECT {_key('U', 'n', 7)} AS user_id, concat_ws(' ', {first}, {last}) AS name,
+    SELECT {_key(banks.USER_KEY, 'n')} AS user_id, concat_ws(' ', {first}, {last}) AS name,
            lower({first}) || '.' || lower({last}) || CAST(n AS VARCHAR) || '@{banks.EMAIL_DOMAIN}' AS email,
            plan, {_pick(banks.STATES, 'uf')} AS state, {_pick(banks.AGE_BANDS, 'faixa')} AS age_band,
            {_pick(banks.DEVICES, 'disp')} AS main_device,
@@ -185,8 +186,8 @@ def _gen_plays() -> str:
         return f"CAST(floor({_u(pair, salt)} * {span}) AS INTEGER)"
 
     return f"""
-    SELECT 'EVT' || CAST(n AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS event_id, {_key('U', 'n', 7)} AS user_id,
-           {_key('NBP', f"({_draw(pair, 'c')} % (SELECT count(*) FROM part) + 1)", 6)} AS content_id,
+    SELECT 'EVT' || CAST(n AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS event_id, {_key(banks.USER_KEY, 'n')} AS user_id,
+           {_key(banks.TITLE_KEY, f"({_draw(pair, 'c')} % (SELECT count(*) FROM part) + 1)")} AS content_id,
            TIMESTAMP '{AS_OF} 00:00:00' - to_days({part('day', 365)}) - to_hours({part('hour', 24)})
              - to_minutes({part('minute', 60)}) AS ts,
            CASE WHEN {_u(pair, 'done')} < 0.15e0 + 0.55e0 * eng THEN 'complete'
@@ -346,6 +347,7 @@ ORACLE: dict[str, str] = {
         WHERE status = '{ACTIVE}' AND plan IN ('Standard', 'Premium') GROUP BY plan, device"""),
     "metric_payers_by_age": _with(USERS, query="""
         SELECT age_band, count(*) FILTER (plan IN ('Standard', 'Premium')) AS payer_count FROM users GROUP BY age_band"""),
+    "metric_premium_users": _with(USERS, query="SELECT count(*) AS user_count FROM users WHERE plan = 'Premium'"),
     "metric_high_risk_by_state": _with(USERS, SCORED, CHURN_SCORES, query=f"""
         SELECT state, count(*) FILTER (risk_band = '{RISK_BANDS[2]}') AS high_risk_users
         FROM churn_scores JOIN users USING (user_id) GROUP BY state"""),

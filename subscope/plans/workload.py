@@ -129,7 +129,7 @@ def _customers_of(spark: SparkSession, sf_dir: str, first: str, last: str) -> Da
     """Customers with orders in a span of days, as a snapshot taken on its last day would show them."""
     day = F.col("o_orderdate").cast("date")
     orders = proxy.source(spark, sf_dir, "orders").where(day.between(first, last))
-    return orders.groupBy(padded_key("U", "o_custkey", 7).alias("user_id")).agg(
+    return orders.groupBy(padded_key(banks.USER_KEY, "o_custkey").alias("user_id")).agg(
         F.count("*").alias("n_orders"), F.max(day).alias("last_order")
     )
 
@@ -217,6 +217,10 @@ def metric_payers_by_age(held: metrics.Tables) -> DataFrame:
     return metrics.metric(held, "payer_count", ["age_band"])
 
 
+def metric_premium_users(held: metrics.Tables) -> DataFrame:
+    return metrics.metric(held, "user_count", where={"plan": "Premium"})
+
+
 def metric_high_risk_by_state(held: metrics.Tables) -> DataFrame:
     return metrics.metric(held, "high_risk_users", ["state"])
 
@@ -536,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "metric_completion_by_genre": _question(metric_completion_by_genre),
     "metric_minutes_by_plan_device": _question(metric_minutes_by_plan_device),
     "metric_payers_by_age": _question(metric_payers_by_age),
+    "metric_premium_users": _question(metric_premium_users),
     "metric_high_risk_by_state": _question(metric_high_risk_by_state),
     "score_bands": score_bands,
     "band_distribution": _question(band_distribution),

@@ -41,7 +41,7 @@ def titles_for(keys: DataFrame, mode: str = "murmur3") -> DataFrame:
         F.concat(F.lit("Um título de "), genre, F.lit(".")),
     )
     columns = {
-        "content_id": padded_key("NBP", "n", 6),
+        "content_id": padded_key(banks.TITLE_KEY, "n"),
         "title": F.trim(F.concat_ws(" ", of(banks.TITLE_PREFIXES, "pfx"), name)),
         "kind": kind,
         "genre": genre,
@@ -84,7 +84,7 @@ def users_for(
             F.when(blend < 0.42, FREE).when(blend < 0.75, "Standard").otherwise("Premium"),
         )
         .withColumns({
-            "user_id": padded_key("U", "n", 7),
+            "user_id": padded_key(banks.USER_KEY, "n"),
             "name": F.concat_ws(" ", first, last),
             "email": F.concat(
                 F.lower(first), F.lit("."), F.lower(last), F.col("n").cast("string"),
@@ -120,8 +120,8 @@ def plays_of(
     )
     columns = {
         "event_id": F.concat(F.lit("EVT"), F.col("n").cast("string"), F.lit("-"), F.col("k").cast("string")),
-        "user_id": padded_key("U", "n", 7),
-        "content_id": padded_key("NBP", F.pmod(hash_draw(pair, "c", mode), count) + 1, 6),
+        "user_id": padded_key(banks.USER_KEY, "n"),
+        "content_id": padded_key(banks.TITLE_KEY, F.pmod(hash_draw(pair, "c", mode), count) + 1),
         "ts": clock - ago,
         "event": F.when(u("done") < 0.15 + 0.55 * F.col("eng"), COMPLETE).otherwise(
             pick(banks.OTHER_EVENTS, "evt", one_each, mode)

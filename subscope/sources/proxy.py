@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from subscope.functions.draws import padded_key
 from subscope.functions.scoring import band, round_score
 from subscope.settings import ACTIVE, CANCELLED, COMPLETE, FREE, PROPENSITY_BANDS, RISK_BANDS
-from subscope.sources.banks import AGE_BANDS, DEVICES
+from subscope.sources.banks import AGE_BANDS, DEVICES, TITLE_KEY, USER_KEY
 
 ACTIVE_SINCE = "2000-01-01"
 
@@ -40,7 +40,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
     )
     return joined.select(
-        padded_key("U", "c_custkey", 7).alias("user_id"),
+        padded_key(USER_KEY, "c_custkey").alias("user_id"),
         F.col("c_name").alias("name"),
         F.when(balance < 2500, FREE).when(balance < 6500, "Standard").otherwise("Premium").alias("plan"),
         F.col("n_name").alias("state"),
@@ -56,7 +56,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source(spark, sf_dir, "part").select(
-        padded_key("NBP", "p_partkey", 6).alias("content_id"),
+        padded_key(TITLE_KEY, "p_partkey").alias("content_id"),
         F.col("p_name").alias("title"),
         F.col("p_type").alias("genre"),
         F.when(F.col("p_size") <= 30, "Filme").otherwise("Série").alias("kind"),
@@ -68,8 +68,8 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return source(spark, sf_dir, "events").select(
         "event_id",
-        padded_key("U", "user_id", 7).alias("user_id"),
-        padded_key("NBP", k, 6).alias("content_id"),
+        padded_key(USER_KEY, "user_id").alias("user_id"),
+        padded_key(TITLE_KEY, k).alias("content_id"),
         "ts",
         F.when(kind == "purchase", COMPLETE)
         .when(kind == "click", "pause")

@@ -34,7 +34,7 @@ def test_row_hash_sees_a_value_move_to_a_null_neighbour(spark):
 
 def test_padded_key_keeps_long_numbers(spark):
     rows = spark.createDataFrame([(7,), (12345678,)], "n bigint")
-    assert [r[0] for r in rows.select(padded_key("NBP", "n", 6)).collect()] == ["NBP000007", "NBP12345678"]
+    assert [r[0] for r in rows.select(padded_key(("NBP", 6), "n")).collect()] == ["NBP000007", "NBP12345678"]
 
 
 @pytest.mark.parametrize("mode", ["murmur3", "md5"])

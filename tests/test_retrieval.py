@@ -83,6 +83,19 @@ def test_groups_too_many_to_list(spark, vectors, monkeypatch):
     same(found(hits), brute_force(vectors, vectors, 4, match=True))
 
 
+def test_near_copies_tie_by_key(spark):
+    """Rows whose scores differ only past the ninth decimal, spread over many small cells."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=6)
+    rows = [
+        (pk, [float(x) for x in np.float32(base + 10.0 ** -(3 + pk % 4) * rng.normal(size=6))], None)
+        for pk in range(300)
+    ]
+    held, asked = frames(spark, rows, rows)
+    hits = knn.search(held, asked, 5, pk="pk", query_id="query_id", block_rows=4)
+    same(found(hits), brute_force(rows, rows, 5))
+
+
 def test_few_cells_change_nothing(spark, vectors):
     held, asked = frames(spark, vectors, vectors[:40])
     hits = knn.search(held, asked, 3, pk="pk", query_id="query_id", max_cells=2)
