@@ -20,6 +20,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+PAIR_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 _KIND = {
     "HUGEINT": "int", "BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "float64", "VARCHAR": "string",
     "DATE": "date", "TIMESTAMP": "timestamp", "BOOLEAN": "bool",
@@ -45,6 +46,9 @@ def differences(spark, con, name: str, sf_dir: str) -> list[str]:
     """What differs between the two results; empty when nothing does."""
     df = driver.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if any(join in plan for join in PAIR_JOINS):
+        return ["the plan joins all pairs of rows"]
     ours = [tuple(r) for r in df.select(*columns).collect()]
     if name not in driver.oracle_sql():
         return [] if ours else ["no rows"]
