@@ -99,6 +99,13 @@ def test_flatten_content(spark):
         "null": "",
         "42": "42",
         "plain words": "plain words",
+        '["a",5,null,{"type":"text","text":"b"}]': "b",
+        '[{"type":"text"},{"type":"text","text":null},{"type":7,"text":"q"},{"type":"text","text":"x"}]': "x",
+        '\n [{"type":"text","text":"t"}]': "t",
+        '{"a":1}': '{"a":1}',
+        "[not a list": "[not a list",
+        '"half': '"half',
+        "": "",
     }
     rows = spark.createDataFrame(list(cases.items()), "content string, wanted string")
     for row in rows.select("content", "wanted", flatten_content(F.col("content")).alias("got")).collect():

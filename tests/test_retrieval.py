@@ -187,6 +187,10 @@ def test_support_and_titles(spark, articles):
     assert rows.where("genre <> wanted").count() == 0 and rows.where("length(synopsis) > 180").count() == 0
     assert rows.where("rank = 1 AND score < 1.0").count() == 0
     assert index.search_titles(shelf, wanted, "query_id").where("rank > 6").count() == 0
+    held = [(r[0], r[1], r[2]) for r in shelf.select("content_id", "embedding", "genre").collect()]
+    asks = [(r[0], r[1], r[2]) for r in wanted.select("query_id", "embedding", "wanted").collect()]
+    got = found(rows.withColumnRenamed("content_id", "pk"))
+    same(got, brute_force(held, asks, 6, match=True))
 
 
 def test_triggered_sync_follows_the_feed(spark, articles, tmp_path):
