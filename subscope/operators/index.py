@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subscope.functions.hashing import row_hash
-from subscope.operators.diff import DELETE, change_kind
+from subscope.operators.diff import change_kind
 from subscope.operators.knn import search
 
 DIMENSIONS = 256

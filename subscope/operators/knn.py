@@ -200,19 +200,16 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        sizes = pc.binary_length(column)
         values = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32)
     else:
+        sizes = pc.list_value_length(column)
         values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
-    if len(values) % len(column) or not _even(column):
+    if pc.min(sizes) != pc.max(sizes):
         raise ValueError("vectors differ in length")
     return values.reshape(len(column), -1)
 
 
-def _even(column: pa.Array) -> bool:
-    ends = pc.binary_length(column) if pa.types.is_binary(column.type) else pc.list_value_length(column)
-    return pc.min(ends) == pc.max(ends)
-
-
 def _packed(matrix: np.ndarray) -> pa.Array:
     width = matrix.shape[1] * matrix.itemsize
     offsets = np.arange(0, (len(matrix) + 1) * width, width, dtype=np.int32)

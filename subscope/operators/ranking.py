@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ENVELOPE_ROWS = 50
@@ -17,20 +17,19 @@ def top_k(df: DataFrame, order_col: str, k: int, key: str | Sequence[str]) -> Da
 
 
 def result_envelope(
-    df: DataFrame, order_by: Sequence[str] = (), limit: int = ENVELOPE_ROWS
+    df: DataFrame, order_by: Sequence[str | Column] = (), limit: int = ENVELOPE_ROWS
 ) -> DataFrame:
-    """One row of JSON, ``{"columns": [..], "rows": [[..]]}``: the first ``limit`` rows, every value
+    """One row of JSON, ``{"colunas": [..], "linhas": [[..]]}``: the first ``limit`` rows, every value
     as text, in ``order_by`` order (all columns, left to right, by default)."""
     order = list(order_by) or df.columns
     values = F.array(*[F.col(c).cast("string") for c in df.columns])
-    # The place of a row is kept beside its values, since collecting promises no order.
-    first = df.orderBy(*order).limit(limit).select(values.alias("v"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
-    ordered = F.sort_array(F.collect_list(F.struct(*[f"o{i}" for i in range(len(order))], "v")))
-    return first.agg(ordered.alias("_rows")).select(
-        F.to_json(
-            F.struct(
-                F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
-                F.transform("_rows", lambda r: r["v"]).alias("rows"),
-            )
-        ).alias("envelope")
+    # Collecting promises no order, so each of the few rows left takes its place along.
+    place = F.row_number().over(Window.orderBy(*order))
+    row = F.struct(place.alias("place"), values.alias("values"))
+    first = df.orderBy(*order).limit(limit).select(row.alias("row"))
+    gathered = first.agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    body = F.struct(
+        F.array(*[F.lit(c) for c in df.columns]).alias("colunas"),
+        F.transform("rows", lambda r: r["values"]).alias("linhas"),
     )
+    return gathered.select(F.to_json(body).alias("envelope"))

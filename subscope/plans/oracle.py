@@ -289,9 +289,9 @@ ORACLE: dict[str, str] = {
            OR a.last_order IS DISTINCT FROM b.last_order"""),
     "snapshot_apply": _with(AFTER, query="SELECT * FROM b"),
     "result_envelope": _with(USERS, query="""
-        , counts AS (SELECT plan, CAST(count(*) AS VARCHAR) AS n FROM users GROUP BY plan)
-        SELECT '{"columns":["plan","user_count"],"rows":['
-               || string_agg('["' || plan || '","' || n || '"]', ',' ORDER BY plan) || ']}' AS envelope
+        , counts AS (SELECT plan, count(*) AS n FROM users GROUP BY plan)
+        SELECT '{"colunas":["plan","user_count"],"linhas":['
+               || string_agg('["' || plan || '","' || n || '"]', ',' ORDER BY n DESC, plan) || ']}' AS envelope
         FROM counts"""),
     "gen_pick": f"""
         SELECT event_id AS n, {_pick(banks.OTHER_EVENTS, 'evt', 'event_id')} AS event,

@@ -148,7 +148,7 @@ def snapshot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def result_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = metrics.users_by_plan(Warehouse(spark, sf_dir))
-    return ranking.result_envelope(counts, ["plan"])
+    return ranking.result_envelope(counts, [F.desc("user_count"), "plan"])
 
 
 # --- generated tables ---

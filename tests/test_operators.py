@@ -119,9 +119,11 @@ def test_top_k_breaks_ties_by_key(spark):
 
 def test_envelope_holds_fifty_rows(spark):
     row = ranking.result_envelope(spark.range(200).select(F.col("id").alias("n"))).first()[0]
-    assert row.startswith('{"columns":["n"],"rows":[["0"],["1"],') and row.count("[") == 1 + 1 + 50
+    assert row.startswith('{"colunas":["n"],"linhas":[["0"],["1"],') and row.count("[") == 1 + 1 + 50
+    last = ranking.result_envelope(spark.range(200), [F.desc("id")], limit=2).first()[0]
+    assert last == '{"colunas":["id"],"linhas":[["199"],["198"]]}'
     empty = ranking.result_envelope(spark.range(0)).first()[0]
-    assert empty == '{"columns":["id"],"rows":[]}'
+    assert empty == '{"colunas":["id"],"linhas":[]}'
 
 
 def auc_of(spark, rows):
