@@ -114,7 +114,7 @@ def plays_of(
     def whole(value: Column) -> Column:
         return F.floor(value).cast("int")
 
-    clock = F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp_ntz")
+    clock = F.lit(f"{as_of} 00:00:00").cast("timestamp_ntz")  # from text: no time zone comes into it
     ago = F.make_dt_interval(
         whole(u("day") * 365), whole(u("hour") * 24), whole(u("minute") * 60), F.lit(0)
     )

@@ -65,6 +65,20 @@ def test_generated_tables_do_not_depend_on_partitions(spark, mode):
     assert len(one[0]) == len(one[1]) == 300 and len(one[2]) > 1000
 
 
+def test_event_times_do_not_depend_on_the_time_zone(spark):
+    latent = generate.gen_users_latent(spark, AS_OF, 20, 200)
+
+    def plays():
+        return sorted(map(str, generate.gen_plays(latent, AS_OF, 10).select("event_id", "ts").collect()))
+
+    here = plays()
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        assert plays() == here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_generator_edges(spark):
     assert generate.gen_titles(spark, 0).count() == 0
     latent = generate.gen_users_latent(spark, AS_OF, 50, 0)
