@@ -3,12 +3,15 @@
 Similarity is the cosine, computed in double and taken to nine decimals, so that copies tie; ties go
 to the smaller key. Vectors without a direction (null, empty, all zeros) are not searchable.
 
-The index is laid out in cells around pivots, rows of its own. For a query, the k-th best pivot is a
-floor no result can fall below, and a cell whose nearest possible member lies under the floor is left
-out; what remains is an equality join of queries and cells. ``probes`` visits a fixed number of
-nearest cells instead, which is the approximate search. Cells and the queries visiting them are split
-into blocks of bounded size, so a cell holding a large part of the rows is many tasks, and a block
-pair hands on its k best rows per query, never its pairs.
+A few queries, up to ``MAX_CARRIED``, travel to the index: one scan of it, each task returning its k
+best rows per query, and no shuffle but of those.
+
+More queries meet the index block by block. The index is laid out in cells around pivots, rows of its
+own. For a query, the k-th best pivot is a floor no result can fall below, and a cell whose nearest
+possible member lies under the floor is left out; what remains is an equality join of queries and
+cells. ``probes`` visits a fixed number of nearest cells instead, which is the approximate search.
+Cells and the queries visiting them are split into blocks of bounded size, so a cell holding a large
+part of the rows is many tasks, and a block pair hands on its k best rows per query, never its pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PLACES = 9
 MAX_CELLS = 4096  # bounds what travels to every task: the pivots and one summary row per cell
 MAX_LISTED = 16 * MAX_CELLS  # cells of all groups together that may travel the same way
+MAX_CARRIED = 1024  # queries that may travel to the index
 BLOCK_ROWS = 2048
 ROWS_AT_ONCE = 1024  # rows compared with all pivots in one go
 VISITS_AT_ONCE = 10_000  # rows per batch handed back to Spark
@@ -60,7 +64,10 @@ def search(
     """
     if where is not None:
         index = index.where(where)
-    if match is None:
+    carried = None if probes is not None else _carried(queries, query_id, vector, match)
+    if carried is not None:
+        hits = _scan(index, queries, carried, k, pk, query_id, vector, match)
+    elif match is None:
         hits = _search(index, queries, k, pk, query_id, vector, None, probes, max_cells, block_rows)
     else:
         bound = queries.where(F.col(match).isNotNull())
@@ -78,6 +85,38 @@ def search(
     )
 
 
+def _carried(queries: DataFrame, query_id: str, vector: str, match: str | None) -> list | None:
+    """The queries as rows, or None if there are more than ``MAX_CARRIED``."""
+    group = F.col(match) if match else F.lit(None)
+    found = queries.select(
+        F.col(query_id).alias("q"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
+    ).limit(MAX_CARRIED + 1).collect()
+    return found if len(found) <= MAX_CARRIED else None
+
+
+def _scan(
+    index: DataFrame, queries: DataFrame, carried: list, k: int, pk: str, query_id: str, vector: str,
+    match: str | None,
+) -> DataFrame:
+    asked = [row for row in carried if row["v"]]
+    units, good = _unit(np.array([row["v"] for row in asked] or np.empty((0, 1))))
+    asked = [row for row, ok in zip(asked, good) if ok]
+    group = F.col(match) if match else F.lit(0)
+    rows = index.select(
+        F.col(pk).alias("pk"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
+    ).where(F.size("v") > 0)
+    scored = T.StructType([
+        T.StructField("n", T.IntegerType()), rows.schema["pk"], T.StructField("score", T.DoubleType()),
+    ])
+    groups = [row["g"] for row in asked]
+    hits = rows.mapInArrow(_scanner(units[good], groups, k), scored)
+    names = T.StructType([
+        T.StructField("n", T.IntegerType()), T.StructField("q", queries.schema[query_id].dataType),
+    ])
+    asks = index.sparkSession.createDataFrame([(n, row["q"]) for n, row in enumerate(asked)], names)
+    return hits.join(F.broadcast(asks), "n").select("q", "pk", "score")
+
+
 def _search(
     index: DataFrame, queries: DataFrame, k: int, pk: str, query_id: str, vector: str,
     match: str | None, probes: int | None, max_cells: int, block_rows: int,
@@ -355,6 +394,51 @@ def _scorer(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return score
 
 
+def _scanner(
+    units: np.ndarray, groups: list, k: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    asked: dict[object, list[int]] = {}
+    for n, group in enumerate(groups):
+        asked.setdefault(group, []).append(n)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows or not asked:
+                continue
+            batch = batch.take(pc.sort_indices(batch.column("pk")))
+            vectors, good = _unit(_matrix(batch.column("v")))
+            found = [] if held is None else [held]
+            for group, members in asked.items():
+                at = np.flatnonzero(good if group is None else good & _equal(batch.column("g"), group))
+                if not len(at):
+                    continue
+                which, row, score = _best(units[members], vectors[at], min(k, len(at)))
+                found.append(pa.table({
+                    "n": pa.array(np.array(members, dtype=np.int32)[which]),
+                    "pk": batch.column("pk").take(pa.array(at[row])),
+                    "score": pa.array(score),
+                }))
+            if found:
+                held = _foremost(pa.concat_tables(found), k)
+        if held is not None:
+            yield from held.to_batches(VISITS_AT_ONCE)
+
+    return scan
+
+
+def _equal(column: pa.Array, value: object) -> np.ndarray:
+    same = pc.equal(column, pa.scalar(value, column.type))
+    return pc.fill_null(same, False).to_numpy(zero_copy_only=False)
+
+
+def _foremost(found: pa.Table, k: int) -> pa.Table:
+    """The ``k`` best rows of each query."""
+    found = found.sort_by([("n", "ascending"), ("score", "descending"), ("pk", "ascending")])
+    n = found["n"].to_numpy()
+    return found.filter(pa.array(np.arange(len(n)) - np.searchsorted(n, n) < k))
+
+
 def _best(left: np.ndarray, right: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` best rows of ``right`` for each row of ``left``, as pairs of positions with scores.
 

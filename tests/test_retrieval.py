@@ -61,13 +61,35 @@ def frames(spark, rows, queries):
     return held, asked
 
 
+@pytest.fixture
+def blockwise(monkeypatch):
+    """As if there were too many queries to carry to the index."""
+    monkeypatch.setattr(knn, "MAX_CARRIED", 0)
+
+
+def test_scan_equals_brute_force(spark, vectors):
+    held, asked = frames(spark, vectors, vectors)
+    same(found(knn.search(held, asked, 7, pk="pk", query_id="query_id")), brute_force(vectors, vectors, 7))
+    hits = knn.search(held, asked, 4, pk="pk", query_id="query_id", match="genre")
+    same(found(hits), brute_force(vectors, vectors, 4, match=True))
+
+
+def test_scan_moves_only_results(spark, vectors):
+    held, asked = frames(spark, vectors, vectors)
+    hits = knn.search(held, asked, 5, pk="pk", query_id="query_id")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
+
+
 @pytest.mark.parametrize("block_rows", [2048, 16])
+@pytest.mark.usefixtures("blockwise")
 def test_exact_search_equals_brute_force(spark, vectors, block_rows):
     held, asked = frames(spark, vectors, vectors)
     hits = knn.search(held, asked, 7, pk="pk", query_id="query_id", block_rows=block_rows)
     same(found(hits), brute_force(vectors, vectors, 7))
 
 
+@pytest.mark.usefixtures("blockwise")
 def test_filtered_search_equals_brute_force(spark, vectors):
     held, asked = frames(spark, vectors, vectors)
     hits = knn.search(held, asked, 4, pk="pk", query_id="query_id", match="genre", block_rows=32)
@@ -76,6 +98,7 @@ def test_filtered_search_equals_brute_force(spark, vectors):
     same(found(only), brute_force([r for r in vectors if r[2] == "g"], vectors, 4))
 
 
+@pytest.mark.usefixtures("blockwise")
 def test_groups_too_many_to_list(spark, vectors, monkeypatch):
     monkeypatch.setattr(knn, "MAX_LISTED", 3)
     held, asked = frames(spark, vectors, vectors)
@@ -83,6 +106,7 @@ def test_groups_too_many_to_list(spark, vectors, monkeypatch):
     same(found(hits), brute_force(vectors, vectors, 4, match=True))
 
 
+@pytest.mark.usefixtures("blockwise")
 def test_near_copies_tie_by_key(spark):
     """Rows whose scores differ only past the ninth decimal, spread over many small cells."""
     rng = np.random.default_rng(3)
@@ -96,13 +120,16 @@ def test_near_copies_tie_by_key(spark):
     same(found(hits), brute_force(rows, rows, 5))
 
 
+@pytest.mark.usefixtures("blockwise")
 def test_few_cells_change_nothing(spark, vectors):
     held, asked = frames(spark, vectors, vectors[:40])
     hits = knn.search(held, asked, 3, pk="pk", query_id="query_id", max_cells=2)
     same(found(hits), brute_force(vectors, vectors[:40], 3))
 
 
-def test_search_edges(spark):
+@pytest.mark.parametrize("carried", [0, 1024])
+def test_search_edges(spark, monkeypatch, carried):
+    monkeypatch.setattr(knn, "MAX_CARRIED", carried)
     rows = [(1, [1.0, 0.0], "g"), (2, [0.0, 0.0], "g"), (3, [1.0, 0.0], "h"), (4, None, "h")]
     asked_rows = [(10, [2.0, 0.0], None), (11, [0.0, 0.0], None), (12, None, None)]
     held, asked = frames(spark, rows, asked_rows)
@@ -110,6 +137,8 @@ def test_search_edges(spark):
     assert found(hits) == {10: [(1, 1.0), (3, 1.0)]}  # k above the rows; zeros and nulls find nothing
     none = knn.search(held, asked, 9, pk="pk", query_id="query_id", where=F.col("genre") == "nothing")
     assert none.count() == 0 and none.columns == ["query_id", "pk", "score", "rank"]
+    nobody = knn.search(held, asked.limit(0), 9, pk="pk", query_id="query_id")
+    assert nobody.count() == 0 and nobody.schema == hits.schema
 
 
 def test_approximate_search_recall(spark, vectors):
@@ -121,6 +150,7 @@ def test_approximate_search_recall(spark, vectors):
     assert knn.recall(every, exact, "query_id", "pk").first()["recall"] == 1.0
 
 
+@pytest.mark.usefixtures("blockwise")
 def test_search_plan_has_no_pair_join(spark, vectors):
     held, asked = frames(spark, vectors, vectors)
     hits = knn.search(held, asked, 5, pk="pk", query_id="query_id")
