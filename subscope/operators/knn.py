@@ -19,16 +19,18 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subscope.settings import cut
+from subscope.sources.tables import read_table, write_table
 
 # The task functions below travel with the job, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -77,6 +79,10 @@ def search(
             hits = hits.unionByName(
                 _search(index, free, k, pk, query_id, vector, None, probes, max_cells, block_rows)
             )
+    return _ranked(hits, k, query_id, pk)
+
+
+def _ranked(hits: DataFrame, k: int, query_id: str, pk: str) -> DataFrame:
     best = Window.partitionBy("q").orderBy(F.desc("score"), "pk")
     return (
         hits.withColumn("rank", F.row_number().over(best))
@@ -121,43 +127,114 @@ def _search(
     index: DataFrame, queries: DataFrame, k: int, pk: str, query_id: str, vector: str,
     match: str | None, probes: int | None, max_cells: int, block_rows: int,
 ) -> DataFrame:
-    group = F.col(match) if match else F.lit(0)
-    as_floats = F.col(vector).cast("array<float>")
-    rows = index.select(F.col(pk).alias("pk"), group.alias("g"), as_floats.alias("v")).where(
-        F.col("g").isNotNull() & (F.size("v") > 0)
-    )
-    asks = queries.select(F.col(query_id).alias("q"), group.alias("g"), as_floats.alias("v")).where(
-        F.size("v") > 0
-    )
     # Every cell a query visits is another copy of the query: exact search, which visits many, has
     # cells the size of a block, approximate search has many smaller ones to choose from.
     per_cell = block_rows if probes is None else None
-    pivots = choose_pivots(rows, k, max_cells, per_cell)
-    if pivots is None:
-        empty = T.StructType([
-            T.StructField("q", asks.schema["q"].dataType),
-            T.StructField("pk", rows.schema["pk"].dataType),
-            T.StructField("score", T.DoubleType()),
-        ])
-        return rows.sparkSession.createDataFrame([], empty)
-    centres, centre_groups = pivots
-
-    laid_out = rows.mapInArrow(
-        _assigner(centres),
-        _packed_schema(rows.schema, ("cell", T.IntegerType()), ("angle", T.DoubleType())),
-    )
+    layout = lay_out(index, pk, vector, match, k, max_cells, per_cell)
+    return _visit(layout, queries, k, query_id, vector, probes, block_rows)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """An index in cells: ``cells`` holds ``pk, g, v, cell, angle``, ``g`` being the value of ``match``
+    and ``summary`` the size and radius of every cell. Good for up to ``k`` results per query."""
+
+    cells: DataFrame
+    summary: DataFrame
+    centres: np.ndarray
+    centre_groups: list
+    pk: str
+    match: str | None
+    k: int
+
+
+def lay_out(
+    index: DataFrame, pk: str, vector: str = "embedding", match: str | None = None, k: int = 10,
+    max_cells: int = MAX_CELLS, per_cell: int | None = None,
+) -> Layout:
+    """The index in cells of about ``per_cell`` rows, or as many cells as the root of its rows."""
+    group = F.col(match) if match else F.lit(0)
+    rows = index.select(
+        F.col(pk).alias("pk"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
+    ).where(F.col("g").isNotNull() & (F.size("v") > 0))
+    centres, centre_groups = choose_pivots(rows, k, max_cells, per_cell)
+    schema = _packed_schema(rows.schema, ("cell", T.IntegerType()), ("angle", T.DoubleType()))
+    if not len(centres):  # nothing searchable
+        nothing = index.sparkSession.createDataFrame([], schema)
+        return Layout(nothing, _summary(nothing), centres, centre_groups, pk, match, k)
+    placed = rows.mapInArrow(_assigner(centres), schema)
     # Of equal vectors only the k smallest keys can ever be returned.
     copies = Window.partitionBy("g", "v").orderBy("pk")
-    kept = laid_out.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
+    kept = placed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
     cells = cut(kept.drop("copy"))
+    return Layout(cells, _summary(cells), centres, centre_groups, pk, match, k)
+
+
+def _summary(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("g", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius"))
+
+
+def store_layout(layout: Layout, path: str) -> None:
+    """Write a layout, a folder per cell, so that a search reads the cells it visits and no others."""
+    if not len(layout.centres):
+        raise ValueError("the index has no searchable row to store")
+    spark = layout.cells.sparkSession
+    write_table(layout.cells, f"{path}/cells", partition_by=["cell"])
+    write_table(layout.summary, f"{path}/summary")
+    centres = [
+        (i, g, v.tolist()) for i, (g, v) in enumerate(zip(layout.centre_groups, layout.centres))
+    ]
+    schema = T.StructType([
+        T.StructField("i", T.IntegerType()), layout.cells.schema["g"], T.StructField("v", T.ArrayType(T.DoubleType())),
+    ])
+    write_table(spark.createDataFrame(centres, schema), f"{path}/centres")
+    about = [(layout.pk, layout.match, layout.k)]
+    write_table(spark.createDataFrame(about, "pk string, match string, k int"), f"{path}/about")
+
+
+def open_layout(spark: SparkSession, path: str) -> Layout:
+    about = read_table(spark, f"{path}/about").first()
+    centres = read_table(spark, f"{path}/centres").orderBy("i").collect()  # at most MAX_CELLS
+    return Layout(
+        read_table(spark, f"{path}/cells"), read_table(spark, f"{path}/summary"),
+        np.array([row["v"] for row in centres] or np.empty((0, 1))), [row["g"] for row in centres],
+        about["pk"], about["match"], about["k"],
+    )
 
-    summary = cells.groupBy("g", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius"))
-    listing = _listing(summary)
+
+def search_layout(
+    layout: Layout, queries: DataFrame, k: int, query_id: str, vector: str = "embedding",
+    probes: int | None = None, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``search`` over an index laid out before. Its ``match`` column applies: a query with a value
+    there ranks only the rows with that value, and one without finds nothing."""
+    if k > layout.k:
+        raise ValueError(f"the layout was made for {layout.k} results, not {k}")
+    hits = _visit(layout, queries, k, query_id, vector, probes, block_rows)
+    return _ranked(hits, k, query_id, layout.pk)
+
+
+def _visit(
+    layout: Layout, queries: DataFrame, k: int, query_id: str, vector: str, probes: int | None, block_rows: int
+) -> DataFrame:
+    cells, match = layout.cells, layout.match
+    group = F.col(match) if match else F.lit(0)
+    asks = queries.select(
+        F.col(query_id).alias("q"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
+    ).where(F.size("v") > 0)
+    out = T.StructType([
+        T.StructField("q", asks.schema["q"].dataType),
+        T.StructField("pk", cells.schema["pk"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+    if not len(layout.centres):
+        return cells.sparkSession.createDataFrame([], out)
+    listing = _listing(layout.summary)
     if listing is None:  # too long to send along: every query meets its own group's cells instead
-        asks = asks.join(
-            summary.groupBy("g").agg(F.collect_list(F.struct("cell", "n", "radius")).alias("cells")), "g"
-        )
-    choose = _Chooser(centres, centre_groups if match else None, k, probes, block_rows, listing)
+        entries = F.collect_list(F.struct("cell", "n", "radius")).alias("cells")
+        asks = asks.join(layout.summary.groupBy("g").agg(entries), "g")
+    centre_groups = layout.centre_groups if match else None
+    choose = _Chooser(layout.centres, centre_groups, k, probes, block_rows, listing)
     extra = ("cell", T.IntegerType()), ("blocks", T.IntegerType())
     visits = asks.mapInArrow(choose.visits, _packed_schema(asks.select("q", "g", "v").schema, *extra))
     counted = T.StructType([asks.schema["g"]] + [
@@ -169,7 +246,9 @@ def _search(
         F.max("blocks").alias("row_blocks"),
     )
     if listing is not None:  # no more rows than the listing
-        load = F.broadcast(rows.sparkSession.createDataFrame(load.collect(), load.schema))
+        known = load.collect()
+        load = F.broadcast(cells.sparkSession.createDataFrame(known, load.schema))
+        cells = cells.where(F.col("cell").isin({row["cell"] for row in known}))
     key = ["g", "cell", "query_block", "row_block"]
     left = (
         visits.join(load, ["g", "cell"])
@@ -183,11 +262,6 @@ def _search(
         .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
         .select(*key, "pk", "v")
     )
-    out = T.StructType([
-        T.StructField("q", asks.schema["q"].dataType),
-        T.StructField("pk", rows.schema["pk"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_scorer(k), out)
 
 
@@ -204,7 +278,7 @@ def _packed_schema(schema: T.StructType, *extra: tuple[str, T.DataType]) -> T.St
 
 def choose_pivots(
     rows: DataFrame, k: int, max_cells: int, per_cell: int | None = None
-) -> tuple[np.ndarray, list] | None:
+) -> tuple[np.ndarray, list]:
     """Unit vectors of up to ``max_cells`` index rows, different from one another, and their groups.
 
     Taken in hash order of the keys: a random choice that a rerun repeats. One for ``per_cell`` rows,
@@ -214,13 +288,9 @@ def choose_pivots(
     n = rows.count()
     wanted = min(max_cells, max(k, math.isqrt(n) + 1 if per_cell is None else -(-n // per_cell)))
     found = rows.orderBy(F.xxhash64("pk"), "pk").limit(2 * wanted).select("g", "v").collect()
-    if not found:
-        return None
-    units, good = _unit(np.array([r["v"] for r in found], dtype=np.float64))
+    units, good = _unit(np.array([r["v"] for r in found] or np.empty((0, 1))))
     groups = [r["g"] for r, ok in zip(found, good) if ok]
     units = units[good]
-    if not len(units):
-        return None
     _, first = np.unique(np.round(units, PLACES), axis=0, return_index=True)
     first = np.sort(first)[:wanted]
     return units[first], [groups[i] for i in first]

@@ -380,6 +380,8 @@ ORACLE: dict[str, str] = {
                4 AS n_levels_set FROM users"""),
     "knn_exact": _search(5, "true"),
     "search_filtered": _search(5, "q.label = i.label"),
+    "knn_stored": _search(5, "true"),
+    "search_stored": _search(5, "q.label = i.label"),
     "search_one_label": _search(3, "i.label = 3"),
     "index_stats": """
         SELECT count(*) AS n_rows, count(*) - count(embedding) AS n_null_vectors,

@@ -358,6 +358,19 @@ def _self_search(match: str | None = None, probes: int | None = None) -> Query:
     return run
 
 
+def _stored_search(match: str | None = None) -> Query:
+    """The same searches over a layout stored first: queries meet the index cell by cell."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _run_folder(spark, "layout")
+        built = _vector_index(spark, sf_dir)
+        knn.store_layout(knn.lay_out(built, "vec_id", match=match, k=5), path)
+        queries = _vectors(spark, sf_dir).withColumnRenamed("vec_id", "query_id")
+        return knn.search_layout(knn.open_layout(spark, path), queries, 5, "query_id")
+
+    return run
+
+
 def search_one_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector searches among the rows of one label: a fixed filter, before ranking."""
     queries = _vectors(spark, sf_dir).withColumnRenamed("vec_id", "query_id")
@@ -561,6 +574,8 @@ QUERIES: dict[str, Query] = {
     "model_metrics": model_metrics,
     "knn_exact": _self_search(),
     "search_filtered": _self_search(match="label"),
+    "knn_stored": _stored_search(),
+    "search_stored": _stored_search(match="label"),
     "search_one_label": search_one_label,
     "knn_ann": _self_search(probes=4),
     "ann_recall": ann_recall,

@@ -46,7 +46,10 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if _is_path(target):
         writer.save(target)
-        return df.sparkSession.read.format(fmt).load(target)
+        reader = df.sparkSession.read.format(fmt)
+        if fmt == "parquet":  # partition values keep their type, and an empty table its columns
+            reader = reader.schema(df.schema)
+        return reader.load(target)
     writer.saveAsTable(target)
     return df.sparkSession.table(target)
 

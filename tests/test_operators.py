@@ -65,6 +65,14 @@ def test_partition_filter_reaches_the_scan(spark, small, tmp_path):
     assert stored.count() == small["plays"].count()
 
 
+def test_partition_values_keep_their_type(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "007"), (2, "08")], "n int, code string")
+    stored = tables.write_table(rows, f"{tmp_path}/codes", partition_by=["code"])
+    assert sorted(map(tuple, stored.select("n", "code").collect())) == [(1, "007"), (2, "08")]
+    empty = tables.write_table(rows.limit(0), f"{tmp_path}/none", partition_by=["code"])
+    assert empty.count() == 0 and set(empty.columns) == {"n", "code"}
+
+
 def test_tables_by_name(spark, small):
     place = Settings(database="subscope_test")
     tables.ensure_schema(spark, place.database)

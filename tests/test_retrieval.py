@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +143,31 @@ def test_search_edges(spark, monkeypatch, carried):
     assert nobody.count() == 0 and nobody.schema == hits.schema
 
 
+@pytest.mark.parametrize("match", [None, "genre"])
+def test_stored_layout_is_searched_by_cell(spark, vectors, tmp_path, match):
+    held, asked = frames(spark, vectors, [v for v in vectors if v[2] is not None])
+    knn.store_layout(knn.lay_out(held, "pk", match=match, k=8), f"{tmp_path}/layout")
+    layout = knn.open_layout(spark, f"{tmp_path}/layout")
+    hits = knn.search_layout(layout, asked, 6, "query_id")
+    expected = brute_force(vectors, [v for v in vectors if v[2] is not None], 6, match=match is not None)
+    same(found(hits), expected)
+    few = knn.search_layout(layout, asked.where("query_id = 1"), 6, "query_id", probes=2)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cell#\d+ IN \(", plan), plan  # other cells are not read
+    assert few.count() == 6
+    with pytest.raises(ValueError, match="made for 8 results"):
+        knn.search_layout(layout, asked, 9, "query_id")
+
+
+def test_layout_of_nothing(spark, tmp_path):
+    rows = [(2, [0.0, 0.0], "g"), (4, None, "h")]
+    held, asked = frames(spark, rows, [(10, [2.0, 0.0], None)])
+    layout = knn.lay_out(held, "pk")
+    assert knn.search_layout(layout, asked, 3, "query_id").count() == 0
+    with pytest.raises(ValueError, match="no searchable row"):
+        knn.store_layout(layout, f"{tmp_path}/layout")
+
+
 def test_approximate_search_recall(spark, vectors):
     held, asked = frames(spark, vectors, vectors)
     exact = knn.search(held, asked, 5, pk="pk", query_id="query_id")
