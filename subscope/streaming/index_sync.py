@@ -69,7 +69,11 @@ def take_in(
 def start_sync(
     feed: DataFrame, index_path: str, checkpoint: str, pk: str, text_col: str, embedder: TextEmbedder
 ) -> StreamingQuery:
-    """Take in all that has arrived since the last run, then stop."""
+    """Take in all that has arrived since the last run, then stop.
+
+    ``checkpoint`` counts the batches the states in ``index_path`` are named after: start either anew
+    only together with the other.
+    """
     return (
         feed.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
