@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subscope.llm import token_counts, token_files
-from subscope.settings import shared_folder
+from subscope.llm import packing, token_counts, token_files
+from subscope.settings import cut, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,18 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Where each document's pieces go, with a checksum of their ids."""
+    pieces = packing.token_pieces(docs, WORD_BPE)
+    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    stored = cut(digest.withColumn("row", F.monotonically_increasing_id()))
+    return stored.join(packing.pack(stored), "row").drop("row")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = token_files.write_tokens(documents(spark, sf_dir), WORD_BPE, _folder(spark, "tokens"))
     return stored.documents(spark)
@@ -35,6 +48,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op5_token_counts": op5_token_counts,
 }
