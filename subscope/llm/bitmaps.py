@@ -1,0 +1,28 @@
+"""A filter of fixed size that lets a large table's rows through by the keys of another."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BLOCK = 32768  # bits of one block of a bitmap, as Spark's bitmap functions have it
+BLOCKS = 1024  # blocks of a filter: 4 MB in all, whatever the number of keys
+
+
+def _place(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BLOCK * BLOCKS))
+
+
+def maybe_in(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` whose column ``name`` may be among ``keys``: all that are, and few others.
+
+    The keys become one bitmap of fixed size, at most ``BLOCKS`` rows of 4 KB, which is why it can be
+    broadcast whatever their number; a full bitmap lets more rows through and loses none.
+    """
+    bits = keys.select(_place(F.col(name)).alias("place")).groupBy(
+        F.floor(F.col("place") / BLOCK).alias("block")
+    ).agg(F.bitmap_construct_agg(F.col("place") % BLOCK).alias("bits"))
+    placed = df.withColumn("place", _place(F.col(name))).withColumn("block", F.floor(F.col("place") / BLOCK))
+    byte = F.conv(F.hex(F.substring("bits", ((F.col("place") % BLOCK) / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    has = F.getbit(byte.cast("long"), (F.col("place") % 8).cast("int")) == 1
+    return placed.join(F.broadcast(bits), "block").where(has).select(*df.columns)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import packing, token_counts, token_files
+from subscope.llm import exact_dedup, packing, token_counts, token_files
 from subscope.settings import cut, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,10 +47,22 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), WORD_BPE)
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
+
+
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op5_token_counts": op5_token_counts,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_exact_dedup": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+        g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
+        FROM t JOIN g USING (body)
+    """,
+}
