@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import exact_dedup, packing, token_counts, token_files
+from subscope.llm import exact_dedup, packing, quality_rules, token_counts, token_files
 from subscope.settings import cut, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,11 +51,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir)).drop("who", "boilerplate")
+
+
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op5_token_counts": op5_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {

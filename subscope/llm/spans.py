@@ -12,12 +12,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 # White space as the contracts have it, [\x20\x09-\x0D].
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 BATCH_BYTES = 12 << 20  # text handled at once; bounds a worker's memory
 
+_LONG = 512  # bytes from which a piece is hashed by itself
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _LANE = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of eight
 _SPACE = np.zeros(256, bool)
@@ -72,7 +74,9 @@ class Pieces:
         padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
         lanes = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(self.data) + 1,), (1,))
         h = mixed(length.astype(np.uint64) + _SEED)
-        left, at, who = length, self.starts, None
+        for i in np.flatnonzero(length > _LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]])
+        left, at, who = np.where(length > _LONG, 0, length), self.starts, None
         while True:
             if who is None:
                 who = np.flatnonzero(left > 0)
