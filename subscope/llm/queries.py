@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import exact_dedup, packing, quality_rules, token_counts, token_files
+from subscope.llm import exact_dedup, near_dedup, packing, quality_rules, token_counts, token_files
 from subscope.settings import cut, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), n=4)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Where each document's pieces go, with a checksum of their ids."""
     pieces = packing.token_pieces(docs, WORD_BPE)
@@ -56,6 +60,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op5_token_counts": op5_token_counts,
