@@ -127,7 +127,8 @@ class Stored:
         """``key, start, n_tokens, ids_crc32`` of every document, read from the files."""
         key = self.key
         kind = spark.read.parquet(f"{self.folder}/manifest").schema["first"].dataType
-        files = self.manifest(spark).select("file", "start").repartition("file")
+        listed = self.manifest(spark).select("file", "start")
+        files = listed.repartition(max(1, listed.count()), "file")  # a task for each file, however small the list
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
