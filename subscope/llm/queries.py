@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import exact_dedup, near_dedup, packing, quality_rules, token_counts, token_files
+from subscope.llm import exact_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files
 from subscope.settings import cut, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.documents(spark)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf_dir), "crc32(cast(doc_id as string)) % 5 = 1")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), WORD_BPE)
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_token_counts": op5_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
