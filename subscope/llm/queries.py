@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscope.llm import exact_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files
+from subscope.llm import (
+    bpe, exact_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files,
+)
 from subscope.settings import cut, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +57,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), WORD_BPE)
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(bpe.encode_decode(documents(spark, sf_dir), BYTE_BPE))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_token_counts": op5_token_counts,
+    "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
