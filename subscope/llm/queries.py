@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.llm import (
-    bpe, exact_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files,
+    bpe, exact_dedup, language_id, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files,
 )
 from subscope.settings import cut, shared_folder
 
@@ -65,6 +65,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    net = language_id.learn(docs.where(~held_out))
+    return language_id.predict(docs, net).withColumn("held_out", held_out)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).drop("who", "boilerplate")
 
@@ -77,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_language_id": op8_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
 
