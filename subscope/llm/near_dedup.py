@@ -1,56 +1,29 @@
 """Near duplicates by MinHash banding, sifted by odd sketches and confirmed on whole shingle sets.
 
-Documents with one shingle set are one class from the start, so copies cost nothing further. The least
-hash of a class under many functions gives its bands, and folded into a parity bitmap (an odd sketch) an
-estimate of how many of these samples two classes share, from one exclusive or and a population count.
-
-Classes that meet in a band are first compared with one of their bucket alone, which joins a large group
-with as many comparisons as it has members. What is still apart and meets in a bucket is then compared
-across, in the join itself, so pairs that the sketches rule out are never rows.
+Documents with one shingle set are one class from the start, so copies cost nothing further.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subscope.llm.bitmaps import maybe_in
 from subscope.llm.components import components
+from subscope.llm.linking import Shape, links, lists
 from subscope.llm.spans import by_bytes, mixed, texts_of, words
-from subscope.settings import cut
+from subscope.llm.stage import stored
 
 WORDS = 5
 PERCENT = 80  # similarity from which documents are linked
-BANDS, ROWS = 40, 5  # misses a pair of similarity 0.8 once in seven million
-SKETCH = 1024  # bits
-SIGMAS = 5  # how far under its expectation a pair may come out and still be compared
-
-_LANES = SKETCH // 64
-_DRAWS = np.random.default_rng(20260101)
-_XOR = _DRAWS.integers(0, 2**64, BANDS * ROWS, np.uint64)
-_MULTIPLY = _DRAWS.integers(0, 2**64, BANDS * ROWS, np.uint64) | np.uint64(1)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_PLACE = np.arange(BANDS * ROWS, dtype=np.uint64) * _STEP  # tells the samples of different functions apart
-
+SHAPE = Shape(bands=40, rows=5, sketch=1024)  # misses a pair of similarity 0.8 once in seven million
 
-def most_bits_apart(percent: int = PERCENT, sigmas: float = SIGMAS) -> int:
-    """Bits in which the sketches of two sets this similar differ at most, but for rare chance.
-
-    Samples shared are binomial, and every sample not shared flips one bit of either sketch.
-    """
-    samples, j = BANDS * ROWS, percent / 100
-    flips = 2 * (samples * (1 - j) + sigmas * math.sqrt(samples * j * (1 - j)))
-    expected = SKETCH / 2 * (1 - (1 - 2 / SKETCH) ** flips)
-    spread = math.sqrt(SKETCH / 4 * (1 - (1 - 2 / SKETCH) ** (2 * flips)))
-    return math.ceil(expected + spread)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,37 +67,15 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def signatures(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes and odd sketch of each set that isn't empty."""
-    starts = bounds[:-1][np.diff(bounds) > 0]
-    bands = np.zeros((len(starts), BANDS), np.uint64)
-    sketch = np.zeros((len(starts), _LANES), np.uint64)
-    rows = np.arange(len(starts))
-    for i in range(BANDS * ROWS if len(starts) else 0):
-        least = np.minimum.reduceat((hashes ^ _XOR[i]) * _MULTIPLY[i], starts)
-        sample = mixed(least + _PLACE[i])
-        bands[:, i // ROWS] = mixed(bands[:, i // ROWS] ^ sample) + _STEP
-        bit = sample % np.uint64(SKETCH)
-        sketch[rows, (bit >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (bit & np.uint64(63))
-    return bands, sketch
-
-
-def _lists(values: np.ndarray, have: np.ndarray) -> pa.Array:
-    """One list per text, empty where it has no shingles."""
-    offsets = np.zeros(len(have) + 1, np.int32)
-    np.cumsum(have * values.shape[1], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1).view(np.int64)))
-
-
 def _signed(rows: DataFrame, n: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
             hashes, bounds = shingles(batch.column("text"), n)
-            bands, sketch = signatures(hashes, bounds)
+            bands, sketch = SHAPE.signatures(hashes, bounds)
             have = np.diff(bounds) > 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(np.diff(bounds)), set_keys(hashes, bounds),
-                 _lists(bands, have), _lists(sketch, have)],
+                 lists(bands, have), lists(sketch, have)],
                 names=["key", "n_shingles", "set", "bands", "sketch"],
             )
 
@@ -142,20 +93,6 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(collect, "set binary, hashes array<long>")
 
 
-def _bits_apart(a: str, b: str) -> Column:
-    lanes = (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(_LANES))
-    return reduce(add, lanes)
-
-
-def _alike(percent: int) -> Column:
-    """Sizes and sketches that allow the similarity."""
-    return (
-        (100 * F.col("size_a") >= percent * F.col("size_b"))
-        & (100 * F.col("size_b") >= percent * F.col("size_a"))
-        & (_bits_apart("sketch_a", "sketch_b") <= most_bits_apart(percent))
-    )
-
-
 def near_duplicates(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -170,84 +107,30 @@ def near_duplicates(
     key is kept if all of its component have none. An empty table gives no rows. Only two columns are read.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    signed = cut(_signed(rows, n))
+    signed = stored(_signed(rows, n))
     classes = signed.where("n_shingles > 0").groupBy("set").agg(
-        F.min("key").alias("key"), F.first(F.struct("n_shingles", "bands", "sketch")).alias("of")
+        F.min("key").alias("key"), F.first(F.struct(F.col("n_shingles").alias("size"), "bands", "sketch")).alias("of")
     )
-    classes = cut(classes.select("set", "key", "of.*").withColumn("node", F.monotonically_increasing_id()))
-    links = _links(rows, classes, n, percent)
-    least = classes.join(components(links), "node", "left").select(
+    classes = stored(classes.select("set", "key", "of.*").withColumn("node", F.monotonically_increasing_id()))
+    found = links(classes, lambda pairs: _confirmed(pairs, rows, classes, n, percent), SHAPE, percent)
+    least = stored(classes.select("node", "set", "key").join(components(found), "node", "left").select(
         "set", "key", F.coalesce("label", "node").alias("label")
-    )
-    least = least.join(least.groupBy("label").agg(F.min("key").alias("component_id")), "label")
-    found = signed.select("key", "n_shingles", "set").join(least.select("set", "component_id"), "set", "left")
+    ))
+    first = stored(least.groupBy("label").agg(F.min("key").alias("component_id")))
+    least = stored(least.select("set", "label").join(first, "label").select("set", "component_id"))
     component = F.coalesce("component_id", "key")
-    return found.select(
+    return signed.select("key", "n_shingles", "set").join(least, "set", "left").select(
         F.col("key").alias(key), "n_shingles", component.alias("component_id"),
         F.col("key").eqNullSafe(component).alias("kept"),
     )
 
 
-def _links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs of nodes ``a, b`` that hold every link between two of them by way of links."""
-    bands = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    members = cut(bands.join(shared.select("bucket", "hub"), "bucket"))
-    sketches = classes.select("node", F.col("n_shingles").alias("size"), "sketch")
-
-    # one of a bucket for each class: the one that it meets most often
-    meets = members.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
-    star = meets.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("b")).select(
-        F.col("node").alias("a"), "b"
-    )
-    held = star
-    for end in ("a", "b"):
-        held = held.join(sketches.toDF(end, f"size_{end}", f"sketch_{end}"), end)
-    links = cut(_confirmed(held.where(_alike(percent)).select("a", "b"), rows, classes, n, percent))
-
-    # what is still apart, compared where it meets: the likeliest pair of two components, then the others
-    labels = components(links)
-    tried = cut(_across(members, sketches, labels, percent))
-    for best in (True, False):
-        pairs = _apart(tried, labels)
-        if best:
-            pairs = pairs.groupBy("label_a", "label_b").agg(F.min_by(F.struct("a", "b"), "bits").alias("p")).select("p.*")
-        links = cut(links.unionByName(_confirmed(pairs.select("a", "b"), rows, classes, n, percent)))
-        if best:
-            labels = components(links)
-    return links
-
-
-def _labelled(nodes: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
-    """With the component of column ``node``; a node without links is its own."""
-    found = nodes.join(labels.toDF(node, "_label"), node, "left")
-    return found.withColumn(label, F.coalesce("_label", node)).drop("_label")
-
-
-def _across(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket and two components that sizes and sketches allow, with the bits they differ in."""
-    labelled = _labelled(members.select("bucket", "node"), labels, "node", "label")
-    split = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ones = cut(labelled.join(split.where("low < high").select("bucket"), "bucket").join(sketches, "node"))
-    a = open_ones.toDF("a", "bucket", "label_a", "size_a", "sketch_a")
-    b = open_ones.toDF("b", "bucket_b", "label_b", "size_b", "sketch_b")
-    met = (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") < F.col("label_b")) & _alike(percent)
-    return a.join(b, met).select("a", "b", _bits_apart("sketch_a", "sketch_b").alias("bits")).distinct()
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    for end in ("a", "b"):
-        pairs = _labelled(pairs, labels, end, f"label_{end}")
-    return pairs.where("label_a <> label_b")
-
-
 def _confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs that are similar by their whole sets, which are made again for the documents in them."""
-    pairs = cut(pairs)
     ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    wanted = cut(classes.select(F.col("node").alias("a"), "key", "set").join(ends, "a"))
+    wanted = stored(classes.select(F.col("node").alias("a"), "key", "set").join(ends, "a"))
     made = _sets(maybe_in(rows, wanted, "key"), n).join(wanted.select("a", "set"), "set")
-    sets = cut(made.select("a", "hashes"))
+    sets = stored(made.select("a", "hashes"))
     held = pairs.join(sets.toDF("b", "hashes_b"), "b").join(sets.toDF("a", "hashes_a"), "a")
     shared = F.size(F.array_intersect("hashes_a", "hashes_b"))
     union = F.size("hashes_a") + F.size("hashes_b") - shared
