@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.llm import (
-    bpe, exact_dedup, language_id, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files,
+    bpe, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files,
 )
 from subscope.settings import cut, shared_folder
 
@@ -72,6 +72,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, net).withColumn("held_out", held_out)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.duplicate_lines(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).drop("who", "boilerplate")
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
