@@ -21,6 +21,7 @@ SYMBOLS = b"#*$%&|<>"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_ENDS = ("least", "second_least", "most", "second_most")
 
 
 @dataclass(frozen=True)
@@ -28,8 +29,8 @@ class Limits:
     """What a document must meet.
 
     max_documents: a line in more different documents of one host is boilerplate. Copies are not
-    different: those whose other lines have the same least hash count once, and a line is left alone
-    where that merges half of its documents or more.
+    different: those whose other lines have the same least hash, or the same greatest, count once, and
+    a line is left alone where either merges a third of its documents or more.
     min_left: a document with less than this share of its words left is depleted.
     """
 
@@ -88,16 +89,20 @@ def _repeated(found: Pieces, keys: np.ndarray) -> np.ndarray:
     return summed(covered, found.bounds)
 
 
-def _two_least(key: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The least and the second least key of each text, 0 where there is none."""
-    found = [np.zeros(len(edges) - 1, np.int64) for _ in range(2)]
-    most, left = np.uint64(2**64 - 1), key.copy()
+def _extremes(key: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
+    """The two least and the two greatest keys of each text, 0 where there are fewer."""
     have = np.flatnonzero(np.diff(edges))
-    for out in found if len(have) else []:
-        least = np.minimum.reduceat(left, edges[have])
-        out[have] = np.where(least == most, np.uint64(0), least).view(np.int64)
-        left[left == np.repeat(least, np.diff(edges)[have])] = most
-    return found[0], found[1]
+    found = []
+    for best, never in ((np.minimum, np.uint64(2**64 - 1)), (np.maximum, np.uint64(0))):
+        left = key.copy()
+        for _ in range(2):
+            out = np.zeros(len(edges) - 1, np.int64)
+            if len(have):
+                one = best.reduceat(left, edges[have])
+                out[have] = np.where(one == never, np.uint64(0), one).view(np.int64)
+                left[left == np.repeat(one, np.diff(edges)[have])] = never
+            found.append(out)
+    return found
 
 
 def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -121,7 +126,7 @@ def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
     weight = np.bincount(which, weights=lines.words, minlength=len(first)).astype(np.int64)
     edges = np.searchsorted(lines.owner[first], np.arange(n + 1))
     key = lines.key[first]
-    least, second = _two_least(key, edges)
+    ends = _extremes(key, edges)
 
     point = (texts.data & 0xC0) != 0x80
     columns = {
@@ -131,7 +136,7 @@ def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
         "n_symbols": summed(_SYMBOL[texts.data], texts.offsets),
         "n_dup_lines": n_dup,
         "n_repeat_words": _repeated(found, found.keys()),
-        "least": least, "second": second,
+        **dict(zip(_ENDS, ends, strict=True)),
         "lines": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(key.view(np.int64))),
         "line_words": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(weight)),
     }
@@ -167,20 +172,24 @@ def judge(
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("key", "host")}
     counted = rows.mapInArrow(measure, (
         f"key {kinds['key']}, host {kinds['host']}, who long, n_words long, word_chars long, n_symbols long, "
-        "n_dup_lines long, n_repeat_words long, least long, second long, lines array<long>, line_words array<long>"
+        "n_dup_lines long, n_repeat_words long, least long, second_least long, most long, second_most long, lines array<long>, line_words array<long>"
     ))
     base = cut(counted.withColumn("row", F.monotonically_increasing_id()))
 
     lines = base.select(
-        "row", "host", "least", "second", F.explode(F.arrays_zip("lines", "line_words")).alias("line")
+        "row", "host", *_ENDS, F.explode(F.arrays_zip("lines", "line_words")).alias("line")
     ).select(
         "row", F.col("line.lines").alias("key"), F.col("line.line_words").alias("words"),
         F.xxhash64("host", "line.lines").alias("line"),
-        F.when(F.col("line.lines") == F.col("least"), F.col("second")).otherwise(F.col("least")).alias("signature"),
+        F.when(F.col("line.lines") == F.col("least"), F.col("second_least")).otherwise(F.col("least")).alias("low"),
+        F.when(F.col("line.lines") == F.col("most"), F.col("second_most")).otherwise(F.col("most")).alias("high"),
+    )
+    counts = lines.groupBy("line").agg(
+        F.count("*").alias("n_documents"), F.count_distinct("low").alias("n_low"), F.count_distinct("high").alias("n_high")
+    ).withColumn("n_different", F.least("n_low", "n_high"))
+    shared = counts.where(
+        (F.col("n_different") > limits.max_documents) & (3 * F.col("n_different") > 2 * F.col("n_documents"))
     )
-    shared = lines.groupBy("line", "signature").agg(F.count("*").alias("n")).groupBy("line").agg(
-        F.sum("n").alias("n_documents"), F.count("*").alias("n_different")
-    ).where((F.col("n_different") > limits.max_documents) & (2 * F.col("n_different") > F.col("n_documents")))
     removed = lines.join(shared.select("line"), "line").groupBy("row").agg(
         F.sum("words").alias("n_removed"), F.collect_list("key").alias("boilerplate")
     )
