@@ -2,6 +2,8 @@
 
 The least hash of a set under many functions gives its bands, and folded into a parity bitmap (an odd
 sketch) an estimate of how many of these samples two sets share, from exclusive ors and population counts.
+A second odd sketch, of the whole set, tells almost exactly where sets just miss the similarity: sketches
+never differ in more bits than their sets have differing members, so it rejects no similar pair.
 
 Sets that meet in a band are first compared with one of their bucket alone, which joins a large group
 with as many comparisons as it has members. What is still apart and meets in a bucket is then compared
@@ -42,14 +44,15 @@ def _functions(samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Shape:
-    """``bands`` of ``rows`` samples each, and a sketch of so many bits.
+    """``bands`` of ``rows`` samples each, and sketches of the samples and of the set, of so many bits.
 
-    sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
+    parity: bits of the set's own sketch, 0 for none. sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
     """
 
     bands: int
     rows: int
     sketch: int
+    parity: int = 0
     sigmas: float = 5.0
 
     @property
@@ -86,6 +89,13 @@ class Shape:
             sketch[sets, (bit >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (bit & np.uint64(63))
         return bands, sketch
 
+    def parities(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Odd sketch of each whole set that isn't empty; its members must be distinct."""
+        sizes = np.diff(bounds)[np.diff(bounds) > 0]
+        place = np.repeat(np.arange(len(sizes)), sizes) * self.parity + (mixed(hashes + _STEP) % np.uint64(self.parity)).astype(np.int64)
+        odd = np.bincount(place, minlength=len(sizes) * self.parity).astype(np.uint8) & 1
+        return np.packbits(odd, bitorder="little").view(np.uint64).reshape(len(sizes), self.parity // 64)
+
 
 def lists(values: np.ndarray, have: np.ndarray) -> pa.Array:
     """A row of ``values`` for each true, an empty list for each false."""
@@ -94,22 +104,29 @@ def lists(values: np.ndarray, have: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1).view(np.int64)))
 
 
-def _bits_apart(shape: Shape) -> Column:
-    a, b = F.col("sketch_a"), F.col("sketch_b")
-    return reduce(add, (F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(shape.sketch // 64)))
+def _bits_apart(name: str, bits: int) -> Column:
+    a, b = F.col(f"{name}_a"), F.col(f"{name}_b")
+    return reduce(add, (F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)))
 
 
 def _alike(shape: Shape, percent: int) -> Column:
     """Sizes and sketches that allow the similarity; a size of null rules nothing out."""
     a, b = F.col("size_a"), F.col("size_b")
     sizes = F.coalesce((100 * a >= percent * b) & (100 * b >= percent * a), F.lit(True))
-    return sizes & (_bits_apart(shape) <= shape.most_bits_apart(percent))
+    alike = sizes & (_bits_apart("sketch", shape.sketch) <= shape.most_bits_apart(percent))
+    if shape.parity:  # at this similarity, (100 - percent) / (100 + percent) of both sizes are not shared
+        alike &= (100 + percent) * _bits_apart("parity", shape.parity) <= (100 - percent) * (a + b)
+    return alike
+
+
+def _ends(sketches: DataFrame, end: str) -> DataFrame:
+    return sketches.select(*[F.col(c).alias(end if c == "node" else f"{c}_{end}") for c in sketches.columns])
 
 
 def links(signed: DataFrame, confirm: Confirm, shape: Shape, percent: int) -> DataFrame:
     """Pairs of nodes ``a, b`` that connect all that links between similar sets connect.
 
-    signed: stored rows ``node, size, bands, sketch``; a node may have several rows, all alike. confirm
+    signed: stored rows ``node, size, bands, sketch`` and ``parity`` if the shape has one; a node may have several rows, all alike. confirm
     takes pairs ``a, b`` and returns those that are similar.
     """
     bands = signed.select("node", F.explode("bands").alias("bucket"))
@@ -118,8 +135,9 @@ def links(signed: DataFrame, confirm: Confirm, shape: Shape, percent: int) -> Da
     ).select("bucket", "hub"))
     # most buckets hold one node: the bitmap leaves those rows where they are
     members = stored(maybe_in(bands, shared, "bucket").join(shared, "bucket").distinct())
-    known = maybe_in(signed.select("node", "size", "sketch"), members.select("node"), "node")
-    sketches = stored(known.groupBy("node").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")))
+    told = ["size", "sketch", *(["parity"] if shape.parity else [])]
+    known = maybe_in(signed.select("node", *told), members.select("node"), "node")
+    sketches = stored(known.groupBy("node").agg(*[F.first(c).alias(c) for c in told]))
 
     # one of a bucket for each node: the one that it meets most often
     meets = members.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
@@ -127,7 +145,7 @@ def links(signed: DataFrame, confirm: Confirm, shape: Shape, percent: int) -> Da
         F.col("node").alias("a"), "b"
     )
     for end in ("a", "b"):
-        star = star.join(sketches.toDF(end, f"size_{end}", f"sketch_{end}"), end)
+        star = star.join(_ends(sketches, end), end)
     found = stored(confirm(stored(star.where(_alike(shape, percent)).select("a", "b"))))
 
     # what is still apart, compared where it meets: the likeliest pair of two components, then the others
@@ -151,11 +169,10 @@ def _across(members: DataFrame, sketches: DataFrame, labels: DataFrame, shape: S
     labelled = stored(_labelled(members.select("bucket", "node"), labels, "node", "label"))
     split = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_ones = labelled.join(split.where("low < high").select("bucket"), "bucket").select("bucket", "label", "node")
-    open_ones = stored(open_ones.join(sketches, "node").select("bucket", "label", "node", "size", "sketch"))
-    a = open_ones.toDF("bucket", "label_a", "a", "size_a", "sketch_a")
-    b = open_ones.toDF("bucket_b", "label_b", "b", "size_b", "sketch_b")
-    met = (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") < F.col("label_b")) & _alike(shape, percent)
-    return a.join(b, met).select("a", "b", _bits_apart(shape).alias("bits")).distinct()
+    open_ones = stored(open_ones.join(sketches, "node"))
+    a, b = (_ends(open_ones, end) for end in ("a", "b"))
+    met = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("label_a") < F.col("label_b")) & _alike(shape, percent)
+    return a.join(b, met).select("a", "b", _bits_apart("sketch", shape.sketch).alias("bits")).distinct()
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

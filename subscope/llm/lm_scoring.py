@@ -30,7 +30,9 @@ from subscope.settings import shared_folder
 END = np.uint64(0x5BF0_3635_DEAD_10CC)  # the key of a text's end, which also stands before its first word
 SEGMENT_BITS = 12
 SEGMENTS = 1 << SEGMENT_BITS
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 24 << 20  # of text in a block: the larger, the fewer words go to and fro
+GRAM_BYTES = 12 << 20  # of text whose n-grams are sorted together
+SLICE = 1 << 19  # tokens scored together
 
 _LOW = np.uint64(0xFFFFFFFF)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -164,7 +166,7 @@ def _grams(rows: DataFrame) -> DataFrame:
     """Training n-grams of each batch, summed there: ``segment, grams, counts`` with a row per segment."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, limit=BLOCK_BYTES):
+        for batch in by_bytes(batches, limit=GRAM_BYTES):
             batch = batch.filter(pc.invert(batch.column("held_out")))
             if not batch.num_rows:
                 continue
@@ -215,7 +217,7 @@ def build_filter(rows: DataFrame, n_tokens: int, model: Model) -> Filter:
     # rows of a segment follow one another, so a batch has few segments
     ordered = summed.sortWithinPartitions("segment")
     data = np.zeros((SEGMENTS, segment_bits // 8), np.uint8)
-    for row in ordered.mapInArrow(fill, "segment int, bits binary").toLocalIterator():
+    for row in ordered.mapInArrow(fill, "segment int, bits binary").collect():  # max_bits at most
         data[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
     return Filter(model, data.reshape(-1), segment_bits)
 
@@ -230,7 +232,7 @@ def score(
     probability by the bigram model from the filter's counts.
 
     Null and empty texts are the end alone. Repeated rows are learnt as often as they occur; a null key
-    is kept. With no training rows all counts are 0 and score equals base_score; an empty table gives no rows.
+    is kept. With no training rows all counts are 0 and score is 0, as base_score is; an empty table gives no rows.
     Only the columns of key, text and condition are read.
     """
     spark = docs.sparkSession
@@ -238,45 +240,55 @@ def score(
         F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out")
     )
     folder = f"{shared_folder(spark)}/lm-{uuid.uuid4().hex}"
-    _blocks(rows).write.parquet(folder, compression="uncompressed")
+    _blocks(rows).write.parquet(folder, compression="zstd")
     blocks = spark.read.parquet(folder)
+    # the place of a word, its block and code, is one number: half of what is shuffled is places
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "learnt")).alias("code", "w")).select(
-        "block", "code", F.col("w.words").alias("word"), F.col("w.learnt").alias("learnt")
+        (F.shiftleft("block", 32) + F.col("code")).alias("place"),
+        F.col("w.words").alias("word"), F.col("w.learnt").alias("learnt"),
     )
-    known = listed.where("learnt > 0").agg(F.sum("learnt").alias("n"), F.count_distinct("word").alias("v")).first()
-    n_all, n_distinct = known["n"] or 0, known["v"] or 0
+    known = listed.where("learnt > 0").agg(F.sum("learnt").alias("n"), F.approx_count_distinct("word").alias("v")).first()
+    n_all = known["n"] or 0
+    about = n_all + 0.5 * (known["v"] + 1)  # what smoothing divides by; the base score has the exact number
     asked = spark.sparkContext.broadcast(build_filter(rows, n_all, model))
 
     # a block has a word once, so even the most frequent word is no more rows than there are blocks
     by_word = listed.repartition("word")
     totals = by_word.groupBy("word").agg(F.sum("learnt").alias("total"))
-    counted = by_word.join(totals, "word").select(F.col("block").alias("of"), "code", "word", "total")
-    whole = n_all + 0.5 * (n_distinct + 1)
+    counted = by_word.join(totals, "word").select(F.shiftright("place", 32).alias("of"), "place", "word", "total")
+    n_distinct = totals.where("total > 0").agg(F.count("*")).scalar()
 
     def judge(block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         held = block.iloc[0]
         bounds = np.zeros(len(held["n_tokens"]) + 1, np.int64)
         np.cumsum(held["n_tokens"], out=bounds[1:])
         codes = _unpack(held["codes"], int(bounds[-1]))
-        order = np.argsort(counts["code"].to_numpy())
+        order = np.argsort(counts["place"].to_numpy())
         words_of = counts["word"].to_numpy()[order].view(np.uint64)
         exact = counts["total"].to_numpy()[order].astype(np.float64)
-        starts = bounds[:-1]
         filter_ = asked.value
-        approximate = filter_.counts(singles(words_of))
-        keys = words_of[codes]
-        before = _before(keys, bounds)
-        behind = np.empty(len(codes))
-        behind[1:] = approximate[codes[:-1]]
-        behind[starts] = filter_.counts(singles(np.array([END])))[0]
-        alone = ((approximate + 0.5) / whole)[codes]
-        together = np.minimum(filter_.counts(pairs(before, keys)), behind)
-        likely = np.log10((together + model.weight * alone) / (behind + model.weight))
+        about_word = filter_.counts(singles(words_of))
+        end = filter_.counts(singles(np.array([END])))[0]
+        log_exact, known_word = np.log10(exact + 0.5), (exact > 0).astype(np.int64)
+        sums = [np.zeros(len(bounds) - 1, kind) for kind in (np.int64, np.float64, np.float64)]
+        at = 0
+        while at < len(bounds) - 1:  # some documents at a time
+            stop = max(at + 1, int(np.searchsorted(bounds, bounds[at] + SLICE, "right")) - 1)
+            edges = bounds[at : stop + 1] - bounds[at]
+            mine = codes[bounds[at] : bounds[stop]]
+            keys = words_of[mine]
+            behind = np.empty(len(mine))
+            behind[1:] = about_word[mine[:-1]]
+            behind[edges[:-1]] = end
+            together = np.minimum(filter_.counts(pairs(_before(keys, edges), keys)), behind)
+            alone = (about_word[mine] + 0.5) / about
+            likely = np.log10((together + model.weight * alone) / (behind + model.weight))
+            for out, values in zip(sums, (known_word[mine], log_exact[mine], likely), strict=True):
+                out[at:stop] = np.add.reduceat(values, edges[:-1])
+            at = stop
         return pd.DataFrame({
             "key": list(held["keys"]), "held_out": held["held_out"], "n_tokens": np.diff(bounds),
-            "n_known": np.add.reduceat((exact > 0)[codes].astype(np.int64), starts), "train_tokens": n_all,
-            "base_score": np.add.reduceat(np.log10((exact + 0.5) / whole)[codes], starts),
-            "score": np.add.reduceat(likely, starts),
+            "n_known": sums[0], "train_tokens": n_all, "base_score": sums[1], "score": sums[2],
         })
 
     kind = rows.schema["key"].dataType.simpleString()
@@ -285,4 +297,6 @@ def score(
     )
     texts = blocks.select("block", "keys", "held_out", "n_tokens", "codes")
     scored = texts.groupBy("block").cogroup(counted.groupBy("of")).applyInPandas(judge, schema)
-    return scored.withColumnRenamed("key", key)
+    whole = F.lit(float(n_all)) + 0.5 * (n_distinct + 1)
+    base = F.col("base_score") - F.col("n_tokens") * F.log10(whole)
+    return scored.withColumn("base_score", base).withColumnRenamed("key", key)

@@ -21,7 +21,9 @@ from subscope.llm.stage import stored
 
 WORDS = 5
 PERCENT = 80  # similarity from which documents are linked
-SHAPE = Shape(bands=40, rows=5, sketch=1024)  # misses a pair of similarity 0.8 once in seven million
+SHAPE = Shape(bands=40, rows=5, sketch=1024, parity=1024)  # misses a pair of similarity 0.8 once in seven million
+
+BATCH_BYTES = 4 << 20  # of text signed together
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,23 +71,24 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _signed(rows: DataFrame, n: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=BATCH_BYTES):
             hashes, bounds = shingles(batch.column("text"), n)
             bands, sketch = SHAPE.signatures(hashes, bounds)
             have = np.diff(bounds) > 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(np.diff(bounds)), set_keys(hashes, bounds),
-                 lists(bands, have), lists(sketch, have)],
-                names=["key", "n_shingles", "set", "bands", "sketch"],
+                 lists(bands, have), lists(sketch, have), lists(SHAPE.parities(hashes, bounds), have)],
+                names=["key", "n_shingles", "set", "bands", "sketch", "parity"],
             )
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"key {kind}, n_shingles long, set binary, bands array<long>, sketch array<long>")
+    sketches = "bands array<long>, sketch array<long>, parity array<long>"
+    return rows.mapInArrow(sign, f"key {kind}, n_shingles long, set binary, {sketches}")
 
 
 def _sets(rows: DataFrame, n: int) -> DataFrame:
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=BATCH_BYTES):
             hashes, bounds = shingles(batch.column("text"), n)
             held = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([set_keys(hashes, bounds), held], names=["set", "hashes"])
@@ -109,7 +112,7 @@ def near_duplicates(
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     signed = stored(_signed(rows, n))
     classes = signed.where("n_shingles > 0").groupBy("set").agg(
-        F.min("key").alias("key"), F.first(F.struct(F.col("n_shingles").alias("size"), "bands", "sketch")).alias("of")
+        F.min("key").alias("key"), F.first(F.struct(F.col("n_shingles").alias("size"), "bands", "sketch", "parity")).alias("of")
     )
     classes = stored(classes.select("set", "key", "of.*").withColumn("node", F.monotonically_increasing_id()))
     found = links(classes, lambda pairs: _confirmed(pairs, rows, classes, n, percent), SHAPE, percent)
