@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subscope.functions.bitmaps import mark
 from subscope.llm import exact_dedup, language_id, near_dedup, quality_rules
-from subscope.llm.bitmaps import mark
 from subscope.llm.queries import packed
 from subscope.llm.stage import folder, stored
 

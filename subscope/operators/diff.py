@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subscope.functions.bitmaps import maybe_in
 from subscope.functions.hashing import row_hash
+from subscope.settings import cut
 
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
 def _single(value: Column, pk: str) -> Column:
-    """The group's only value; a second row with the same key fails the job."""
-    message = F.concat(F.lit(f"duplicate key in {pk}: "), F.col(pk).cast("string"))
-    return F.when(F.count("*") > 1, F.raise_error(message)).otherwise(F.first(value))
+    """The group's only value; a second row with the same key, or a null key, fails the job."""
+    twice = F.concat(F.lit(f"duplicate key in {pk}: "), F.col(pk).cast("string"))
+    missing = F.raise_error(F.lit(f"null key in {pk}"))
+    return F.when(F.col(pk).isNull(), missing).when(F.count("*") > 1, F.raise_error(twice)).otherwise(F.max(value))
 
 
 def change_kind(old: Column, new: Column) -> Column:
@@ -28,26 +31,23 @@ def change_kind(old: Column, new: Column) -> Column:
 def snapshot_diff(old: DataFrame, new: DataFrame, pk: str) -> DataFrame:
     """``pk, change`` and the payload columns as they are in ``new`` (null for a delete).
 
-    Only the old side's key and row hash travel. Grouping by the key, which proves it unique, leaves
-    both sides partitioned and sorted the way the join needs them.
+    Keys and row hashes of both sides decide; grouping by the key proves it unique and leaves both sides
+    partitioned the way the join needs them. Payload travels for changed keys alone: a bitmap of those
+    holds the other rows back.
     """
     payload = [c for c in new.columns if c != pk]
     if sorted(old.columns) != sorted(new.columns):
         raise ValueError(f"snapshots differ in columns: {old.columns} and {new.columns}")
-    before = old.select(pk, row_hash(payload).alias("_hash")).groupBy(pk).agg(
-        _single(F.col("_hash"), pk).alias("_old")
-    )
-    after = (
-        new.select(pk, F.struct(row_hash(payload).alias("hash"), *payload).alias("_row"))
-        .groupBy(pk)
-        .agg(_single(F.col("_row"), pk).alias("_new"))
-    )
-    return (
-        before.join(after, pk, "full_outer")
-        .withColumn("change", change_kind(F.col("_old"), F.col("_new.hash")))
+    sides = [
+        side.select(pk, row_hash(payload).alias("_hash")).groupBy(pk).agg(_single(F.col("_hash"), pk).alias(name))
+        for side, name in ((old, "_old"), (new, "_new"))
+    ]
+    changes = cut(
+        sides[0].join(sides[1], pk, "full_outer")
+        .select(pk, change_kind(F.col("_old"), F.col("_new")).alias("change"))
         .where(F.col("change").isNotNull())
-        .select(pk, "change", *[F.col(f"_new.{c}").alias(c) for c in payload])
     )
+    return changes.join(maybe_in(new, changes, pk), pk, "left").select(pk, "change", *payload)
 
 
 def apply_diff(old: DataFrame, diff: DataFrame, pk: str) -> DataFrame:

@@ -30,30 +30,33 @@ def user_features(
     """Every user once: those without plays get zeros and ``no_recency``; plays of users not in
     ``users`` do not appear; plays of unknown titles count, without a genre.
 
-    One aggregation and one shuffle of the plays. Each task first combines its plays to one row per
-    user, so a user who holds a large part of them arrives as one row per task; the sets behind the
-    two distinct counts hold genres and devices, as many as there are in the data at most.
-    ``pct_watched`` is summed as whole numbers, so the average does not depend on how the rows were
-    split.
+    Plays are first summed by user, title and device, by hash and in each task before the shuffle, so a
+    user or a title that holds a large part of them arrives as few rows; titles meet those sums, and
+    distinct genres and devices are counted over them. ``pct_watched`` is summed as whole numbers of
+    ``PCT_GRID``-ths, so the average does not depend on how the rows were split; finer values are rounded.
     """
     require(users, USERS, "user_id", "plan", "state", "age_band", "main_device", "signup_date", "status")
     require(plays, PLAYS, "user_id", "content_id", "ts", "event", "device", "pct_watched", "watch_min")
     require(titles, TITLES, "content_id", "genre")
 
     pct = F.rint(F.col("pct_watched") * PCT_GRID).cast("bigint")
-    n = F.count("*")
+    sums = plays.groupBy("user_id", "content_id", "device").agg(
+        F.count("*").alias("n"), F.sum("watch_min").alias("minutes"), F.count("watch_min").alias("n_minutes"),
+        F.sum(pct).alias("pct"), F.count("pct_watched").alias("n_pct"),
+        F.sum(flag(F.col("event") == COMPLETE)).alias("completed"), F.max(F.to_date("ts")).alias("last"),
+    )
     engagement = (
-        plays.join(titles.select("content_id", "genre"), "content_id", "left")
+        sums.join(titles.select("content_id", "genre"), "content_id", "left")
         .groupBy("user_id")
         .agg(
-            n.alias("n_events"),
-            F.sum("watch_min").alias("watch_total"),
-            F.avg("watch_min").alias("watch_avg"),
-            (F.sum(pct) / (F.count("pct_watched") * float(PCT_GRID))).alias("pct_avg"),
-            completion_rate(F.sum(flag(F.col("event") == COMPLETE)), n).alias("completion_rate"),
-            F.size(F.collect_set("genre")).alias("n_genres"),
-            F.size(F.collect_set("device")).alias("n_devices"),
-            F.datediff(F.lit(as_of), F.max(F.to_date("ts"))).alias("recency_days"),
+            F.sum("n").alias("n_events"),
+            F.sum("minutes").alias("watch_total"),
+            (F.sum("minutes") / F.nullif(F.sum("n_minutes"), F.lit(0))).alias("watch_avg"),
+            (F.sum("pct") / (F.nullif(F.sum("n_pct"), F.lit(0)) * float(PCT_GRID))).alias("pct_avg"),
+            completion_rate(F.sum("completed"), F.sum("n")).alias("completion_rate"),
+            F.count_distinct("genre").alias("n_genres"),
+            F.count_distinct("device").alias("n_devices"),
+            F.datediff(F.lit(as_of), F.max("last")).alias("recency_days"),
         )
     )
     defaults = {

@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subscope.functions.bitmaps import mark, maybe_in
 from subscope.functions.hashing import row_hash
-from subscope.operators.diff import change_kind
+from subscope.operators.diff import DELETE, change_kind
 from subscope.operators.knn import search
+from subscope.settings import cut
+from subscope.sources.tables import write_table
 
 DIMENSIONS = 256
 TITLE_HITS, HELP_HITS, SYNOPSIS_CHARS = 6, 3, 180
@@ -56,8 +60,10 @@ def _text(text_col: str) -> Column:
     return _plain(text_col).alias("_text")
 
 
-def _fingerprinted(source: DataFrame, pk: str) -> DataFrame:
-    return source.withColumn("content_hash", row_hash([c for c in source.columns if c != pk]))
+def _fingerprinted(source: DataFrame, pk: str, carry: Sequence[str] = ()) -> DataFrame:
+    # in the order of their names, so that a source with its columns moved is the same source
+    content = sorted(c for c in source.columns if c != pk and c not in carry)
+    return source.withColumn("content_hash", row_hash(content))
 
 
 def _embedded(
@@ -76,12 +82,14 @@ def build_index(
     text_col: str | None = None,
     vector_col: str | None = None,
     embedder: TextEmbedder | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``source`` with ``embedding`` and ``content_hash``. The vectors come from ``vector_col``, or
-    from ``text_col``, whole, through the embedder (fitted on the source when none is given)."""
+    from ``text_col``, whole, through the embedder (fitted on the source when none is given). Columns in
+    ``carry`` come along without being part of the content."""
     if vector_col is None and text_col is not None and embedder is None:
         embedder = TextEmbedder.fit(source, text_col)
-    return _embedded(_fingerprinted(source, pk), text_col, vector_col, embedder)
+    return _embedded(_fingerprinted(source, pk, carry), text_col, vector_col, embedder)
 
 
 def sync_plan(index: DataFrame, source: DataFrame, pk: str) -> DataFrame:
@@ -105,17 +113,43 @@ def sync_index(
 ) -> DataFrame:
     """The index brought level with the source; only new and changed rows are embedded.
 
-    A row whose fingerprint is in the index keeps its vector, one whose fingerprint is not gets a new
-    one, and a row the source no longer has is not carried over.
+    Keys and fingerprints decide. Rows of the index that did not change stay where they are, and rows of
+    the source that did not change are not moved either: a bitmap of the changed keys tells them apart.
     """
-    current = _fingerprinted(source, pk)
-    same = [pk, "content_hash"]
-    unchanged = index.join(current.select(*same), same, "left_semi")
-    changed = current.join(index.select(*same), same, "left_anti")
+    changes = cut(sync_plan(index, source, pk))
+    told = mark(index, changes, pk, "_maybe")
+    unchanged = told.where("not _maybe").unionByName(told.where("_maybe").join(changes.select(pk), pk, "left_anti"))
+    arriving = changes.where(F.col("change") != DELETE).select(pk)
+    changed = maybe_in(_fingerprinted(source, pk), arriving, pk).join(arriving, pk, "left_semi")
     fresh = _embedded(changed, text_col, vector_col, embedder)
     return unchanged.select(*index.columns).unionByName(fresh.select(*index.columns))
 
 
+def create_or_sync(
+    spark: SparkSession, path: str, source: DataFrame, pk: str, text_col: str | None = None,
+    vector_col: str | None = None, embedder: TextEmbedder | None = None,
+) -> DataFrame:
+    """The index of ``source``, built where there is none yet at ``path``, else the stored one brought level.
+
+    Each call writes a table of its own under ``path`` and then names it in ``current``, so readers never see
+    one half written.
+    """
+    try:
+        held = spark.read.parquet(f"{path}/current").orderBy(F.desc("number")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        held = None
+    if held is None:
+        number, made = 0, build_index(source, pk, text_col, vector_col, embedder)
+    else:
+        number = held["number"] + 1
+        made = sync_index(spark.read.parquet(f"{path}/{held['number']}"), source, pk, text_col, vector_col, embedder)
+    stored = write_table(made, f"{path}/{number}")
+    spark.createDataFrame([(number,)], "number long").coalesce(1).write.mode("append").parquet(f"{path}/current")
+    return stored
+
+
 def index_stats(index: DataFrame, vector: str = "embedding") -> DataFrame:
     """``n_rows, n_null_vectors, min_dims, max_dims, ready``: ready when every row has a vector and
     all have the same length."""

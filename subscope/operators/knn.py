@@ -3,11 +3,8 @@
 Similarity is the cosine, computed in double and taken to nine decimals, so that copies tie; ties go
 to the smaller key. Vectors without a direction (null, empty, all zeros) are not searchable.
 
-A few queries, up to ``MAX_CARRIED``, travel to the index: one scan of it, each task returning its k
-best rows per query, and no shuffle but of those.
-
-More queries meet the index block by block. The index is laid out in cells around pivots, rows of its
-own. For a query, the k-th best pivot is a floor no result can fall below, and a cell whose nearest
+Queries meet the index block by block, by one plan however many there are. The index is laid out in
+cells around pivots, rows of its own, about as many as the root of its rows. For a query, the k-th best pivot is a floor no result can fall below, and a cell whose nearest
 possible member lies under the floor is left out; what remains is an equality join of queries and
 cells. ``probes`` visits a fixed number of nearest cells instead, which is the approximate search.
 Cells and the queries visiting them are split into blocks of bounded size, so a cell holding a large
@@ -36,9 +33,6 @@ from subscope.sources.tables import read_table, write_table
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PLACES = 9
-MAX_CELLS = 4096  # bounds what travels to every task: the pivots and one summary row per cell
-MAX_LISTED = 16 * MAX_CELLS  # cells of all groups together that may travel the same way
-MAX_CARRIED = 1024  # queries that may travel to the index
 BLOCK_ROWS = 2048
 ROWS_AT_ONCE = 1024  # rows compared with all pivots in one go
 VISITS_AT_ONCE = 10_000  # rows per batch handed back to Spark
@@ -56,7 +50,7 @@ def search(
     match: str | None = None,
     where: Column | None = None,
     probes: int | None = None,
-    max_cells: int = MAX_CELLS,
+    max_cells: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``query_id, pk, score, rank`` of the ``k`` nearest index rows of every query.
@@ -66,19 +60,14 @@ def search(
     """
     if where is not None:
         index = index.where(where)
-    carried = None if probes is not None else _carried(queries, query_id, vector, match)
-    if carried is not None:
-        hits = _scan(index, queries, carried, k, pk, query_id, vector, match)
-    elif match is None:
+    if match is None:
         hits = _search(index, queries, k, pk, query_id, vector, None, probes, max_cells, block_rows)
     else:
         bound = queries.where(F.col(match).isNotNull())
         free = queries.where(F.col(match).isNull())
-        hits = _search(index, bound, k, pk, query_id, vector, match, probes, max_cells, block_rows)
-        if not free.isEmpty():  # spares laying out the index a second time
-            hits = hits.unionByName(
-                _search(index, free, k, pk, query_id, vector, None, probes, max_cells, block_rows)
-            )
+        hits = _search(index, bound, k, pk, query_id, vector, match, probes, max_cells, block_rows).unionByName(
+            _search(index, free, k, pk, query_id, vector, None, probes, max_cells, block_rows)
+        )
     return _ranked(hits, k, query_id, pk)
 
 
@@ -91,41 +80,9 @@ def _ranked(hits: DataFrame, k: int, query_id: str, pk: str) -> DataFrame:
     )
 
 
-def _carried(queries: DataFrame, query_id: str, vector: str, match: str | None) -> list | None:
-    """The queries as rows, or None if there are more than ``MAX_CARRIED``."""
-    group = F.col(match) if match else F.lit(None)
-    found = queries.select(
-        F.col(query_id).alias("q"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
-    ).limit(MAX_CARRIED + 1).collect()
-    return found if len(found) <= MAX_CARRIED else None
-
-
-def _scan(
-    index: DataFrame, queries: DataFrame, carried: list, k: int, pk: str, query_id: str, vector: str,
-    match: str | None,
-) -> DataFrame:
-    asked = [row for row in carried if row["v"]]
-    units, good = _unit(np.array([row["v"] for row in asked] or np.empty((0, 1))))
-    asked = [row for row, ok in zip(asked, good) if ok]
-    group = F.col(match) if match else F.lit(0)
-    rows = index.select(
-        F.col(pk).alias("pk"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
-    ).where(F.size("v") > 0)
-    scored = T.StructType([
-        T.StructField("n", T.IntegerType()), rows.schema["pk"], T.StructField("score", T.DoubleType()),
-    ])
-    groups = [row["g"] for row in asked]
-    hits = rows.mapInArrow(_scanner(units[good], groups, k), scored)
-    names = T.StructType([
-        T.StructField("n", T.IntegerType()), T.StructField("q", queries.schema[query_id].dataType),
-    ])
-    asks = index.sparkSession.createDataFrame([(n, row["q"]) for n, row in enumerate(asked)], names)
-    return hits.join(F.broadcast(asks), "n").select("q", "pk", "score")
-
-
 def _search(
     index: DataFrame, queries: DataFrame, k: int, pk: str, query_id: str, vector: str,
-    match: str | None, probes: int | None, max_cells: int, block_rows: int,
+    match: str | None, probes: int | None, max_cells: int | None, block_rows: int,
 ) -> DataFrame:
     # Every cell a query visits is another copy of the query: exact search, which visits many, has
     # cells the size of a block, approximate search has many smaller ones to choose from.
@@ -150,7 +107,7 @@ class Layout:
 
 def lay_out(
     index: DataFrame, pk: str, vector: str = "embedding", match: str | None = None, k: int = 10,
-    max_cells: int = MAX_CELLS, per_cell: int | None = None,
+    max_cells: int | None = None, per_cell: int | None = None,
 ) -> Layout:
     """The index in cells of about ``per_cell`` rows, or as many cells as the root of its rows."""
     group = F.col(match) if match else F.lit(0)
@@ -194,7 +151,7 @@ def store_layout(layout: Layout, path: str) -> None:
 
 def open_layout(spark: SparkSession, path: str) -> Layout:
     about = read_table(spark, f"{path}/about").first()
-    centres = read_table(spark, f"{path}/centres").orderBy("i").collect()  # at most MAX_CELLS
+    centres = read_table(spark, f"{path}/centres").orderBy("i").collect()  # the root of the row count
     return Layout(
         read_table(spark, f"{path}/cells"), read_table(spark, f"{path}/summary"),
         np.array([row["v"] for row in centres] or np.empty((0, 1))), [row["g"] for row in centres],
@@ -210,15 +167,17 @@ def search_layout(
     there ranks only the rows with that value, and one without finds nothing."""
     if k > layout.k:
         raise ValueError(f"the layout was made for {layout.k} results, not {k}")
-    hits = _visit(layout, queries, k, query_id, vector, probes, block_rows)
+    hits = _visit(layout, queries, k, query_id, vector, probes, block_rows, stored=True)
     return _ranked(hits, k, query_id, layout.pk)
 
 
 def _visit(
-    layout: Layout, queries: DataFrame, k: int, query_id: str, vector: str, probes: int | None, block_rows: int
+    layout: Layout, queries: DataFrame, k: int, query_id: str, vector: str, probes: int | None, block_rows: int,
+    stored: bool = False,
 ) -> DataFrame:
     cells, match = layout.cells, layout.match
-    group = F.col(match) if match else F.lit(0)
+    # one group for all is a number that no optimizer folds into the plan, so the joins below stay equalities
+    group = F.col(match) if match else F.pmod(F.xxhash64(query_id), F.lit(1)).cast("int")
     asks = queries.select(
         F.col(query_id).alias("q"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
     ).where(F.size("v") > 0)
@@ -229,12 +188,11 @@ def _visit(
     ])
     if not len(layout.centres):
         return cells.sparkSession.createDataFrame([], out)
-    listing = _listing(layout.summary)
-    if listing is None:  # too long to send along: every query meets its own group's cells instead
-        entries = F.collect_list(F.struct("cell", "n", "radius")).alias("cells")
-        asks = asks.join(layout.summary.groupBy("g").agg(entries), "g")
+    # every query brings its group's cells along, no more than there are pivots
+    entries = F.collect_list(F.struct("cell", "n", "radius")).alias("cells")
+    asks = asks.join(layout.summary.groupBy("g").agg(entries), "g")
     centre_groups = layout.centre_groups if match else None
-    choose = _Chooser(layout.centres, centre_groups, k, probes, block_rows, listing)
+    choose = _Chooser(layout.centres, centre_groups, k, probes, block_rows)
     extra = ("cell", T.IntegerType()), ("blocks", T.IntegerType())
     visits = asks.mapInArrow(choose.visits, _packed_schema(asks.select("q", "g", "v").schema, *extra))
     counted = T.StructType([asks.schema["g"]] + [
@@ -245,10 +203,8 @@ def _visit(
         F.ceil(F.sum("n") / block_rows).cast("int").alias("query_blocks"),
         F.max("blocks").alias("row_blocks"),
     )
-    if listing is not None:  # no more rows than the listing
-        known = load.collect()
-        load = F.broadcast(cells.sparkSession.createDataFrame(known, load.schema))
-        cells = cells.where(F.col("cell").isin({row["cell"] for row in known}))
+    if stored:  # the folders that are visited, no more than there are pivots, and no others are read
+        cells = cells.where(F.col("cell").isin([r["cell"] for r in load.select("cell").distinct().collect()]))
     key = ["g", "cell", "query_block", "row_block"]
     left = (
         visits.join(load, ["g", "cell"])
@@ -277,16 +233,18 @@ def _packed_schema(schema: T.StructType, *extra: tuple[str, T.DataType]) -> T.St
 
 
 def choose_pivots(
-    rows: DataFrame, k: int, max_cells: int, per_cell: int | None = None
+    rows: DataFrame, k: int, max_cells: int | None = None, per_cell: int | None = None
 ) -> tuple[np.ndarray, list]:
-    """Unit vectors of up to ``max_cells`` index rows, different from one another, and their groups.
+    """Unit vectors of some index rows, different from one another, and their groups.
 
-    Taken in hash order of the keys: a random choice that a rerun repeats. One for ``per_cell`` rows,
-    or about the root of the row count, at least ``k``; twice that many are looked at, since copies and
-    zeros drop out.
+    Taken in hash order of the keys: a random choice that a rerun repeats. One for ``per_cell`` rows but
+    no more than about the root of the row count, at least ``k`` (``max_cells`` may ask for fewer); twice
+    that many are looked at, since copies and zeros drop out. The root of ten billion rows is 100,000
+    vectors, 50 MB of them at 64 dimensions.
     """
     n = rows.count()
-    wanted = min(max_cells, max(k, math.isqrt(n) + 1 if per_cell is None else -(-n // per_cell)))
+    wanted = max(k, math.isqrt(n) + 1 if per_cell is None else min(-(-n // per_cell), math.isqrt(n) + 1))
+    wanted = wanted if max_cells is None else min(wanted, max_cells)
     found = rows.orderBy(F.xxhash64("pk"), "pk").limit(2 * wanted).select("g", "v").collect()
     units, good = _unit(np.array([r["v"] for r in found] or np.empty((0, 1))))
     groups = [r["g"] for r, ok in zip(found, good) if ok]
@@ -354,26 +312,15 @@ def _assigner(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Itera
 Cells = tuple[np.ndarray, np.ndarray, np.ndarray]  # cell, rows in it, its radius
 
 
-def _listing(summary: DataFrame) -> dict[object, Cells] | None:
-    """The cells of every group, or None if there are more than ``MAX_LISTED`` in all."""
-    found = summary.limit(MAX_LISTED + 1).collect()
-    if len(found) > MAX_LISTED:
-        return None
-    by_group: dict[object, list] = {}
-    for row in found:
-        by_group.setdefault(row["g"], []).append((row["cell"], row["n"], row["radius"]))
-    return {g: tuple(map(np.array, zip(*entries))) for g, entries in by_group.items()}
-
-
 class _Chooser:
     """Picks the cells each query visits."""
 
     def __init__(
         self, centres: np.ndarray, centre_groups: Sequence | None, k: int, probes: int | None,
-        block_rows: int, listing: dict[object, Cells] | None,
+        block_rows: int,
     ):
         self.centres, self.centre_groups, self.k = centres, centre_groups, k
-        self.probes, self.block_rows, self.listing = probes, block_rows, listing
+        self.probes, self.block_rows = probes, block_rows
 
     def _pick(
         self, batch: pa.RecordBatch, vectors: np.ndarray
@@ -381,7 +328,7 @@ class _Chooser:
         """By group: rows of the batch, the cells they visit, and the blocks those cells have."""
         units, good = _unit(vectors)
         angles = _angles(units, self.centres)
-        for group, members, (cell, n, radius) in _groups(batch, good, self.listing):
+        for group, members, (cell, n, radius) in _groups(batch, good):
             away = angles[np.ix_(members, cell)]
             if self.probes is not None:
                 near = np.argsort(away, axis=1, kind="stable")[:, : self.probes]
@@ -418,22 +365,16 @@ class _Chooser:
                 })
 
 
-def _groups(
-    batch: pa.RecordBatch, good: np.ndarray, listing: dict[object, Cells] | None
-) -> Iterator[tuple[object, np.ndarray, Cells]]:
-    """The searchable rows of a batch by group, with the group's cells: listed, or brought along by
-    each row."""
+def _groups(batch: pa.RecordBatch, good: np.ndarray) -> Iterator[tuple[object, np.ndarray, Cells]]:
+    """The searchable rows of a batch by group, with the group's cells, which each row brings along."""
     groups = batch.column("g").to_pylist()
     members: dict[object, list[int]] = {}
     for i in np.flatnonzero(good):
         members.setdefault(groups[i], []).append(i)
     for group, rows in members.items():
-        if listing is None:
-            brought = batch.column("cells")[rows[0]].values
-            fields = (brought.field(name) for name in ("cell", "n", "radius"))
-            yield group, np.array(rows), tuple(f.to_numpy(zero_copy_only=False) for f in fields)
-        elif group in listing:
-            yield group, np.array(rows), listing[group]
+        brought = batch.column("cells")[rows[0]].values
+        fields = (brought.field(name) for name in ("cell", "n", "radius"))
+        yield group, np.array(rows), tuple(f.to_numpy(zero_copy_only=False) for f in fields)
 
 
 def _reach(angles: np.ndarray, group: object, centre_groups: Sequence | None, k: int) -> np.ndarray:
@@ -464,51 +405,6 @@ def _scorer(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return score
 
 
-def _scanner(
-    units: np.ndarray, groups: list, k: int
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    asked: dict[object, list[int]] = {}
-    for n, group in enumerate(groups):
-        asked.setdefault(group, []).append(n)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows or not asked:
-                continue
-            batch = batch.take(pc.sort_indices(batch.column("pk")))
-            vectors, good = _unit(_matrix(batch.column("v")))
-            found = [] if held is None else [held]
-            for group, members in asked.items():
-                at = np.flatnonzero(good if group is None else good & _equal(batch.column("g"), group))
-                if not len(at):
-                    continue
-                which, row, score = _best(units[members], vectors[at], min(k, len(at)))
-                found.append(pa.table({
-                    "n": pa.array(np.array(members, dtype=np.int32)[which]),
-                    "pk": batch.column("pk").take(pa.array(at[row])),
-                    "score": pa.array(score),
-                }))
-            if found:
-                held = _foremost(pa.concat_tables(found), k)
-        if held is not None:
-            yield from held.to_batches(VISITS_AT_ONCE)
-
-    return scan
-
-
-def _equal(column: pa.Array, value: object) -> np.ndarray:
-    same = pc.equal(column, pa.scalar(value, column.type))
-    return pc.fill_null(same, False).to_numpy(zero_copy_only=False)
-
-
-def _foremost(found: pa.Table, k: int) -> pa.Table:
-    """The ``k`` best rows of each query."""
-    found = found.sort_by([("n", "ascending"), ("score", "descending"), ("pk", "ascending")])
-    n = found["n"].to_numpy()
-    return found.filter(pa.array(np.arange(len(n)) - np.searchsorted(n, n) < k))
-
-
 def _best(left: np.ndarray, right: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` best rows of ``right`` for each row of ``left``, as pairs of positions with scores.
 

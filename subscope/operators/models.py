@@ -16,7 +16,7 @@ from subscope.functions.draws import hash_draw
 from subscope.functions.scoring import band, flag, round_score
 from subscope.operators.evaluation import classification_report, roc_auc
 from subscope.settings import (
-    CANCELLED, FREE, PAID_PLANS, PROPENSITY_BANDS, RISK_BANDS, shared_folder,
+    CANCELLED, FREE, PAID_PLANS, PROPENSITY_BANDS, RISK_BANDS, cut, shared_folder,
 )
 
 NUMERIC = (
@@ -76,11 +76,11 @@ def split(
 
     Exact shares without ranking all rows: the draws are counted in buckets, the bucket holding the
     cut is found from at most ``SPLIT_BUCKETS`` counts per label, and only that bucket's rows are
-    ranked.
+    ranked. ``df`` is computed once and stored, as three passes are made over it.
     """
-    drawn = df.withColumn("_draw", hash_draw(key, f"split{seed}", mode)).withColumn(
+    drawn = cut(df.withColumn("_draw", hash_draw(key, f"split{seed}", mode)).withColumn(
         "_bucket", F.pmod("_draw", F.lit(SPLIT_BUCKETS)).cast("int")
-    )
+    ))
     counts = drawn.groupBy(label, "_bucket").agg(F.count("*").alias("_n"))
     running = Window.partitionBy(label).orderBy("_bucket")
     whole = Window.partitionBy(label)

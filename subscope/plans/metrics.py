@@ -49,7 +49,7 @@ def _count_if(fact: str, condition: str) -> Measure:
 
 
 def _rate(fact: str, condition: str) -> Measure:
-    return Measure(fact, {"hits": f"count_if({condition})", "n": "count(*)"}, "hits / n", "double")
+    return Measure(fact, {"hits": f"count_if({condition})", "n": "count(*)"}, "hits / nullif(n, 0)", "double")
 
 
 MEASURES: dict[str, Measure] = {
@@ -60,7 +60,7 @@ MEASURES: dict[str, Measure] = {
     "play_count": Measure("plays", {"n": "count(*)"}, "n"),
     "watch_minutes": Measure("plays", {"m": "sum(watch_min)"}, "m"),
     "avg_watch_minutes": Measure(
-        "plays", {"m": "sum(watch_min)", "n": "count(watch_min)"}, "m / n", "double"
+        "plays", {"m": "sum(watch_min)", "n": "count(watch_min)"}, "m / nullif(n, 0)", "double"
     ),
     "completion_rate": _rate("plays", f"event = '{COMPLETE}'"),
     **{
@@ -139,7 +139,12 @@ def metric(
         for dim, key in zip(dims, keys):
             wanted = [c for c in by if owners[c] == dim and c != key]
             rows = rows.join(narrowed(dim).select(key, *wanted), key)
-        rows = rows.groupBy(*by).agg(*[F.sum(part).alias(part) for part in measure.parts])
+        # a count over no rows is 0, as it is without a join; other sums stay null
+        total = {
+            part: F.coalesce(F.sum(part), F.lit(0)) if value.startswith("count") else F.sum(part)
+            for part, value in measure.parts.items()
+        }
+        rows = rows.groupBy(*by).agg(*[value.alias(part) for part, value in total.items()])
     result = rows.select(*by, F.expr(measure.value).cast(measure.dtype).alias(name))
     if by:
         result = result.orderBy(F.desc(name), *by)

@@ -119,16 +119,16 @@ def _with(*views: str, query: str) -> str:
     return "WITH " + ", ".join(views) + "\n" + query
 
 
-def _customers_of(first: str, last: str) -> str:
+def _customers_of(side: str) -> str:
     return (
         f"SELECT {_key(banks.USER_KEY, 'o_custkey')} AS user_id, count(*) AS n_orders, "
-        f"max(CAST(o_orderdate AS DATE)) AS last_order FROM orders "
-        f"WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY o_custkey"
+        f"CAST(max(dayofweek(CAST(o_orderdate AS DATE))) + 1 AS INTEGER) AS last_weekday FROM orders "
+        f"WHERE CAST(o_orderdate AS DATE) {side} DATE '1997-06-01' GROUP BY o_custkey"
     )
 
 
-BEFORE = f"a AS ({_customers_of('1996-07-01', '1999-06-30')})"
-AFTER = f"b AS ({_customers_of('1997-01-01', '1999-12-31')})"
+BEFORE = f"a AS ({_customers_of('<')})"
+AFTER = f"b AS ({_customers_of('>=')})"
 
 
 def _gen_titles() -> str:
@@ -283,10 +283,10 @@ ORACLE: dict[str, str] = {
     "snapshot_diff": _with(BEFORE, AFTER, query="""
         SELECT coalesce(a.user_id, b.user_id) AS user_id,
                CASE WHEN a.user_id IS NULL THEN 'insert' WHEN b.user_id IS NULL THEN 'delete' ELSE 'update' END AS change,
-               b.n_orders, b.last_order
+               b.n_orders, b.last_weekday
         FROM a FULL JOIN b ON a.user_id = b.user_id
         WHERE a.user_id IS NULL OR b.user_id IS NULL OR a.n_orders IS DISTINCT FROM b.n_orders
-           OR a.last_order IS DISTINCT FROM b.last_order"""),
+           OR a.last_weekday IS DISTINCT FROM b.last_weekday"""),
     "snapshot_apply": _with(AFTER, query="SELECT * FROM b"),
     "result_envelope": _with(USERS, query="""
         , counts AS (SELECT plan, count(*) AS n FROM users GROUP BY plan)

@@ -21,7 +21,6 @@ from subscope.streaming import index_sync
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = Settings().as_of
-ROUNDS = 20  # boosting rounds of the registered models; the library's default is 200
 PORTABLE = "md5"
 PLAYS_PER_USER = generate.N_PLAYS / generate.N_USERS
 SYSTEM_TEXT = "Responda em português do Brasil, apenas com o que as ferramentas trouxerem."
@@ -89,8 +88,12 @@ def partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = Warehouse(spark, sf_dir)
-    reports = [tables.write_report(held[t], t) for t in ("users", "titles", "plays", "churn_scores")]
+    """Tables are written and what was stored is counted."""
+    held, folder = Warehouse(spark, sf_dir), _run_folder(spark, "counted")
+    reports = [
+        tables.write_report(tables.write_table(held[t], f"{folder}/{t}"), t)
+        for t in ("users", "titles", "plays", "churn_scores")
+    ]
     return reduce(DataFrame.unionByName, reports)
 
 
@@ -125,24 +128,28 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _customers_of(spark: SparkSession, sf_dir: str, first: str, last: str) -> DataFrame:
-    """Customers with orders in a span of days, as a snapshot taken on its last day would show them."""
+TURN = "1997-06-01"  # some customers order on both sides of it, some on one
+
+
+def _customers_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What is known of customers from the orders before a day, and from the orders since."""
     day = F.col("o_orderdate").cast("date")
-    orders = proxy.source(spark, sf_dir, "orders").where(day.between(first, last))
-    return orders.groupBy(padded_key(banks.USER_KEY, "o_custkey").alias("user_id")).agg(
-        F.count("*").alias("n_orders"), F.max(day).alias("last_order")
+    orders = proxy.source(spark, sf_dir, "orders").withColumn("day", day)
+    sides = (orders.where(F.col("day") < TURN), orders.where(F.col("day") >= TURN))
+    user_id = padded_key(banks.USER_KEY, "o_custkey").alias("user_id")
+    return tuple(
+        side.groupBy(user_id).agg(F.count("*").alias("n_orders"), F.max(F.dayofweek("day")).alias("last_weekday"))
+        for side in sides
     )
 
 
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = _customers_of(spark, sf_dir, "1996-07-01", "1999-06-30")
-    after = _customers_of(spark, sf_dir, "1997-01-01", "1999-12-31")
+    before, after = _customers_of(spark, sf_dir)
     return diff.snapshot_diff(before, after, "user_id")
 
 
 def snapshot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = _customers_of(spark, sf_dir, "1996-07-01", "1999-06-30")
-    after = _customers_of(spark, sf_dir, "1997-01-01", "1999-12-31")
+    before, after = _customers_of(spark, sf_dir)
     return diff.apply_diff(before, diff.snapshot_diff(before, after, "user_id"), "user_id")
 
 
@@ -287,11 +294,19 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.split(rows, "user_id", mode=PORTABLE)
 
 
+_MODELS: dict[tuple[str, str, str], str] = {}  # where this session has stored each model
+
+
 def _trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec):
-    stored = cut(Warehouse(spark, sf_dir)["user_features"])
-    rows = cut(models.split(models.targets(stored, spec), "user_id"))
-    model = models.fit(rows.where(F.col("split") == "train"), spec, ROUNDS)
-    return model, rows
+    """The stored model, loaded, and the stored rows it was made from; trained when first asked for."""
+    made = (spark.sparkContext.applicationId, sf_dir, spec.name)
+    if made not in _MODELS:
+        folder = _run_folder(spark, spec.name)
+        rows = models.split(models.targets(Warehouse(spark, sf_dir)["user_features"], spec), "user_id")
+        rows = tables.write_table(rows, f"{folder}/rows")
+        models.save(models.fit(rows.where(F.col("split") == "train"), spec), f"{folder}/model")
+        _MODELS[made] = folder
+    return models.load(f"{_MODELS[made]}/model"), tables.read_table(spark, f"{_MODELS[made]}/rows")
 
 
 def onehot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,16 +337,20 @@ def _scores(spec: models.ModelSpec) -> Query:
     return run
 
 
-def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AUC (under ``f1``) and the report, over the held-out users of the churn model."""
-    model, rows = _trained(spark, sf_dir, models.CHURN)
-    auc, report = models.evaluate(model, rows.where(F.col("split") == "test"))
-    none = F.lit(None).cast("double")
-    line = auc.select(
-        F.lit("test_auc").alias("entry"), none.alias("precision"), none.alias("recall"),
-        F.col("auc").alias("f1"), (F.col("n_positive") + F.col("n_negative")).alias("support"),
-    )
-    return report.unionByName(line)
+def _metrics(spec: models.ModelSpec) -> Query:
+    """AUC (under ``f1``) and the report, over a model's held-out users."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        model, rows = _trained(spark, sf_dir, spec)
+        auc, report = models.evaluate(model, rows.where(F.col("split") == "test"))
+        none = F.lit(None).cast("double")
+        line = auc.select(
+            F.lit("test_auc").alias("entry"), none.alias("precision"), none.alias("recall"),
+            F.col("auc").alias("f1"), (F.col("n_positive") + F.col("n_negative")).alias("support"),
+        )
+        return report.unionByName(line)
+
+    return run
 
 
 # --- retrieval ---
@@ -571,7 +590,8 @@ QUERIES: dict[str, Query] = {
     "train_upgrade": _importances(models.UPGRADE),
     "score_churn": _scores(models.CHURN),
     "score_upgrade": _scores(models.UPGRADE),
-    "model_metrics": model_metrics,
+    "model_metrics": _metrics(models.CHURN),
+    "upgrade_metrics": _metrics(models.UPGRADE),
     "knn_exact": _self_search(),
     "search_filtered": _self_search(match="label"),
     "knn_stored": _stored_search(),

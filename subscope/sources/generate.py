@@ -161,9 +161,9 @@ def gen_plays(
 
 
 def gen_help(spark: SparkSession) -> DataFrame:
-    """The help articles, a fixed dozen."""
+    """The help articles: whom each is for and its steps, as one text."""
     rows = [
-        (f"AJU-{i:03d}", i, title, body, banks.HELP_SOURCE, banks.HELP_UPDATED)
-        for i, (title, body) in enumerate(banks.HELP, start=1)
+        (f"AJU-{i:03d}", i, topic, f"{whom}: {'; '.join(steps)}.", banks.HELP_SOURCE, banks.HELP_UPDATED)
+        for i, (topic, whom, steps) in enumerate(banks.HELP, start=1)
     ]
     return spark.createDataFrame(rows, HELP_ARTICLES)

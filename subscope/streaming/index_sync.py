@@ -9,33 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from subscope.operators.diff import DELETE
-from subscope.operators.index import TextEmbedder, build_index, sync_index
-
-
-def _state(index_path: str, number: int) -> str:
-    return f"{index_path}/state={number}"
-
-
-def latest_state(spark: SparkSession, index_path: str) -> int | None:
-    """The newest state of the index that was written to the end, or None before the first run."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(index_path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return None
-    complete = [
-        int(entry.getPath().getName().split("=")[1])
-        for entry in files.listStatus(root)
-        if files.exists(hadoop.Path(entry.getPath(), "_SUCCESS"))
-    ]
-    return max(complete, default=None)
+from subscope.operators.index import TextEmbedder, build_index
 
 
 def read_index(spark: SparkSession, index_path: str) -> DataFrame:
-    state = latest_state(spark, index_path)
-    if state is None:
-        raise ValueError(f"no index at {index_path}")
-    return spark.read.parquet(_state(index_path, state))
+    """The index as all batches so far leave it: of each key the newest version, unless that deleted it."""
+    held = spark.read.parquet(index_path)
+    newest = held.groupBy("_pk").agg(F.max_by(F.struct(*held.columns), F.struct("version", "batch")).alias("row"))
+    return newest.select("row.*").where("not deleted").drop("_pk", "version", "deleted", "batch")
 
 
 def take_in(
@@ -43,35 +24,35 @@ def take_in(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for a feed of ``pk, change, payload.., version``.
 
-    The last version of each key counts. Batch ``b`` reads state ``b - 1`` and writes state ``b``
-    beside it, so a batch that is run again after a failure writes the same state again and readers
-    never see one half written.
+    A batch writes the newest version of each of its keys, embedded, and a mark for each deleted one, and
+    reads nothing of what is there: the table keeps versions, so a change that comes late is older than what
+    the index holds, whichever batch it is in. A batch that is run again writes the same files again.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.groupBy(pk).agg(
-            F.max_by(F.struct(*batch.columns), "version").alias("row")
-        ).select("row.*").persist()
-        arriving = newest.where(F.col("change") != DELETE).drop("change", "version")
-        if batch_id == 0:
-            after = build_index(arriving, pk, text_col, embedder=embedder)
-        else:
-            before = batch.sparkSession.read.parquet(_state(index_path, batch_id - 1))
-            source = before.drop("embedding", "content_hash")
-            level = source.join(newest.select(pk), pk, "left_anti").unionByName(arriving)
-            after = sync_index(before, level, pk, text_col, embedder=embedder)
-        after.write.mode("overwrite").parquet(_state(index_path, batch_id))
-        newest.unpersist()
+        newest = batch.groupBy(pk).agg(F.max_by(F.struct(*batch.columns), "version").alias("row")).select("row.*")
+        arriving = newest.where(F.col("change") != DELETE).drop("change")
+        made = build_index(arriving, pk, text_col, embedder=embedder, carry=["version"])
+        gone = newest.where(F.col("change") == DELETE).select(pk, "version")
+        changes = made.withColumn("deleted", F.lit(False)).unionByName(
+            gone.withColumn("deleted", F.lit(True)), allowMissingColumns=True
+        )
+        changes.withColumn("_pk", F.col(pk)).write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
 
     return run
 
 
+def compact(spark: SparkSession, index_path: str, target: str) -> None:
+    """Write the index as it is now, one row for each key, to ``target``."""
+    read_index(spark, index_path).write.parquet(target)
+
+
 def start_sync(
     feed: DataFrame, index_path: str, checkpoint: str, pk: str, text_col: str, embedder: TextEmbedder
 ) -> StreamingQuery:
     """Take in all that has arrived since the last run, then stop.
 
-    ``checkpoint`` counts the batches the states in ``index_path`` are named after: start either anew
+    ``checkpoint`` counts the batches the files in ``index_path`` are named after: start either anew
     only together with the other.
     """
     return (

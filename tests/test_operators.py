@@ -262,3 +262,29 @@ def test_unknown_level_encodes_as_zeros(spark, generated):
     strange = rows.limit(1).withColumns({"state": F.lit("XX"), "plan": F.lit(None).cast("string")})
     values = encoder.transform(strange).select(vector_to_array("features")).first()[0]
     assert sum(values[: -len(models.NUMERIC)]) == 2  # age band and device only
+
+
+def test_null_keys_are_refused(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    with pytest.raises(Exception, match="null key in k"):
+        diff.snapshot_diff(old, new, "k").collect()
+
+
+def test_counts_over_nothing_are_zero(small):
+    for name in ("play_count", "user_count"):
+        assert metrics.metric(small, name, where={"plan": "Gold"}).first()[name] == 0
+    for name in ("watch_minutes", "completion_rate"):
+        assert metrics.metric(small, name, where={"plan": "Gold"}).first()[name] is None
+
+
+def test_only_changed_rows_are_moved(spark):
+    old = spark.range(0, 30_000).selectExpr("id", "id % 7 as v")
+    new = spark.range(10, 30_010).selectExpr("id", "if(id % 1000 = 0, -1, id % 7) as v")
+    told = diff.snapshot_diff(old, new, "id")
+    assert diff.apply_diff(old, told, "id").exceptAll(new).count() == 0
+    assert {r["change"]: r["count"] for r in told.groupBy("change").count().collect()} == {
+        "insert": 10, "delete": 10, "update": 29,
+    }
+    payload = told._jdf.queryExecution().executedPlan().toString()
+    assert "maybe" in payload or "_bits" in payload

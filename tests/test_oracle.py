@@ -5,15 +5,13 @@ import pytest
 import __spark_entry__ as driver
 from tests.compare import connect, differences
 
-SLOW = {"train_churn", "train_upgrade", "score_upgrade"}  # same path as score_churn and model_metrics
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in driver.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in driver.queries() if n not in driver.LLM_QUERIES and n != "pipeline"])
 def test_query(spark, con, sf_dir, name):
     assert differences(spark, con, name, sf_dir) == []
 

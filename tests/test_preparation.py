@@ -20,7 +20,7 @@ def test_prepare_from_nothing_to_answers(spark, tmp_path):
         schemas.require(held[name], schema)
     counts = {name: df.count() for name, df in held.items()}
     assert counts["users"] == counts["user_features"] == counts["churn_scores"] == 800
-    assert counts["titles"] == counts["titles_index"] == 60 and counts["help_index"] == 12
+    assert counts["titles"] == counts["titles_index"] == 60 and counts["help_index"] == 9
     assert counts["upgrade_scores"] == held["users"].where("plan = 'Free'").count()
     assert 5000 < counts["plays"] < 7000
 

@@ -126,7 +126,6 @@ def test_hot_vector_meets_bounded_blocks(spark, monkeypatch):
         return run
 
     monkeypatch.setattr(knn, "_scorer", watched)
-    assert rows.count() > knn.MAX_CARRIED
     hits = knn.search(
         rows, rows.withColumnRenamed("pk", "query_id"), 4, pk="pk", query_id="query_id", block_rows=64
     )
