@@ -9,7 +9,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from subscope.llm import bitmaps, components, exact_dedup, language_id, line_dedup, linking, lm_scoring, near_dedup, quality_rules
+from subscope.functions import bitmaps
+from subscope.llm import components, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, quality_rules
 from subscope.llm.spans import texts_of
 from tests.llm.conftest import WORD, Groups, similar_pairs, words_of
 
@@ -65,6 +66,15 @@ def test_sketches_let_true_pairs_through():
     assert min(far) > shape.most_bits_apart(80)
 
 
+def test_whole_sketches_reject_no_similar_pair():
+    shape, rng = near_dedup.SHAPE, np.random.default_rng(5)
+    for n in (9, 90, 900, 9000):
+        both = rng.integers(0, 2**64, n, np.uint64)
+        own = n // 9  # the sets share 80 percent of all
+        a, b = shape.parities(np.concatenate([both[:-own], both[own:]]), np.array([0, n - own, 2 * (n - own)]))
+        assert 180 * sum(int(x).bit_count() for x in a ^ b) <= 20 * 2 * (n - own)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 200), (150, 200), (300, 150)]
     found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
