@@ -374,6 +374,15 @@ ORACLE: dict[str, str] = {
     "split_shares": _with(USERS, SPLIT, query="""
         SELECT label, split, count(*) AS n_rows FROM parted GROUP BY label, split"""),
     "split_rows": _with(USERS, SPLIT, query="SELECT user_id, label, split FROM parted"),
+    "score_rules_churn": _with(USERS, query="""
+        SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows FROM users"""),
+    "score_rules_upgrade": _with(USERS, query="""
+        SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows FROM users WHERE plan = 'Free'"""),
+    "upgrade_above_floor": _with(USERS, query="""
+        SELECT CAST(floor(count(*) FILTER (plan <> 'Free') * 0.25e0 + 0.5e0) AS BIGINT) AS n_positive,
+               CAST(floor(count(*) FILTER (plan = 'Free') * 0.25e0 + 0.5e0) AS BIGINT) AS n_negative,
+               TRUE AS above_floor
+        FROM users"""),
     "onehot_features": _with(USERS, query="""
         SELECT user_id, CAST((SELECT count(DISTINCT plan) + count(DISTINCT state) + count(DISTINCT age_band)
                                      + count(DISTINCT main_device) + 9 FROM users) AS INTEGER) AS n_columns,

@@ -14,7 +14,7 @@ from subscope.functions.draws import hash_uniform, padded_key, pick
 from subscope.functions.scoring import band, round_score
 from subscope.operators import chat, diff, evaluation, features, index, knn, models, quality, ranking
 from subscope.plans import metrics
-from subscope.settings import ACTIVE, RISK_BANDS, Settings, cut, shared_folder
+from subscope.settings import ACTIVE, BAND_EDGES, RISK_BANDS, Settings, cut, shared_folder
 from subscope.sources import banks, generate, proxy, tables
 from subscope.streaming import index_sync
 
@@ -353,6 +353,32 @@ def _metrics(spec: models.ModelSpec) -> Query:
     return run
 
 
+def _score_rules(spec: models.ModelSpec) -> Query:
+    """Whom a model scores, and whether each score lies in 0 to 1 and has its band."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        model, rows = _trained(spark, sf_dir, spec)
+        score, named = F.col(spec.score_col), F.col(spec.band_col)
+        # the band is taken before rounding, which can move a score onto an edge
+        follows = (named == band(score, spec.bands)) | score.isin(*BAND_EDGES)
+        return models.score(model, rows, spec).select(
+            "user_id", "plan", score.between(0, 1).alias("in_range"), follows.alias("band_follows")
+        )
+
+    return run
+
+
+def _better_than_chance(spec: models.ModelSpec) -> Query:
+    """Held-out rows by label, and whether the model ranks them better than the floor of 0.5."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        model, rows = _trained(spark, sf_dir, spec)
+        auc, _ = models.evaluate(model, rows.where(F.col("split") == "test"))
+        return auc.select("n_positive", "n_negative", (F.col("auc") > 0.5).alias("above_floor"))
+
+    return run
+
+
 # --- retrieval ---
 
 
@@ -592,6 +618,9 @@ QUERIES: dict[str, Query] = {
     "score_upgrade": _scores(models.UPGRADE),
     "model_metrics": _metrics(models.CHURN),
     "upgrade_metrics": _metrics(models.UPGRADE),
+    "score_rules_churn": _score_rules(models.CHURN),
+    "score_rules_upgrade": _score_rules(models.UPGRADE),
+    "upgrade_above_floor": _better_than_chance(models.UPGRADE),
     "knn_exact": _self_search(),
     "search_filtered": _self_search(match="label"),
     "knn_stored": _stored_search(),
