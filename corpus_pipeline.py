@@ -19,12 +19,14 @@ MIN_SCORE = 0.4
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``dropped``; only rows that may be among them are shuffled."""
+    """``docs`` without the rows whose doc_id is in ``dropped``; only rows that may be among them are shuffled.
+
+    Rows that share a doc_id go together; a null doc_id stays.
+    """
     dropped = stored(dropped.select("doc_id").distinct())
     marked = mark(docs, dropped, "doc_id", "_maybe")
-    columns = docs.columns
     left = marked.where("_maybe").join(dropped, "doc_id", "left_anti")
-    return marked.where("not _maybe").select(*columns).unionByName(left.select(*columns))
+    return marked.where("not _maybe").unionByName(left).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +42,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with one text, the one with the smallest doc_id."""
-    return _without(docs, exact_dedup.exact_duplicates(docs).where("not kept"))
+    """Of documents with one text, the one with the smallest doc_id; of rows with that doc_id too, one.
+
+    Rows with a text of their own are not shuffled.
+    """
+    found = exact_dedup.exact_duplicates(docs).where("group_size > 1")
+    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept").distinct())
+    marked = mark(docs, found.select(F.col("_id").alias("doc_id")), "doc_id", "_maybe")
+    some = marked.where("_maybe").withColumn("_text", F.sha2(F.coalesce("text", F.lit("")), 256))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_sha"))
+    first = some.join(found.withColumnRenamed("kept", "_kept"), same, "left").where("coalesce(_kept, true)").dropDuplicates(
+        ["doc_id", "_text"]
+    )
+    return marked.where("not _maybe").select(*docs.columns).unionByName(first.select(*docs.columns))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
