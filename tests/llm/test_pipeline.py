@@ -44,3 +44,17 @@ def test_stages_take_empty_tables(spark, small):
     docs = documents(spark, small).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, small).count() == 0
+
+
+def test_one_row_of_a_text_stays(spark, awkward, small):
+    stage = dict(corpus_pipeline.STAGES)["exact duplicates"]
+    before = awkward.select("doc_id", "text").collect()
+    after = stage(spark, awkward, small)
+    assert after.columns == awkward.columns
+    kept = [(r.text or "", r.doc_id) for r in after.collect()]
+    first = {}
+    for r in before:
+        first.setdefault(r.text or "", []).append(r.doc_id)
+    assert sorted(map(str, kept)) == sorted(
+        str((t, min((k for k in ks if k is not None), default=None))) for t, ks in first.items()
+    )
