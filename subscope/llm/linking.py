@@ -13,7 +13,7 @@ across, in the join itself, so pairs that the sketches rule out are never rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 from operator import add
@@ -29,6 +29,7 @@ from subscope.llm.spans import mixed
 from subscope.llm.stage import stored
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_MOST = np.uint64(2**64 - 1)
 
 Confirm = Callable[[DataFrame], DataFrame]
 
@@ -46,13 +47,16 @@ def _functions(samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Shape:
     """``bands`` of ``rows`` samples each, and sketches of the samples and of the set, of so many bits.
 
-    parity: bits of the set's own sketch, 0 for none. sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
+    parity: bits of the set's own sketch, 0 for none. binned: one hash function gives a sample for every band,
+    the least hash of each of as many bins (an empty bin takes the next one's), instead of a function for
+    every sample: a bands-th of the work. sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
     """
 
     bands: int
     rows: int
     sketch: int
     parity: int = 0
+    binned: bool = False
     sigmas: float = 5.0
 
     @property
@@ -76,19 +80,35 @@ class Shape:
 
     def signatures(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Band hashes and odd sketch of each set that isn't empty."""
-        flip, multiply, place = _functions(self.samples)
         starts = bounds[:-1][np.diff(bounds) > 0]
         bands = np.zeros((len(starts), self.bands), np.uint64)
         sketch = np.zeros((len(starts), self.sketch // 64), np.uint64)
         sets = np.arange(len(starts))
-        for i in range(self.samples if len(starts) else 0):
-            sample = mixed(np.minimum.reduceat((hashes ^ flip[i]) * multiply[i], starts) + place[i])
-            band = i // self.rows
+        for i, sample in enumerate(self._samples(hashes, bounds, starts) if len(starts) else ()):
+            band = i % self.bands if self.binned else i // self.rows
             bands[:, band] = mixed(bands[:, band] ^ sample) + _STEP
             bit = sample % np.uint64(self.sketch)
             sketch[sets, (bit >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (bit & np.uint64(63))
         return bands, sketch
 
+    def _samples(self, hashes: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
+        flip, multiply, place = _functions(self.samples)
+        if not self.binned:
+            for i in range(self.samples):
+                yield mixed(np.minimum.reduceat((hashes ^ flip[i]) * multiply[i], starts) + place[i])
+            return
+        sizes, n = np.diff(bounds)[np.diff(bounds) > 0], self.bands
+        first = np.repeat(np.arange(len(starts)) * n, sizes)
+        for i in range(self.rows):
+            value = (hashes ^ flip[i]) * multiply[i]
+            least = np.full(len(starts) * n, _MOST)
+            np.minimum.at(least, first + (((value >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64), value)
+            least = least.reshape(-1, n)
+            while (empty := least == _MOST).any():
+                least = np.where(empty, np.roll(least, -1, 1), least)
+            for band in range(n):
+                yield mixed(least[:, band] + place[i * n + band])
+
     def parities(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Odd sketch of each whole set that isn't empty; its members must be distinct."""
         sizes = np.diff(bounds)[np.diff(bounds) > 0]
