@@ -155,7 +155,7 @@ def links(signed: DataFrame, confirm: Confirm, shape: Shape, percent: int) -> Da
     ).select("bucket", "hub"))
     # most buckets hold one node: the bitmap leaves those rows where they are
     members = stored(maybe_in(bands, shared, "bucket").join(shared, "bucket").distinct())
-    told = ["size", "sketch", *(["parity"] if shape.parity else [])]
+    told = ["size", "bands", "sketch", *(["parity"] if shape.parity else [])]
     known = maybe_in(signed.select("node", *told), members.select("node"), "node")
     sketches = stored(known.groupBy("node").agg(*[F.first(c).alias(c) for c in told]))
 
@@ -165,7 +165,7 @@ def links(signed: DataFrame, confirm: Confirm, shape: Shape, percent: int) -> Da
         F.col("node").alias("a"), "b"
     )
     for end in ("a", "b"):
-        star = star.join(_ends(sketches, end), end)
+        star = star.join(_ends(sketches.drop("bands"), end), end)
     found = stored(confirm(stored(star.where(_alike(shape, percent)).select("a", "b"))))
 
     # what is still apart, compared where it meets: the likeliest pair of two components, then the others
@@ -192,7 +192,9 @@ def _across(members: DataFrame, sketches: DataFrame, labels: DataFrame, shape: S
     open_ones = stored(open_ones.join(sketches, "node"))
     a, b = (_ends(open_ones, end) for end in ("a", "b"))
     met = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("label_a") < F.col("label_b")) & _alike(shape, percent)
-    return a.join(b, met).select("a", "b", _bits_apart("sketch", shape.sketch).alias("bits")).distinct()
+    # a pair that meets in several buckets is a row in the first of them
+    here = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == F.col("bucket_a")
+    return a.join(b, met & here).select("a", "b", _bits_apart("sketch", shape.sketch).alias("bits"))
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
