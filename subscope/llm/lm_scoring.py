@@ -12,7 +12,6 @@ the words of all blocks meet by word and go back to their blocks with the counts
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subscope.llm.spans import by_bytes, mixed, texts_of, words
-from subscope.settings import shared_folder
+from subscope.llm.stage import folder, stored
 
 END = np.uint64(0x5BF0_3635_DEAD_10CC)  # the key of a text's end, which also stands before its first word
 SEGMENT_BITS = 12
 SEGMENTS = 1 << SEGMENT_BITS
 BLOCK_BYTES = 24 << 20  # of text in a block: the larger, the fewer words go to and fro
-GRAM_BYTES = 12 << 20  # of text whose n-grams are sorted together
+GRAM_BYTES = 20 << 20  # of text whose n-grams are sorted together
 SLICE = 1 << 19  # tokens scored together
 
 _LOW = np.uint64(0xFFFFFFFF)
@@ -237,11 +236,12 @@ def score(
     """
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out")
+        F.col(key).cast("string").alias("key"),  # lists of numbers with nulls would not keep them exact
+        F.col(text).alias("text"), F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out"),
     )
-    folder = f"{shared_folder(spark)}/lm-{uuid.uuid4().hex}"
-    _blocks(rows).write.parquet(folder, compression="zstd")
-    blocks = spark.read.parquet(folder)
+    path = folder(rows, "lm")
+    _blocks(rows).write.parquet(path, compression="zstd")
+    blocks = spark.read.parquet(path)
     # the place of a word, its block and code, is one number: half of what is shuffled is places
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "learnt")).alias("code", "w")).select(
         (F.shiftleft("block", 32) + F.col("code")).alias("place"),
@@ -254,9 +254,11 @@ def score(
 
     # a block has a word once, so even the most frequent word is no more rows than there are blocks
     by_word = listed.repartition("word")
-    totals = by_word.groupBy("word").agg(F.sum("learnt").alias("total"))
-    counted = by_word.join(totals, "word").select(F.shiftright("place", 32).alias("of"), "place", "word", "total")
-    n_distinct = totals.where("total > 0").agg(F.count("*")).scalar()
+    totals = by_word.groupBy("word").agg(F.sum("learnt").alias("total"), F.min("place").alias("first"))
+    leads = (F.col("place") == F.col("first")) & (F.col("total") > 0)  # once for each distinct training word
+    counted = by_word.join(totals, "word").select(
+        F.shiftright("place", 32).alias("of"), "place", "word", "total", leads.alias("leads")
+    )
 
     def judge(block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         held = block.iloc[0]
@@ -286,17 +288,23 @@ def score(
             for out, values in zip(sums, (known_word[mine], log_exact[mine], likely), strict=True):
                 out[at:stop] = np.add.reduceat(values, edges[:-1])
             at = stop
+        distinct = np.zeros(len(bounds) - 1, np.int64)
+        distinct[0] = counts["leads"].sum()  # the block's part of the number of distinct words, with its first row
         return pd.DataFrame({
             "key": list(held["keys"]), "held_out": held["held_out"], "n_tokens": np.diff(bounds),
             "n_known": sums[0], "train_tokens": n_all, "base_score": sums[1], "score": sums[2],
+            "distinct": distinct,
         })
 
     kind = rows.schema["key"].dataType.simpleString()
     schema = (
-        f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+        "score double, distinct long"
     )
     texts = blocks.select("block", "keys", "held_out", "n_tokens", "codes")
-    scored = texts.groupBy("block").cogroup(counted.groupBy("of")).applyInPandas(judge, schema)
-    whole = F.lit(float(n_all)) + 0.5 * (n_distinct + 1)
-    base = F.col("base_score") - F.col("n_tokens") * F.log10(whole)
-    return scored.withColumn("base_score", base).withColumnRenamed("key", key)
+    scored = stored(texts.groupBy("block").cogroup(counted.groupBy("of")).applyInPandas(judge, schema))
+    n_distinct = scored.agg(F.sum("distinct")).first()[0] or 0
+    whole = n_all + 0.5 * (n_distinct + 1)
+    base = F.col("base_score") - F.col("n_tokens") * math.log10(whole)
+    names = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.withColumn("base_score", base).select(F.col("key").cast(docs.schema[key].dataType).alias(key), *names)
