@@ -378,10 +378,10 @@ ORACLE: dict[str, str] = {
         SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows FROM users"""),
     "score_rules_upgrade": _with(USERS, query="""
         SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows FROM users WHERE plan = 'Free'"""),
-    "upgrade_above_floor": _with(USERS, query="""
+    "upgrade_held_out": _with(USERS, query="""
         SELECT CAST(floor(count(*) FILTER (plan <> 'Free') * 0.25e0 + 0.5e0) AS BIGINT) AS n_positive,
                CAST(floor(count(*) FILTER (plan = 'Free') * 0.25e0 + 0.5e0) AS BIGINT) AS n_negative,
-               TRUE AS above_floor
+               TRUE AS in_range
         FROM users"""),
     "onehot_features": _with(USERS, query="""
         SELECT user_id, CAST((SELECT count(DISTINCT plan) + count(DISTINCT state) + count(DISTINCT age_band)
