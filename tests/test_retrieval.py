@@ -205,7 +205,7 @@ def test_support_and_titles(spark, articles):
     assert len(hits) == 9 and all(r["query_id"] == r["doc_id"] and r["score"] == 1.0 for r in hits)
     context = index.support_context(held, asked, "query_id").where("query_id = 'AJU-003'").first()
     body = articles.where("doc_id = 'AJU-003'").first()["body"]
-    assert context["n_hits"] == 3 and context["context"].startswith("Cancelamento\n" + body + "\n\n")
+    assert context["n_hits"] == 3 and context["context"].startswith("Avisos de estreia\n" + body + "\n\n")
 
     titles = generate.gen_titles(spark, 120)
     words = index.TextEmbedder.fit(titles, "synopsis")
