@@ -11,8 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subscope.functions.bitmaps import mark
+from subscope.functions.bitmaps import mark, maybe_in
+from subscope.llm import near_dedup
 from subscope.llm.spans import Pieces, Texts, by_bytes, line_starts, mixed, summed, texts_of, words
+from subscope.llm.stage import stored
 from subscope.settings import cut
 
 # The characters counted as symbols.
@@ -21,7 +23,6 @@ SYMBOLS = b"#*$%&|<>"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_ENDS = ("least", "second_least", "most", "second_most")
 
 
 @dataclass(frozen=True)
@@ -29,8 +30,7 @@ class Limits:
     """What a document must meet.
 
     max_documents: a line in more different documents of one host is boilerplate. Copies are not
-    different: those whose other lines have the same least hash, or the same greatest, count once, and
-    a line is left alone where either merges a third of its documents or more.
+    different: near duplicates (``near_dedup``, with its own words and percent) count once.
     min_left: a document with less than this share of its words left is depleted.
     """
 
@@ -89,22 +89,6 @@ def _repeated(found: Pieces, keys: np.ndarray) -> np.ndarray:
     return summed(covered, found.bounds)
 
 
-def _extremes(key: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
-    """The two least and the two greatest keys of each text, 0 where there are fewer."""
-    have = np.flatnonzero(np.diff(edges))
-    found = []
-    for best, never in ((np.minimum, np.uint64(2**64 - 1)), (np.maximum, np.uint64(0))):
-        left = key.copy()
-        for _ in range(2):
-            out = np.zeros(len(edges) - 1, np.int64)
-            if len(have):
-                one = best.reduceat(left, edges[have])
-                out[have] = np.where(one == never, np.uint64(0), one).view(np.int64)
-                left[left == np.repeat(one, np.diff(edges)[have])] = never
-            found.append(out)
-    return found
-
-
 def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = texts_of(batch.column("text"))
     n = len(texts)
@@ -126,7 +110,6 @@ def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
     weight = np.bincount(which, weights=lines.words, minlength=len(first)).astype(np.int64)
     edges = np.searchsorted(lines.owner[first], np.arange(n + 1))
     key = lines.key[first]
-    ends = _extremes(key, edges)
 
     point = (texts.data & 0xC0) != 0x80
     columns = {
@@ -136,7 +119,6 @@ def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
         "n_symbols": summed(_SYMBOL[texts.data], texts.offsets),
         "n_dup_lines": n_dup,
         "n_repeat_words": _repeated(found, found.keys()),
-        **dict(zip(_ENDS, ends, strict=True)),
         "lines": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(key.view(np.int64))),
         "line_words": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(weight)),
     }
@@ -149,6 +131,17 @@ def _who(key: Column, host: Column, text: Column) -> Column:
     return F.xxhash64(key, host, text)
 
 
+def _in_different(held: DataFrame, rows: DataFrame, most: int) -> DataFrame:
+    """The lines of ``held`` (``line, who``) in more than ``most`` documents that are not near duplicates.
+
+    Only documents in ``held`` are compared with one another.
+    """
+    some = maybe_in(rows.select("who", "text").where("text is not null"), held, "who").dropDuplicates(["who"])
+    found = stored(near_dedup.near_duplicates(some, key="who").select("who", "component_id"))
+    counts = held.join(found, "who").groupBy("line").agg(F.count_distinct("component_id").alias("n"))
+    return stored(counts.where(F.col("n") > most).select("line"))
+
+
 def judge(
     docs: DataFrame, limits: Limits = Limits(), *, key: str = "doc_id", text: str = "text", host: str = "source"
 ) -> DataFrame:
@@ -157,8 +150,8 @@ def judge(
     Also ``who``, a hash of the row, and ``boilerplate``, the keys of its lines to remove.
 
     Own counts: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``. A line counts for a host
-    once per document. Only line hashes are shuffled, first summed in each task, so a line that a third
-    of all documents have is a row for each task. A null or empty text has no words and fails; a null host is a
+    once per document, and once for all near duplicates of it. Line hashes are shuffled for all documents; those that
+    hold a line which is frequent before copies are told go through ``near_dedup``. A null or empty text has no words and fails; a null host is a
     host of its own; repeated rows are documents of their own, alike. An empty table gives no
     rows. Only the three columns named are read.
     """
@@ -172,25 +165,22 @@ def judge(
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("key", "host")}
     counted = rows.mapInArrow(measure, (
         f"key {kinds['key']}, host {kinds['host']}, who long, n_words long, word_chars long, n_symbols long, "
-        "n_dup_lines long, n_repeat_words long, least long, second_least long, most long, second_most long, lines array<long>, line_words array<long>"
+        "n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>"
     ))
     base = cut(counted.withColumn("row", F.monotonically_increasing_id()))
 
     lines = base.select(
-        "row", "host", *_ENDS, F.explode(F.arrays_zip("lines", "line_words")).alias("line")
+        "row", "who", "host", F.xxhash64(F.sort_array("lines")).alias("content"),
+        F.explode(F.arrays_zip("lines", "line_words")).alias("line"),
     ).select(
-        "row", F.col("line.lines").alias("key"), F.col("line.line_words").alias("words"),
+        "row", "who", "content", F.col("line.lines").alias("key"), F.col("line.line_words").alias("words"),
         F.xxhash64("host", "line.lines").alias("line"),
-        F.when(F.col("line.lines") == F.col("least"), F.col("second_least")).otherwise(F.col("least")).alias("low"),
-        F.when(F.col("line.lines") == F.col("most"), F.col("second_most")).otherwise(F.col("most")).alias("high"),
-    )
-    counts = lines.groupBy("line").agg(
-        F.count("*").alias("n_documents"), F.count_distinct("low").alias("n_low"), F.count_distinct("high").alias("n_high")
-    ).withColumn("n_different", F.least("n_low", "n_high"))
-    shared = counts.where(
-        (F.col("n_different") > limits.max_documents) & (3 * F.col("n_different") > 2 * F.col("n_documents"))
     )
-    removed = lines.join(shared.select("line"), "line").groupBy("row").agg(
+    # documents with the same lines are copies too, whatever their order
+    often = lines.groupBy("line").agg(F.count_distinct("content").alias("n")).where(F.col("n") > limits.max_documents)
+    held = stored(lines.join(often.select("line"), "line").drop("content"))
+    shared = _in_different(held.select("line", "who").distinct(), rows, limits.max_documents)
+    removed = held.join(shared, "line").groupBy("row").agg(
         F.sum("words").alias("n_removed"), F.collect_list("key").alias("boilerplate")
     )
     left = F.col("n_words") - F.coalesce("n_removed", F.lit(0))

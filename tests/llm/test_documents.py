@@ -147,6 +147,17 @@ def test_boilerplate(spark):
     assert all(kept[i].text == t for i, t, _ in rows if 100 <= i < 300)
 
 
+def test_boilerplate_goes_however_many_lines_there_are(spark):
+    def pages(host, first, k, u):
+        menu = [f"{host} template line number {i} of all pages here" for i in range(k)]
+        return [(first + i, "\n".join([*menu, *(" ".join(f"p{first + i}_{j}_{w}" for w in range(8)) for j in range(u))]), host) for i in range(200)]
+
+    rows = [r for n, (k, u) in enumerate([(2, 1), (3, 1), (5, 5), (10, 5), (10, 20)]) for r in pages(f"h{n}", 1000 * n, k, u)]
+    found = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    want = {n: k for n, k in enumerate([2, 3, 5, 10, 10])}
+    assert all(len(r.boilerplate or []) == want[r.doc_id // 1000] for r in found)
+
+
 def test_language(docs):
     held_out = "crc32(cast(doc_id as string)) % 4 = 2"
     net = language_id.learn(docs.where(f"not ({held_out})"))
