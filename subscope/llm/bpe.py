@@ -85,6 +85,7 @@ class Speculator(Encoder):
             self.bytes_of_id[i] = word
         longest = sorted(self.special_ids, key=len, reverse=True)
         self.special = regex.compile(b"(" + b"|".join(map(regex.escape, longest)) + b")") if longest else None
+        self.marks = {s[:2].encode() for s in self.specials}
 
         # how each token comes about: the rank of its merge and its two halves; bytes are their own halves
         self.rank = np.full(size, _NONE)
@@ -207,8 +208,8 @@ class Speculator(Encoder):
         special: list[tuple[int, int]] = []  # place among the words, id
         for i, chunk in enumerate(chunks):
             parts = self.special.split(chunk) if self.special else [chunk]
-            if len(parts) == 1 and chunk.isascii() and 0x27 not in chunk:
-                cut.append(chunk)  # one word: chunks end where kinds of characters change
+            if len(parts) == 1 and chunk.isascii() and 0x27 not in chunk and not any(m in chunk for m in self.marks):
+                cut.append(chunk)  # one word: chunks end where kinds of characters change, but for texts held whole
                 owner.append(i)
                 continue
             for part in parts:

@@ -51,6 +51,13 @@ def test_encoders_agree_with_the_library(make):
     check()
 
 
+def test_half_a_special_token_cuts_nothing_together():
+    ours = bpe.speculator(BYTE_FILE)
+    texts = ["a <|b\n\nc d", "<|\n\n x", "if a <| b:\n\n\n    go", "<|\n\n<|endoftext|>\n\nx", "plain\n\ntext"]
+    ids, bounds = ours.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [ids_of(BYTE_FILE, t) for t in texts]
+
+
 def test_speculation_fails_and_is_mended():
     ours, rng = bpe.Speculator(BYTE_FILE), random.Random(5)
     texts = ["".join(rng.choices("abcdeinrst", k=rng.randint(1, 40))) for _ in range(3000)] + ["a" * n for n in range(1, 60)]
