@@ -242,10 +242,8 @@ def score(
     path = folder(rows, "lm")
     _blocks(rows).write.parquet(path, compression="zstd")
     blocks = spark.read.parquet(path)
-    # the place of a word, its block and code, is one number: half of what is shuffled is places
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "learnt")).alias("code", "w")).select(
-        (F.shiftleft("block", 32) + F.col("code")).alias("place"),
-        F.col("w.words").alias("word"), F.col("w.learnt").alias("learnt"),
+        "block", "code", F.col("w.words").alias("word"), F.col("w.learnt").alias("learnt"),
     )
     known = listed.where("learnt > 0").agg(F.sum("learnt").alias("n"), F.approx_count_distinct("word").alias("v")).first()
     n_all = known["n"] or 0
@@ -254,10 +252,10 @@ def score(
 
     # a block has a word once, so even the most frequent word is no more rows than there are blocks
     by_word = listed.repartition("word")
-    totals = by_word.groupBy("word").agg(F.sum("learnt").alias("total"), F.min("place").alias("first"))
-    leads = (F.col("place") == F.col("first")) & (F.col("total") > 0)  # once for each distinct training word
+    totals = by_word.groupBy("word").agg(F.sum("learnt").alias("total"), F.min("block").alias("first"))
+    leads = (F.col("block") == F.col("first")) & (F.col("total") > 0)  # once for each distinct training word
     counted = by_word.join(totals, "word").select(
-        F.shiftright("place", 32).alias("of"), "place", "word", "total", leads.alias("leads")
+        F.col("block").alias("of"), "code", "word", "total", leads.alias("leads")
     )
 
     def judge(block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
@@ -265,7 +263,7 @@ def score(
         bounds = np.zeros(len(held["n_tokens"]) + 1, np.int64)
         np.cumsum(held["n_tokens"], out=bounds[1:])
         codes = _unpack(held["codes"], int(bounds[-1]))
-        order = np.argsort(counts["place"].to_numpy())
+        order = np.argsort(counts["code"].to_numpy())
         words_of = counts["word"].to_numpy()[order].view(np.uint64)
         exact = counts["total"].to_numpy()[order].astype(np.float64)
         filter_ = asked.value

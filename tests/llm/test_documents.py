@@ -244,6 +244,15 @@ def test_scores(docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)  # what was not learnt is told better by pairs
 
 
+def test_scores_of_many_partitions(spark):
+    rows = [(i, f"word{i} of text {i % 7}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, lm_scoring.score(df.coalesce(1), "doc_id % 5 = 1").collect()))
+    found = sorted(map(tuple, lm_scoring.score(df.repartitionByRange(300, "doc_id"), "doc_id % 5 = 1").collect()))
+    assert [r[:5] for r in found] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in found], [r[5:] for r in want])
+
+
 def test_filter_counts():
     model, rng = lm_scoring.Model(), np.random.default_rng(4)
     counts = np.concatenate([np.ones(500, np.int64), rng.integers(2, 5000, 500)])
