@@ -48,8 +48,8 @@ class Shape:
     """``bands`` of ``rows`` samples each, and sketches of the samples and of the set, of so many bits.
 
     parity: bits of the set's own sketch, 0 for none. binned: one hash function gives a sample for every band,
-    the least hash of each of as many bins (an empty bin takes the next one's), instead of a function for
-    every sample: a bands-th of the work. sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
+    the least hash of each of as many bins, instead of a function for every sample: a bands-th of the work.
+    An empty bin takes the least hash of the whole set by a function of its own, so small sets miss no more. sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
     """
 
     bands: int
@@ -92,7 +92,7 @@ class Shape:
         return bands, sketch
 
     def _samples(self, hashes: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-        flip, multiply, place = _functions(self.samples)
+        flip, multiply, place = _functions(self.samples + self.rows * self.binned)
         if not self.binned:
             for i in range(self.samples):
                 yield mixed(np.minimum.reduceat((hashes ^ flip[i]) * multiply[i], starts) + place[i])
@@ -104,8 +104,14 @@ class Shape:
             least = np.full(len(starts) * n, _MOST)
             np.minimum.at(least, first + (((value >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64), value)
             least = least.reshape(-1, n)
-            while (empty := least == _MOST).any():
-                least = np.where(empty, np.roll(least, -1, 1), least)
+            short = (least == _MOST).any(1)
+            if short.any():
+                few, many = hashes[np.repeat(short, sizes)], sizes[short]
+                at = np.cumsum(many) - many
+                for band in range(n):
+                    own = self.rows + i * n + band
+                    have = np.minimum.reduceat((few ^ flip[own]) * multiply[own], at)
+                    least[short, band] = np.where(least[short, band] == _MOST, have, least[short, band])
             for band in range(n):
                 yield mixed(least[:, band] + place[i * n + band])
 

@@ -66,6 +66,15 @@ def test_sketches_let_true_pairs_through():
     assert min(far) > shape.most_bits_apart(80)
 
 
+def test_small_sets_meet_as_often_as_large_ones():
+    shape, rng, n = line_dedup.SHAPE, np.random.default_rng(11), 20_000
+    for total in (5, 10, 15, 40):
+        sets = rng.integers(0, 2**64, (n, total), np.uint64)
+        parts = [shape.signatures(x.ravel(), np.arange(n + 1) * x.shape[1])[0] for x in (sets, sets[:, : total * 4 // 5])]
+        missed = (~(parts[0] == parts[1]).any(1)).sum()
+        assert missed <= 5 * n * shape.missed(80)
+
+
 def test_whole_sketches_reject_no_similar_pair():
     shape, rng = near_dedup.SHAPE, np.random.default_rng(5)
     for n in (10, 90, 900, 9000):
