@@ -2,8 +2,9 @@
 
 A count is kept as its logarithm's integer part, in the unary code of so many memberships: an n-gram of
 level q is in the filter together with each of 1 to q, and its level is read back by probing 1, 2, ... up
-to the first miss. The filter has fixed segments; a segment is built where its n-grams meet, and all of
-them together have a bounded size and go to every worker.
+to the first miss. The filter has fixed segments; a segment is built where its n-grams meet, and its bits grow
+with the training tokens. All of them together go to every worker while they are few; a larger filter stays
+a table, and the distinct n-grams of each block of documents go to their segments and come back with their counts.
 
 Exact unigram counts come along: a worker's block of documents is stored as codes of its distinct words,
 the words of all blocks meet by word and go back to their blocks with the counts of the whole corpus.
@@ -42,8 +43,8 @@ _SINGLE = np.uint64(0xC2B2AE3D27D4EB4F)
 class Model:
     """How counts are kept and probabilities smoothed.
 
-    max_bits bounds the filter, 64 MB by default, whatever the corpus; bits_per_gram is what it takes
-    below that. base: counts of one level lie within this factor. probes: bits a membership sets. weight:
+    max_bits: a filter of more bits, 64 MB by default, is asked where its segments are and not sent to the workers.
+    bits_per_gram is what it takes, whatever the corpus. base: counts of one level lie within this factor. probes: bits a membership sets. weight:
     counts that the unigram distribution is worth behind every word.
     """
 
@@ -127,6 +128,29 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(-1)
 
 
+def _told(grams: np.ndarray) -> np.ndarray:
+    """The 12 bits of segment and 32 of the n-gram that the filter tells apart."""
+    return grams & ~(np.uint64((1 << 64 - SEGMENT_BITS) - 1) ^ _LOW)
+
+
+@dataclass(frozen=True)
+class Answers:
+    """The counts of a block's distinct n-grams, asked for beforehand."""
+
+    grams: np.ndarray
+    found: np.ndarray
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.grams, _told(grams))]
+
+
+def _asked(words_of: np.ndarray, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The distinct n-grams that scoring a block asks for, segment after segment."""
+    keys = words_of[codes]
+    ends = singles(np.array([END]))
+    return np.unique(_told(np.concatenate([singles(words_of), ends, pairs(_before(keys, bounds), keys)])))
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
     """One row for each batch: its documents as codes, and its distinct words with their training counts.
 
@@ -171,8 +195,7 @@ def _grams(rows: DataFrame) -> DataFrame:
                 continue
             keys, bounds = tokens(batch.column("text"))
             both = np.concatenate([singles(keys), pairs(_before(keys, bounds), keys)])
-            # 12 bits of segment and 32 of the n-gram are what the filter tells apart
-            found, counts = np.unique(both & ~(np.uint64((1 << 64 - SEGMENT_BITS) - 1) ^ _LOW), return_counts=True)
+            found, counts = np.unique(_told(both), return_counts=True)
             segment = (found >> np.uint64(64 - SEGMENT_BITS)).astype(np.int64)
             edges = np.searchsorted(segment, np.arange(SEGMENTS + 1)).astype(np.int32)
             low = (found & _LOW).astype(np.uint32).view(np.int32)
@@ -186,10 +209,20 @@ def _grams(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "segment int, grams array<int>, counts array<int>")
 
 
-def build_filter(rows: DataFrame, n_tokens: int, model: Model) -> Filter:
-    """The filter of all training n-grams. Only its bits reach the driver, ``model.max_bits`` at most."""
-    want = max(SEGMENTS * 64, min(model.max_bits, 2 * n_tokens * model.bits_per_gram))
-    segment_bits = 1 << (want // SEGMENTS).bit_length() - 1
+def segment_size(n_tokens: int, model: Model) -> int:
+    """Bits of a segment, so many that every training token could be two n-grams of its own."""
+    want = max(SEGMENTS * 64, 2 * n_tokens * model.bits_per_gram)
+    return 1 << (want // SEGMENTS).bit_length() - 1
+
+
+def segments(rows: DataFrame, segment_bits: int, model: Model) -> DataFrame:
+    """``segment, bits`` of the filter of all training n-grams."""
+
+    def packed(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        bits = [np.packbits(bits, bitorder="little").tobytes() for bits in held.values()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int32()), pa.array(bits, pa.binary())], names=["segment", "bits"]
+        )
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -198,16 +231,16 @@ def build_filter(rows: DataFrame, n_tokens: int, model: Model) -> Filter:
             low = batch.column("gram").to_numpy().view(np.uint32).astype(np.uint64)
             level = model.level(batch.column("n").to_numpy())
             for one in np.unique(segment).tolist():
+                if one not in held and held:  # those before are complete
+                    yield packed(held)
+                    held = {}
                 bits = held.setdefault(one, np.zeros(segment_bits, bool))
                 mine = segment == one
                 grams, upto = low[mine], level[mine]
                 for q in range(1, int(upto.max()) + 1):
                     for probe in range(model.probes):
                         bits[model.places(grams[upto >= q], q, probe, segment_bits).astype(np.int64)] = True
-        packed = [np.packbits(bits, bitorder="little").tobytes() for bits in held.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int32()), pa.array(packed, pa.binary())], names=["segment", "bits"]
-        )
+        yield packed(held)
 
     met = _grams(rows).repartition("segment").select(
         "segment", F.explode(F.arrays_zip("grams", "counts")).alias("g")
@@ -215,12 +248,53 @@ def build_filter(rows: DataFrame, n_tokens: int, model: Model) -> Filter:
     summed = met.groupBy("segment", F.col("g.grams").alias("gram")).agg(F.sum("g.counts").alias("n"))
     # rows of a segment follow one another, so a batch has few segments
     ordered = summed.sortWithinPartitions("segment")
+    return ordered.mapInArrow(fill, "segment int, bits binary")
+
+
+def build_filter(rows: DataFrame, segment_bits: int, model: Model) -> Filter:
+    """The filter with all its segments on the driver: for at most ``model.max_bits``."""
     data = np.zeros((SEGMENTS, segment_bits // 8), np.uint8)
-    for row in ordered.mapInArrow(fill, "segment int, bits binary").collect():  # max_bits at most
+    for row in segments(rows, segment_bits, model).collect():
         data[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
     return Filter(model, data.reshape(-1), segment_bits)
 
 
+def _answers(blocks: DataFrame, rows: DataFrame, segment_bits: int, model: Model) -> DataFrame:
+    """``block, answers``: for each block the counts of its distinct n-grams, a list for each segment.
+
+    A block has a row for each segment, so a segment is asked as many times as there are blocks.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for held in batch.to_pylist():
+                bounds = np.concatenate([[0], np.cumsum(held["n_tokens"])]).astype(np.int64)
+                words_of = np.array(held["words"], np.int64).view(np.uint64)
+                grams = _asked(words_of, _unpack(held["codes"], int(bounds[-1])), bounds)
+                edges = np.searchsorted(grams >> np.uint64(64 - SEGMENT_BITS), np.arange(SEGMENTS + 1)).astype(np.int32)
+                low = (grams & _LOW).astype(np.uint32).view(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(SEGMENTS, held["block"])), pa.array(np.arange(SEGMENTS, dtype=np.int32)),
+                     pa.ListArray.from_arrays(pa.array(edges), pa.array(low))],
+                    names=["block", "segment", "grams"],
+                )
+
+    def answer(asked: pd.DataFrame, bits: pd.DataFrame) -> pd.DataFrame:
+        data = np.frombuffer(bits["bits"].iloc[0], np.uint8) if len(bits) else np.zeros(segment_bits // 8, np.uint8)
+        one = Filter(model, data, segment_bits)
+        found = [one.counts(np.asarray(g, np.int32).view(np.uint32).astype(np.uint64)) for g in asked["grams"]]
+        return pd.DataFrame({"block": asked["block"], "segment": asked["segment"], "counts": found})
+
+    asked = blocks.select("block", "n_tokens", "words", "codes").mapInArrow(ask, "block long, segment int, grams array<int>")
+    held = segments(rows, segment_bits, model)
+    found = asked.where(F.size("grams") > 0).groupBy("segment").cogroup(held.groupBy("segment")).applyInPandas(
+        answer, "block long, segment int, counts array<double>"
+    )
+    return found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("segment", "counts"))).alias("answers")).select(
+        "block", F.flatten("answers.counts").alias("answers")
+    )
+
+
 def score(
     docs: DataFrame, held_out: str, *, model: Model = Model(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -248,7 +322,9 @@ def score(
     known = listed.where("learnt > 0").agg(F.sum("learnt").alias("n"), F.approx_count_distinct("word").alias("v")).first()
     n_all = known["n"] or 0
     about = n_all + 0.5 * (known["v"] + 1)  # what smoothing divides by; the base score has the exact number
-    asked = spark.sparkContext.broadcast(build_filter(rows, n_all, model))
+    segment_bits = segment_size(n_all, model)
+    small = SEGMENTS * segment_bits <= model.max_bits
+    asked = spark.sparkContext.broadcast(build_filter(rows, segment_bits, model)) if small else None
 
     # a block has a word once, so even the most frequent word is no more rows than there are blocks
     by_word = listed.repartition("word")
@@ -266,7 +342,7 @@ def score(
         order = np.argsort(counts["code"].to_numpy())
         words_of = counts["word"].to_numpy()[order].view(np.uint64)
         exact = counts["total"].to_numpy()[order].astype(np.float64)
-        filter_ = asked.value
+        filter_ = asked.value if asked else Answers(_asked(words_of, codes, bounds), np.asarray(held["answers"], np.float64))
         about_word = filter_.counts(singles(words_of))
         end = filter_.counts(singles(np.array([END])))[0]
         log_exact, known_word = np.log10(exact + 0.5), (exact > 0).astype(np.int64)
@@ -300,6 +376,8 @@ def score(
         "score double, distinct long"
     )
     texts = blocks.select("block", "keys", "held_out", "n_tokens", "codes")
+    if not small:
+        texts = texts.join(_answers(blocks, rows, segment_bits, model), "block")
     scored = stored(texts.groupBy("block").cogroup(counted.groupBy("of")).applyInPandas(judge, schema))
     n_distinct = scored.agg(F.sum("distinct")).first()[0] or 0
     whole = n_all + 0.5 * (n_distinct + 1)

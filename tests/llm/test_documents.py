@@ -253,6 +253,21 @@ def test_scores(docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)  # what was not learnt is told better by pairs
 
 
+def test_scores_do_not_depend_on_where_the_filter_is(docs):
+    together, apart = (
+        sorted(map(tuple, lm_scoring.score(docs, "doc_id % 5 = 1", model=lm_scoring.Model(max_bits=bits)).collect()))
+        for bits in (1 << 40, 1 << 12)
+    )
+    assert [r[:5] for r in together] == [r[:5] for r in apart]
+    assert np.allclose([r[5:] for r in together], [r[5:] for r in apart])
+
+
+def test_bits_grow_with_the_training_text():
+    model = lm_scoring.Model()
+    size = [lm_scoring.segment_size(n, model) * lm_scoring.SEGMENTS for n in (10**7, 10**8, 10**10)]
+    assert all(b >= model.bits_per_gram * n for b, n in zip(size, (10**7, 10**8, 10**10)))
+
+
 def test_scores_of_many_partitions(spark):
     rows = [(i, f"word{i} of text {i % 7}") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
