@@ -18,15 +18,20 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MIN_SCORE = 0.4
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``dropped``; only rows that may be among them are shuffled.
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``: its doc_id and a hash of its text, alike for rows alike in both; null ids come last."""
+    nothing = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    return docs.withColumn("_row", F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", nothing).alias("id"), F.xxhash64("text").alias("text")
+    ))
 
-    Rows that share a doc_id go together; a null doc_id stays.
-    """
-    dropped = stored(dropped.select("doc_id").distinct())
-    marked = mark(docs, dropped, "doc_id", "_maybe")
-    left = marked.where("_maybe").join(dropped, "doc_id", "left_anti")
-    return marked.where("not _maybe").unionByName(left).select(*docs.columns)
+
+def _without(named: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``named`` whose ``_row`` is not in ``dropped``; only rows that may be among them are shuffled."""
+    dropped = stored(dropped.select("_row").distinct())
+    marked = mark(named, dropped, "_row", "_maybe")
+    left = marked.where("_maybe").join(dropped, "_row", "left_anti")
+    return marked.where("not _maybe").unionByName(left.select(*marked.columns)).select(*named.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +42,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told."""
     net = language_id.learn(docs)
-    found = language_id.predict(docs, net)
-    return _without(docs, found.where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < MIN_SCORE)))
+    named = _named(docs)
+    found = language_id.predict(named, net, key="_row")
+    without = (F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < MIN_SCORE)
+    return _without(named, found.where(without)).drop("_row")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +65,17 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similarity connect, the one with the smallest doc_id."""
-    return _without(docs, near_dedup.near_duplicates(docs).where("not kept"))
+    """Of rows that links of similarity connect, one with the smallest doc_id, null only if all are."""
+    named = _named(docs)
+    found = stored(near_dedup.near_duplicates(named, key="_row"))
+    again = found.where("kept and n_shingles > 0").groupBy("_row").count().where("count > 1").select("_row")
+    left = _without(named, found.where("not kept"))
+    again = stored(again)
+    marked = mark(left, again, "_row", "_maybe")
+    some = marked.where("_maybe").join(again.withColumn("_again", F.lit(True)), "_row", "left")
+    once = some.where("_again").dropDuplicates(["_row"])
+    rest = marked.where("not _maybe").select(*docs.columns)
+    return rest.unionByName(some.where("_again is null").select(*docs.columns)).unionByName(once.select(*docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

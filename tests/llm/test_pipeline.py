@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from subscope.llm.queries import documents
-from tests.llm.conftest import Groups, similar_pairs
+from tests.llm.conftest import BASE, Groups, similar_pairs
 from tests.llm.test_documents import counts_of, shingle_set
 
 
@@ -58,3 +58,21 @@ def test_one_row_of_a_text_stays(spark, awkward, small):
     assert sorted(map(str, kept)) == sorted(
         str((t, min((k for k in ks if k is not None), default=None))) for t, ks in first.items()
     )
+
+
+def test_rows_are_dropped_one_by_one(spark, small):
+    stages = dict(corpus_pipeline.STAGES)
+    schema = "doc_id long, text string, lang string, source string"
+    x, y = BASE, BASE.replace("word", "other")
+    near = [(5, x), (6, x + " x"), (3, y), (5, y + " y"), (None, y + " z"), (8, "alone " * 9), (None, "null alone")]
+    near += [(9, "copied twice over"), (9, "copied twice over")]
+    df = spark.createDataFrame([(k, t, "en", "a") for k, t in near], schema)
+    found = stages["near duplicates"](spark, df, small)
+    assert found.columns == df.columns
+    want = [(5, x), (3, y), (8, "alone " * 9), (None, "null alone"), (9, "copied twice over")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in found.collect()))) == sorted(map(str, want))
+
+    rows = [(1, "12 34", "en"), (1, BASE, "en"), (None, "--", "en"), (None, "some words of a text", "en")]
+    df = spark.createDataFrame([(*r, "a") for r in rows], schema)
+    found = stages["language"](spark, df, small)
+    assert {(r.doc_id, r.text) for r in found.collect()} == {(1, BASE), (None, "some words of a text")}
