@@ -40,8 +40,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told."""
+    """Documents in a language that can be told; where none could be learnt, those with a letter."""
     net = language_id.learn(docs)
+    if not net.languages:
+        return docs.where(r"text rlike '\\p{L}'")
     named = _named(docs)
     found = language_id.predict(named, net, key="_row")
     without = (F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < MIN_SCORE)

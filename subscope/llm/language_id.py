@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subscope.llm.spans import WHITE, Texts, by_bytes, texts_of
+from subscope.llm.stage import stored
 
 UNDETERMINED = "und"
 WINDOW = 128  # bytes read with one state; a text is as many windows as it takes
@@ -245,23 +246,26 @@ def learn(
 ) -> Network:
     """A network from the rows of ``docs`` that have a text and a language.
 
-    The sample is drawn by the hash of the text, about ``how.sample`` divided by the number of languages
-    from each, and only it reaches the driver.
+    Of the distinct texts of each language those with the lowest hashes are drawn, at most ``how.sample``
+    divided by the number of languages, and only their stretches reach the driver.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "text is not null and lang is not null and length(text) > 0"
-    )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy("lang").collect()}
+    ).withColumn("hash", F.xxhash64("text"))
+    texts = stored(rows.select("lang", "hash").distinct())
+    counts = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().orderBy("lang").collect()}
     each = max(1, how.sample // max(1, len(counts)))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    draw = F.pmod("hash", F.lit(1 << 30))
     share = F.lit(0)
-    for language, n in counts.items():
-        share = F.when(F.col("lang") == language, int((1 << 30) * min(1.0, each / n))).otherwise(share)
+    for language, n in counts.items():  # twice as many as are wanted and some, to be ranked
+        share = F.when(F.col("lang") == language, int((1 << 30) * min(1.0, (2 * each + 20) / n))).otherwise(share)
+    ranked = texts.where(draw < share).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "hash")))
+    chosen = stored(ranked.where(F.col("rank") <= each).select("lang", "hash"))
     spare = F.greatest(F.length("text") - how.stretch, F.lit(0)) + 1
     begin = (1 + F.pmod(F.xxhash64("text", F.lit(1)), spare)).cast("int")
-    drawn = rows.where(draw < share).select(
-        "lang", F.substring("text", begin, F.lit(how.stretch)).alias("text")
-    ).collect()
+    drawn = rows.join(F.broadcast(chosen), ["lang", "hash"]).select(
+        "lang", "hash", F.substring("text", begin, F.lit(how.stretch)).alias("text")
+    ).groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text").collect()
     drawn.sort()
     return train([r["text"].encode() for r in drawn], [r["lang"] for r in drawn], how)
 

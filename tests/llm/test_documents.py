@@ -175,6 +175,15 @@ def test_language(docs):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_sample_is_bounded_and_of_all_languages(spark, monkeypatch):
+    rows = [("the same text", "en")] * 3000 + [(f"text number {i}", "en") for i in range(50)] + [("un texte", "fr")] * 500
+    df = spark.createDataFrame(rows, "text string, lang string")
+    drawn = {}
+    monkeypatch.setattr(language_id, "train", lambda texts, langs, how: drawn.update(texts=texts, langs=langs))
+    language_id.learn(df, how=language_id.Training(sample=20))
+    assert Counter(drawn["langs"]) == {"en": 10, "fr": 1} and len(set(drawn["texts"])) == 11
+
+
 def test_language_of_awkward_rows(awkward):
     how = language_id.Training(steps=3, hidden=4)
     found = language_id.predict(awkward, language_id.learn(awkward, how=how)).collect()

@@ -76,3 +76,8 @@ def test_rows_are_dropped_one_by_one(spark, small):
     df = spark.createDataFrame([(*r, "a") for r in rows], schema)
     found = stages["language"](spark, df, small)
     assert {(r.doc_id, r.text) for r in found.collect()} == {(1, BASE), (None, "some words of a text")}
+
+
+def test_nothing_learnt_drops_no_letters(spark, small):
+    df = spark.createDataFrame([(1, "words", None, "a"), (2, "été", None, "a"), (3, "12", None, "a")], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["language"](spark, df, small).collect()} == {1, 2}
