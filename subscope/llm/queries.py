@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.llm import (
-    bpe, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts, token_files,
+    bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts,
+    token_files,
 )
 from subscope.settings import cut, shared_folder
 
@@ -20,8 +21,12 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -80,6 +85,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).drop("who", "boilerplate")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
@@ -91,8 +104,13 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_decontamination": op11_decontamination,
 }
 
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLE: dict[str, str] = {
     "op7_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
@@ -100,4 +118,29 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM t JOIN g USING (body)
     """,
+    "op11_decontamination": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        needles AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS body
+            FROM items, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0
+        ),
+        places AS (
+            SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS body
+            FROM docs, (SELECT DISTINCT n FROM needles) AS s, unnest(range(1, len(w) + 1)) AS t(i) WHERE i + n - 1 <= len(w)
+        ),
+        met AS (SELECT r, i, p.n, item_id FROM places AS p JOIN needles AS d ON p.body = d.body AND p.n = d.n),
+        words AS (
+            SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT DISTINCT r, i, n FROM met) AS m, unnest(range(i, i + n)) AS t(place)
+            GROUP BY r
+        ),
+        found AS (
+            SELECT r, count(DISTINCT item_id) AS n_items,
+                array_to_string(list_sort(list(DISTINCT item_id::VARCHAR) FILTER (item_id IS NOT NULL)), ',') AS ids
+            FROM met GROUP BY r
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+    """,
 }

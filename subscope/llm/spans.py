@@ -141,9 +141,9 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
 
 
-def words(texts: Texts) -> Pieces:
-    """Runs of anything but white space."""
-    inside = ~_SPACE[texts.data]
+def words(texts: Texts, between: np.ndarray = _SPACE) -> Pieces:
+    """Runs of anything but white space, or of anything but the bytes marked in ``between``."""
+    inside = ~between[texts.data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = texts.offsets[:-1]
