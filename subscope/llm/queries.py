@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.llm import (
-    bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, quality_rules, token_counts,
-    token_files,
+    bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, prefix_trie, quality_rules,
+    token_counts, token_files,
 )
+from subscope.llm.stage import stored
 from subscope.settings import cut, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +42,8 @@ def packed(docs: DataFrame) -> DataFrame:
     """Where each document's pieces go, with a checksum of their ids."""
     pieces = packing.token_pieces(docs, WORD_BPE)
     digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    stored = cut(digest.withColumn("row", F.monotonically_increasing_id()))
-    return stored.join(packing.pack(stored), "row").drop("row")
+    held = cut(digest.withColumn("row", F.monotonically_increasing_id()))
+    return held.join(packing.pack(held), "row").drop("row")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,8 +51,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = token_files.write_tokens(documents(spark, sf_dir), WORD_BPE, _folder(spark, "tokens"))
-    return stored.documents(spark)
+    files = token_files.write_tokens(documents(spark, sf_dir), WORD_BPE, _folder(spark, "tokens"))
+    return files.documents(spark)
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +94,34 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _respliced(turns: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``seq, depth, digest, weight`` of conversations rebuilt: the first turns of the least of five, then their own.
+
+    Conversation c takes ``crc32(c) % 9`` turns of ``c - c % 5``, as far as there are, and as many of its own go.
+    """
+    takes = (F.crc32(F.col("seq").cast("string")) % 9).alias("takes")
+    held = lengths.select("seq", (F.col("seq") - F.col("seq") % 5).alias("base"), takes)
+    held = held.join(lengths.select(F.col("seq").alias("base"), "n"), "base", "left")
+    taken = F.least("takes", F.coalesce("n", F.lit(0)))
+    own = turns.join(held.select("seq", "takes", taken.alias("taken")), "seq").where(F.col("at") >= F.col("takes"))
+    own = own.select("seq", (F.col("at") - F.col("takes") + F.col("taken") + 1).alias("depth"), "digest", "weight")
+    lent = turns.where((F.col("seq") % 5 == 0) & (F.col("at") < 9)).withColumnRenamed("seq", "base")
+    lent = lent.join(held.select("seq", "base", "takes"), "base").where(F.col("at") < F.col("takes"))
+    return own.unionByName(lent.select("seq", (F.col("at") + 1).alias("depth"), "digest", "weight"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, lengths = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    turns = stored(turns)
+    made = prefix_trie.trie(_respliced(turns, lengths), lengths.select("seq"))
+    ends = prefix_trie.ends_digest(made.ends)
+    return made.nodes.join(ends, "name", "left").select(
+        F.col("seq").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), F.col("n_members").alias("n_convs"),
+        "n_children", "n_leaves", F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
@@ -105,8 +134,15 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_decontamination": op11_decontamination,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
+#: The unsigned crc32 of conv_id as text, byte by byte and bit by bit.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda crc, b: list_reduce(
+        list_prepend(xor(crc, b), range(8)::UBIGINT[]), lambda r, i: xor(r >> 1, 3988292384::UBIGINT * (r & 1::UBIGINT)))
+    ), 4294967295::UBIGINT)::BIGINT"""
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -143,4 +179,38 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
     """,
+    "op12_prefix_trie": f"""
+        WITH RECURSIVE turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+                sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS digest,
+                strlen(coalesce(text, '')) AS weight
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        convs AS (SELECT DISTINCT conv_id, ({_CRC32}) % 9 AS h, conv_id - conv_id % 5 AS base FROM turns),
+        joined AS (
+            SELECT c.conv_id, 0 AS own, place, digest, weight FROM convs AS c JOIN turns AS t ON t.conv_id = c.base AND place <= h
+            UNION ALL
+            SELECT c.conv_id, 1, place, digest, weight FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id AND place > h
+        ),
+        paths AS (
+            SELECT conv_id, row_number() OVER w AS depth, weight, string_agg(digest, '') OVER w AS name
+            FROM joined WINDOW w AS (PARTITION BY conv_id ORDER BY own, place)
+            UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+        ),
+        ends AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY 1),
+        nodes AS (
+            SELECT p.name, p.depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, max(weight) AS weight,
+                coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (e.depth = p.depth), '') AS ids
+            FROM paths AS p JOIN ends AS e USING (conv_id) GROUP BY 1, 2
+        ),
+        above AS (
+            SELECT n.*, u.conv_id AS parent, (SELECT count(*) FROM nodes AS d WHERE d.depth = n.depth + 1 AND d.name[1:64 * n.depth] = n.name) AS n_children
+            FROM nodes AS n LEFT JOIN nodes AS u ON u.depth = n.depth - 1 AND u.name = n.name[1:64 * (n.depth - 1)]
+        )
+        SELECT a.conv_id, a.depth::BIGINT AS depth, a.parent AS parent_conv_id, a.n_convs, a.n_children,
+            count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.weight)::BIGINT AS saved_tokens,
+            sha256(a.ids) AS ends_sha256
+        FROM above AS a JOIN above AS b ON b.depth >= a.depth AND b.name[1:64 * a.depth] = a.name
+        GROUP BY a.conv_id, a.depth, a.parent, a.n_convs, a.n_children, a.ids
+    """,
 }
