@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.llm import (
-    bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, packing, prefix_trie, quality_rules,
-    token_counts, token_files,
+    bpe, decontamination, exact_dedup, hard_negatives, language_id, line_dedup, lm_scoring, near_dedup, packing, prefix_trie,
+    quality_rules, token_counts, token_files,
 )
 from subscope.llm.stage import stored
 from subscope.settings import cut, shared_folder
@@ -122,6 +122,15 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0).select(
+        F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("negative").alias("negative_id"),
+        "positive_score", "negative_score",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
@@ -135,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_decontamination": op11_decontamination,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: The unsigned crc32 of conv_id as text, byte by byte and bit by bit.
@@ -213,4 +223,27 @@ ORACLE: dict[str, str] = {
         FROM above AS a JOIN above AS b ON b.depth >= a.depth AND b.name[1:64 * a.depth] = a.name
         GROUP BY a.conv_id, a.depth, a.parent, a.n_convs, a.n_children, a.ids
     """,
+    "op13_hard_negatives": """
+        WITH whole AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scores AS (
+            SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS other, b.label = a.label AS same, b.r AS other_r,
+                list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM whole AS a, whole AS b WHERE a.vec_id % 50 = 0 AND a.r <> b.r
+        ),
+        positives AS (
+            SELECT r, anchor_id, other AS positive_id, other_r AS p, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, other) <= 5
+        ),
+        ranked AS (
+            SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+                row_number() OVER (PARTITION BY p.r, p ORDER BY score DESC, other)::INTEGER AS rank
+            FROM positives AS p JOIN scores AS s ON s.r = p.r AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+    """,
 }
