@@ -13,23 +13,37 @@ def _place(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BLOCK * BLOCKS))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def mark(df: DataFrame, keys: DataFrame, name: str, flag: str = "maybe") -> DataFrame:
     """``df`` with a boolean column: false only where column ``name`` is certainly not among ``keys``.
 
     The keys become one bitmap of fixed size, at most ``BLOCKS`` rows of 4 KB, which is why it can be
     broadcast whatever their number; a full bitmap marks more rows and misses none.
     """
-    bits = keys.select(_place(F.col(name)).alias("_place")).groupBy(
-        F.floor(F.col("_place") / BLOCK).alias("_block")
-    ).agg(F.bitmap_construct_agg(F.col("_place") % BLOCK).alias("_bits"))
-    placed = df.withColumn("_place", _place(F.col(name))).withColumn("_block", F.floor(F.col("_place") / BLOCK))
-    byte = F.conv(F.hex(F.substring("_bits", ((F.col("_place") % BLOCK) / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    has = F.getbit(byte.cast("long"), (F.col("_place") % 8).cast("int")) == 1
-    return placed.join(F.broadcast(bits), "_block", "left").withColumn(
+    place, block, held = unused(df, "place", "block", "bits")
+    bits = keys.select(_place(F.col(name)).alias(place)).groupBy(
+        F.floor(F.col(place) / BLOCK).alias(block)
+    ).agg(F.bitmap_construct_agg(F.col(place) % BLOCK).alias(held))
+    placed = df.withColumn(place, _place(F.col(name))).withColumn(block, F.floor(F.col(place) / BLOCK))
+    byte = F.conv(F.hex(F.substring(held, ((F.col(place) % BLOCK) / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    has = F.getbit(byte.cast("long"), (F.col(place) % 8).cast("int")) == 1
+    return placed.join(F.broadcast(bits), block, "left").withColumn(
         flag, F.coalesce(has, F.lit(False))
     ).select(*df.columns, flag)
 
 
 def maybe_in(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` whose column ``name`` may be among ``keys``: all that are, and few others."""
-    return mark(df, keys, name, "_maybe").where("_maybe").drop("_maybe")
+    [flag] = unused(df, "maybe")
+    return mark(df, keys, name, flag).where(F.col(flag)).drop(flag)
