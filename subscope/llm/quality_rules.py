@@ -8,11 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.functions.bitmaps import mark, maybe_in
-from subscope.llm import near_dedup
+from subscope.functions.bitmaps import mark, maybe_in, unused
+from subscope.functions.hashing import row_hash
 from subscope.llm.spans import Pieces, Texts, by_bytes, line_starts, mixed, summed, texts_of, words
 from subscope.llm.stage import stored
 from subscope.settings import cut
@@ -29,8 +29,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 class Limits:
     """What a document must meet.
 
-    max_documents: a line in more different documents of one host is boilerplate. Copies are not
-    different: near duplicates (``near_dedup``, with its own words and percent) count once.
+    max_documents: a line in more different documents of one host is boilerplate. Documents are different
+    if their sets of lines are, so copies count once.
     min_left: a document with less than this share of its words left is depleted.
     """
 
@@ -126,37 +126,21 @@ def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
-def _who(key: Column, host: Column, text: Column) -> Column:
-    """Rows alike in all three are alike in their verdict, so one number stands for them."""
-    return F.xxhash64(key, host, text)
-
-
-def _in_different(held: DataFrame, rows: DataFrame, most: int) -> DataFrame:
-    """The lines of ``held`` (``line, who``) in more than ``most`` documents that are not near duplicates.
-
-    Only documents in ``held`` are compared with one another.
-    """
-    some = maybe_in(rows.select("who", "text").where("text is not null"), held, "who").dropDuplicates(["who"])
-    found = stored(near_dedup.near_duplicates(some, key="who").select("who", "component_id"))
-    counts = held.join(found, "who").groupBy("line").agg(F.count_distinct("component_id").alias("n"))
-    return stored(counts.where(F.col("n") > most).select("line"))
-
-
 def judge(
     docs: DataFrame, limits: Limits = Limits(), *, key: str = "doc_id", text: str = "text", host: str = "source"
 ) -> DataFrame:
-    """One row per row: the counts, ``n_left`` (words outside boilerplate lines), ``base_failed``, ``kept``.
+    """One row per row: its counts, ``base_failed``, ``kept`` and ``n_left`` (words outside boilerplate lines).
 
-    Also ``who``, a hash of the row, and ``boilerplate``, the keys of its lines to remove.
+    Also ``who``, a hash of key, host and text, alike for rows alike in them, and ``boilerplate``, the keys
+    of its lines to remove.
 
-    Own counts: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``. A line counts for a host
-    once per document, and once for all near duplicates of it. Line hashes are shuffled for all documents; those that
-    hold a line which is frequent before copies are told go through ``near_dedup``. A null or empty text has no words and fails; a null host is a
-    host of its own; repeated rows are documents of their own, alike. An empty table gives no
-    rows. Only the three columns named are read.
+    Own counts: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``. A line counts for a host once
+    per different document; line hashes of all documents are shuffled, nothing else. A null or empty text has no words
+    and fails; a null host is a host of its own; repeated rows are documents of their own, alike.
+    An empty table gives no rows. Only the three columns named are read.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(host).alias("host"), F.col(text).alias("text"))
-    rows = rows.withColumn("who", _who(F.col("key"), F.col("host"), F.col("text")))
+    rows = rows.withColumn("who", row_hash(["key", "host", "text"]))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
@@ -167,20 +151,17 @@ def judge(
         f"key {kinds['key']}, host {kinds['host']}, who long, n_words long, word_chars long, n_symbols long, "
         "n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>"
     ))
-    base = cut(counted.withColumn("row", F.monotonically_increasing_id()))
+    base = stored(counted.withColumn("row", F.monotonically_increasing_id()))
 
     lines = base.select(
-        "row", "who", "host", F.xxhash64(F.sort_array("lines")).alias("content"),
-        F.explode(F.arrays_zip("lines", "line_words")).alias("line"),
+        "row", "host", F.xxhash64(F.sort_array("lines")).alias("content"), F.explode(F.arrays_zip("lines", "line_words")).alias("line"),
     ).select(
-        "row", "who", "content", F.col("line.lines").alias("key"), F.col("line.line_words").alias("words"),
-        F.xxhash64("host", "line.lines").alias("line"),
+        "row", "content", F.col("line.lines").alias("key"), F.col("line.line_words").alias("words"),
+        F.xxhash64(F.col("host").isNull(), "host", "line.lines").alias("line"),
     )
-    # documents with the same lines are copies too, whatever their order
-    often = lines.groupBy("line").agg(F.count_distinct("content").alias("n")).where(F.col("n") > limits.max_documents)
-    held = stored(lines.join(often.select("line"), "line").drop("content"))
-    shared = _in_different(held.select("line", "who").distinct(), rows, limits.max_documents)
-    removed = held.join(shared, "line").groupBy("row").agg(
+    counts = lines.groupBy("line").agg(F.count_distinct("content").alias("n"))
+    shared = stored(counts.where(F.col("n") > limits.max_documents).select("line"))
+    removed = maybe_in(lines.drop("content"), shared, "line").join(shared, "line").groupBy("row").agg(
         F.sum("words").alias("n_removed"), F.collect_list("key").alias("boilerplate")
     )
     left = F.col("n_words") - F.coalesce("n_removed", F.lit(0))
@@ -188,9 +169,8 @@ def judge(
         100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")
     )
     return base.join(removed, "row", "left").select(
-        F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        left.alias("n_left"), failed.alias("base_failed"),
-        (~failed & (left >= limits.min_left * F.col("n_words"))).alias("kept"), "who", "boilerplate",
+        F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & (left >= limits.min_left * F.col("n_words"))).alias("kept"), left.alias("n_left"), "who", "boilerplate",
     )
 
 
@@ -208,34 +188,36 @@ def clean(
         verdict.where(~F.col("kept") | F.col("boilerplate").isNotNull())
         .groupBy("who").agg(F.first("kept").alias("_kept"), F.first("boilerplate").alias("_lines"))
     )
-    named = docs.withColumn("who", _who(F.col(key), F.col(host), F.col(text)))
-    marked = mark(named, touched.select("who"), "who", "_touched")
-    some = marked.where("_touched").join(touched, "who", "left").where("coalesce(_kept, true)")
+    who, maybe, kept, gone = unused(docs, "who", "maybe", "kept", "lines")
+    named = docs.withColumn(who, row_hash([key, host, text]))
+    told = touched.select(F.col("who").alias(who), F.col("_kept").alias(kept), F.col("_lines").alias(gone))
+    marked = mark(named, told.select(who), who, maybe)
+    some = marked.where(F.col(maybe)).join(told, who, "left").where(F.coalesce(F.col(kept), F.lit(True)))
     columns = docs.columns
 
     def drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, text):
-            yield _without(batch, text).select(columns)
+            yield _without(batch, text, gone).select(columns)
 
-    edited = some.select(*columns, "_lines").mapInArrow(drop_lines, docs.schema)
+    edited = some.select(*columns, gone).mapInArrow(drop_lines, docs.schema)
     if length in columns:
         edited = edited.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return marked.where("not _touched").select(*columns).unionByName(edited)
+    return marked.where(~F.col(maybe)).select(*columns).unionByName(edited)
 
 
-def _without(batch: pa.RecordBatch, text: str) -> pa.RecordBatch:
-    """The batch with the lines listed in ``_lines`` taken out of its texts."""
-    held = batch.column("_lines")
+def _without(batch: pa.RecordBatch, text: str, lines: str) -> pa.RecordBatch:
+    """The batch with the lines whose keys are listed in column ``lines`` taken out of its texts."""
+    held = batch.column(lines)
     some = np.flatnonzero(np.asarray(held.is_valid()))
     if not len(some):
         return batch
     column = batch.column(text).take(pa.array(some))
     texts = texts_of(column)
     starts, bounds = line_starts(texts)
-    lines = _lines(texts, words(texts), starts, bounds)
+    found = _lines(texts, words(texts), starts, bounds)
     out = [set(keys) for keys in held.take(pa.array(some)).to_pylist()]
     gone = {
-        int(at) for at, who, k in zip(lines.at, lines.owner, lines.key.view(np.int64).tolist()) if k in out[who]
+        int(at) for at, who, k in zip(found.at, found.owner, found.key.view(np.int64).tolist()) if k in out[who]
     }
     new = batch.column(text).to_pylist()
     for j, (row, body) in enumerate(zip(some.tolist(), column.to_pylist())):

@@ -75,7 +75,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     net = language_id.learn(docs.where(~held_out))
-    return language_id.predict(docs, net).withColumn("held_out", held_out)
+    return language_id.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

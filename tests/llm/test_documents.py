@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from subscope.functions import bitmaps
 from subscope.llm import components, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, quality_rules
@@ -144,7 +145,7 @@ def test_boilerplate(spark):
     menu = ["Home  About", "All rights RESERVED"]
     own = ["\n".join(body(f"{i}_{k}", 4) for k in range(30)) for i in range(60)]
     rows = [(i, "\n".join([menu[0], own[i], menu[1].lower()]), "a") for i in range(60)]  # boilerplate goes
-    rows += [(100 + i, "\n".join([body("s", 60), body("t", 60), f"edit {i}"]), "a") for i in range(40)]  # near copies stay
+    rows += [(100 + i, "\n".join([body("s", 60), body("t", 60), "edit"]), "a") for i in range(40)]  # copies count once
     rows += [(200 + i, "\n".join([body(f"m{k}", 30) for k in range(4)] + [f"{i} end"]), "b") for i in range(3)]
     nav = [body(f"n{k}", 60) for k in range(3)]
     rows += [(300 + i, "\n".join([*nav, body(f"x{i}", 8)]), "c") for i in range(2)]
@@ -152,10 +153,46 @@ def test_boilerplate(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "length(text) as n_chars")
     kept = {r.doc_id: r for r in quality_rules.clean(df).collect()}
     assert {i for i, *_ in rows} - set(kept) == {300, 301}
+    template = [f"{body(f'template{k}', 9)} line" for k in range(12)]
+    pages = [(i, "\n".join([*template, body(f"own{i}", 8)]), "d") for i in range(60)]
+    found = quality_rules.judge(spark.createDataFrame(pages, "doc_id long, text string, source string")).collect()
+    assert len(found) == 60 and not any(r.kept or r.base_failed for r in found) and all(r.n_left == 8 for r in found)
     assert all(kept[i].text == own[i] and kept[i].n_chars == len(own[i]) for i in range(60))
     assert all(kept[i].text == t for i, t, _ in rows if 100 <= i < 300)
 
 
+def verdicts(rows):
+    """``kept`` of each ``text, host``, by counting."""
+    def lines(text):
+        return [tuple(words_of(x)) for x in (text or "").split("\n") if words_of(x)]
+
+    having = {}
+    for text, host in rows:
+        for line in set(lines(text)):
+            having.setdefault((host, line), set()).add(frozenset(lines(text)))
+    kept = []
+    for text, host in rows:
+        n_words, *_, n_repeat = counts_of(text)
+        left = sum(len(x) for x in lines(text) if len(having[host, x]) <= 20)
+        kept.append(n_words >= 50 and 2 * n_repeat <= n_words and left >= 0.2 * n_words)
+    return kept
+
+
+def test_quality_verdicts(awkward, docs):
+    for df in (awkward, docs):
+        rows = df.select("doc_id", "text", "source").collect()
+        want = [(str(r.doc_id), k) for r, k in zip(rows, verdicts([(r.text, r.source) for r in rows]))]
+        assert sorted((str(r.doc_id), r.kept) for r in quality_rules.judge(df).collect()) == sorted(want)
+
+
+def test_cleaning_leaves_other_columns(awkward):
+    before = {str(r.doc_id): r for r in awkward.collect()}
+    after = quality_rules.clean(awkward.withColumnRenamed("who", "_who").withColumn("_maybe", F.lit("x")))
+    assert after.columns == [*("_who" if c == "who" else c for c in awkward.columns), "_maybe"]
+    for r in after.collect():
+        assert r.text == before[str(r.doc_id)].text and r._who == r.doc_id and r._maybe == "x"
+
+
 def test_boilerplate_goes_however_many_lines_there_are(spark):
     def pages(host, first, k, u):
         menu = [f"{host} template line number {i} of all pages here" for i in range(k)]
