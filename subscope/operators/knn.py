@@ -3,40 +3,38 @@
 Similarity is the cosine, computed in double and taken to nine decimals, so that copies tie; ties go
 to the smaller key. Vectors without a direction (null, empty, all zeros) are not searchable.
 
-Queries meet the index block by block, by one plan however many there are. The index is laid out in
-cells around pivots, rows of its own, about as many as the root of its rows. For a query, the k-th best pivot is a floor no result can fall below, and a cell whose nearest
-possible member lies under the floor is left out; what remains is an equality join of queries and
-cells. ``probes`` visits a fixed number of nearest cells instead, which is the approximate search.
-Cells and the queries visiting them are split into blocks of bounded size, so a cell holding a large
-part of the rows is many tasks, and a block pair hands on its k best rows per query, never its pairs.
+The index is laid out in the cells of a tree of pivots (``pivots``). Queries descend it level by level and leave
+out what cannot hold one of their k nearest; what remains is an equality join of queries and cells, by one
+plan however many queries there are. Cells and the queries visiting them are split into blocks of bounded size, so a
+cell holding a large part of the rows is many tasks, and a block pair hands on its k best rows per query,
+never its pairs. ``ann`` has the approximate search.
 """
 
 from __future__ import annotations
 
-import math
 import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subscope.operators.pivots import FAN, LEVELS, PLACES, Tree, descend, grow, within_reach
+from subscope.operators.vectors import matrix, packed, schema_with, slices, unit
 from subscope.settings import cut
 from subscope.sources.tables import read_table, write_table
 
-# The task functions below travel with the job, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PLACES = 9
-BLOCK_ROWS = 2048
-ROWS_AT_ONCE = 1024  # rows compared with all pivots in one go
-VISITS_AT_ONCE = 10_000  # rows per batch handed back to Spark
-SLACK = 1e-6  # radians added to a cell's radius, above any rounding of arccos
+QUERY_ROWS = 2048  # queries of a block
+LEAST_ROWS, MOST_ROWS = 2048, 32768  # rows of a block, by the size of the index
+SCORES_AT_ONCE = 1 << 23
+
+Score = Callable[[pa.Table, pa.Table], pa.Table]
 
 
 def search(
@@ -49,9 +47,8 @@ def search(
     vector: str = "embedding",
     match: str | None = None,
     where: Column | None = None,
-    probes: int | None = None,
-    max_cells: int | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """``query_id, pk, score, rank`` of the ``k`` nearest index rows of every query.
 
@@ -60,18 +57,18 @@ def search(
     """
     if where is not None:
         index = index.where(where)
+
+    def hits(asked: DataFrame, on: str | None) -> DataFrame:
+        layout = lay_out(index, pk, vector, on, k, block_rows)
+        return _visit(layout, queries_of(asked, query_id, vector, on), k, block_rows, query_rows)
+
     if match is None:
-        hits = _search(index, queries, k, pk, query_id, vector, None, probes, max_cells, block_rows)
-    else:
-        bound = queries.where(F.col(match).isNotNull())
-        free = queries.where(F.col(match).isNull())
-        hits = _search(index, bound, k, pk, query_id, vector, match, probes, max_cells, block_rows).unionByName(
-            _search(index, free, k, pk, query_id, vector, None, probes, max_cells, block_rows)
-        )
-    return _ranked(hits, k, query_id, pk)
+        return ranked(hits(queries, None), k, query_id, pk)
+    bound, free = queries.where(F.col(match).isNotNull()), queries.where(F.col(match).isNull())
+    return ranked(hits(bound, match).unionByName(hits(free, None)), k, query_id, pk)
 
 
-def _ranked(hits: DataFrame, k: int, query_id: str, pk: str) -> DataFrame:
+def ranked(hits: DataFrame, k: int, query_id: str, pk: str) -> DataFrame:
     best = Window.partitionBy("q").orderBy(F.desc("score"), "pk")
     return (
         hits.withColumn("rank", F.row_number().over(best))
@@ -80,26 +77,12 @@ def _ranked(hits: DataFrame, k: int, query_id: str, pk: str) -> DataFrame:
     )
 
 
-def _search(
-    index: DataFrame, queries: DataFrame, k: int, pk: str, query_id: str, vector: str,
-    match: str | None, probes: int | None, max_cells: int | None, block_rows: int,
-) -> DataFrame:
-    # Every cell a query visits is another copy of the query: exact search, which visits many, has
-    # cells the size of a block, approximate search has many smaller ones to choose from.
-    per_cell = block_rows if probes is None else None
-    layout = lay_out(index, pk, vector, match, k, max_cells, per_cell)
-    return _visit(layout, queries, k, query_id, vector, probes, block_rows)
-
-
 @dataclass(frozen=True)
 class Layout:
-    """An index in cells: ``cells`` holds ``pk, g, v, cell, angle``, ``g`` being the value of ``match``
-    and ``summary`` the size and radius of every cell. Good for up to ``k`` results per query."""
+    """An index in the cells of a tree, ``g`` being the value of ``match``, for up to ``k`` results per query."""
 
-    cells: DataFrame
-    summary: DataFrame
-    centres: np.ndarray
-    centre_groups: list
+    tree: Tree
+    block_rows: int
     pk: str
     match: str | None
     k: int
@@ -107,300 +90,140 @@ class Layout:
 
 def lay_out(
     index: DataFrame, pk: str, vector: str = "embedding", match: str | None = None, k: int = 10,
-    max_cells: int | None = None, per_cell: int | None = None,
+    block_rows: int | None = None, cell_rows: int | None = None,
 ) -> Layout:
-    """The index in cells of about ``per_cell`` rows, or as many cells as the root of its rows."""
+    """The index in cells of up to ``cell_rows`` rows, by default those of a block."""
     group = F.col(match) if match else F.lit(0)
     rows = index.select(
         F.col(pk).alias("pk"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
     ).where(F.col("g").isNotNull() & (F.size("v") > 0))
-    centres, centre_groups = choose_pivots(rows, k, max_cells, per_cell)
-    schema = _packed_schema(rows.schema, ("cell", T.IntegerType()), ("angle", T.DoubleType()))
-    if not len(centres):  # nothing searchable
-        nothing = index.sparkSession.createDataFrame([], schema)
-        return Layout(nothing, _summary(nothing), centres, centre_groups, pk, match, k)
-    placed = rows.mapInArrow(_assigner(centres), schema)
+    directed = rows.mapInArrow(_with_direction, schema_with(rows.schema))
     # Of equal vectors only the k smallest keys can ever be returned.
     copies = Window.partitionBy("g", "v").orderBy("pk")
-    kept = placed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
-    cells = cut(kept.drop("copy"))
-    return Layout(cells, _summary(cells), centres, centre_groups, pk, match, k)
+    kept = cut(directed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy"))
+    if block_rows is None:
+        block_rows = min(MOST_ROWS, max(LEAST_ROWS, kept.count() // 64))
+    return Layout(grow(kept, cell_rows or block_rows), block_rows, pk, match, k)
+
+
+def _with_direction(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        vectors = matrix(batch.column("v"))
+        _, good = unit(vectors)
+        columns = {name: batch.column(name) for name in batch.schema.names}
+        yield pa.RecordBatch.from_pydict({**columns, "v": packed(vectors)}).filter(pa.array(good))
+
+
+def queries_of(queries: DataFrame, query_id: str, vector: str, match: str | None) -> DataFrame:
+    """``q, g, v`` of the queries with a direction."""
+    # one group for all is a number that no optimizer folds into the plan, so joins on it stay equalities
+    group = F.col(match) if match else F.pmod(F.xxhash64(query_id), F.lit(1)).cast("int")
+    asks = queries.select(
+        F.col(query_id).alias("q"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
+    ).where(F.size("v") > 0)
+    return asks.mapInArrow(_with_direction, schema_with(asks.schema))
 
 
-def _summary(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("g", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius"))
+def _shelf() -> Column:
+    """The child of the root that a cell lies under: a number up to ``FAN``."""
+    at = F.col("cell")
+    for _ in range(LEVELS):
+        at = F.when(at > FAN, F.floor((at - 1) / FAN)).otherwise(at)
+    return at.cast("int")
 
 
 def store_layout(layout: Layout, path: str) -> None:
-    """Write a layout, a folder per cell, so that a search reads the cells it visits and no others."""
-    if not len(layout.centres):
+    """Write a layout, a folder for each child of the root, so that a search reads those it visits and no others."""
+    tree = layout.tree
+    if tree.cells.isEmpty():
         raise ValueError("the index has no searchable row to store")
-    spark = layout.cells.sparkSession
-    write_table(layout.cells, f"{path}/cells", partition_by=["cell"])
-    write_table(layout.summary, f"{path}/summary")
-    centres = [
-        (i, g, v.tolist()) for i, (g, v) in enumerate(zip(layout.centre_groups, layout.centres))
-    ]
-    schema = T.StructType([
-        T.StructField("i", T.IntegerType()), layout.cells.schema["g"], T.StructField("v", T.ArrayType(T.DoubleType())),
-    ])
-    write_table(spark.createDataFrame(centres, schema), f"{path}/centres")
-    about = [(layout.pk, layout.match, layout.k)]
-    write_table(spark.createDataFrame(about, "pk string, match string, k int"), f"{path}/about")
+    write_table(tree.cells.withColumn("shelf", _shelf()), f"{path}/cells", partition_by=["shelf"])
+    write_table(tree.tops, f"{path}/tops")
+    for i, level in enumerate(tree.levels):
+        write_table(level, f"{path}/level{i}")
+    about = [(layout.pk, layout.match, layout.k, layout.block_rows, len(tree.levels))]
+    write_table(
+        tree.cells.sparkSession.createDataFrame(about, "pk string, match string, k int, block_rows int, levels int"), f"{path}/about"
+    )
 
 
 def open_layout(spark: SparkSession, path: str) -> Layout:
     about = read_table(spark, f"{path}/about").first()
-    centres = read_table(spark, f"{path}/centres").orderBy("i").collect()  # the root of the row count
-    return Layout(
-        read_table(spark, f"{path}/cells"), read_table(spark, f"{path}/summary"),
-        np.array([row["v"] for row in centres] or np.empty((0, 1))), [row["g"] for row in centres],
-        about["pk"], about["match"], about["k"],
-    )
+    levels = tuple(read_table(spark, f"{path}/level{i}") for i in range(about["levels"]))
+    tree = Tree(read_table(spark, f"{path}/cells"), levels, read_table(spark, f"{path}/tops"))
+    return Layout(tree, about["block_rows"], about["pk"], about["match"], about["k"])
 
 
 def search_layout(
-    layout: Layout, queries: DataFrame, k: int, query_id: str, vector: str = "embedding",
-    probes: int | None = None, block_rows: int = BLOCK_ROWS,
+    layout: Layout, queries: DataFrame, k: int, query_id: str, vector: str = "embedding", query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """``search`` over an index laid out before. Its ``match`` column applies: a query with a value
     there ranks only the rows with that value, and one without finds nothing."""
     if k > layout.k:
         raise ValueError(f"the layout was made for {layout.k} results, not {k}")
-    hits = _visit(layout, queries, k, query_id, vector, probes, block_rows, stored=True)
-    return _ranked(hits, k, query_id, layout.pk)
+    asks = queries_of(queries, query_id, vector, layout.match)
+    return ranked(_visit(layout, asks, k, layout.block_rows, query_rows), k, query_id, layout.pk)
+
 
+def _visit(layout: Layout, asks: DataFrame, k: int, block_rows: int | None, query_rows: int) -> DataFrame:
+    visits = cut(descend(layout.tree, asks, within_reach(k)).select("q", "g", "v", F.col("child").alias("cell"), "n"))
+    return meet(visits, layout.tree.cells, ["v"], scorer(k), block_rows or layout.block_rows, query_rows)
 
-def _visit(
-    layout: Layout, queries: DataFrame, k: int, query_id: str, vector: str, probes: int | None, block_rows: int,
-    stored: bool = False,
+
+def meet(
+    visits: DataFrame, cells: DataFrame, told: list[str], score: Score, block_rows: int, query_rows: int = QUERY_ROWS
 ) -> DataFrame:
-    cells, match = layout.cells, layout.match
-    # one group for all is a number that no optimizer folds into the plan, so the joins below stay equalities
-    group = F.col(match) if match else F.pmod(F.xxhash64(query_id), F.lit(1)).cast("int")
-    asks = queries.select(
-        F.col(query_id).alias("q"), group.alias("g"), F.col(vector).cast("array<float>").alias("v")
-    ).where(F.size("v") > 0)
-    out = T.StructType([
-        T.StructField("q", asks.schema["q"].dataType),
-        T.StructField("pk", cells.schema["pk"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
-    if not len(layout.centres):
-        return cells.sparkSession.createDataFrame([], out)
-    # every query brings its group's cells along, no more than there are pivots
-    entries = F.collect_list(F.struct("cell", "n", "radius")).alias("cells")
-    asks = asks.join(layout.summary.groupBy("g").agg(entries), "g")
-    centre_groups = layout.centre_groups if match else None
-    choose = _Chooser(layout.centres, centre_groups, k, probes, block_rows)
-    extra = ("cell", T.IntegerType()), ("blocks", T.IntegerType())
-    visits = asks.mapInArrow(choose.visits, _packed_schema(asks.select("q", "g", "v").schema, *extra))
-    counted = T.StructType([asks.schema["g"]] + [
-        T.StructField(name, T.IntegerType()) for name in ("cell", "blocks", "n")
-    ])
-    # How many blocks of queries visit each cell, counted without moving any query.
-    load = asks.mapInArrow(choose.tally, counted).groupBy("g", "cell").agg(
-        F.ceil(F.sum("n") / block_rows).cast("int").alias("query_blocks"),
-        F.max("blocks").alias("row_blocks"),
-    )
-    if stored:  # the folders that are visited, no more than there are pivots, and no others are read
-        cells = cells.where(F.col("cell").isin([r["cell"] for r in load.select("cell").distinct().collect()]))
+    """``q, pk, score`` of what ``score`` makes of each block of a cell's queries and each block of its rows.
+
+    visits: ``q, g, v, cell, n`` and more columns that ``score`` reads, stored; told: the columns of the rows that it reads.
+    """
+    load = cut(visits.groupBy("g", "cell").agg(
+        F.ceil(F.count("*") / query_rows).cast("int").alias("query_blocks"), F.ceil(F.max("n") / block_rows).cast("int").alias("row_blocks"),
+    ))
+    if "shelf" in cells.columns:  # a stored layout: at most FAN + 1 folders, and those not visited are not read
+        visited = load.select(_shelf().alias("shelf")).distinct().collect()
+        cells = cells.where(F.col("shelf").isin([r["shelf"] for r in visited]))
     key = ["g", "cell", "query_block", "row_block"]
+    asked = [c for c in visits.columns if c not in ("g", "cell", "n")]
     left = (
         visits.join(load, ["g", "cell"])
         .withColumn("query_block", _block_of("q", "query_blocks"))
         .withColumn("row_block", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)))
-        .select(*key, "q", "v")
+        .select(*key, *asked)
     )
     right = (
         cells.join(load, ["g", "cell"])
         .withColumn("row_block", _block_of("pk", "row_blocks"))
         .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
-        .select(*key, "pk", "v")
+        .select(*key, "pk", *told)
     )
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_scorer(k), out)
+    out = T.StructType([
+        T.StructField("q", visits.schema["q"].dataType), T.StructField("pk", cells.schema["pk"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(score, out)
 
 
 def _block_of(key: str, blocks: str) -> Column:
     return F.pmod(F.xxhash64(key), F.col(blocks)).cast("int")
 
 
-def _packed_schema(schema: T.StructType, *extra: tuple[str, T.DataType]) -> T.StructType:
-    """``schema`` with ``v`` as the bytes of its floats, which move faster than an array of them, and
-    the extra fields."""
-    fields = [T.StructField("v", T.BinaryType()) if f.name == "v" else f for f in schema.fields]
-    return T.StructType(fields + [T.StructField(name, dtype) for name, dtype in extra])
+def hits_of(asks: pa.Table, rows: pa.Table, which: np.ndarray, at: np.ndarray, scores: np.ndarray) -> pa.Table:
+    return pa.table([asks["q"].take(pa.array(which)), rows["pk"].take(pa.array(at)), pa.array(scores)], names=["q", "pk", "score"])
 
 
-def choose_pivots(
-    rows: DataFrame, k: int, max_cells: int | None = None, per_cell: int | None = None
-) -> tuple[np.ndarray, list]:
-    """Unit vectors of some index rows, different from one another, and their groups.
-
-    Taken in hash order of the keys: a random choice that a rerun repeats. One for ``per_cell`` rows but
-    no more than about the root of the row count, at least ``k`` (``max_cells`` may ask for fewer); twice
-    that many are looked at, since copies and zeros drop out. The root of ten billion rows is 100,000
-    vectors, 50 MB of them at 64 dimensions.
-    """
-    n = rows.count()
-    wanted = max(k, math.isqrt(n) + 1 if per_cell is None else min(-(-n // per_cell), math.isqrt(n) + 1))
-    wanted = wanted if max_cells is None else min(wanted, max_cells)
-    found = rows.orderBy(F.xxhash64("pk"), "pk").limit(2 * wanted).select("g", "v").collect()
-    units, good = _unit(np.array([r["v"] for r in found] or np.empty((0, 1))))
-    groups = [r["g"] for r, ok in zip(found, good) if ok]
-    units = units[good]
-    _, first = np.unique(np.round(units, PLACES), axis=0, return_index=True)
-    first = np.sort(first)[:wanted]
-    return units[first], [groups[i] for i in first]
-
-
-def _unit(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The vectors in double at length one, and which of them have a direction at all."""
-    vectors = vectors.astype(np.float64)
-    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-    good = np.isfinite(norms) & (norms > 0)
-    return vectors / np.where(good, norms, 1.0)[:, None], good
-
-
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Float32 vectors, one per row, from arrays of floats or from their bytes."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
-        sizes = pc.binary_length(column)
-        values = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32)
-    else:
-        sizes = pc.list_value_length(column)
-        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
-    if pc.min(sizes) != pc.max(sizes):
-        raise ValueError("vectors differ in length")
-    return values.reshape(len(column), -1)
-
-
-def _packed(matrix: np.ndarray) -> pa.Array:
-    width = matrix.shape[1] * matrix.itemsize
-    offsets = np.arange(0, (len(matrix) + 1) * width, width, dtype=np.int32)
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(matrix))]
-    return pa.Array.from_buffers(pa.binary(), len(matrix), buffers)
-
-
-def _angles(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(units @ centres.T, -1.0, 1.0))
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
-
-
-def _assigner(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            vectors = _matrix(batch.column("v"))
-            units, good = _unit(vectors)
-            angles = _angles(units, centres)
-            cell = angles.argmin(axis=1)
-            nearest = angles[np.arange(len(cell)), cell]
-            columns = {name: batch.column(name) for name in ("pk", "g")}
-            columns |= {"v": _packed(vectors), "cell": pa.array(cell.astype(np.int32)), "angle": pa.array(nearest)}
-            yield pa.record_batch(columns).filter(pa.array(good))
-
-    return assign
-
-
-Cells = tuple[np.ndarray, np.ndarray, np.ndarray]  # cell, rows in it, its radius
-
-
-class _Chooser:
-    """Picks the cells each query visits."""
-
-    def __init__(
-        self, centres: np.ndarray, centre_groups: Sequence | None, k: int, probes: int | None,
-        block_rows: int,
-    ):
-        self.centres, self.centre_groups, self.k = centres, centre_groups, k
-        self.probes, self.block_rows = probes, block_rows
-
-    def _pick(
-        self, batch: pa.RecordBatch, vectors: np.ndarray
-    ) -> Iterator[tuple[object, np.ndarray, np.ndarray, np.ndarray]]:
-        """By group: rows of the batch, the cells they visit, and the blocks those cells have."""
-        units, good = _unit(vectors)
-        angles = _angles(units, self.centres)
-        for group, members, (cell, n, radius) in _groups(batch, good):
-            away = angles[np.ix_(members, cell)]
-            if self.probes is not None:
-                near = np.argsort(away, axis=1, kind="stable")[:, : self.probes]
-                which, at = np.repeat(np.arange(len(members)), near.shape[1]), near.ravel()
-            else:
-                reach = _reach(angles[members], group, self.centre_groups, self.k)
-                which, at = np.nonzero(away - radius - SLACK <= reach[:, None])
-            yield group, members[which], cell[at], -(-n[at] // self.block_rows)
-
-    def visits(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            vectors = _matrix(batch.column("v"))
-            for _, rows, cells, blocks in self._pick(batch, vectors):
-                for start in range(0, len(rows), VISITS_AT_ONCE):
-                    part = slice(start, start + VISITS_AT_ONCE)
-                    asked = pa.array(rows[part])
-                    yield pa.record_batch({
-                        "q": batch.column("q").take(asked),
-                        "g": batch.column("g").take(asked),
-                        "v": _packed(vectors[rows[part]]),
-                        "cell": pa.array(cells[part].astype(np.int32)),
-                        "blocks": pa.array(blocks[part].astype(np.int32)),
-                    })
-
-    def tally(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            for group, _, cells, blocks in self._pick(batch, _matrix(batch.column("v"))):
-                cell, first, n = np.unique(cells, return_index=True, return_counts=True)
-                yield pa.record_batch({
-                    "g": pa.array([group] * len(cell), batch.column("g").type),
-                    "cell": pa.array(cell.astype(np.int32)),
-                    "blocks": pa.array(blocks[first].astype(np.int32)),
-                    "n": pa.array(n.astype(np.int32)),
-                })
-
-
-def _groups(batch: pa.RecordBatch, good: np.ndarray) -> Iterator[tuple[object, np.ndarray, Cells]]:
-    """The searchable rows of a batch by group, with the group's cells, which each row brings along."""
-    groups = batch.column("g").to_pylist()
-    members: dict[object, list[int]] = {}
-    for i in np.flatnonzero(good):
-        members.setdefault(groups[i], []).append(i)
-    for group, rows in members.items():
-        brought = batch.column("cells")[rows[0]].values
-        fields = (brought.field(name) for name in ("cell", "n", "radius"))
-        yield group, np.array(rows), tuple(f.to_numpy(zero_copy_only=False) for f in fields)
-
-
-def _reach(angles: np.ndarray, group: object, centre_groups: Sequence | None, k: int) -> np.ndarray:
-    """Per query, the angle within which all ``k`` results lie: that of the k-th nearest pivot the
-    query may return, and of whatever rounds to the same score."""
-    if centre_groups is not None:
-        angles = angles[:, [g == group for g in centre_groups]]
-    if angles.shape[1] < k:
-        return np.full(len(angles), np.inf)
-    floor = np.cos(np.partition(angles, k - 1, axis=1)[:, k - 1]) - 2 * 10.0**-PLACES
-    return np.arccos(np.clip(floor, -1.0, 1.0)) + SLACK
-
-
-def _scorer(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def scorer(k: int) -> Score:
     def score(asks: pa.Table, rows: pa.Table) -> pa.Table:
-        names = ["q", "pk", "score"]
         if not asks.num_rows or not rows.num_rows:
-            none = asks["q"].slice(0, 0), rows["pk"].slice(0, 0), pa.array([], pa.float64())
-            return pa.table(none, names=names)
+            return pa.table([asks["q"].slice(0, 0), rows["pk"].slice(0, 0), pa.array([], pa.float64())], names=["q", "pk", "score"])
         rows = rows.sort_by("pk")  # so that, of equal scores, the leftmost has the smallest key
-        left, _ = _unit(_matrix(asks["v"]))
-        right, _ = _unit(_matrix(rows["v"]))
-        which, at, scores = _best(left, right, min(k, rows.num_rows))
-        return pa.table(
-            [asks["q"].take(pa.array(which)), rows["pk"].take(pa.array(at)), pa.array(scores)], names=names
-        )
+        left, _ = unit(matrix(asks["v"]))
+        right, _ = unit(matrix(rows["v"]))
+        parts, step = [], max(1, SCORES_AT_ONCE // len(right))
+        for start in range(0, len(left), step):
+            which, at, scores = _best(left[start : start + step], right, min(k, len(right)))
+            parts.append((which + start, at, scores))
+        return hits_of(asks, rows, *(np.concatenate(x) for x in zip(*parts)))
 
     return score
 

@@ -387,6 +387,8 @@ ORACLE: dict[str, str] = {
         SELECT user_id, CAST((SELECT count(DISTINCT plan) + count(DISTINCT state) + count(DISTINCT age_band)
                                      + count(DISTINCT main_device) + 9 FROM users) AS INTEGER) AS n_columns,
                4 AS n_levels_set FROM users"""),
+    "knn_ann": _search(5, "true"),
+    "ann_recall": f"SELECT count(*) AS n_expected, count(*) > 0 AS enough FROM ({_search(5, 'true')})",
     "knn_exact": _search(5, "true"),
     "search_filtered": _search(5, "q.label = i.label"),
     "knn_stored": _search(5, "true"),

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from subscope.operators import diff, index, knn
+from subscope.operators import ann, diff, index, knn, pivots
 from subscope.sources import generate
 from subscope.streaming import index_sync
 
@@ -101,10 +101,24 @@ def test_near_copies_tie_by_key(spark):
     same(found(hits), brute_force(rows, rows, 5))
 
 
-def test_few_cells_change_nothing(spark, vectors):
+def test_a_deep_tree_changes_nothing(spark, vectors):
     held, asked = frames(spark, vectors, vectors[:40])
-    hits = knn.search(held, asked, 3, pk="pk", query_id="query_id", max_cells=2)
-    same(found(hits), brute_force(vectors, vectors[:40], 3))
+    layout = knn.lay_out(held, "pk", k=3, block_rows=16, cell_rows=3)
+    assert len(layout.tree.levels) > 1
+    rows = layout.tree.cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius"))
+    nodes = layout.tree.levels[0].select(F.explode("children").alias("c")).select("c.*").where("leaf")
+    for r in nodes.join(rows.withColumnRenamed("n", "m").withColumnRenamed("radius", "r"), F.col("child") == F.col("cell")).collect():
+        assert (r["n"], r["radius"]) == (r["m"], r["r"])
+    same(found(knn.search_layout(layout, asked, 3, "query_id")), brute_force(vectors, vectors[:40], 3))
+
+
+def test_descent_leaves_cells_out(spark, vectors):
+    held, asked = frames(spark, vectors, vectors[1:3])
+    layout = knn.lay_out(held, "pk", k=3, cell_rows=8)
+    cells = layout.tree.cells.select("cell").distinct().count()
+    asks = knn.queries_of(asked, "query_id", "embedding", None)
+    visited = pivots.descend(layout.tree, asks, pivots.within_reach(3)).groupBy("q").count().collect()
+    assert len(visited) == 2 and all(r["count"] < cells / 2 for r in visited)
 
 
 def test_search_edges(spark):
@@ -127,9 +141,9 @@ def test_stored_layout_is_searched_by_cell(spark, vectors, tmp_path, match):
     hits = knn.search_layout(layout, asked, 6, "query_id")
     expected = brute_force(vectors, [v for v in vectors if v[2] is not None], 6, match=match is not None)
     same(found(hits), expected)
-    few = knn.search_layout(layout, asked.where("query_id = 1"), 6, "query_id", probes=2)
+    few = knn.search_layout(layout, asked.where("query_id = 1"), 6, "query_id")
     plan = few._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*cell#\d+ IN \(", plan), plan  # other cells are not read
+    assert re.search(r"PartitionFilters: \[[^\]]*shelf#\d+ ", plan), plan  # other folders are not read
     assert few.count() == 6
     with pytest.raises(ValueError, match="made for 8 results"):
         knn.search_layout(layout, asked, 9, "query_id")
@@ -144,13 +158,49 @@ def test_layout_of_nothing(spark, tmp_path):
         knn.store_layout(layout, f"{tmp_path}/layout")
 
 
-def test_approximate_search_recall(spark, vectors):
+@pytest.mark.parametrize("cell_rows", [None, 40])
+def test_approximate_search_recall(spark, vectors, cell_rows):
     held, asked = frames(spark, vectors, vectors)
     exact = knn.search(held, asked, 5, pk="pk", query_id="query_id")
-    few = knn.search(held, asked, 5, pk="pk", query_id="query_id", probes=4)
-    assert knn.recall(few, exact, "query_id", "pk").first()["recall"] > 0.7
-    every = knn.search(held, asked, 5, pk="pk", query_id="query_id", probes=10_000)
-    assert knn.recall(every, exact, "query_id", "pk").first()["recall"] == 1.0
+    codes = ann.encode(held, "pk", k=5, cell_rows=cell_rows, sample=200)
+    few = ann.search_codes(codes, asked, 5, "query_id")
+    assert few.schema == exact.schema
+    assert knn.recall(few, exact, "query_id", "pk").first()["recall"] > 0.95
+    by_pair = {(r.query_id, r.pk): r.score for r in knn.search(held, asked, 600, pk="pk", query_id="query_id").collect()}
+    assert all(by_pair[r.query_id, r.pk] == r.score for r in few.collect())  # scores are exact
+
+
+def test_approximate_search_of_vectors_without_structure(spark):
+    """Nothing can be ruled out by bounds here, and codes alone are not enough to rank by."""
+    draw = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v], None) for i, v in enumerate(np.float32(draw.normal(size=(3000, 32))))]
+    held, asked = frames(spark, rows, rows[:200])
+    exact = knn.search(held, asked, 5, pk="pk", query_id="query_id")
+    few = ann.search(held, asked, 5, pk="pk", query_id="query_id", cell_rows=100, sample=1000)
+    assert knn.recall(few, exact, "query_id", "pk").first()["recall"] >= 0.95
+
+
+def test_probing_follows_what_is_found(spark, vectors):
+    """Clustered rows need few cells, and a higher target never fewer."""
+    held, asked = frames(spark, vectors, vectors[1:60])
+    codes = ann.encode(held, "pk", k=5, cell_rows=20)
+    asks = knn.queries_of(asked, "query_id", "embedding", None)
+    cells = codes.cells.select("cell").distinct().count()
+    n = [pivots.descend(codes.layout.tree, asks, pivots.likely(5, t, codes.dimensions)).count() for t in (0.5, 0.98, 1.0)]
+    assert n[0] <= n[1] <= n[2] and n[1] < cells * asks.count()
+
+
+def test_approximate_search_edges(spark, vectors):
+    rows = [(1, [1.0, 0.0], "g"), (2, [0.0, 0.0], "g"), (3, [1.0, 0.0], "h"), (4, None, "h")]
+    held, asked = frames(spark, rows, [(10, [2.0, 0.0], "h"), (11, [0.0, 0.0], None), (12, None, None)])
+    assert found(ann.search(held, asked, 9, pk="pk", query_id="query_id")) == {10: [(1, 1.0), (3, 1.0)]}
+    assert found(ann.search(held, asked, 9, pk="pk", query_id="query_id", match="genre")) == {10: [(3, 1.0)]}
+    assert ann.search(held.limit(0), asked, 9, pk="pk", query_id="query_id").count() == 0
+    assert ann.search(held, asked.limit(0), 9, pk="pk", query_id="query_id").count() == 0
+    named, asked = frames(spark, [v for v in vectors if v[2]], [v for v in vectors if v[2]])
+    few = ann.search(named, asked, 4, pk="pk", query_id="query_id", match="genre", cell_rows=30)
+    exact = knn.search(named, asked, 4, pk="pk", query_id="query_id", match="genre")
+    assert knn.recall(few, exact, "query_id", "pk").first()["recall"] > 0.95
 
 
 def test_search_plan_has_no_pair_join(spark, vectors):

@@ -113,7 +113,7 @@ def test_hot_vector_meets_bounded_blocks(spark, monkeypatch):
         F.col("id").alias("pk"),
         F.when(F.col("id") % 3 == 0, copies).otherwise(other).cast("array<float>").alias("embedding"),
     )
-    plain = knn._scorer
+    plain = knn.scorer
 
     def watched(k):
         score = plain(k)
@@ -125,9 +125,9 @@ def test_hot_vector_meets_bounded_blocks(spark, monkeypatch):
 
         return run
 
-    monkeypatch.setattr(knn, "_scorer", watched)
+    monkeypatch.setattr(knn, "scorer", watched)
     hits = knn.search(
-        rows, rows.withColumnRenamed("pk", "query_id"), 4, pk="pk", query_id="query_id", block_rows=64
+        rows, rows.withColumnRenamed("pk", "query_id"), 4, pk="pk", query_id="query_id", block_rows=64, query_rows=64
     )
     found = hits.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "pk"))).alias("hits")).collect()
     assert sizes.value == 0
