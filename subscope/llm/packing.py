@@ -1,8 +1,10 @@
 """Documents as token pieces, packed into as few sequences of bounded length as can be found.
 
 Pieces are dealt at random into partitions of bounded size, each packed best fit decreasing. Dual
-feasible functions give a lower bound of the sequences any packing needs; where all partitions together
-stay above the bound, the pieces of their open sequences are exchanged and packed again.
+feasible functions give a lower bound of the sequences that any packing needs, of a partition and of all: a partition
+that meets its own is certified. Those with gaps exchange the pieces of their open sequences and pack
+them again. Once all are certified, what they still waste together is their last, half-filled sequences, whose
+pieces are then exchanged too, as far as the bound of all pieces isn't met.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from subscope.llm.spans import by_bytes
 from subscope.settings import cut
 
 CAPACITY = 4096
-PER_PARTITION = 250_000  # pieces packed together by one task
-ROUNDS = 6  # of exchange at most
+PER_PARTITION = 20_000  # pieces packed together by one task
+BATCH_BYTES = 3 << 20  # of text encoded at once
 _CLASSIC = 64  # members tried of the family that rounds multiples
 
 
@@ -39,7 +41,7 @@ def token_pieces(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer)
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=BATCH_BYTES):
             ids, bounds = tokens.encode(batch.column("text"))
             ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
             bounds = bounds + np.arange(len(bounds))
@@ -138,7 +140,7 @@ def _packed(pieces: DataFrame, n: int, stage: int, capacity: int) -> DataFrame:
 
 def pack(
     pieces: DataFrame, *, row: str = "row", length: str = "length", capacity: int = CAPACITY,
-    per_partition: int = PER_PARTITION, rounds: int = ROUNDS,
+    per_partition: int = PER_PARTITION,
 ) -> DataFrame:
     """Place every piece: ``row, sequence_id, offset``, offsets without gaps from 0 in each sequence.
 
@@ -146,7 +148,7 @@ def pack(
     are 1 to ``capacity`` (others are refused). An empty table gives an empty result.
 
     The only thing that reaches the driver is how many pieces there are of each length (at most
-    ``capacity`` numbers) and totals. A round of exchange is kept if it saves a sequence.
+    ``capacity`` numbers) and totals. Rounds of exchange go on while each saves a sequence.
     """
     sizes = pieces.select(F.col(row).alias("row"), F.col(length).cast("long").alias("length"))
     have = sizes.groupBy("length").count().limit(capacity + 2).collect()
@@ -156,18 +158,27 @@ def pack(
     counts = np.array([h["count"] for h in have], np.int64)
     least = lower_bound(lengths, counts, capacity)
     placed = cut(_packed(sizes, _partitions(int(counts.sum()), per_partition), 0, capacity))
-    used = placed.where("opens").count()
-    for stage in range(1, rounds + 1):
-        open_ones = placed.where("spare > 0")
-        n_open, bins_open = open_ones.agg(F.count("*"), F.count_if("opens")).first()
-        before = F.shiftright("sequence_id", 32)
-        if used <= least or open_ones.select(before).distinct().limit(2).count() < 2:
-            break  # certified as a whole, or one partition holds all that could be exchanged
+    used, stage, gaps = placed.where("opens").count(), 0, True
+    part = F.shiftright("sequence_id", 32)
+    while used > least:  # not certified as a whole
+        stage += 1
+        with_gaps = placed.where("not certified") if gaps else placed
+        if gaps and with_gaps.select(part).distinct().limit(2).count() < 2:
+            gaps = False
+            continue
+        open_ones = with_gaps.where("spare > 0")
+        n_open, bins_open, n_parts = open_ones.agg(F.count("*"), F.count_if("opens"), F.count_distinct(part)).first()
+        if n_parts < 2:
+            break  # one partition holds all that could be exchanged
         again = cut(_packed(open_ones, _partitions(n_open, per_partition), stage, capacity))
         saved = bins_open - again.where("opens").count()
-        if saved <= 0:
+        if saved > 0:
+            kept = placed.where("spare = 0") if not gaps else placed.where("spare = 0 or certified")
+            placed, used = cut(kept.unionByName(again)), used - saved
+        elif gaps:
+            gaps = False
+        else:
             break
-        placed, used = cut(placed.where("spare = 0").unionByName(again)), used - saved
     return placed.select(F.col("row").alias(row), "sequence_id", "offset")
 
 

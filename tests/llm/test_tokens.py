@@ -148,15 +148,29 @@ def test_packing(spark, awkward, small):
     assert check_packing(whole, 4096) == -(-sum(r["length"] for r in whole) // 4096)
 
 
-def test_exchange_saves_sequences(spark):
+def test_exchange_saves_sequences(spark, monkeypatch):
     lengths = np.random.default_rng(1).integers(1, 700, 3000).tolist()
     pieces = spark.createDataFrame(list(enumerate(lengths)), "row long, length long").repartition(4)
-    apart = packing.pack(pieces, capacity=1000, per_partition=100, rounds=0)
-    together = packing.pack(pieces, capacity=1000, per_partition=100)
-    joined = [df.join(pieces, "row").collect() for df in (apart, together)]
-    n = [check_packing(rows, 1000) for rows in joined]
+    rounds, pack = [], packing._packed
+
+    def watched(rows, n, stage, capacity):
+        made = pack(rows, n, stage, capacity)
+        rounds.append((rows, made))
+        return made
+
+    monkeypatch.setattr(packing, "_packed", watched)
+    found = packing.pack(pieces, capacity=1000, per_partition=100).join(pieces, "row").collect()
+    apart = {r.row: r for r in rounds[0][1].collect()}
+    parts = {}
+    for r in apart.values():
+        parts.setdefault(r.sequence_id >> 32, []).append(r)
+    for rows in parts.values():  # a certificate says that no packing of the partition needs fewer
+        bound = packing.lower_bound(*np.unique([r.length for r in rows], return_counts=True), 1000)
+        assert {r.certified for r in rows} == {sum(r.opens for r in rows) == bound}
+    gaps = {r.row for r in apart.values() if not r.certified and r.spare > 0}
+    assert gaps and {r.row for r in rounds[1][0].collect()} == gaps  # those exchange, and nothing else
     least = packing.lower_bound(*np.unique(lengths, return_counts=True), 1000)
-    assert least <= n[1] < n[0] and len(joined[1]) == 3000
+    assert least <= check_packing(found, 1000) < sum(r.opens for r in apart.values()) and len(found) == 3000
 
 
 def test_bounds_hold():
