@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from subscope.functions.bitmaps import mark, maybe_in
 from subscope.functions.hashing import row_hash
+from subscope.operators import text_index
 from subscope.operators.diff import DELETE, change_kind
 from subscope.operators.knn import search
 from subscope.settings import cut
@@ -172,10 +173,19 @@ def with_payload(hits: DataFrame, index: DataFrame, pk: str, columns: Sequence[s
     return hits.join(index.select(pk, *named), pk)
 
 
+def title_details() -> list[str | Column]:
+    """What a title is shown with: ten columns, the synopsis cut to 180 characters."""
+    return [
+        "title", "kind", "genre", "year", F.col("score_avg").alias("rating"), "director", "cast_names",
+        "duration_min", "seasons",
+        F.substring(F.coalesce("synopsis", F.lit("")), 1, SYNOPSIS_CHARS).alias("synopsis"),
+    ]
+
+
 def search_titles(
     index: DataFrame, queries: DataFrame, query_id: str, k: int = TITLE_HITS, genre: str | None = None, **options
 ) -> DataFrame:
-    """The titles that suit each query, with ten columns of details, the synopsis cut to 180 characters.
+    """The titles that suit each query, by their vectors, with ``title_details``.
 
     ``genre`` names a column of the queries: where it is set, only titles of that genre are ranked.
     """
@@ -183,12 +193,43 @@ def search_titles(
     hits = search(
         index, asked, k, pk="content_id", query_id=query_id, match="genre" if genre else None, **options
     )
-    details = [
-        "title", "kind", "genre", "year", F.col("score_avg").alias("rating"), "director", "cast_names",
-        "duration_min", "seasons",
-        F.substring(F.coalesce("synopsis", F.lit("")), 1, SYNOPSIS_CHARS).alias("synopsis"),
-    ]
-    return with_payload(hits, index, "content_id", details)
+    return with_payload(hits, index, "content_id", title_details())
+
+
+def find_titles(
+    titles: DataFrame, queries: DataFrame, query_id: str, k: int = TITLE_HITS, genre: str | None = None,
+    held: text_index.TextIndex | None = None,
+) -> DataFrame:
+    """``search_titles`` by the words of the synopsis: only titles that share a word with the query are found."""
+    held = held or text_index.build(titles, "content_id", "synopsis", group="genre")
+    hits = text_index.search(held, queries, k, query_id=query_id, group=genre).select(
+        F.col("q").alias(query_id), F.col("unit").alias("content_id"), "score", "rank"
+    )
+    return with_payload(hits, titles, "content_id", title_details())
+
+
+def find_articles(articles: DataFrame, queries: DataFrame, query_id: str, k: int = HELP_HITS) -> DataFrame:
+    """``query_id, doc_id, passage, score, rank, topic, body``: the articles that suit each query, each by its best passage.
+
+    An article of any length is cut into passages that overlap, and ranks by the one that suits best.
+    """
+    cut_up = cut(text_index.passages(articles, "doc_id", "body").withColumn("unit", F.struct("doc_id", "passage")))
+    held = text_index.build(cut_up, "unit", "body", pool="doc_id")
+    hits = text_index.search(held, queries, k, query_id=query_id)
+    return hits.join(cut_up, "unit").select(
+        F.col("q").alias(query_id), "doc_id", "passage", "score", "rank", F.col("title").alias("topic"), "body"
+    )
+
+
+def article_context(hits: DataFrame, query_id: str) -> DataFrame:
+    """``query_id, n_hits, context``: the hits of each query as one text, best first."""
+    part = F.struct("rank", F.concat_ws("\n", "topic", "body").alias("text"))
+    gathered = hits.groupBy(query_id).agg(
+        F.count("*").alias("n_hits"), F.sort_array(F.collect_list(part)).alias("parts")
+    )
+    return gathered.select(
+        query_id, "n_hits", F.array_join(F.transform("parts", lambda p: p["text"]), "\n\n").alias("context")
+    )
 
 
 def support_hits(
@@ -203,11 +244,4 @@ def support_context(
     index: DataFrame, queries: DataFrame, query_id: str, k: int = HELP_HITS, **options
 ) -> DataFrame:
     """``query_id, n_hits, context``: the ``k`` articles of each query as one text, best first."""
-    hits = support_hits(index, queries, query_id, k, **options)
-    part = F.struct("rank", F.concat_ws("\n", "topic", "body").alias("text"))
-    gathered = hits.groupBy(query_id).agg(
-        F.count("*").alias("n_hits"), F.sort_array(F.collect_list(part)).alias("parts")
-    )
-    return gathered.select(
-        query_id, "n_hits", F.array_join(F.transform("parts", lambda p: p["text"]), "\n\n").alias("context")
-    )
+    return article_context(support_hits(index, queries, query_id, k, **options), query_id)

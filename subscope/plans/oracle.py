@@ -237,6 +237,68 @@ def _search(k: int, condition: str) -> str:
     WHERE rank <= {k}"""
 
 
+TERM = r"[\p{L}\p{N}]+"
+ASKED = """
+said AS (SELECT concat_ws('-', conv_id, turn) AS q, text FROM conversations WHERE role = 'user')"""
+
+
+def _weights(name: str, texts: str, keys: str, n: str) -> str:
+    """Views ``{name}_terms`` (key, term, weight) and ``{name}_rare`` of whole-number weights."""
+    return f"""
+{name}_counts AS (
+  SELECT {keys}, term, CAST(length(bin(count(*))) AS BIGINT) AS bits
+  FROM (SELECT {keys}, unnest(regexp_extract_all(lower(coalesce(text, '')), '{TERM}')) AS term FROM {texts}) GROUP BY ALL),
+{name}_rare AS (
+  SELECT term, CAST(round(100 * ln(1 + CAST(({n}) AS DOUBLE) / count(*))) AS BIGINT) AS rarity FROM {name}_counts GROUP BY term),
+{name}_terms AS (SELECT {keys}, term, bits * rarity AS weight FROM {name}_counts JOIN {name}_rare USING (term)),
+{name}_squares AS (SELECT {keys}, CAST(sum(weight * weight) AS BIGINT) AS square FROM {name}_terms GROUP BY ALL HAVING sum(weight * weight) > 0)"""
+
+
+def _matches(name: str, keys: str, questions: str, condition: str = "true") -> str:
+    """View ``matches`` (q, key, score): all texts that share a term with a question."""
+    return f"""
+asked AS (
+  SELECT q, wanted, term, length(bin(count(*))) * rarity AS ask
+  FROM (SELECT q, wanted, unnest(regexp_extract_all(lower(coalesce(text, '')), '{TERM}')) AS term FROM {questions}) JOIN {name}_rare USING (term)
+  GROUP BY q, wanted, term, rarity),
+long AS (SELECT q, CAST(sum(ask * ask) AS BIGINT) AS long FROM asked GROUP BY q),
+dots AS (SELECT q, wanted, {keys}, CAST(sum(ask * weight) AS BIGINT) AS dot FROM asked JOIN {name}_terms USING (term) GROUP BY ALL),
+matches AS (
+  SELECT q, wanted, {keys}, CAST(dot AS DOUBLE) / (sqrt(CAST(long AS DOUBLE)) * sqrt(CAST(square AS DOUBLE))) AS score
+  FROM dots JOIN long USING (q) JOIN {name}_squares USING ({keys}) WHERE {condition})"""
+
+
+def _find_titles(questions: str, condition: str = "true", details: bool = True) -> str:
+    more = (
+        ", title, kind, genre, year, score_avg AS rating, director, cast_names, duration_min, seasons, "
+        "substr(coalesce(synopsis, ''), 1, 180) AS synopsis"
+    )
+    return f"""
+WITH titles AS ({_gen_titles()}),
+synopses AS (SELECT content_id, genre, synopsis AS text FROM titles), {ASKED},
+questions AS ({questions}), {_weights("t", "synopses", "content_id, genre", "SELECT count(*) FROM titles")},
+{_matches("t", "content_id, genre", "questions", condition)}
+SELECT query_id, content_id, score, rank{more if details else ""} FROM (
+  SELECT q AS query_id, content_id, score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, content_id) AS INTEGER) AS rank
+  FROM matches) JOIN titles USING (content_id) WHERE rank <= 6"""
+
+
+PASSAGES = """
+words AS (
+  SELECT doc_id, lang, list_filter(string_split_regex(coalesce(text, ''), '[ \\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+passages AS (
+  SELECT doc_id, lang, CAST(i * 60 AS INTEGER) AS passage, CAST(len(words[i * 60 + 1:i * 60 + 120]) AS INTEGER) AS n_words,
+         array_to_string(words[i * 60 + 1:i * 60 + 120], ' ') AS text
+  FROM words, unnest(range(CAST(greatest(0, ceil((len(words) - 120) / 60)) AS BIGINT) + 1)) AS t(i) WHERE len(words) > 0)"""
+SUPPORT = f"""
+WITH {PASSAGES}, {ASKED}, questions AS (SELECT q, CAST(NULL AS VARCHAR) AS wanted, text FROM said),
+{_weights("p", "passages", "doc_id, passage", "SELECT count(*) FROM passages")}, {_matches("p", "doc_id, passage", "questions")},
+firsts AS (SELECT * FROM matches QUALIFY row_number() OVER (PARTITION BY q, doc_id ORDER BY score DESC, passage) = 1),
+hits AS (
+  SELECT q AS query_id, doc_id, passage, score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM firsts QUALIFY rank <= 3)"""
+
+
 def _bands_of(table: str, score: str, band: str, model: str) -> str:
     total = f"CAST(sum(CAST(round_even({score} * 10000, 0) AS BIGINT)) AS HUGEINT)"
     return (
@@ -387,6 +449,19 @@ ORACLE: dict[str, str] = {
         SELECT user_id, CAST((SELECT count(DISTINCT plan) + count(DISTINCT state) + count(DISTINCT age_band)
                                      + count(DISTINCT main_device) + 9 FROM users) AS INTEGER) AS n_columns,
                4 AS n_levels_set FROM users"""),
+    "search_titles": _find_titles("SELECT q, CAST(NULL AS VARCHAR) AS wanted, text FROM said"),
+    "search_titles_by_synopsis": _find_titles(
+        "SELECT content_id AS q, CAST(NULL AS VARCHAR) AS wanted, synopsis AS text FROM titles", details=False
+    ),
+    "search_titles_by_genre": _find_titles(
+        f"SELECT q, nullif({_pick([*banks.GENRES, '', '', '', ''], 'asked', 'q')}, '') AS wanted, text FROM said",
+        "wanted IS NULL OR wanted = genre",
+    ),
+    "support_hits": SUPPORT + " SELECT * FROM hits",
+    "support_context": SUPPORT + """
+        SELECT query_id, count(*) AS n_hits, string_agg(concat_ws(chr(10), lang, text), chr(10) || chr(10) ORDER BY rank) AS context
+        FROM hits JOIN passages USING (doc_id, passage) GROUP BY query_id""",
+    "article_passages": f"WITH {PASSAGES} SELECT doc_id, passage, n_words, text AS body FROM passages",
     "knn_ann": _search(5, "true"),
     "ann_recall": f"SELECT count(*) AS n_expected, count(*) > 0 AS enough FROM ({_search(5, 'true')})",
     "knn_exact": _search(5, "true"),

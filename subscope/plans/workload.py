@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from subscope.functions.content import flatten_content
 from subscope.functions.draws import hash_uniform, padded_key, pick
 from subscope.functions.scoring import band, round_score
-from subscope.operators import ann, chat, diff, evaluation, features, index, knn, models, quality, ranking
+from subscope.operators import ann, chat, diff, evaluation, features, index, knn, models, quality, ranking, text_index
 from subscope.plans import metrics
 from subscope.settings import ACTIVE, BAND_EDGES, RISK_BANDS, Settings, cut, shared_folder
 from subscope.sources import banks, generate, proxy, tables
@@ -509,35 +509,45 @@ def _user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select(query_id.alias("query_id"), "text")
 
 
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut(generate.titles_for(_keys(spark, sf_dir, "part", "p_partkey"), PORTABLE))
+
+
 def search_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = generate.titles_for(_keys(spark, sf_dir, "part", "p_partkey"), PORTABLE)
-    embedder = index.TextEmbedder.fit(titles, "synopsis")
-    held = cut(index.build_index(titles, "content_id", text_col="synopsis", embedder=embedder))
-    asked = embedder.embed(_user_turns(spark, sf_dir), "text")
-    return index.search_titles(held, asked, "query_id")
+    return index.find_titles(_titles(spark, sf_dir), _user_turns(spark, sf_dir), "query_id")
+
+
+def search_titles_by_synopsis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles like a title: every synopsis asks for the titles nearest to it."""
+    titles = _titles(spark, sf_dir)
+    asked = titles.select(F.col("content_id").alias("query_id"), F.col("synopsis").alias("text"))
+    return index.find_titles(titles, asked, "query_id").select("query_id", "content_id", "score", "rank")
 
 
 def search_titles_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each message names a genre drawn from its id; one message in six or so names none."""
-    titles = generate.titles_for(_keys(spark, sf_dir, "part", "p_partkey"), PORTABLE)
-    embedder = index.TextEmbedder.fit(titles, "synopsis")
-    held = cut(index.build_index(titles, "content_id", text_col="synopsis", embedder=embedder))
     wanted = pick([*banks.GENRES, "", "", "", ""], "asked", "query_id", PORTABLE)
-    asked = embedder.embed(_user_turns(spark, sf_dir), "text").withColumn(
-        "wanted", F.nullif(wanted, F.lit(""))
-    )
-    return index.search_titles(held, asked, "query_id", genre="wanted")
+    asked = _user_turns(spark, sf_dir).withColumn("wanted", F.nullif(wanted, F.lit("")))
+    return index.find_titles(_titles(spark, sf_dir), asked, "query_id", genre="wanted")
 
 
-def support_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents stand in for help articles, their language for the topic."""
-    articles = _documents(spark, sf_dir).select(
-        "doc_id", F.col("lang").alias("title"), F.col("text").alias("body")
-    )
-    embedder = index.TextEmbedder.fit(articles, "body")
-    held = cut(index.build_index(articles, "doc_id", text_col="body", embedder=embedder))
-    asked = embedder.embed(_user_turns(spark, sf_dir), "text")
-    return index.support_context(held, asked, "query_id")
+    return _documents(spark, sf_dir).select("doc_id", F.col("lang").alias("title"), F.col("text").alias("body"))
+
+
+def support_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = index.find_articles(_articles(spark, sf_dir), _user_turns(spark, sf_dir), "query_id")
+    return found.select("query_id", "doc_id", "passage", "score", "rank")
+
+
+def support_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = index.find_articles(_articles(spark, sf_dir), _user_turns(spark, sf_dir), "query_id")
+    return index.article_context(found, "query_id")
+
+
+def article_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_index.passages(_articles(spark, sf_dir), "doc_id", "body").drop("title")
 
 
 # --- conversations ---
@@ -642,7 +652,10 @@ QUERIES: dict[str, Query] = {
     "index_sync_stream": index_sync_stream,
     "search_titles": search_titles,
     "search_titles_by_genre": search_titles_by_genre,
+    "search_titles_by_synopsis": search_titles_by_synopsis,
+    "support_hits": support_hits,
     "support_context": support_context,
+    "article_passages": article_passages,
     "flatten_content": flatten,
     "normalize_roles": normalize_roles,
     "chat_messages": chat_messages,
