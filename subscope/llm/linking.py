@@ -6,8 +6,9 @@ A second odd sketch, of the whole set, tells almost exactly where sets just miss
 never differ in more bits than their sets have differing members, so it rejects no similar pair.
 
 Sets that meet in a band are first compared with one of their bucket alone, which joins a large group
-with as many comparisons as it has members. What is still apart and meets in a bucket is then compared
-across, in the join itself, so pairs that the sketches rule out are never rows.
+with as many comparisons as it has members. Where a bucket still holds several components, a task compares
+their sketches, block by block, and hands on the likeliest pair of each two components; only where that one isn't similar
+are their other pairs looked at, those that the sketches leave open. So what sketches can tell is never a row.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from subscope.llm.stage import stored
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MOST = np.uint64(2**64 - 1)
+BLOCK_NODES = 4096  # of a bucket, compared with as many others in one go
+PAIRS_AT_ONCE = 1 << 17
 
 Confirm = Callable[[DataFrame], DataFrame]
 
@@ -175,13 +178,20 @@ def links(signed: DataFrame, confirm: Confirm, shape: Shape, percent: int) -> Da
     found = stored(confirm(stored(star.where(_alike(shape, percent)).select("a", "b"))))
 
     # what is still apart, compared where it meets: the likeliest pair of two components, then the others
+    sketches = sketches.drop("bands")
     labels = components(found)
-    across = stored(_across(members, sketches, labels, shape, percent))
-    pairs = _apart(across, labels)
-    best = pairs.groupBy("label_a", "label_b").agg(F.min_by(F.struct("a", "b"), "bits").alias("p")).select("p.*")
-    found = stored(found.unionByName(confirm(stored(best))))
-    pairs = stored(_apart(across, components(found)).select("a", "b"))
-    return found if pairs.isEmpty() else stored(found.unionByName(confirm(pairs)))
+    best = stored(_across(members, sketches, labels, shape, percent, every=False))
+    if best.isEmpty():
+        return found
+    found = stored(found.unionByName(confirm(best.select("a", "b"))))
+    labels = components(found)
+    left = stored(_apart(best, labels))
+    if left.isEmpty():
+        return found
+    doubtful = left.select(F.col("label_a").alias("label")).unionByName(left.select(F.col("label_b").alias("label"))).distinct()
+    others = _across(members, sketches, labels, shape, percent, every=True, among=stored(doubtful))
+    others = stored(others.select("a", "b").distinct().join(best.select("a", "b"), ["a", "b"], "left_anti"))
+    return found if others.isEmpty() else stored(found.unionByName(confirm(others)))
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
@@ -190,17 +200,95 @@ def _labelled(nodes: DataFrame, labels: DataFrame, node: str, label: str) -> Dat
     return held.withColumn(label, F.coalesce("_label", node)).drop("_label")
 
 
-def _across(members: DataFrame, sketches: DataFrame, labels: DataFrame, shape: Shape, percent: int) -> DataFrame:
-    """Pairs of one bucket and two components that sizes and sketches allow, with the bits they differ in."""
-    labelled = stored(_labelled(members.select("bucket", "node"), labels, "node", "label"))
-    split = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ones = labelled.join(split.where("low < high").select("bucket"), "bucket").select("bucket", "label", "node")
-    open_ones = stored(open_ones.join(sketches, "node"))
-    a, b = (_ends(open_ones, end) for end in ("a", "b"))
-    met = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("label_a") < F.col("label_b")) & _alike(shape, percent)
-    # a pair that meets in several buckets is a row in the first of them
-    here = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == F.col("bucket_a")
-    return a.join(b, met & here).select("a", "b", _bits_apart("sketch", shape.sketch).alias("bits"))
+def _across(
+    members: DataFrame, sketches: DataFrame, labels: DataFrame, shape: Shape, percent: int, *, every: bool, among: DataFrame | None = None
+) -> DataFrame:
+    """Pairs ``a, b`` of one bucket and two components that sizes and sketches allow: the likeliest of each two
+    components, or every one, of the components ``among``."""
+    labelled = _labelled(members.select("bucket", "node"), labels, "node", "label")
+    if among is not None:
+        labelled = maybe_in(labelled, among, "label").join(among, "label")
+    labelled = stored(labelled)
+    split = labelled.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks")
+    ).where("low < high").select("bucket", "blocks")
+    open_ones = labelled.join(split, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a block of a bucket meets itself and each other one in a run of rows of their own
+    each = open_ones.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "label", "own", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("run"),
+        (F.col("own") == F.col("other")).alias("alone"),
+    )
+    held = each.join(sketches, "node").repartition("run").sortWithinPartitions("run")
+    told = ["run", "node", "label", "own", "alone", "size", "sketch", *(["parity"] if shape.parity else [])]
+    pairs = held.select(*told).mapInArrow(_compare(shape, percent, every), "a long, b long, label_a long, label_b long, bits int")
+    if every:
+        return pairs
+    return pairs.groupBy("label_a", "label_b").agg(F.min_by(F.struct("a", "b"), F.struct("bits", "a", "b")).alias("p")).select("p.*")
+
+
+def _compare(shape: Shape, percent: int, every: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Compares the rows of each run, which lie side by side; a run that goes on in the next batch waits for it."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            run = batch.column("run").to_numpy()
+            if held and run[0] == run[-1] == held[-1].column("run")[-1].as_py():
+                held.append(batch)
+                continue
+            last = int(np.searchsorted(run, run[-1]))
+            yield from _run_pairs(pa.Table.from_batches([*held, batch.slice(0, last)]), shape, percent, every)
+            held = [batch.slice(last)]
+        if held:
+            yield from _run_pairs(pa.Table.from_batches(held), shape, percent, every)
+
+    return compare
+
+
+def _words(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    return column.flatten().to_numpy().view(np.uint64).reshape(len(column), -1)
+
+
+def _run_pairs(rows: pa.Table, shape: Shape, percent: int, every: bool) -> Iterator[pa.RecordBatch]:
+    if rows.num_rows < 2:
+        return
+    run, node, label, own = (rows[c].to_numpy() for c in ("run", "node", "label", "own"))
+    alone = rows["alone"].to_numpy()
+    size = rows["size"].to_numpy()
+    sketch = _words(rows["sketch"])
+    parity = _words(rows["parity"]) if shape.parity else None
+    most = shape.most_bits_apart(percent)
+    later = np.searchsorted(run, run, "right") - np.arange(len(run)) - 1  # rows of the run after each
+    total = np.concatenate([[0], np.cumsum(later)])
+    for first in range(0, int(total[-1]), PAIRS_AT_ONCE):
+        at = np.arange(first, min(first + PAIRS_AT_ONCE, int(total[-1])))
+        a = np.searchsorted(total, at, "right") - 1
+        b = a + 1 + at - total[a]
+        kept = (label[a] != label[b]) & ((own[a] != own[b]) | alone[a])
+        with np.errstate(invalid="ignore"):  # a size that isn't known rules nothing out
+            kept &= ~((100 * size[a] < percent * size[b]) | (100 * size[b] < percent * size[a]))
+        a, b = a[kept], b[kept]
+        bits = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int32)
+        kept = bits <= most
+        a, b, bits = a[kept], b[kept], bits[kept]
+        if parity is not None:
+            apart = np.bitwise_count(parity[a] ^ parity[b]).sum(1, dtype=np.int64)
+            kept = (100 + percent) * apart <= (100 - percent) * (size[a] + size[b])
+            a, b, bits = a[kept], b[kept], bits[kept]
+        swap = label[a] > label[b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        if not every:  # the likeliest pair of two components
+            order = np.lexsort((node[b], node[a], bits, label[b], label[a]))
+            a, b, bits = a[order], b[order], bits[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (label[a[1:]] != label[a[:-1]]) | (label[b[1:]] != label[b[:-1]])
+            a, b, bits = a[new], b[new], bits[new]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (node[a], node[b], label[a], label[b], bits)], names=["a", "b", "label_a", "label_b", "bits"]
+        )
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
