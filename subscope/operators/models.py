@@ -24,6 +24,7 @@ NUMERIC = (
     "recency_days", "tenure_days",
 )
 ROUNDS, LEARNING_RATE, SEED, TEST_SHARE = 200, 0.1, 42, 0.25
+PARTITION_ROWS = 50_000  # of training; every tree is several jobs, whose tasks should have something to do
 SPLIT_BUCKETS = 65536
 
 
@@ -130,9 +131,11 @@ def feature_stages(spec: ModelSpec) -> list:
 
 
 def fit(train: DataFrame, spec: ModelSpec, rounds: int = ROUNDS, **options) -> PipelineModel:
-    """Fit on rows from ``targets``. The trees' intermediate state is checkpointed in the shared
-    folder every ten rounds."""
+    """Fit on rows from ``targets``, which are stored once, in partitions of ``PARTITION_ROWS`` rows or more. The
+    trees' intermediate state is checkpointed in the shared folder every ten rounds."""
     shared_folder(train.sparkSession)
+    held = cut(train.select(*spec.categorical, *spec.numeric, "label"))
+    train = held.coalesce(max(1, -(-held.count() // PARTITION_ROWS)))
     booster = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=rounds, stepSize=LEARNING_RATE, seed=SEED,
         checkpointInterval=10, **options,

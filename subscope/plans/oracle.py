@@ -437,22 +437,40 @@ ORACLE: dict[str, str] = {
         SELECT label, split, count(*) AS n_rows FROM parted GROUP BY label, split"""),
     "split_rows": _with(USERS, SPLIT, query="SELECT user_id, label, split FROM parted"),
     "score_rules_churn": _with(USERS, query="""
-        SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows FROM users"""),
+        SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows, TRUE AS follows_from_nodes FROM users"""),
     "score_rules_upgrade": _with(USERS, query="""
-        SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows FROM users WHERE plan = 'Free'"""),
+        SELECT user_id, plan, TRUE AS in_range, TRUE AS band_follows, TRUE AS follows_from_nodes FROM users WHERE plan = 'Free'"""),
     "upgrade_held_out": _with(USERS, query="""
         SELECT CAST(floor(count(*) FILTER (plan <> 'Free') * 0.25e0 + 0.5e0) AS BIGINT) AS n_positive,
                CAST(floor(count(*) FILTER (plan = 'Free') * 0.25e0 + 0.5e0) AS BIGINT) AS n_negative,
-               TRUE AS in_range
+               TRUE AS auc_agrees
         FROM users"""),
+    "onehot_positions": _with(USERS, query="""
+        , levels AS (SELECT count(DISTINCT plan) AS p, count(DISTINCT state) AS s, count(DISTINCT age_band) AS a FROM users)
+        SELECT user_id, CAST(dense_rank() OVER (ORDER BY plan) - 1 AS INTEGER) AS plan_at,
+               CAST(p + dense_rank() OVER (ORDER BY state) - 1 AS INTEGER) AS state_at,
+               CAST(p + s + dense_rank() OVER (ORDER BY age_band) - 1 AS INTEGER) AS age_band_at,
+               CAST(p + s + a + dense_rank() OVER (ORDER BY main_device) - 1 AS INTEGER) AS main_device_at
+        FROM users, levels"""),
+    "user_features_fed": _with(USERS, TITLES, PLAYS, FEATURES, query="SELECT * FROM user_features"),
+    "dq_unique_feed": _with(TITLES, query="""
+        SELECT title, genre, count(*) AS n_rows FROM titles GROUP BY title, genre HAVING count(*) > 1"""),
+    "dq_orphans_feed": _with(TITLES, PLAYS, query="""
+        SELECT content_id, count(*) AS n_rows FROM plays
+        WHERE content_id NOT IN (SELECT content_id FROM titles) GROUP BY content_id"""),
+    "replaced_table": _with(USERS, SCORED, CHURN_SCORES, query="SELECT * FROM churn_scores"),
+    "table_preview": _with(TITLES, query="""
+        SELECT content_id, title, genre, kind FROM titles ORDER BY genre, title, content_id LIMIT 10"""),
+    "result_envelope_cut": _with(USERS, query="""
+        , counts AS (SELECT state, plan, count(*) AS n FROM users GROUP BY state, plan ORDER BY n DESC, state, plan LIMIT 50)
+        SELECT '{"colunas":["state","plan","n"],"linhas":['
+               || string_agg('["' || state || '","' || plan || '","' || n || '"]', ',' ORDER BY n DESC, state, plan) || ']}' AS envelope
+        FROM counts"""),
     "onehot_features": _with(USERS, query="""
         SELECT user_id, CAST((SELECT count(DISTINCT plan) + count(DISTINCT state) + count(DISTINCT age_band)
                                      + count(DISTINCT main_device) + 9 FROM users) AS INTEGER) AS n_columns,
                4 AS n_levels_set FROM users"""),
     "search_titles": _find_titles("SELECT q, CAST(NULL AS VARCHAR) AS wanted, text FROM said"),
-    "search_titles_by_synopsis": _find_titles(
-        "SELECT content_id AS q, CAST(NULL AS VARCHAR) AS wanted, synopsis AS text FROM titles", details=False
-    ),
     "search_titles_by_genre": _find_titles(
         f"SELECT q, nullif({_pick([*banks.GENRES, '', '', '', ''], 'asked', 'q')}, '') AS wanted, text FROM said",
         "wanted IS NULL OR wanted = genre",

@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from subscope.operators import features, index, models
-from subscope.settings import Settings
+from subscope.settings import Settings, cut
 from subscope.sources import generate
-from subscope.sources.tables import ensure_schema, read_table, write_table
+from subscope.sources.tables import ensure_schema, path_exists, read_table, write_table
 
 TABLES = (
     "titles", "users", "plays", "help_articles", "user_features", "churn_scores", "upgrade_scores",
@@ -57,17 +57,27 @@ def train_and_score(
 def build_indexes(
     spark: SparkSession, place: Settings, embedders_path: str | None = None
 ) -> dict[str, index.TextEmbedder]:
-    """Titles by their synopsis, help articles by their body. The embedders, which queries need too,
-    are returned, and saved if a folder is given."""
+    """Titles by their synopsis, help articles by their body: created, or brought level where they are there.
+
+    The embedders, which queries need too, are returned, and kept in ``embedders_path`` if a folder is
+    given. An index whose embedder is kept there is brought level by it: only rows that are new or have changed are
+    embedded. Without it the index is made anew.
+    """
     made = {}
     for source, pk, text in (("titles", "content_id", "synopsis"), ("help_articles", "doc_id", "body")):
         rows = read_table(spark, place.table(source))
         name = source.removesuffix("_articles")
+        target, kept = place.table(f"{name}_index"), embedders_path and f"{embedders_path}/{name}"
+        if kept and spark.catalog.tableExists(target) and path_exists(spark, kept):
+            made[name] = index.TextEmbedder.load(kept)
+            # the table is read while it is replaced, so what will be in it is stored first
+            level = cut(index.sync_index(read_table(spark, target), rows, pk, text_col=text, embedder=made[name]))
+            write_table(level, target)
+            continue
         made[name] = index.TextEmbedder.fit(rows, text)
-        built = index.build_index(rows, pk, text_col=text, embedder=made[name])
-        write_table(built, place.table(f"{name}_index"))
-        if embedders_path is not None:
-            made[name].save(f"{embedders_path}/{name}")
+        write_table(index.build_index(rows, pk, text_col=text, embedder=made[name]), target)
+        if kept:
+            made[name].save(kept)
     return made
 
 

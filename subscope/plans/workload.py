@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from subscope.functions.content import flatten_content
 from subscope.functions.draws import hash_uniform, padded_key, pick
 from subscope.functions.scoring import band, round_score
-from subscope.operators import ann, chat, diff, evaluation, features, index, knn, models, quality, ranking, text_index
+from subscope.operators import ann, chat, diff, evaluation, features, index, knn, models, quality, ranking, text_index, trees
 from subscope.plans import metrics
 from subscope.settings import ACTIVE, BAND_EDGES, RISK_BANDS, Settings, cut, shared_folder
 from subscope.sources import banks, generate, proxy, tables
@@ -25,6 +25,7 @@ PORTABLE = "md5"
 PLAYS_PER_USER = generate.N_PLAYS / generate.N_USERS
 SYSTEM_TEXT = "Responda em português do Brasil, apenas com o que as ferramentas trouxerem."
 GRADED_CHARS = 500
+FEED_DAY = "2024-01-16"  # some plays come before it, some after
 
 
 class Warehouse(Mapping[str, DataFrame]):
@@ -128,6 +129,57 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def dq_unique_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checked table of films, to which series are added: only what is added is checked."""
+    titles, folder = proxy.titles(spark, sf_dir), _run_folder(spark, "checked")
+    held = tables.write_table(titles.where("kind = 'Filme'"), f"{folder}/titles")
+    state = quality.checked_unique(held, ["title", "genre"])
+    state = quality.CheckedKeys(
+        tables.write_table(state.bits, f"{folder}/bits"), tables.write_table(state.violations, f"{folder}/violations")
+    )
+    return quality.check_unique_feed(held, state, titles.where("kind <> 'Filme'"), ["title", "genre"])
+
+
+def dq_orphans_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays whose references have been checked up to a day, and the plays since."""
+    held = Warehouse(spark, sf_dir)
+    earlier, later = _feeds(held["plays"])
+    state = quality.checked_reference(earlier, held["titles"], "content_id")
+    return quality.check_foreign_key_feed(state, held["titles"], later, "content_id")
+
+
+def _feeds(plays: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The plays before a day and since."""
+    return plays.where(F.col("ts") < FEED_DAY), plays.where(F.col("ts") >= FEED_DAY)
+
+
+def user_features_fed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features kept as state: the plays up to a day are taken in and stored, then those since."""
+    held, folder = Warehouse(spark, sf_dir), _run_folder(spark, "state")
+    earlier, later = (features.engagement_state(feed, held["titles"]) for feed in _feeds(held["plays"]))
+    kept = tables.write_table(earlier, f"{folder}/earlier")
+    level = tables.write_table(features.merge_states(kept, later), f"{folder}/later")
+    return features.features_of(held["users"], level, AS_OF)
+
+
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by one with other columns."""
+    held, target = Warehouse(spark, sf_dir), f"{_run_folder(spark, 'replaced')}/t"
+    tables.write_table(held["users"], target)
+    return tables.write_table(held["churn_scores"], target)
+
+
+def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = proxy.titles(spark, sf_dir).select("content_id", "title", "genre", "kind")
+    return tables.preview(shown, 10, ["genre", "title", "content_id"])
+
+
+def result_envelope_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows than an envelope takes."""
+    counts = Warehouse(spark, sf_dir)["users"].groupBy("state", "plan").agg(F.count("*").alias("n"))
+    return ranking.result_envelope(counts, [F.desc("n"), "state", "plan"])
+
+
 TURN = "1997-06-01"  # some customers order on both sides of it, some on one
 
 
@@ -294,15 +346,19 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.split(rows, "user_id", mode=PORTABLE)
 
 
-_MODELS: dict[tuple[str, str, str], str] = {}  # where this session has stored each model
+_MODELS: dict[tuple, str] = {}  # where this session has stored each model
 
 
 def _trained(spark: SparkSession, sf_dir: str, spec: models.ModelSpec):
-    """The stored model, loaded, and the stored rows it was made from; trained when first asked for."""
-    made = (spark.sparkContext.applicationId, sf_dir, spec.name)
+    """The stored model, loaded, and the stored rows it was made from; trained when first asked for.
+
+    A model is known by the files that its features come from, with their times and sizes: it is trained anew for other data.
+    """
+    read = Warehouse(spark, sf_dir)["user_features"]
+    made = (spark.sparkContext.applicationId, spec.name, *tables.file_versions(read))
     if made not in _MODELS:
         folder = _run_folder(spark, spec.name)
-        rows = models.split(models.targets(Warehouse(spark, sf_dir)["user_features"], spec), "user_id")
+        rows = models.split(models.targets(read, spec), "user_id")
         rows = tables.write_table(rows, f"{folder}/rows")
         models.save(models.fit(rows.where(F.col("split") == "train"), spec), f"{folder}/model")
         _MODELS[made] = folder
@@ -325,6 +381,19 @@ def onehot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def onehot_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which columns of the encoded features are set for each user, in ascending order."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    rows = models.targets(Warehouse(spark, sf_dir)["user_features"], models.CHURN)
+    encoded = Pipeline(stages=models.feature_stages(models.CHURN)).fit(rows).transform(rows)
+    values = vector_to_array("features")
+    levels = F.slice(values, F.lit(1), F.size(values) - len(models.CHURN.numeric))
+    at = F.filter(F.transform(levels, lambda x, i: F.when(x == 1, i)), lambda i: i.isNotNull())
+    return encoded.select("user_id", *[at[i].alias(f"{c}_at") for i, c in enumerate(models.CHURN.categorical)])
+
+
 def _importances(spec: models.ModelSpec) -> Query:
     return lambda spark, sf_dir: models.importances(_trained(spark, sf_dir, spec)[0], spec)
 
@@ -354,28 +423,39 @@ def _metrics(spec: models.ModelSpec) -> Query:
 
 
 def _score_rules(spec: models.ModelSpec) -> Query:
-    """Whom a model scores, and whether each score lies in 0 to 1 and has its band."""
+    """Whom a model scores, whether each score lies in 0 to 1 and has its band, and whether the table of the trees'
+    nodes gives the same."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         model, rows = _trained(spark, sf_dir, spec)
         score, named = F.col(spec.score_col), F.col(spec.band_col)
         # the band is taken before rounding, which can move a score onto an edge
         follows = (named == band(score, spec.bands)) | score.isin(*BAND_EDGES)
-        return models.score(model, rows, spec).select(
-            "user_id", "plan", score.between(0, 1).alias("in_range"), follows.alias("band_follows")
+        encoded = rows
+        for step in model.stages[:-1]:
+            encoded = step.transform(encoded)
+        nodes = trees.nodes_of(model, _run_folder(spark, "trees"))
+        again = trees.score_by_nodes(encoded.select("user_id", "features"), nodes, "again").select("user_id", "again")
+        return models.score(model, rows, spec).join(again, "user_id").select(
+            "user_id", "plan", score.between(0, 1).alias("in_range"), follows.alias("band_follows"),
+            (F.abs(F.col("again") - score) <= 0.5001e-4).alias("follows_from_nodes"),
         )
 
     return run
 
 
 def _held_out(spec: models.ModelSpec) -> Query:
-    """Held-out rows by label, and whether the AUC over them lies in 0 to 1. (A floor above chance would
-    not hold here: plans in these tables follow an account balance that no feature knows.)"""
+    """Held-out rows by label, and whether the AUC over them is the one that Spark's evaluator finds."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
         model, rows = _trained(spark, sf_dir, spec)
-        auc, _ = models.evaluate(model, rows.where(F.col("split") == "test"))
-        return auc.select("n_positive", "n_negative", F.col("auc").between(0, 1).alias("in_range"))
+        test = rows.where(F.col("split") == "test")
+        auc, _ = models.evaluate(model, test)
+        other = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+        want = other.evaluate(models.with_probability(model, test).select("score", F.col("label").cast("double").alias("label")))
+        return auc.select("n_positive", "n_negative", (F.abs(F.col("auc") - want) < 1e-9).alias("auc_agrees"))
 
     return run
 
@@ -517,13 +597,6 @@ def search_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.find_titles(_titles(spark, sf_dir), _user_turns(spark, sf_dir), "query_id")
 
 
-def search_titles_by_synopsis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles like a title: every synopsis asks for the titles nearest to it."""
-    titles = _titles(spark, sf_dir)
-    asked = titles.select(F.col("content_id").alias("query_id"), F.col("synopsis").alias("text"))
-    return index.find_titles(titles, asked, "query_id").select("query_id", "content_id", "score", "rank")
-
-
 def search_titles_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each message names a genre drawn from its id; one message in six or so names none."""
     wanted = pick([*banks.GENRES, "", "", "", ""], "asked", "query_id", PORTABLE)
@@ -592,14 +665,20 @@ QUERIES: dict[str, Query] = {
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_orphans": dq_orphans,
+    "dq_unique_feed": dq_unique_feed,
+    "dq_orphans_feed": dq_orphans_feed,
+    "replaced_table": replaced_table,
+    "table_preview": table_preview,
     "snapshot_diff": snapshot_diff,
     "snapshot_apply": snapshot_apply,
     "result_envelope": result_envelope,
+    "result_envelope_cut": result_envelope_cut,
     "gen_pick": gen_pick,
     "gen_titles": gen_titles,
     "gen_users": gen_users,
     "gen_plays": gen_plays,
     "user_features": _table("user_features"),
+    "user_features_fed": user_features_fed,
     "features_by_status": _question(metrics.features_by_status),
     "star_join": star_join,
     "user_profile": user_profile,
@@ -629,6 +708,7 @@ QUERIES: dict[str, Query] = {
     "split_shares": split_shares,
     "split_rows": split_rows,
     "onehot_features": onehot_features,
+    "onehot_positions": onehot_positions,
     "train_churn": _importances(models.CHURN),
     "train_upgrade": _importances(models.UPGRADE),
     "score_churn": _scores(models.CHURN),
@@ -652,7 +732,6 @@ QUERIES: dict[str, Query] = {
     "index_sync_stream": index_sync_stream,
     "search_titles": search_titles,
     "search_titles_by_genre": search_titles_by_genre,
-    "search_titles_by_synopsis": search_titles_by_synopsis,
     "support_hits": support_hits,
     "support_context": support_context,
     "article_passages": article_passages,

@@ -17,6 +17,22 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target) if _is_path(target) else spark.table(target)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or a folder at ``path``, on whichever file system it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def file_versions(df: DataFrame) -> list[tuple[str, int, int]]:
+    """The files that ``df`` is read from, with the time and size of each."""
+    spark, found = df.sparkSession, []
+    for name in sorted(df.inputFiles()):
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        status = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at)
+        found.append((name, status.getModificationTime(), status.getLen()))
+    return found
+
+
 def spread_scan(scan: DataFrame, key: str) -> DataFrame:
     """A scan with fewer partitions than there are cores, spread over them by ``key``; any other as it
     is. For a table of few files that heavy work per row follows."""

@@ -1,7 +1,7 @@
 from subscope import schemas
 from subscope.operators import index, models
 from subscope.plans import metrics
-from subscope.plans.preparation import TABLES, build_features, prepare, train_and_score
+from subscope.plans.preparation import TABLES, build_features, build_indexes, prepare, train_and_score
 from subscope.settings import Settings
 from subscope.sources import tables
 
@@ -20,7 +20,7 @@ def test_prepare_from_nothing_to_answers(spark, tmp_path):
         schemas.require(held[name], schema)
     counts = {name: df.count() for name, df in held.items()}
     assert counts["users"] == counts["user_features"] == counts["churn_scores"] == 800
-    assert counts["titles"] == counts["titles_index"] == 60 and counts["help_index"] == 9
+    assert counts["titles"] == counts["titles_index"] == 60 and counts["help_index"] == 12
     assert counts["upgrade_scores"] == held["users"].where("plan = 'Free'").count()
     assert 5000 < counts["plays"] < 7000
 
@@ -34,6 +34,13 @@ def test_prepare_from_nothing_to_answers(spark, tmp_path):
     asked = embedder.embed(spark.createDataFrame([(1, "posso baixar títulos?")], "query_id int, text string"), "text")
     assert index.support_context(held["help_index"], asked, "query_id").first()["n_hits"] == 3
 
+    before = held["help_index"].collect()
+    fewer = spark.createDataFrame([r for r in held["help_articles"].collect() if r["doc_id"] != "AJU-004"], held["help_articles"].schema)
+    tables.write_table(fewer, place.table("help_articles"))
+    build_indexes(spark, place, f"{tmp_path}/embedders")  # brought level, by the embedder that was kept
+    after = tables.read_table(spark, place.table("help_index")).collect()
+    assert sorted(map(str, after)) == sorted(str(r) for r in before if r["doc_id"] != "AJU-004")
+
     build_features(spark, place)  # a step can be run again
     scores, auc, report = train_and_score(spark, place, models.CHURN, 2, f"{tmp_path}/churn")
     assert scores.count() == 800 and auc.count() == 1 and report.count() == 5

@@ -223,7 +223,7 @@ def test_index_build_sync_and_stats(spark, articles):
     embedder = index.TextEmbedder.fit(articles, "body")
     held = index.build_index(articles, "doc_id", "body", embedder=embedder).cache()
     stats = index.index_stats(held).first()
-    assert (stats["n_rows"], stats["n_null_vectors"], stats["min_dims"], stats["ready"]) == (9, 0, 256, True)
+    assert (stats["n_rows"], stats["n_null_vectors"], stats["min_dims"], stats["ready"]) == (12, 0, 256, True)
     assert index.sync_plan(held, articles, "doc_id").count() == 0  # a second sync changes nothing
 
     changed = articles.where("doc_id <> 'AJU-001'").withColumn(
@@ -233,7 +233,7 @@ def test_index_build_sync_and_stats(spark, articles):
     assert plan == {"AJU-001": "delete", "AJU-002": "update", "AJU-099": "insert"}
     level = index.sync_index(held, changed, "doc_id", "body", embedder=embedder)
     fresh = index.build_index(changed, "doc_id", "body", embedder=embedder)
-    assert level.count() == 9 and level.exceptAll(fresh.select(*level.columns)).count() == 0
+    assert level.count() == 12 and level.exceptAll(fresh.select(*level.columns)).count() == 0
 
 
 def test_embedder_takes_whole_texts_and_survives_saving(spark, tmp_path):
@@ -252,7 +252,7 @@ def test_support_and_titles(spark, articles):
     held = index.build_index(articles, "doc_id", "body", embedder=embedder)
     asked = embedder.embed(articles.select(F.col("doc_id").alias("query_id"), F.col("body").alias("text")), "text")
     hits = index.support_hits(held, asked, "query_id").where("rank = 1").collect()
-    assert len(hits) == 9 and all(r["query_id"] == r["doc_id"] and r["score"] == 1.0 for r in hits)
+    assert len(hits) == 12 and all(r["query_id"] == r["doc_id"] and r["score"] == 1.0 for r in hits)
     context = index.support_context(held, asked, "query_id").where("query_id = 'AJU-003'").first()
     body = articles.where("doc_id = 'AJU-003'").first()["body"]
     assert context["n_hits"] == 3 and context["context"].startswith("Avisos de estreia\n" + body + "\n\n")
@@ -299,6 +299,34 @@ def test_triggered_sync_follows_the_feed(spark, articles, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/compact").exceptAll(level).count() == 0
 
 
+def test_only_ranges_with_changes_are_merged(spark, articles, tmp_path):
+    embedder = index.TextEmbedder.fit(articles, "body")
+    held, rows = f"{tmp_path}/index", articles.withColumn("change", F.lit("insert"))
+    take = index_sync.take_in(held, "doc_id", "body", embedder)
+    take(rows.withColumn("version", F.lit(1)), 0)
+    plan = index_sync.read_index(spark, held)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # a folder for each range: nothing to merge
+    for batch in (1, 2, 3):
+        take(rows.where("doc_id = 'AJU-002'").withColumns({"version": F.lit(batch + 1), "title": F.lit(f"v{batch}")}), batch)
+    level = index_sync.read_index(spark, held)
+    merged = index_sync._folders(spark, held)
+    [hot] = [r for r, (paths, _) in merged.items() if len(paths) > 1]
+    plan = level._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    assert level.where("doc_id = 'AJU-002'").first()["title"] == "v3" and level.count() == 12
+    before = {r: paths for r, (paths, _) in merged.items() if r != hot}
+    assert index_sync.compact_ranges(spark, held) == [hot]
+    after = {r: paths for r, (paths, _) in index_sync._folders(spark, held).items()}
+    assert len(after.pop(hot)) == 1 and after == before  # other ranges are where they were
+    again = index_sync.read_index(spark, held)
+    assert again.exceptAll(level).count() == 0 and again.count() == 12
+    gone = rows.where("doc_id = 'AJU-002'").withColumns({"change": F.lit("delete"), "version": F.lit(9)})
+    take(gone, 4)
+    index_sync.compact_ranges(spark, held, folders=2)
+    take(rows.where("doc_id = 'AJU-002'").withColumn("version", F.lit(5)), 5)  # late: the deletion is newer
+    assert index_sync.read_index(spark, held).where("doc_id = 'AJU-002'").count() == 0
+
+
 def test_late_changes_do_not_win(spark, articles, tmp_path):
     embedder = index.TextEmbedder.fit(articles, "body")
     one = articles.where("doc_id in ('AJU-001', 'AJU-002')")

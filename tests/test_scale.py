@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from subscope.operators import diff, evaluation, features, index, knn, models, quality
+from subscope.operators import diff, evaluation, features, index, knn, models, quality, skew
 from subscope.plans import metrics
 from subscope.sources import generate, tables
 
@@ -47,12 +47,50 @@ def rows_and_plan(df):
     return rows, df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_title_is_split_in_the_feature_join(spark, hot, no_broadcast):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_title_is_split_in_the_feature_join(spark, hot, no_broadcast, adaptive):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", adaptive)
     rows, plan = rows_and_plan(features.user_features(hot["users"], hot["plays"], hot["titles"], AS_OF))
-    assert "skew=true" in plan and "BroadcastHashJoin" not in plan
+    assert "BroadcastHashJoin" not in plan
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     again, plan = rows_and_plan(features.user_features(hot["users"], hot["plays"], hot["titles"], AS_OF))
     assert "BroadcastHashJoin" in plan and rows == again
+    spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_heavy_keys_are_dealt_to_many_tasks(spark, hot, no_broadcast, adaptive):
+    """However adaptive execution is set, no task of the join has more than a small part of the rows."""
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    plays, titles = hot["plays"].select("event_id", "content_id"), hot["titles"].select("content_id", "genre")
+    heavy = skew.heavy_keys(plays, "content_id")
+    n = plays.count()
+    counts = {r["content_id"]: r["count"] for r in plays.groupBy("content_id").count().collect()}
+    assert set(heavy) >= {k for k, c in counts.items() if c >= 1.2 * n / 1000} and heavy["NBP000001"] > 0.3
+    assert all(abs(heavy[k] - counts[k] / n) < 0.0002 for k in heavy)
+    joined = skew.spread_join(plays, titles, "content_id", "event_id", heavy)
+    largest = max(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+    plain = plays.join(titles, "content_id", "left")
+    assert largest < 0.12 * n
+    assert joined.exceptAll(plain.select(*joined.columns)).count() == 0 and joined.count() == n
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_joins_of_few_and_odd_keys(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d"), (9, "e")], "k long, salt string")
+    right = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (None, "n")], "k long, v string")
+    heavy = skew.heavy_keys(left, "k", share=0.2)
+    assert set(heavy) == {1, 2, 9}
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        found = skew.spread_join(left, right, "k", "salt", heavy, how, 5)
+        want = left.join(right, "k", how)
+        assert sorted(map(str, found.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError):
+        skew.spread_join(left, right, "k", "salt", heavy, "full")
+    assert skew.heavy_keys(left.limit(0), "k") == {}
 
 
 def test_hot_keys_are_split_in_the_star_join(hot, no_broadcast):
