@@ -2,12 +2,13 @@
 
 A count is kept as its logarithm's integer part, in the unary code of so many memberships: an n-gram of
 level q is in the filter together with each of 1 to q, and its level is read back by probing 1, 2, ... up
-to the first miss. The filter has fixed segments; a segment is built where its n-grams meet, and its bits grow
-with the training tokens. All of them together go to every worker while they are few; a larger filter stays
-a table, and the distinct n-grams of each block of documents go to their segments and come back with their counts.
+to the first miss. The filter is cut into segments by the n-grams' hashes. Segments are of one bounded size, and their number
+grows with the training tokens, so no worker ever holds more than one: a worker's block of documents sends the distinct n-grams
+that it asks for to their segments, together with how often it has learnt them, where the counts are summed, the bits are
+set, and every n-gram is probed once and answered with its level.
 
-Exact unigram counts come along: a worker's block of documents is stored as codes of its distinct words,
-the words of all blocks meet by word and go back to their blocks with the counts of the whole corpus.
+Exact unigram counts come along: a block is stored as codes of its distinct words, the words of all blocks meet by
+word and go back to their blocks with the counts of the whole corpus.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +28,9 @@ from subscope.llm.spans import by_bytes, mixed, texts_of, words
 from subscope.llm.stage import folder, stored
 
 END = np.uint64(0x5BF0_3635_DEAD_10CC)  # the key of a text's end, which also stands before its first word
-SEGMENT_BITS = 12
-SEGMENTS = 1 << SEGMENT_BITS
-BLOCK_BYTES = 24 << 20  # of text in a block: the larger, the fewer words go to and fro
-GRAM_BYTES = 20 << 20  # of text whose n-grams are sorted together
+SEGMENT_GRAMS = 1 << 20  # n-grams of a segment, if every training token were two of its own
+LEAST_SEGMENTS = 16
+BLOCK_BYTES = 24 << 20  # of text in a block: the larger, the fewer words and n-grams go to and fro
 SLICE = 1 << 19  # tokens scored together
 
 _LOW = np.uint64(0xFFFFFFFF)
@@ -43,12 +42,10 @@ _SINGLE = np.uint64(0xC2B2AE3D27D4EB4F)
 class Model:
     """How counts are kept and probabilities smoothed.
 
-    max_bits: a filter of more bits, 64 MB by default, is asked where its segments are and not sent to the workers.
-    bits_per_gram is what it takes, whatever the corpus. base: counts of one level lie within this factor. probes: bits a membership sets. weight:
-    counts that the unigram distribution is worth behind every word.
+    bits_per_gram is what the filter takes, whatever the corpus. base: counts of one level lie within this
+    factor. probes: bits a membership sets. weight: counts that the unigram distribution is worth behind every word.
     """
 
-    max_bits: int = 1 << 29
     bits_per_gram: int = 10
     base: float = 1.5
     probes: int = 2
@@ -69,30 +66,36 @@ class Model:
         return mixed(gram + salt) & np.uint64(bits - 1)
 
 
-@dataclass(frozen=True)
-class Filter:
-    """Segments of bits, one after another, and how to ask them."""
+@dataclass
+class Segment:
+    """The bits of one segment, and how to set and ask them. N-grams are told apart by 32 bits within it."""
 
     model: Model
-    data: np.ndarray  # bytes of all segments
-    segment_bits: int
-
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """The approximate count of each n-gram, by probing level after level."""
-        start = (grams >> np.uint64(64 - SEGMENT_BITS)).astype(np.int64) * (self.segment_bits // 8)
-        low = grams & _LOW
-        found, left = np.zeros(len(grams), np.int64), np.arange(len(grams))
+    bits: int
+
+    def __post_init__(self) -> None:
+        self.data = np.zeros(self.bits // 8, np.uint8)
+
+    def learn(self, grams: np.ndarray, counts: np.ndarray) -> None:
+        level = self.model.level(counts)
+        for q in range(1, int(level.max(initial=0)) + 1):
+            some = grams[level >= q]
+            for probe in range(self.model.probes):
+                at = self.model.places(some, q, probe, self.bits)
+                np.bitwise_or.at(self.data, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """The level of each n-gram, by probing one after another; a chance hit can make it too high."""
+        found, left = np.zeros(len(grams), np.uint8), np.arange(len(grams))
         level = 1
-        while len(left):
+        while len(left) and level < 255:
             for probe in range(self.model.probes):
-                at = self.model.places(low[left], level, probe, self.segment_bits)
-                byte = self.data[start[left] + (at >> np.uint64(3)).astype(np.int64)]
+                at = self.model.places(grams[left], level, probe, self.bits)
+                byte = self.data[(at >> np.uint64(3)).astype(np.int64)]
                 left = left[(byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
             found[left] = level
             level += 1
-            if level > 64:
-                break
-        return self.model.count(found)
+        return found
 
 
 def singles(keys: np.ndarray) -> np.ndarray:
@@ -128,27 +131,16 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(-1)
 
 
-def _told(grams: np.ndarray) -> np.ndarray:
-    """The 12 bits of segment and 32 of the n-gram that the filter tells apart."""
-    return grams & ~(np.uint64((1 << 64 - SEGMENT_BITS) - 1) ^ _LOW)
-
-
-@dataclass(frozen=True)
-class Answers:
-    """The counts of a block's distinct n-grams, asked for beforehand."""
-
-    grams: np.ndarray
-    found: np.ndarray
+def _told(grams: np.ndarray, segments: int) -> np.ndarray:
+    """What is kept of an n-gram: the number of its segment, above 32 more bits."""
+    return (grams >> np.uint64(64 - segments.bit_length() + 1) << np.uint64(32) | grams & _LOW) if segments > 1 else grams & _LOW
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        return self.found[np.searchsorted(self.grams, _told(grams))]
 
-
-def _asked(words_of: np.ndarray, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The distinct n-grams that scoring a block asks for, segment after segment."""
+def _distinct(words_of: np.ndarray, codes: np.ndarray, bounds: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct n-grams, segment after segment, and which of them its words and then its pairs are."""
     keys = words_of[codes]
-    ends = singles(np.array([END]))
-    return np.unique(_told(np.concatenate([singles(words_of), ends, pairs(_before(keys, bounds), keys)])))
+    every = _told(np.concatenate([singles(words_of), pairs(_before(keys, bounds), keys)]), segments)
+    return np.unique(every, return_inverse=True)
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -185,113 +177,64 @@ def _blocks(rows: DataFrame) -> DataFrame:
     ))
 
 
-def _grams(rows: DataFrame) -> DataFrame:
-    """Training n-grams of each batch, summed there: ``segment, grams, counts`` with a row per segment."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, limit=GRAM_BYTES):
-            batch = batch.filter(pc.invert(batch.column("held_out")))
-            if not batch.num_rows:
-                continue
-            keys, bounds = tokens(batch.column("text"))
-            both = np.concatenate([singles(keys), pairs(_before(keys, bounds), keys)])
-            found, counts = np.unique(_told(both), return_counts=True)
-            segment = (found >> np.uint64(64 - SEGMENT_BITS)).astype(np.int64)
-            edges = np.searchsorted(segment, np.arange(SEGMENTS + 1)).astype(np.int32)
-            low = (found & _LOW).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(SEGMENTS, dtype=np.int32)),
-                 pa.ListArray.from_arrays(pa.array(edges), pa.array(low)),
-                 pa.ListArray.from_arrays(pa.array(edges), pa.array(counts.astype(np.int32)))],
-                names=["segment", "grams", "counts"],
-            )
-
-    return rows.mapInArrow(count, "segment int, grams array<int>, counts array<int>")
-
-
-def segment_size(n_tokens: int, model: Model) -> int:
-    """Bits of a segment, so many that every training token could be two n-grams of its own."""
-    want = max(SEGMENTS * 64, 2 * n_tokens * model.bits_per_gram)
-    return 1 << (want // SEGMENTS).bit_length() - 1
+def sizes(n_tokens: int, model: Model) -> tuple[int, int]:
+    """How many segments there are, and the bits of each, so that every training token can be two n-grams of its own."""
+    grams = 2 * max(n_tokens, 1)
+    segments = max(LEAST_SEGMENTS, 1 << (-(-grams // SEGMENT_GRAMS) - 1).bit_length())
+    bits = max(1024, 1 << (-(-grams * model.bits_per_gram // segments) - 1).bit_length())
+    return segments, bits
 
 
-def segments(rows: DataFrame, segment_bits: int, model: Model) -> DataFrame:
-    """``segment, bits`` of the filter of all training n-grams."""
-
-    def packed(held: dict[int, np.ndarray]) -> pa.RecordBatch:
-        bits = [np.packbits(bits, bitorder="little").tobytes() for bits in held.values()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int32()), pa.array(bits, pa.binary())], names=["segment", "bits"]
-        )
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            segment = batch.column("segment").to_numpy()
-            low = batch.column("gram").to_numpy().view(np.uint32).astype(np.uint64)
-            level = model.level(batch.column("n").to_numpy())
-            for one in np.unique(segment).tolist():
-                if one not in held and held:  # those before are complete
-                    yield packed(held)
-                    held = {}
-                bits = held.setdefault(one, np.zeros(segment_bits, bool))
-                mine = segment == one
-                grams, upto = low[mine], level[mine]
-                for q in range(1, int(upto.max()) + 1):
-                    for probe in range(model.probes):
-                        bits[model.places(grams[upto >= q], q, probe, segment_bits).astype(np.int64)] = True
-        yield packed(held)
-
-    met = _grams(rows).repartition("segment").select(
-        "segment", F.explode(F.arrays_zip("grams", "counts")).alias("g")
-    )
-    summed = met.groupBy("segment", F.col("g.grams").alias("gram")).agg(F.sum("g.counts").alias("n"))
-    # rows of a segment follow one another, so a batch has few segments
-    ordered = summed.sortWithinPartitions("segment")
-    return ordered.mapInArrow(fill, "segment int, bits binary")
-
-
-def build_filter(rows: DataFrame, segment_bits: int, model: Model) -> Filter:
-    """The filter with all its segments on the driver: for at most ``model.max_bits``."""
-    data = np.zeros((SEGMENTS, segment_bits // 8), np.uint8)
-    for row in segments(rows, segment_bits, model).collect():
-        data[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
-    return Filter(model, data.reshape(-1), segment_bits)
-
-
-def _answers(blocks: DataFrame, rows: DataFrame, segment_bits: int, model: Model) -> DataFrame:
-    """``block, answers``: for each block the counts of its distinct n-grams, a list for each segment.
-
-    A block has a row for each segment, so a segment is asked as many times as there are blocks.
-    """
+def _asked(blocks: DataFrame, segments: int) -> DataFrame:
+    """``block, segment, grams, counts``: the distinct n-grams of each block, and how often it has learnt them."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for held in batch.to_pylist():
                 bounds = np.concatenate([[0], np.cumsum(held["n_tokens"])]).astype(np.int64)
                 words_of = np.array(held["words"], np.int64).view(np.uint64)
-                grams = _asked(words_of, _unpack(held["codes"], int(bounds[-1])), bounds)
-                edges = np.searchsorted(grams >> np.uint64(64 - SEGMENT_BITS), np.arange(SEGMENTS + 1)).astype(np.int32)
-                low = (grams & _LOW).astype(np.uint32).view(np.int32)
+                codes = _unpack(held["codes"], int(bounds[-1]))
+                grams, which = _distinct(words_of, codes, bounds, segments)
+                taught = np.repeat(~np.array(held["held_out"], bool), np.diff(bounds))
+                learnt = np.concatenate([np.array(held["learnt"], np.int64), taught])
+                counts = np.bincount(which, weights=learnt, minlength=len(grams)).astype(np.int64)
+                edges = np.searchsorted(grams >> np.uint64(32), np.arange(segments + 1))
+                some = np.flatnonzero(np.diff(edges)).tolist()
+                low = (grams & _LOW).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(SEGMENTS, held["block"])), pa.array(np.arange(SEGMENTS, dtype=np.int32)),
-                     pa.ListArray.from_arrays(pa.array(edges), pa.array(low))],
-                    names=["block", "segment", "grams"],
+                    [pa.array(np.full(len(some), held["block"])), pa.array(np.array(some, np.int64)),
+                     pa.array([low[edges[i] : edges[i + 1]].tobytes() for i in some], pa.binary()),
+                     pa.array([_pack(counts[edges[i] : edges[i + 1]]) for i in some], pa.binary())],
+                    names=["block", "segment", "grams", "counts"],
                 )
 
-    def answer(asked: pd.DataFrame, bits: pd.DataFrame) -> pd.DataFrame:
-        data = np.frombuffer(bits["bits"].iloc[0], np.uint8) if len(bits) else np.zeros(segment_bits // 8, np.uint8)
-        one = Filter(model, data, segment_bits)
-        found = [one.counts(np.asarray(g, np.int32).view(np.uint32).astype(np.uint64)) for g in asked["grams"]]
-        return pd.DataFrame({"block": asked["block"], "segment": asked["segment"], "counts": found})
+    told = blocks.select("block", "held_out", "n_tokens", "words", "learnt", "codes")
+    return told.mapInArrow(ask, "block long, segment long, grams binary, counts binary")
 
-    asked = blocks.select("block", "n_tokens", "words", "codes").mapInArrow(ask, "block long, segment int, grams array<int>")
-    held = segments(rows, segment_bits, model)
-    found = asked.where(F.size("grams") > 0).groupBy("segment").cogroup(held.groupBy("segment")).applyInPandas(
-        answer, "block long, segment int, counts array<double>"
-    )
-    return found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("segment", "counts"))).alias("answers")).select(
-        "block", F.flatten("answers.counts").alias("answers")
+
+def _answers(blocks: DataFrame, segments: int, bits: int, model: Model) -> DataFrame:
+    """``block, levels``: the levels of each block's distinct n-grams, a byte for each.
+
+    A segment is built and asked in one place, where all that is learnt of it and all that is asked meet.
+    """
+
+    def answer(asked: pa.Table) -> pa.Table:
+        grams = [np.frombuffer(g, "<u4") for g in asked["grams"].to_pylist()]
+        ends = np.cumsum([len(g) for g in grams])
+        counts = np.concatenate([_unpack(c, len(g)) for c, g in zip(asked["counts"].to_pylist(), grams)])
+        known, which = np.unique(np.concatenate(grams).astype(np.uint64), return_inverse=True)
+        total = np.bincount(which, weights=counts, minlength=len(known)).astype(np.int64)
+        segment = Segment(model, bits)
+        segment.learn(known[total > 0], total[total > 0])
+        levels = segment.levels(known)[which]
+        return pa.table({
+            "block": asked["block"], "segment": asked["segment"],
+            "levels": pa.array([x.tobytes() for x in np.split(levels, ends[:-1])], pa.binary()),
+        })
+
+    found = _asked(blocks, segments).groupBy("segment").applyInArrow(answer, "block long, segment long, levels binary")
+    return found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("segment", "levels"))).alias("answers")).select(
+        "block", F.col("answers.levels").alias("levels")
     )
 
 
@@ -322,9 +265,7 @@ def score(
     known = listed.where("learnt > 0").agg(F.sum("learnt").alias("n"), F.approx_count_distinct("word").alias("v")).first()
     n_all = known["n"] or 0
     about = n_all + 0.5 * (known["v"] + 1)  # what smoothing divides by; the base score has the exact number
-    segment_bits = segment_size(n_all, model)
-    small = SEGMENTS * segment_bits <= model.max_bits
-    asked = spark.sparkContext.broadcast(build_filter(rows, segment_bits, model)) if small else None
+    segments, bits = sizes(n_all, model)
 
     # a block has a word once, so even the most frequent word is no more rows than there are blocks
     by_word = listed.repartition("word")
@@ -342,9 +283,10 @@ def score(
         order = np.argsort(counts["code"].to_numpy())
         words_of = counts["word"].to_numpy()[order].view(np.uint64)
         exact = counts["total"].to_numpy()[order].astype(np.float64)
-        filter_ = asked.value if asked else Answers(_asked(words_of, codes, bounds), np.asarray(held["answers"], np.float64))
-        about_word = filter_.counts(singles(words_of))
-        end = filter_.counts(singles(np.array([END])))[0]
+        _, which = _distinct(words_of, codes, bounds, segments)
+        counts_of = model.count(np.arange(256))[np.frombuffer(b"".join(held["levels"]), np.uint8)][which]
+        about_word, about_pair = counts_of[: len(words_of)], counts_of[len(words_of) :]
+        end = about_word[np.flatnonzero(words_of == END)[0]]
         log_exact, known_word = np.log10(exact + 0.5), (exact > 0).astype(np.int64)
         sums = [np.zeros(len(bounds) - 1, kind) for kind in (np.int64, np.float64, np.float64)]
         at = 0
@@ -352,11 +294,10 @@ def score(
             stop = max(at + 1, int(np.searchsorted(bounds, bounds[at] + SLICE, "right")) - 1)
             edges = bounds[at : stop + 1] - bounds[at]
             mine = codes[bounds[at] : bounds[stop]]
-            keys = words_of[mine]
             behind = np.empty(len(mine))
             behind[1:] = about_word[mine[:-1]]
             behind[edges[:-1]] = end
-            together = np.minimum(filter_.counts(pairs(_before(keys, edges), keys)), behind)
+            together = np.minimum(about_pair[bounds[at] : bounds[stop]], behind)
             alone = (about_word[mine] + 0.5) / about
             likely = np.log10((together + model.weight * alone) / (behind + model.weight))
             for out, values in zip(sums, (known_word[mine], log_exact[mine], likely), strict=True):
@@ -375,9 +316,7 @@ def score(
         f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
         "score double, distinct long"
     )
-    texts = blocks.select("block", "keys", "held_out", "n_tokens", "codes")
-    if not small:
-        texts = texts.join(_answers(blocks, rows, segment_bits, model), "block")
+    texts = blocks.select("block", "keys", "held_out", "n_tokens", "codes").join(_answers(blocks, segments, bits, model), "block")
     scored = stored(texts.groupBy("block").cogroup(counted.groupBy("of")).applyInPandas(judge, schema))
     n_distinct = scored.agg(F.sum("distinct")).first()[0] or 0
     whole = n_all + 0.5 * (n_distinct + 1)
