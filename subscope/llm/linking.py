@@ -7,8 +7,9 @@ never differ in more bits than their sets have differing members, so it rejects
 
 Sets that meet in a band are first compared with one of their bucket alone, which joins a large group
 with as many comparisons as it has members. Where a bucket still holds several components, a task compares
-their sketches, block by block, and hands on the likeliest pair of each two components; only where that one isn't similar
-are their other pairs looked at, those that the sketches leave open. So what sketches can tell is never a row.
+their sketches, block by block, and hands on the likeliest pair of each component. Rounds of that go on while they
+join any; then what is left is compared pair by pair, as far as the sketches leave it open. So what
+sketches can tell is never a row.
 """
 
 from __future__ import annotations
@@ -46,13 +47,20 @@ def _functions(samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
+@lru_cache(maxsize=4)
+def _orders(samples: int, bins: int) -> np.ndarray:
+    """For each sample an order of the bins, in which an empty one asks the others."""
+    draws = np.random.default_rng(20260103)
+    return np.array([draws.permutation(bins) for _ in range(samples)])
+
+
 @dataclass(frozen=True)
 class Shape:
     """``bands`` of ``rows`` samples each, and sketches of the samples and of the set, of so many bits.
 
     parity: bits of the set's own sketch, 0 for none. binned: one hash function gives a sample for every band,
     the least hash of each of as many bins, instead of a function for every sample: a bands-th of the work.
-    An empty bin takes the least hash of the whole set by a function of its own, so small sets miss no more. sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
+    An empty bin takes the sample of the first bin that isn't, in an order of its own, so small sets miss hardly more. sigmas: how far under its expectation a pair may come out in the sketches and still be compared.
     """
 
     bands: int
@@ -95,7 +103,7 @@ class Shape:
         return bands, sketch
 
     def _samples(self, hashes: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-        flip, multiply, place = _functions(self.samples + self.rows * self.binned)
+        flip, multiply, place = _functions(self.samples)
         if not self.binned:
             for i in range(self.samples):
                 yield mixed(np.minimum.reduceat((hashes ^ flip[i]) * multiply[i], starts) + place[i])
@@ -107,14 +115,15 @@ class Shape:
             least = np.full(len(starts) * n, _MOST)
             np.minimum.at(least, first + (((value >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64), value)
             least = least.reshape(-1, n)
-            short = (least == _MOST).any(1)
-            if short.any():
-                few, many = hashes[np.repeat(short, sizes)], sizes[short]
-                at = np.cumsum(many) - many
-                for band in range(n):
-                    own = self.rows + i * n + band
-                    have = np.minimum.reduceat((few ^ flip[own]) * multiply[own], at)
-                    least[short, band] = np.where(least[short, band] == _MOST, have, least[short, band])
+            filled = least.copy()
+            for band in range(n):
+                empty = np.flatnonzero(least[:, band] == _MOST)
+                for other in _orders(self.samples, n)[i * n + band]:
+                    if not len(empty):
+                        break
+                    filled[empty, band] = least[empty, other]
+                    empty = empty[filled[empty, band] == _MOST]
+            least = filled
             for band in range(n):
                 yield mixed(least[:, band] + place[i * n + band])
 
@@ -177,23 +186,31 @@ def links(signed: DataFrame, confirm: Confirm, shape: Shape, percent: int) -> Da
         star = star.join(_ends(sketches.drop("bands"), end), end)
     found = stored(confirm(stored(star.where(_alike(shape, percent)).select("a", "b"))))
 
-    # what is still apart, compared where it meets: the likeliest pair of two components, then the others
+    # what is still apart, compared where it meets: the likeliest pair of each component, while that joins any
     sketches = sketches.drop("bands")
-    labels = components(found)
-    best = stored(_across(members, sketches, labels, shape, percent, every=False))
-    if best.isEmpty():
-        return found
-    found = stored(found.unionByName(confirm(best.select("a", "b"))))
-    labels = components(found)
-    left = stored(_apart(best, labels))
-    if left.isEmpty():
-        return found
-    doubtful = left.select(F.col("label_a").alias("label")).unionByName(left.select(F.col("label_b").alias("label"))).distinct()
-    others = _across(members, sketches, labels, shape, percent, every=True, among=stored(doubtful))
+    while True:
+        labels = components(found)
+        best = stored(_likeliest(_across(members, sketches, labels, shape, percent, every=False)))
+        if best.isEmpty():
+            return found
+        new = stored(confirm(best.select("a", "b")))
+        if new.isEmpty():
+            break
+        found = stored(found.unionByName(new))
+    ends = [best.select(F.col(c).alias("label")) for c in ("label_a", "label_b")]
+    doubtful = stored(ends[0].unionByName(ends[1]).distinct())
+    others = _across(members, sketches, labels, shape, percent, every=True, among=doubtful)
     others = stored(others.select("a", "b").distinct().join(best.select("a", "b"), ["a", "b"], "left_anti"))
     return found if others.isEmpty() else stored(found.unionByName(confirm(others)))
 
 
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of ``a, b, label_a, label_b, bits``, the pair with the fewest bits apart of each component."""
+    held = F.struct("a", "b", "label_a", "label_b")
+    either = pairs.select(F.explode(F.array("label_a", "label_b")).alias("label"), held.alias("p"), F.struct("bits", "a", "b").alias("by"))
+    return either.groupBy("label").agg(F.min_by("p", "by").alias("p")).select("p.*").distinct()
+
+
 def _labelled(nodes: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
     """With the component of column ``node``; a node without links is its own."""
     held = nodes.join(labels.toDF(node, "_label"), node, "left")
@@ -203,8 +220,8 @@ def _labelled(nodes: DataFrame, labels: DataFrame, node: str, label: str) -> Dat
 def _across(
     members: DataFrame, sketches: DataFrame, labels: DataFrame, shape: Shape, percent: int, *, every: bool, among: DataFrame | None = None
 ) -> DataFrame:
-    """Pairs ``a, b`` of one bucket and two components that sizes and sketches allow: the likeliest of each two
-    components, or every one, of the components ``among``."""
+    """Pairs ``a, b`` of one bucket and two components that sizes and sketches allow, with their labels and the bits they
+    differ in: the likeliest of each component, for the most part, or every one, of the components ``among``."""
     labelled = _labelled(members.select("bucket", "node"), labels, "node", "label")
     if among is not None:
         labelled = maybe_in(labelled, among, "label").join(among, "label")
@@ -220,10 +237,7 @@ def _across(
     )
     held = each.join(sketches, "node").repartition("run").sortWithinPartitions("run")
     told = ["run", "node", "label", "own", "alone", "size", "sketch", *(["parity"] if shape.parity else [])]
-    pairs = held.select(*told).mapInArrow(_compare(shape, percent, every), "a long, b long, label_a long, label_b long, bits int")
-    if every:
-        return pairs
-    return pairs.groupBy("label_a", "label_b").agg(F.min_by(F.struct("a", "b"), F.struct("bits", "a", "b")).alias("p")).select("p.*")
+    return held.select(*told).mapInArrow(_compare(shape, percent, every), "a long, b long, label_a long, label_b long, bits int")
 
 
 def _compare(shape: Shape, percent: int, every: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -280,18 +294,14 @@ def _run_pairs(rows: pa.Table, shape: Shape, percent: int, every: bool) -> Itera
             a, b, bits = a[kept], b[kept], bits[kept]
         swap = label[a] > label[b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        if not every:  # the likeliest pair of two components
-            order = np.lexsort((node[b], node[a], bits, label[b], label[a]))
-            a, b, bits = a[order], b[order], bits[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (label[a[1:]] != label[a[:-1]]) | (label[b[1:]] != label[b[:-1]])
-            a, b, bits = a[new], b[new], bits[new]
+        if not every:  # the likeliest pair of each component
+            kept = np.zeros(len(a), bool)
+            for side in (label[a], label[b]):
+                order = np.lexsort((node[b], node[a], bits, side))
+                new = np.ones(len(a), bool)
+                new[1:] = side[order][1:] != side[order][:-1]
+                kept[order[new]] = True
+            a, b, bits = a[kept], b[kept], bits[kept]
         yield pa.RecordBatch.from_arrays(
             [pa.array(x) for x in (node[a], node[b], label[a], label[b], bits)], names=["a", "b", "label_a", "label_b", "bits"]
         )
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    for end in ("a", "b"):
-        pairs = _labelled(pairs, labels, end, f"label_{end}")
-    return pairs.where("label_a <> label_b")
