@@ -7,6 +7,7 @@ neighbours are checked together, and the few words with a failing pair are merge
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,6 +28,8 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 _BYTE_OF = {**{chr(b): b for b in _PRINTS}, **{chr(c): b for b, c in _WRITTEN.items()}}
 _SURE = 0x250  # code points below are letters, digits or signs in every version of Unicode in use
 _NONE = -1
+LONG_WORD = 64  # bytes, beyond which a word is walked through and merged by itself
+POSITIONS = 1 << 19  # of a long word, matched together
 
 
 class _Trie:
@@ -100,6 +103,7 @@ class Speculator(Encoder):
         self.made_by = np.array([vocab[a + b] for a, b in model["merges"]], np.int64)  # the token of each merge
         self.pair_index = pd.Index(np.array([a * size + b for a, b in merges], np.int64))
         self.pair_rank = np.fromiter(merges.values(), np.int64, len(merges))
+        self.rank_of_pair = dict(zip(self.pair_index.tolist(), self.pair_rank.tolist()))
         self.byte_ids = np.array([written.get(bytes([b]), 0) for b in range(256)], np.int64)
         self.size = size
         # a token that merging its own bytes doesn't give can't be proposed
@@ -136,7 +140,48 @@ class Speculator(Encoder):
         return apart
 
     def _merged(self, cut: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Exact merging of many words, a merge of each at a time: lowest rank first, the leftmost of equals."""
+        """Exact merging of many words: lowest rank first, the leftmost of equals."""
+        size = np.fromiter(map(len, cut), np.int64, len(cut))
+        short, long = np.flatnonzero(size <= LONG_WORD), np.flatnonzero(size > LONG_WORD)
+        who, ids = self._merged_together([cut[i] for i in short])
+        parts = [(short[who], ids)]
+        for i in long.tolist():
+            found = self._merged_alone(cut[i])
+            parts.append((np.full(len(found), i), found))
+        who, ids = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(who, kind="stable")
+        return who[order], ids[order]
+
+    def _merged_alone(self, word: bytes) -> np.ndarray:
+        """One long word, its pairs in a heap: the work grows with the word's length, but for a logarithm."""
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)]
+        found = self.pair_index.get_indexer(ids[:-1] * self.size + ids[1:])
+        at = np.flatnonzero(found >= 0)
+        heap = list(zip(self.pair_rank[found[at]].tolist(), at.tolist()))
+        heapq.heapify(heap)
+        n, token, made_by, rank_of, size = len(ids), ids.tolist(), self.made_by, self.rank_of_pair, self.size
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            if token[i] < 0 or j < 0 or rank_of.get(token[i] * size + token[j]) != rank:
+                continue  # one of the two has merged since
+            token[i], token[j] = int(made_by[rank]), -1
+            after[i] = after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+                new = rank_of.get(token[i] * size + token[after[i]])
+                if new is not None:
+                    heapq.heappush(heap, (new, i))
+            if before[i] >= 0:
+                new = rank_of.get(token[before[i]] * size + token[i])
+                if new is not None:
+                    heapq.heappush(heap, (new, before[i]))
+        ids = np.array(token)
+        return ids[ids >= 0]
+
+    def _merged_together(self, cut: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Many short words, a merge of each at a time."""
         ids = self.byte_ids[np.frombuffer(b"".join(cut), np.uint8)]
         who = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
         done: list[tuple[np.ndarray, np.ndarray]] = []
@@ -167,7 +212,7 @@ class Speculator(Encoder):
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
         ends = np.cumsum(lengths)
         data = np.frombuffer(b"".join(cut), np.uint8)
-        at, left = ends - lengths, np.flatnonzero(lengths)
+        at, left = ends - lengths, np.flatnonzero((lengths > 0) & (lengths <= LONG_WORD))
         steps: list[tuple[np.ndarray, np.ndarray]] = []
         failed = np.zeros(len(cut), bool)
         before = np.full(len(cut), _NONE)
@@ -179,6 +224,10 @@ class Speculator(Encoder):
             steps.append((left, token))
             before[left], at[left] = token, stop
             left = left[stop < ends[left]]
+        for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+            token = self._walk(data, int(at[i]), int(ends[i]))
+            steps.append((np.full(len(token), i), token))
+            tried.append((np.full(len(token) - 1, i), token[:-1], token[1:]))
         if tried:
             who, a, b = (np.concatenate(x) for x in zip(*tried))
             pair, which = np.unique(a * self.size + b, return_inverse=True)
@@ -194,6 +243,19 @@ class Speculator(Encoder):
         order = np.argsort(who, kind="stable")
         return ids[order].astype(np.uint32), np.bincount(who, minlength=len(cut))
 
+    def _walk(self, data: np.ndarray, start: int, end: int) -> np.ndarray:
+        """Longest matches of one long word from its start on: found at all its places together, then followed."""
+        found, at = [], start
+        while at < end:
+            first, last = at, min(at + POSITIONS, end)
+            places = np.arange(first, last)
+            token, stop = self.trie.longest(data, places, np.full(len(places), end))
+            token, stop = token.tolist(), stop.tolist()
+            while at < last:
+                found.append(token[at - first])
+                at = stop[at - first]
+        return np.array(found, np.int64)
+
     def _words(self, chunk: bytes) -> list[str]:
         text = chunk.decode()
         if all(ord(c) < _SURE for c in text):

@@ -5,7 +5,8 @@ the distinct chunks are encoded by the library, and every text is put together f
 remembers chunks between batches, up to a bound, so that a frequent word is encoded once. Cutting is
 a matter of bytes, so one very long text is many chunks like any other.
 
-A text that holds a special token's string, or white space that could meet the cuts, is one chunk.
+A special token's string is a chunk, and what stands before and after it are texts of their own, as for the
+library. A text with white space that could meet the cuts is one chunk.
 """
 
 from __future__ import annotations
@@ -123,6 +124,10 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t["content"] for t in spec["added_tokens"]]
+        if any(t[how] for t in spec["added_tokens"] for how in ("normalized", "single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path} has special tokens that are not plain strings")
+        longest = sorted(self.specials, key=len, reverse=True)
+        self.find_special = re.compile(b"|".join(re.escape(t.encode()) for t in longest) or b"(?!)")
         self.lowers = "Lowercase" in json.dumps(spec["normalizer"])
         self._forget()
 
@@ -157,19 +162,39 @@ class Encoder:
     def chunks(self, column: pa.Array | pa.ChunkedArray) -> Pieces:
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
-        whole = np.zeros(len(column), bool)
-        for mark in {s[:2] for s in self.specials}:
-            whole |= np.asarray(pc.fill_null(pc.match_substring(column, mark), False))
         texts = texts_of(column)
+        begin, end = self._specials(column, texts)
+        # the texts between special strings, and those strings, each as a text
+        parts = Texts(texts.data, np.sort(np.concatenate([texts.offsets, begin, end])))
+        whole = np.zeros(len(parts), bool)
+        whole[np.searchsorted(parts.offsets, begin, "right") - 1] = True
         if not self.lowers:
             if len(texts.data) and texts.data.max() >= 128:
-                whole |= np.asarray(pc.fill_null(pc.match_substring_regex(column, _RARE_SPACE), False))
-            return kept_space_chunks(texts, whole)
-        lowered = texts.lower()
-        for i in np.flatnonzero(whole):
-            a, b = texts.offsets[i], texts.offsets[i + 1]
-            lowered.data[a:b] = texts.data[a:b]
-        return dropped_space_chunks(lowered, whole)
+                rare = np.flatnonzero(np.asarray(pc.fill_null(pc.match_substring_regex(column, _RARE_SPACE), False)))
+                for i in rare.tolist():
+                    a, b = np.searchsorted(parts.offsets, texts.offsets[i : i + 2])
+                    whole[a:b] = True
+            found = kept_space_chunks(parts, whole)
+        else:
+            lowered = parts.lower()
+            for a, b in zip(begin.tolist(), end.tolist()):
+                lowered.data[a:b] = texts.data[a:b]
+            found = dropped_space_chunks(lowered, whole)
+        return Pieces(found.data, found.starts, found.ends, np.searchsorted(found.starts, texts.offsets))
+
+    def _specials(self, column: pa.Array, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Where special tokens' strings begin and end, as the library finds them: from the left, the longest first."""
+        some = np.zeros(len(column), bool)
+        for special in self.specials:
+            some |= np.asarray(pc.fill_null(pc.match_substring(column, special), False))
+        places = [
+            (m.start() + a, m.end() + a)
+            for i in np.flatnonzero(some).tolist()
+            for a in [int(texts.offsets[i])]
+            for m in self.find_special.finditer(texts.data[a : int(texts.offsets[i + 1])].tobytes())
+        ]
+        held = np.array(places, np.int64).reshape(-1, 2)
+        return held[:, 0], held[:, 1]
 
     def _known(self, pieces: Pieces) -> np.ndarray:
         """The place of each chunk among those remembered, after learning the new ones."""
