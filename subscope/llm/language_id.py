@@ -34,9 +34,11 @@ class Training:
 
     sample: labelled rows drawn at most, about (a row is drawn by its hash), shared evenly by the
     languages; each gives windows of ``window`` bytes from one stretch of ``stretch`` characters.
+    languages: as many of the most frequent are learnt.
     """
 
     sample: int = 4000
+    languages: int = 256
     stretch: int = 600
     window: int = 64
     hidden: int = 16
@@ -247,19 +249,20 @@ def learn(
     """A network from the rows of ``docs`` that have a text and a language.
 
     Of the distinct texts of each language those with the lowest hashes are drawn, at most ``how.sample``
-    divided by the number of languages, and only their stretches reach the driver.
+    divided by the number of languages, and only their stretches reach the driver. Languages beyond the
+    ``how.languages`` most frequent are not learnt.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "text is not null and lang is not null and length(text) > 0"
     ).withColumn("hash", F.xxhash64("text"))
     texts = stored(rows.select("lang", "hash").distinct())
-    counts = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().orderBy("lang").collect()}
-    each = max(1, how.sample // max(1, len(counts)))
+    known = stored(texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(how.languages))
+    each = max(1, how.sample // max(1, known.count()))
     draw = F.pmod("hash", F.lit(1 << 30))
-    share = F.lit(0)
-    for language, n in counts.items():  # twice as many as are wanted and some, to be ranked
-        share = F.when(F.col("lang") == language, int((1 << 30) * min(1.0, (2 * each + 20) / n))).otherwise(share)
-    ranked = texts.where(draw < share).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "hash")))
+    # twice as many as are wanted and some, to be ranked
+    share = F.least(F.lit(1.0), (2 * each + 20) / F.col("count")) * (1 << 30)
+    drawn = texts.join(known, "lang").where(draw < share)
+    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "hash")))
     chosen = stored(ranked.where(F.col("rank") <= each).select("lang", "hash"))
     spare = F.greatest(F.length("text") - how.stretch, F.lit(0)) + 1
     begin = (1 + F.pmod(F.xxhash64("text", F.lit(1)), spare)).cast("int")

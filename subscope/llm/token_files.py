@@ -37,6 +37,12 @@ def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.LocalFileSystem(), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark resolves it: without one, workers would take it for their own disk."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 class _Writer:
     """Takes ids as they come and writes full batches of sequences; the last is padded and masked."""
 
@@ -164,8 +170,8 @@ def write_tokens(
     """Encode every text, append ``end_id`` to each and write the ids in ascending order of the key.
 
     Documents are dealt out by ranges of the key, and each task writes its range while it encodes, a
-    batch of text at a time. Rows with equal keys follow one another in the order of their texts; a
-    null key comes first. Null and empty texts are the end id alone. An empty table gives a manifest
+    batch of text at a time. Rows with equal keys follow one another, equal texts together, in as many
+    files as they fill; a null key comes first. Null and empty texts are the end id alone. An empty table gives a manifest
     without files. A task that is run again writes a new file; the manifest names the one that counts.
     Ids are kept in 16 bits where the vocabulary allows it, else in 32. Only the two columns named are
     read. ``folder`` must be one that all executors reach.
@@ -174,7 +180,11 @@ def write_tokens(
     id_type = pa.uint16() if largest < 1 << 16 else pa.uint32()
     dealt = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = dealt.schema["key"].dataType.simpleString()
-    dealt = dealt.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # a key that many rows have is dealt out by its texts, and a text that many have by its rows
+    order = ["key", "hash", "row"]
+    dealt = dealt.withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "text")
+    folder = qualified(docs.sparkSession, folder)
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, task, at, n_docs, first = encoder(tokenizer), TaskContext.get(), 0, 0, None

@@ -1,5 +1,7 @@
 """The pipeline's stages on a small corpus, each against what is known of it."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from subscope.llm.queries import documents
 from tests.llm.conftest import BASE, Groups, similar_pairs
@@ -81,3 +83,15 @@ def test_rows_are_dropped_one_by_one(spark, small):
 def test_nothing_learnt_drops_no_letters(spark, small):
     df = spark.createDataFrame([(1, "words", None, "a"), (2, "été", None, "a"), (3, "12", None, "a")], "doc_id long, text string, lang string, source string")
     assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["language"](spark, df, small).collect()} == {1, 2}
+
+
+def test_stages_keep_columns_of_any_name(spark, awkward, small):
+    names = ["row", "maybe", "_row", "_maybe", "_again", "_id", "_sha", "_text", "_kept", "_place", "_block", "_lines", "_who"]
+    df = awkward.select("doc_id", "text", "lang", "source", "who", "kept")
+    for name in names:
+        df = df.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, df, small)
+        assert found.columns == df.columns
+        for r in found.collect():
+            assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for c in names) and r.who == r.doc_id == r.kept

@@ -58,6 +58,23 @@ def test_half_a_special_token_cuts_nothing_together():
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [ids_of(BYTE_FILE, t) for t in texts]
 
 
+@pytest.mark.parametrize("path", [WORD_FILE, BYTE_FILE])
+def test_long_texts_with_special_strings_are_cut(path):
+    ours = encoding.encoder(path)
+    text = "words <| and more\n\n" * 3000 + "<|endoftext|>  \n x<|endoftext|><|endoftext|>" + " 'tis prose,  yes" * 3000
+    pieces = ours.chunks(pa.array([text, "", text]))
+    assert (pieces.ends - pieces.starts).max() < 40 and len(pieces) > 10_000
+    ids, bounds = ours.encode(pa.array([text, "", text]))
+    assert ids[: bounds[1]].tolist() == ids[bounds[2] :].tolist() == ids_of(path, text) and bounds[1] == bounds[2]
+
+
+def test_long_words_are_merged_as_the_library_does():
+    ours, rng = bpe.speculator(BYTE_FILE), random.Random(9)
+    texts = ["".join(rng.choices("abcdefghijklmnop", k=n)) for n in (63, 64, 65, 66, 500, 30_000)] + ["the" * 9000, "a" * 20_000, "0" * 700]
+    ids, bounds = ours.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [ids_of(BYTE_FILE, t) for t in texts]
+
+
 def test_speculation_fails_and_is_mended():
     ours, rng = bpe.Speculator(BYTE_FILE), random.Random(5)
     texts = ["".join(rng.choices("abcdeinrst", k=rng.randint(1, 40))) for _ in range(3000)] + ["a" * n for n in range(1, 60)]
@@ -98,6 +115,22 @@ def test_files(spark, awkward, tmp_path):
     assert [r.doc_id for r in found] == sorted((r.doc_id for r in found), key=lambda k: (k is not None, k))
 
 
+def test_a_key_of_many_rows_fills_many_files(spark, tmp_path):
+    rows = [(7 if i % 3 == 0 else i, "same text" if i % 6 == 0 else f"text {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    stored = token_files.write_tokens(df, WORD_FILE, str(tmp_path / "t"))
+    sizes = [r["n_docs"] for r in stored.manifest(spark).collect()]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 3000 and max(sizes) < 600
+    found = stored.documents(spark).orderBy("start").collect()
+    assert [r.doc_id for r in found] == sorted(k for k, _ in rows)
+    assert "://" in token_files.qualified(spark, "/x") or token_files.qualified(spark, "/x").startswith("file:")
+
+
 def test_sequences_are_read_in_place(spark, docs, tmp_path):
     one = docs.orderBy("doc_id").limit(20).coalesce(1)
     stored = token_files.write_tokens(one, WORD_FILE, str(tmp_path / "t"), length=16, rows=8)
