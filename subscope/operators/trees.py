@@ -52,9 +52,9 @@ def score_by_nodes(encoded: DataFrame, nodes: DataFrame, output: str = "score",
     by_node = F.array_sort(F.collect_list(F.struct("node", "prediction", "yes", "no", "feature", "threshold", "level")))
     trees = nodes.groupBy("tree").agg(F.first("weight").alias("weight"), by_node.alias("nodes"))
     forest = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("_trees"))
-    one = F.pmod(F.xxhash64(features), F.lit(1))  # one forest for all, met by an equality
-    met = encoded.withColumn("_x", vector_to_array(features)).withColumn("_one", one).join(
-        F.broadcast(forest.withColumn("_one", F.lit(0).cast("long"))), "_one"
+    # one forest for all, met by an equality of numbers that no optimizer folds into the plan
+    met = encoded.withColumn("_x", vector_to_array(features)).withColumn("_one", F.pmod(F.hash("_x"), F.lit(1))).join(
+        F.broadcast(forest.withColumn("_one", F.pmod(F.hash(F.size("_trees")), F.lit(1)))), "_one"
     )
 
     def walk(tree: Column) -> Column:
