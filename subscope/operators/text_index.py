@@ -4,10 +4,9 @@ A term's weight in a text is a whole number: the bits of its count times a hundr
 is the cosine of two texts' weights. Every sum is of whole numbers, so results don't depend on the
 partitioning, and another engine finds the same ones.
 
-Postings lie in blocks of texts of like impact, and each block knows the greatest impact in it. A search scores the
-two most telling terms of each query first. The k-th score found there rules out the terms that
-could not lift a text over it even together, and the blocks that could not with all other terms' help; only
-texts of the blocks that are left are scored in full. Nothing is approximate.
+Postings lie in blocks of texts of like length, in the sense of the cosine, and each block knows the greatest impact in it. A search scores the
+rarest terms of each query first, those of a few texts. The k-th score found there rules out, block by block, the terms that
+could not lift a text over it even all together; only texts that hold one of the others are scored in full. Nothing is approximate.
 """
 
 from __future__ import annotations
@@ -21,8 +20,7 @@ from subscope.settings import cut
 
 TERM = r"[\p{L}\p{N}]+"
 RARITY = 100  # a unit of rarity
-BLOCK_TEXTS = 4096  # of a term, in one block, by the hash of the text
-FIRST_TERMS = 2  # of a query, scored before anything is ruled out
+FIRST_TEXTS = 64  # that hold a query's rarest terms, about, scored before anything is ruled out
 SLACK = 1e-9  # by which bounds are widened, above any rounding
 
 PASSAGE_WORDS, STRIDE = 120, 60
@@ -40,7 +38,7 @@ def _bits(count: Column) -> Column:
 @dataclass(frozen=True)
 class TextIndex:
     """postings: ``term, block, unit, pool, g, weight, square``, square being that of the text's length. blocks:
-    ``term, block, top``, the greatest impact. rarities: ``term, rarity, most``."""
+    ``term, block, top``, the greatest impact. rarities: ``term, rarity, n``, n being the texts that have it."""
 
     postings: DataFrame
     blocks: DataFrame
@@ -58,38 +56,28 @@ def build(texts: DataFrame, unit: str, text: str, pool: str | None = None, group
     n = texts.count()
     often = counted.groupBy("term").agg(F.count("*").alias("n"))
     rarity = F.round(RARITY * F.log(1 + F.lit(float(n)) / F.col("n"))).cast("long")
-    rare = cut(often.select("term", rarity.alias("rarity"), F.ceil(F.col("n") / BLOCK_TEXTS).alias("parts")))
-    weighted = cut(counted.join(rare, "term").withColumn("weight", F.col("bits") * F.col("rarity")).drop("bits", "rarity"))
+    rare = cut(often.select("term", rarity.alias("rarity"), "n"))
+    weighted = cut(counted.join(rare, "term").withColumn("weight", F.col("bits") * F.col("rarity")).drop("bits", "rarity", "n"))
     squares = weighted.groupBy("unit").agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
-    impact = F.col("weight") / F.sqrt("square")
-    # texts of one impact to the next half of it share a block, or several, so a block's greatest impact is near all others
-    level = F.floor(-2 * F.log2(impact)).cast("int")
-    postings = cut(weighted.join(squares, "unit").where("square > 0").withColumn("impact", impact).withColumn(
-        "block", F.struct(level.alias("level"), F.pmod(F.xxhash64("unit"), F.col("parts")).alias("part"))
-    ).drop("parts"))
-    blocks = cut(postings.groupBy("term", "block").agg(F.max("impact").alias("top")))
-    most = blocks.groupBy("term").agg(F.max("top").alias("most"))
-    return TextIndex(postings, blocks, cut(rare.select("term", "rarity").join(most, "term")))
+    # a block's texts differ in length by less than the root of two, so its greatest impact is near that of any of them
+    block = F.floor(F.log2("square")).cast("int")
+    postings = cut(weighted.join(squares, "unit").where("square > 0").withColumn("block", block))
+    blocks = cut(postings.groupBy("term", "block").agg(F.max(F.col("weight") / F.sqrt("square")).alias("top")))
+    return TextIndex(postings, blocks, rare)
 
 
 def _question_terms(index: TextIndex, queries: DataFrame, query_id: str, text: str, group: str | None) -> DataFrame:
-    """``q, wanted, term, ask, long, most, rest, others, place``: a query's known terms, the most telling first.
-
-    ask: the term's weight. long: the square of the query's length. most: what a text can gain by the term at most, rest and
-    others: by the later terms and by all others.
-    """
+    """``q, wanted, term, ask, long, before``: a query's known terms. ask: the term's weight. long: the square of the
+    query's length. before: how many texts, about, the rarer terms are in."""
     wanted = F.col(group) if group else F.lit(None).cast(index.postings.schema["g"].dataType)
     asked = queries.select(F.col(query_id).alias("q"), wanted.alias("wanted"), F.explode(terms_of(F.col(text))).alias("term"))
     counted = asked.groupBy("q", "wanted", "term").agg(_bits(F.count("*")).cast("long").alias("bits"))
     known = counted.join(index.rarities, "term").withColumn("ask", F.col("bits") * F.col("rarity"))
     whole = Window.partitionBy("q")
-    order = whole.orderBy(F.desc("gain"), "term")
-    known = known.withColumn("long", F.sum(F.col("ask") * F.col("ask")).over(whole)).where("long > 0")
-    known = known.withColumn("gain", F.col("ask") / F.sqrt("long") * F.col("most"))
-    return known.select(
-        "q", "wanted", "term", "ask", "long", "gain", F.row_number().over(order).alias("place"),
-        F.sum("gain").over(order.rowsBetween(0, Window.unboundedFollowing)).alias("rest"), F.sum("gain").over(whole).alias("total"),
-    )
+    rarer = whole.orderBy("n", "term").rowsBetween(Window.unboundedPreceding, -1)
+    return known.withColumns({
+        "long": F.sum(F.col("ask") * F.col("ask")).over(whole), "before": F.coalesce(F.sum("n").over(rarer), F.lit(0)),
+    }).where("long > 0").select("q", "wanted", "term", "ask", "long", "before")
 
 
 def _fits(group: str | None) -> Column:
@@ -119,16 +107,18 @@ def search(
     terms = cut(_question_terms(index, queries, query_id, text, group))
     postings = index.postings
 
-    few = terms.where(F.col("place") <= FIRST_TERMS).join(postings, "term").where(_fits(group))
+    few = terms.where(F.col("before") < FIRST_TEXTS).join(postings, "term").where(_fits(group))
     partly = few.groupBy("q", "pool", "unit", "long", "square").agg(F.sum(F.col("ask") * F.col("weight")).alias("dot"))
     kth = _best(partly.withColumn("score", _cosine(F.col("dot"))), k).where(F.col("rank") == k)
     floors = kth.select("q", (F.col("score") - SLACK).alias("floor"))
 
-    # texts with none of the terms that can still lift them over the floor need not be looked at
-    telling = terms.join(floors, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0))).where(F.col("rest") >= F.col("floor"))
-    reach = F.col("ask") / F.sqrt("long") * F.col("top") + (F.col("total") - F.col("gain"))
-    looked = telling.join(index.blocks, "term").where(reach >= F.col("floor")).select("q", "wanted", "term", "block")
-    found = looked.join(postings.select("term", "block", "unit", "g"), ["term", "block"]).where(_fits(group)).select("q", "unit").distinct()
+    # of a block, a text with none of the terms whose sum can still lift it over the floor need not be looked at
+    order = Window.partitionBy("q", "block").orderBy(F.desc("gain"), "term").rowsBetween(0, Window.unboundedFollowing)
+    gains = terms.join(index.blocks, "term").withColumn("gain", F.col("ask") / F.sqrt("long") * F.col("top"))
+    telling = gains.withColumn("rest", F.sum("gain").over(order)).join(floors, "q", "left").where(
+        F.col("rest") >= F.coalesce("floor", F.lit(0.0))
+    ).select("q", "wanted", "term", "block")
+    found = telling.join(postings.select("term", "block", "unit", "g"), ["term", "block"]).where(_fits(group)).select("q", "unit").distinct()
 
     pairs = found.join(terms.select("q", "term", "ask", "long"), "q").join(postings, ["unit", "term"])
     full = pairs.groupBy("q", "unit", "pool", "long", "square").agg(F.sum(F.col("ask") * F.col("weight")).alias("dot"))

@@ -141,9 +141,9 @@ def by_words(texts, asked, k):
     return found
 
 
-@pytest.mark.parametrize("block", [4096, 3])
-def test_search_by_words_is_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(text_index, "BLOCK_TEXTS", block)
+@pytest.mark.parametrize("first", [64, 3])
+def test_search_by_words_is_brute_force(spark, monkeypatch, first):
+    monkeypatch.setattr(text_index, "FIRST_TEXTS", first)
     texts = spark.createDataFrame(TEXTS, "id string, body string, kind string")
     asked = spark.createDataFrame(ASKED, "q string, text string, wanted string")
     held = text_index.build(texts, "id", "body", group="kind")
