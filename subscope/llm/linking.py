@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from subscope.functions.bitmaps import maybe_in
 from subscope.llm.components import components
-from subscope.llm.spans import mixed
+from subscope.llm.spans import give_back, mixed
 from subscope.llm.stage import stored
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -257,6 +257,7 @@ def _compare(shape: Shape, percent: int, every: bool) -> Callable[[Iterator[pa.R
             held = [batch.slice(last)]
         if held:
             yield from _run_pairs(pa.Table.from_batches(held), shape, percent, every)
+        give_back()
 
     return compare
 

@@ -23,7 +23,7 @@ WORDS = 5
 PERCENT = 80  # similarity from which documents are linked
 SHAPE = Shape(bands=40, rows=5, sketch=1024, parity=2048)  # misses a pair of similarity 0.8 once in seven million
 
-BATCH_BYTES = 4 << 20  # of text signed together
+BATCH_BYTES = 2 << 20  # of text signed together
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 

@@ -20,6 +20,8 @@ from subscope.settings import cut
 # The characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
 
+BATCH_BYTES = 4 << 20  # of text measured together
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -143,7 +145,7 @@ def judge(
     rows = rows.withColumn("who", row_hash(["key", "host", "text"]))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=BATCH_BYTES):
             yield _measured(batch)
 
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("key", "host")}
@@ -196,7 +198,7 @@ def clean(
     columns = docs.columns
 
     def drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, text):
+        for batch in by_bytes(batches, text, BATCH_BYTES):
             yield _without(batch, text, gone).select(columns)
 
     edited = some.select(*columns, gone).mapInArrow(drop_lines, docs.schema)

@@ -6,6 +6,7 @@ buffer, whatever the number or the length of the texts, so one very long text co
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 BATCH_BYTES = 12 << 20  # text handled at once; bounds a worker's memory
 
+_LIBC = ctypes.CDLL(None)
 _LONG = 512  # bytes from which a piece is hashed by itself
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _LANE = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of eight
@@ -110,8 +112,20 @@ def by_bytes(
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text: large ones are cut, small ones joined.
 
-    A single longer text is a batch of its own.
+    A single longer text is a batch of its own. After the last the worker gives back what memory it no longer uses.
     """
+    yield from _by_bytes(batches, column, limit)
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory goes back to the system: workers live on, and the next stage's tasks need it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def _by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
