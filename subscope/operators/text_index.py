@@ -112,13 +112,18 @@ def search(
     kth = _best(partly.withColumn("score", _cosine(F.col("dot"))), k).where(F.col("rank") == k)
     floors = kth.select("q", (F.col("score") - SLACK).alias("floor"))
 
-    # of a block, a text with none of the terms whose sum can still lift it over the floor need not be looked at
+    # of a block, a text with none of the terms whose sum can still lift it over the floor need not be looked at; and of those that
+    # are, only the ones that the other terms could lift over it, on top of what they have, are scored in full
     order = Window.partitionBy("q", "block").orderBy(F.desc("gain"), "term").rowsBetween(0, Window.unboundedFollowing)
     gains = terms.join(index.blocks, "term").withColumn("gain", F.col("ask") / F.sqrt("long") * F.col("top"))
-    telling = gains.withColumn("rest", F.sum("gain").over(order)).join(floors, "q", "left").where(
-        F.col("rest") >= F.coalesce("floor", F.lit(0.0))
-    ).select("q", "wanted", "term", "block")
-    found = telling.join(postings.select("term", "block", "unit", "g"), ["term", "block"]).where(_fits(group)).select("q", "unit").distinct()
+    ranked = gains.withColumn("rest", F.sum("gain").over(order)).join(floors, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+    others = F.coalesce(F.max(F.when(F.col("rest") < F.col("floor"), F.col("rest"))).over(Window.partitionBy("q", "block")), F.lit(0.0))
+    telling = ranked.withColumn("others", others).where(F.col("rest") >= F.col("floor")).select(
+        "q", "wanted", "term", "block", "ask", "long", "floor", "others"
+    )
+    met = telling.join(postings, ["term", "block"]).where(_fits(group))
+    partial = met.groupBy("q", "unit", "long", "square", "floor", "others").agg(F.sum(F.col("ask") * F.col("weight")).alias("dot"))
+    found = partial.where(_cosine(F.col("dot")) + F.col("others") >= F.col("floor")).select("q", "unit")
 
     pairs = found.join(terms.select("q", "term", "ask", "long"), "q").join(postings, ["unit", "term"])
     full = pairs.groupBy("q", "unit", "pool", "long", "square").agg(F.sum(F.col("ask") * F.col("weight")).alias("dot"))
