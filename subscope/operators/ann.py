@@ -1,10 +1,10 @@
 """Approximate top-k search: residual product codes in the cells of a pivot tree, probed as far as it pays.
 
 A row's code stands for what its vector differs from its cell's pivot by, in pieces of a few dimensions, each
-the number of the nearest of 256 centroids. Queries meet codes, a sixteenth of the vectors' bytes, in the cells that they
-visit; the best of those are scored again with the vectors themselves, so scores are exact and only a hit can be missed.
-How many cells a query visits depends on what it has found: cells are left out while the hits
-expected in all of them together stay under a share of k.
+the number of the nearest of 256 centroids. Queries are scored with what the codes stand for, in the cells that they
+visit; the best of a pack of cells are scored again with the vectors themselves, so scores are exact and only a hit can be missed.
+How many cells a query visits depends on what it has found in the pack: cells are left out while the hits
+expected in all of them together stay under a share of k. A pack hands on k rows per query.
 """
 
 from __future__ import annotations
@@ -18,12 +18,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscope.functions.bitmaps import maybe_in
-from subscope.operators.knn import MOST_ROWS, SCORES_AT_ONCE, Layout, Score, hits_of, lay_out, meet, queries_of, ranked
-from subscope.operators.pivots import PLACES, descend, enough, likely
+from subscope.operators.knn import SCORES_AT_ONCE, Layout, Pack, Score, at_least, hits_of, lay_out, meet, no_hits, queries_of, ranked
+from subscope.operators.pivots import PLACES, expected_in
 from subscope.operators.vectors import matrix, packed, slices, unit
 from subscope.settings import cut
 
@@ -35,12 +34,13 @@ CENTROIDS = 256
 STEPS = 8  # of k-means
 TARGET = 0.98  # share of a query's hits that the cells it visits are expected to hold
 AGAIN = 12  # rows scored exactly for each hit wanted
+CLOSE = 128  # of a pack's rows, one in so many is scored exactly at least: as many more lie between the hits as there are rows
 LEAST_CELL, MOST_CELL = 256, 32768
 
 
 @dataclass(frozen=True)
 class Codes:
-    """A layout with ``pk, g, cell, code`` of its rows, the centroids of each piece, and how many dimensions the residuals fill."""
+    """A layout with ``pk, g, cell, code, v`` of its rows, the centroids of each piece, and how many dimensions the residuals fill."""
 
     layout: Layout
     cells: DataFrame
@@ -55,7 +55,7 @@ def encode(
     """The index laid out and coded, every row of it. Centroids are fitted on ``sample`` rows in the order of a hash."""
     if cell_rows is None:
         cell_rows = min(MOST_CELL, max(LEAST_CELL, int(index.count() ** 0.5)))
-    layout = lay_out(index, pk, vector, match, k, MOST_ROWS, cell_rows)
+    layout = lay_out(index, pk, vector, match, k, cell_rows=cell_rows)
     tree = layout.tree
     leaves = [
         level.select("g", F.explode("children").alias("c")).where("c.leaf").select("g", F.col("c.child").alias("cell"), F.col("c.v").alias("pivot"))
@@ -73,12 +73,12 @@ def encode(
             rest = _residuals(batch.column("v"), batch.column("pivot"))
             found = np.stack([_closest(rest[:, i * PIECE : (i + 1) * PIECE], book) for i, book in enumerate(books)], 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("pk"), batch.column("g"), batch.column("cell"), packed(found.astype(np.uint8))],
-                names=["pk", "g", "cell", "code"],
+                [batch.column("pk"), batch.column("g"), batch.column("cell"), packed(found.astype(np.uint8)), batch.column("v")],
+                names=["pk", "g", "cell", "code", "v"],
             )
 
     kinds = ", ".join(f"{c} {tree.cells.schema[c].dataType.simpleString()}" for c in ("pk", "g", "cell"))
-    return Codes(layout, cut(told.mapInArrow(code, f"{kinds}, code binary")), books, dimensions)
+    return Codes(layout, cut(told.mapInArrow(code, f"{kinds}, code binary, v binary")), books, dimensions)
 
 
 def _residuals(vectors: pa.Array | pa.ChunkedArray, pivots: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -130,63 +130,53 @@ def search_codes(
     codes: Codes, queries: DataFrame, k: int, query_id: str, vector: str = "embedding", target: float = TARGET, again: int = AGAIN
 ) -> DataFrame:
     """``search`` in an index coded before."""
-    layout, wanted = codes.layout, k * again
-    asks = cut(queries_of(queries, query_id, vector, layout.match))
-    near = cut(descend(layout.tree, asks, likely(k, target, codes.dimensions)).withColumnRenamed("child", "cell"))
-    score = _decoder(codes.books, wanted)
+    layout = codes.layout
+    asks = queries_of(queries, query_id, vector, layout.match)
+    score = _decoder(codes.books, k, k * again, target, codes.dimensions)
+    return ranked(meet(layout, asks, codes.cells, k, score), k, query_id, layout.pk)
 
-    def met(visits: DataFrame) -> DataFrame:
-        rough = visits.select("q", "g", "v", "cell", "n", F.cos("angle").alias("dot"))
-        return meet(cut(rough), codes.cells, ["code"], score, layout.block_rows)
 
-    before = Window.partitionBy("q", "g").orderBy("angle", "cell").rowsBetween(Window.unboundedPreceding, -1)
-    counted = near.withColumn("rows_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    first = cut(_top(met(counted.where(F.col("rows_before") < wanted)), wanted))
-    kth = first.where(F.col("place") == k).select("q", F.col("score").alias("floor"))
-    rest = counted.where(F.col("rows_before") >= wanted).join(kth, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(-1.0)))
-    others = enough(rest.withColumnRenamed("cell", "child"), "floor", k, target, codes.dimensions).withColumnRenamed("child", "cell")
-    found = cut(_top(first.drop("place").unionByName(met(others)), wanted).select("q", "pk"))
-    return ranked(_scored(found, asks, layout.tree.cells), k, query_id, layout.pk)
+def _decoder(books: np.ndarray, k: int, wanted: int, target: float, dimensions: float) -> Score:
+    """The ``k`` best rows of a pack for each query, of the ``wanted`` best by the vectors that the codes stand for.
 
-
-def _top(hits: DataFrame, n: int) -> DataFrame:
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "pk")
-    return hits.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
-
-
-def _decoder(books: np.ndarray, n: int) -> Score:
-    """The ``n`` best rows of a block for each query, by the vectors that the codes stand for."""
+    The nearest cells, of as many rows as are wanted, are visited first; of the others those are left out, the least
+    promising first, that are expected to hold no more hits together than the pack's share of what may be missed.
+    """
 
     def score(asks: pa.Table, rows: pa.Table) -> pa.Table:
+        pack = Pack(rows)
+        rows = pack.rows
         if not asks.num_rows or not rows.num_rows:
-            return pa.table([asks["q"].slice(0, 0), rows["pk"].slice(0, 0), pa.array([], pa.float64())], names=["q", "pk", "score"])
+            return no_hits(asks, rows)
+        exact, left = unit(matrix(rows["v"]))[0], unit(matrix(asks["v"]))[0]
         code = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(rows.num_rows, -1)
-        right = np.concatenate([book[code[:, i]] for i, book in enumerate(books)], 1).astype(np.float32)
-        left, _ = unit(matrix(asks["v"]))
-        left = np.pad(left, ((0, 0), (0, right.shape[1] - left.shape[1]))).astype(np.float32)
-        dot, few = asks["dot"].to_numpy(), min(n, len(right))
+        right = np.concatenate([book[code[:, i]] for i, book in enumerate(books)], 1).astype(np.float32)[:, : exact.shape[1]]
+        for pivot, cell in zip(pack.pivots, np.flatnonzero(pack.placed)):
+            right[pack.starts[cell] : pack.ends[cell]] += pivot.astype(np.float32)
+        missed = (1 - target) * k * len(right) / max(pack.total, 1)
         parts, step = [], max(1, SCORES_AT_ONCE // len(right))
         for start in range(0, len(left), step):
-            rough = left[start : start + step] @ right.T
-            at = np.argpartition(rough, len(right) - few, axis=1)[:, -few:]
-            which = np.repeat(np.arange(len(at)), few)
-            value = rough[which, at.ravel()].astype(np.float64) + dot[start + which]
-            parts.append((start + which, at.ravel(), value))
+            some = left[start : start + step]
+            single, away = some.astype(np.float32), pack.angles(some)
+            order = np.argsort(away, axis=1, kind="stable")
+            held = (pack.ends - pack.starts)[order]
+            first = np.zeros(away.shape, bool)
+            np.put_along_axis(first, order, held.cumsum(1) - held < wanted, 1)
+            rough = pack.scores(single, right, first)
+            floor = np.maximum(at_least(rough, min(k, len(right))), -1.0)[:, None]
+            hits = np.where(first, np.inf, expected_in(away, pack.radius, pack.tilt, pack.n, floor, dimensions))
+            order = np.argsort(hits, axis=1, kind="stable")
+            more = np.zeros(away.shape, bool)
+            np.put_along_axis(more, order, np.take_along_axis(hits, order, 1).cumsum(1) > missed, 1)
+            if first.mean() <= 0.5:  # else all have been scored
+                rough = pack.scores(single, right, first | more) if (first | more).mean() > 0.5 else pack.scores(single, right, more & ~first, rough)
+            few = min(max(wanted, len(right) // CLOSE), len(right))
+            which, at = np.nonzero(rough >= np.maximum(at_least(rough, few), np.float32(-1.5))[:, None])
+            scores = np.round(np.einsum("ij,ij->i", some[which], exact[at]), PLACES) + 0.0
+            best = np.lexsort((pack.rank[at], -scores, which))
+            which, at, scores = which[best], at[best], scores[best]
+            kept = np.arange(len(which)) - np.searchsorted(which, which) < k
+            parts.append((start + which[kept], at[kept], scores[kept]))
         return hits_of(asks, rows, *(np.concatenate(x) for x in zip(*parts)))
 
     return score
-
-
-def _scored(found: DataFrame, asks: DataFrame, cells: DataFrame) -> DataFrame:
-    """``q, pk, score``: the pairs ``found``, scored with their vectors; rows that nobody asks for are not moved."""
-    rows = maybe_in(cells.select("pk", "v"), found, "pk").withColumnRenamed("v", "w")
-    pairs = found.join(rows, "pk").join(asks.select("q", "v"), "q").select("q", "pk", "v", "w")
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4096):
-            left, right = (unit(matrix(batch.column(c)))[0] for c in ("v", "w"))
-            value = np.round(np.einsum("ij,ij->i", left, right), PLACES) + 0.0
-            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("pk"), pa.array(value)], names=["q", "pk", "score"])
-
-    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("q", "pk"))
-    return pairs.mapInArrow(score, f"{kinds}, score double")

@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,6 +123,94 @@ def _nearest(fan: int, names: list[str]) -> Callable[[pa.Table, pa.Table], pa.Ta
     return assign
 
 
+def shelf_of(cell: str = "cell") -> Column:
+    """The child of the root that a cell lies under: a number up to ``FAN``, or ``ROOT`` of a group that is one cell."""
+    at = F.col(cell)
+    for _ in range(LEVELS):
+        at = F.when(at > FAN, F.floor((at - 1) / FAN)).otherwise(at)
+    return at.cast("int")
+
+
+def packs(tree: Tree, rows: int) -> DataFrame:
+    """``g, cell, n, radius, tilt, pivot, total, first, last``: every cell, and the packs of about ``rows`` rows that its
+    rows are dealt to. total: the rows of the group. A group that is one cell has no pivot."""
+    cells = tree.tops.select(
+        "g", F.lit(ROOT).cast("long").alias("cell"), F.col("n").cast("long").alias("n"), F.lit(np.pi).alias("radius"),
+        F.lit(0.0).alias("tilt"), F.lit(None).cast("binary").alias("pivot"),
+    )
+    for level in tree.levels:
+        child = level.select("g", F.explode("children").alias("c")).where("c.leaf")
+        cells = cells.unionByName(child.select("g", F.col("c.child").alias("cell"), "c.n", "c.radius", "c.tilt", F.col("c.v").alias("pivot")))
+    whole = Window.partitionBy("g")
+    upto = F.sum("n").over(whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
+    return cells.withColumns({"total": F.sum("n").over(whole), "upto": upto}).withColumns({
+        "first": F.floor((F.col("upto") - F.col("n")) / rows).cast("int"), "last": F.floor((F.col("upto") - 1) / rows).cast("int"),
+    }).drop("upto")
+
+
+def reached(tree: Tree, held: DataFrame, asks: DataFrame, k: int, few_groups: bool) -> DataFrame:
+    """``q, g, v, reach, pack``: the packs with rows under a child of the root that can hold one of a query's ``k`` nearest.
+
+    held: ``packs``; reach: the angle that no row beyond can be among them. A query is looked at once, beside all children of its root.
+    """
+    shelves = held.select("g", shelf_of().alias("shelf"), F.explode(F.sequence("first", "last")).alias("pack")).groupBy("g", "shelf").agg(
+        F.collect_set("pack").alias("packs")
+    )
+    children = tree.tops.select("g", F.lit(ROOT).alias("shelf"), F.lit(np.pi).alias("radius"), F.lit(None).cast("binary").alias("pivot"))
+    for level in tree.levels[:1]:
+        child = level.select("g", F.explode("children").alias("c"))
+        children = children.unionByName(child.select("g", F.col("c.child").cast("int").alias("shelf"), "c.radius", F.col("c.v").alias("pivot")))
+    roots = cut(children.join(shelves, ["g", "shelf"]).groupBy("g").agg(F.collect_list(F.struct("radius", "pivot", "packs")).alias("children")))
+    met = asks.join(F.broadcast(roots) if few_groups else roots, "g")
+    return met.mapInArrow(_reached(k), schema_with(asks.select("q", "g", "v").schema, ("reach", T.DoubleType()), ("pack", T.IntegerType())))
+
+
+def _reached(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            held, vectors = batch.column("children"), matrix(batch.column("v"))
+            children = held.flatten()
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(held.offsets.to_numpy()))
+            angle = angles_to(unit(vectors)[0], rows, children.field("pivot"))
+            reach = reach_of(angle, rows, batch.num_rows, k)
+            near = np.isinf(angle) | (angle - children.field("radius").to_numpy() - SLACK <= reach[rows])
+            of = children.field("packs")
+            sizes = np.diff(of.offsets.to_numpy())
+            pairs = np.stack([np.repeat(rows, sizes), of.flatten().to_numpy()], 1)[np.repeat(near, sizes)]
+            pairs = np.unique(pairs, axis=0)
+            which = pa.array(pairs[:, 0])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("q").take(which), batch.column("g").take(which), packed(vectors[pairs[:, 0]]), pa.array(reach[pairs[:, 0]]),
+                 pa.array(pairs[:, 1].astype(np.int32))], names=["q", "g", "v", "reach", "pack"],
+            )
+
+    return look
+
+
+def angles_to(units: np.ndarray, rows: np.ndarray, pivots: pa.Array) -> np.ndarray:
+    """The angle of the ``rows``-th direction to each pivot; infinite where there is none, as it bounds nothing."""
+    out = np.full(len(rows), np.inf)
+    some = np.flatnonzero(np.asarray(pc.is_valid(pivots)))
+    if len(some):
+        at, _ = unit(matrix(pivots.drop_null()))
+        out[some] = np.arccos(np.clip(np.einsum("ij,ij->i", units[rows[some]], at), -1.0, 1.0))
+    return out
+
+
+def reach_of(angle: np.ndarray, rows: np.ndarray, n: int, k: int) -> np.ndarray:
+    """Of each of ``n`` queries, the k-th least angle to a pivot, widened for what rounds to the same score; pi where there are fewer."""
+    order = np.lexsort((angle, rows))
+    place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+    kth = np.full(n, np.pi)
+    at = order[place == k - 1]
+    kth[rows[at]] = np.minimum(angle[at], np.pi)
+    return widened(kth)
+
+
+def widened(kth: np.ndarray) -> np.ndarray:
+    return np.arccos(np.maximum(-1.0, np.cos(kth) - 2 * 10.0**-PLACES)) + SLACK
+
+
 Keep = Callable[[DataFrame], DataFrame]
 
 _SEEN = (
@@ -218,3 +307,15 @@ def enough(seen: DataFrame, floor: str, k: int, target: float, dimensions: float
     least = Window.partitionBy("q", "g").orderBy("hits", F.desc("angle"), "child").rowsBetween(Window.unboundedPreceding, 0)
     told = seen.withColumn("hits", expected_hits(F.col(floor), dimensions))
     return told.withColumn("missed", F.sum("hits").over(least)).where(F.col("missed") > (1 - target) * k).drop("hits", "missed")
+
+
+def expected_in(
+    angle: np.ndarray, radius: np.ndarray, tilt: np.ndarray, n: np.ndarray, floor: np.ndarray, dimensions: float
+) -> np.ndarray:
+    """``expected_hits`` of queries (rows) in cells (columns); all of a cell's rows where it has no pivot."""
+    dot = np.where(np.isinf(angle), 0.0, np.cos(np.minimum(angle, np.pi)))
+    spread = np.sqrt(np.maximum(1e-9, (1 - tilt**2) * (1 - dot**2) / max(dimensions - 1, 1.0)))
+    z = (floor - tilt * dot) / spread
+    odds = np.minimum(1.5976 * z + 0.07056 * z**3, 700.0)
+    beyond = ~np.isinf(angle) & (angle - radius > np.arccos(np.clip(floor, -1.0, 1.0)) + SLACK)
+    return np.where(np.isinf(angle), n, np.where(beyond, 0.0, n / (1 + np.exp(odds))))

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from subscope.operators import diff, evaluation, features, index, knn, models, quality, skew
+from subscope.operators import ann, diff, evaluation, features, index, knn, models, quality, skew
 from subscope.plans import metrics
 from subscope.sources import generate, tables
 
@@ -192,3 +192,33 @@ def test_sync_embeds_only_what_changed(spark):
     later = texts.where("id <> 7").withColumn("t", F.when(F.col("id") == 8, "novo").otherwise(F.col("t")))
     index.sync_index(held, later, "id", "t", embedder=fitted).collect()
     assert embedded[0].count() == 50 and embedded[1].count() == 1
+
+
+@pytest.mark.parametrize("kind", ["exact", "coded"])
+def test_a_query_travels_once_to_a_pack(spark, monkeypatch, kind):
+    """400 rows in many small cells, none of which can be left out, are one pack."""
+    asked = spark.sparkContext.accumulator(0)
+    vector = F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: F.pmod(F.xxhash64("pk", i), F.lit(2001)) / 1000.0 - 1.0)
+    rows = spark.range(400).withColumnRenamed("id", "pk").withColumn("embedding", vector.cast("array<float>"))
+    where, name = (knn, "scorer") if kind == "exact" else (ann, "_decoder")
+    plain = getattr(where, name)
+
+    def watched(*args):
+        score = plain(*args)
+
+        def run(asks, found):
+            asked.add(asks.num_rows)
+            return score(asks, found)
+
+        return run
+
+    monkeypatch.setattr(where, name, watched)
+    queries = rows.where("pk < 50").withColumnRenamed("pk", "query_id")
+    if kind == "exact":
+        layout = knn.lay_out(rows, "pk", k=4, block_rows=512, cell_rows=16)
+        assert layout.tree.cells.select("cell").distinct().count() > 20
+        hits = knn.search_layout(layout, queries, 4, "query_id")
+    else:
+        hits = ann.search_codes(ann.encode(rows, "pk", k=4, cell_rows=16, sample=200), queries, 4, "query_id")
+    assert hits.where("rank = 1 AND query_id = pk").count() == 50
+    assert asked.value == 50
