@@ -4,24 +4,39 @@ A term's weight in a text is a whole number: the bits of its count times a hundr
 is the cosine of two texts' weights. Every sum is of whole numbers, so results don't depend on the
 partitioning, and another engine finds the same ones.
 
-Postings lie in blocks of texts of like length, in the sense of the cosine, and each block knows the greatest impact in it. A search scores the
-rarest terms of each query first, those of a few texts. The k-th score found there rules out, block by block, the terms that
-could not lift a text over it even all together; only texts that hold one of the others are scored in full. Nothing is approximate.
+Texts lie in blocks of bounded size. Queries meet blocks, in blocks of their own, and a task sums up what a query's rarer terms
+give to the texts of its block. What the frequent ones could add at most follows from the length of a text's part in them; only texts that could
+come among the best of the block by it are scored in full. Nothing is approximate, and a block hands on the k best of each query.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subscope.settings import cut
 
+# The task functions travel with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TERM = r"[\p{L}\p{N}]+"
 RARITY = 100  # a unit of rarity
-FIRST_TEXTS = 64  # that hold a query's rarest terms, about, scored before anything is ruled out
-SLACK = 1e-9  # by which bounds are widened, above any rounding
+FIRST_TEXTS = 64  # of a block, scored in full before anything is ruled out
+SLACK = 1e-5  # by which bounds in single precision are widened, above any rounding
+BLOCK_TEXTS, BLOCK_POSTINGS, BLOCK_QUERIES = 65536, 1 << 23, 65536  # of a block, at most
+LEAST_ASKED, TASKS_PER_CORE = 256, 2  # of fewer blocks than cores, queries are parted further, but not below so many
+CELLS_AT_ONCE = 1 << 21  # scores of a batch
+FREQUENT = 16  # a term that one in so many of a block's texts has, is frequent
+GROUP = 32
 
 PASSAGE_WORDS, STRIDE = 120, 60
 BETWEEN_WORDS = r"[ \x09-\x0D]+"
@@ -37,17 +52,17 @@ def _bits(count: Column) -> Column:
 
 @dataclass(frozen=True)
 class TextIndex:
-    """postings: ``term, block, unit, pool, g, weight, square``, square being that of the text's length. blocks:
-    ``term, block, top``, the greatest impact. rarities: ``term, rarity, n``, n being the texts that have it."""
+    """units: ``unit, pool, g, square, terms, weights, block, at, pool_at``, square being that of the text's length, at the
+    place in the block by pool and unit. rarities: ``term, rarity, t``, t being the term's number in units."""
 
-    postings: DataFrame
-    blocks: DataFrame
+    units: DataFrame
     rarities: DataFrame
+    blocks: int
 
 
 def build(texts: DataFrame, unit: str, text: str, pool: str | None = None, group: str | None = None) -> TextIndex:
     """The index of ``text`` by ``unit``, a key of ``texts``. ``pool`` names what the best of several units stands for, by
-    default the unit, and ``group`` a value that queries may ask for. A null or wordless text is in no posting."""
+    default the unit, and ``group`` a value that queries may ask for. A null or wordless text is not in it."""
     rows = texts.select(
         F.col(unit).alias("unit"), F.col(pool or unit).alias("pool"), (F.col(group) if group else F.lit(0)).alias("g"),
         F.explode(terms_of(F.col(text))).alias("term"),
@@ -56,32 +71,31 @@ def build(texts: DataFrame, unit: str, text: str, pool: str | None = None, group
     n = texts.count()
     often = counted.groupBy("term").agg(F.count("*").alias("n"))
     rarity = F.round(RARITY * F.log(1 + F.lit(float(n)) / F.col("n"))).cast("long")
-    rare = cut(often.select("term", rarity.alias("rarity"), "n"))
-    weighted = cut(counted.join(rare, "term").withColumn("weight", F.col("bits") * F.col("rarity")).drop("bits", "rarity", "n"))
-    squares = weighted.groupBy("unit").agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
-    # a block's texts differ in length by less than the root of two, so its greatest impact is near that of any of them
-    block = F.floor(F.log2("square")).cast("int")
-    postings = cut(weighted.join(squares, "unit").where("square > 0").withColumn("block", block))
-    blocks = cut(postings.groupBy("term", "block").agg(F.max(F.col("weight") / F.sqrt("square")).alias("top")))
-    return TextIndex(postings, blocks, rare)
-
-
-def _question_terms(index: TextIndex, queries: DataFrame, query_id: str, text: str, group: str | None) -> DataFrame:
-    """``q, wanted, term, ask, long, before``: a query's known terms. ask: the term's weight. long: the square of the
-    query's length. before: how many texts, about, the rarer terms are in."""
-    wanted = F.col(group) if group else F.lit(None).cast(index.postings.schema["g"].dataType)
+    rare = cut(often.select("term", rarity.alias("rarity"), F.monotonically_increasing_id().alias("t")))
+    weighted = counted.where("unit is not null").join(rare, "term").select("unit", "pool", "g", "t", (F.col("bits") * F.col("rarity")).alias("weight"))
+    held = weighted.groupBy("unit", "pool", "g").agg(
+        F.sum(F.col("weight") * F.col("weight")).alias("square"), F.collect_list(F.struct("t", F.col("weight").cast("int").alias("weight"))).alias("held")
+    ).where("square > 0")
+    held = cut(held.select("unit", "pool", "g", "square", F.col("held.t").alias("terms"), F.col("held.weight").alias("weights")))
+    size = held.agg(F.count("*").alias("units"), F.sum(F.size("terms")).alias("postings")).first()
+    blocks = max(1, -(-size["units"] // BLOCK_TEXTS), -(-(size["postings"] or 0) // BLOCK_POSTINGS))
+    inside = Window.partitionBy("block").orderBy("pool")
+    placed = held.withColumn("block", F.pmod(F.xxhash64("unit"), F.lit(blocks)).cast("int")).withColumns({
+        "at": F.row_number().over(Window.partitionBy("block").orderBy("pool", "unit")), "pool_at": F.dense_rank().over(inside),
+    })
+    return TextIndex(cut(placed), rare, blocks)
+
+
+def _questions(index: TextIndex, queries: DataFrame, query_id: str, text: str, group: str | None) -> DataFrame:
+    """``q, wanted, long, terms, asks``: a query's known terms with their weights, and the square of its length."""
+    wanted = F.col(group) if group else F.lit(None).cast(index.units.schema["g"].dataType)
     asked = queries.select(F.col(query_id).alias("q"), wanted.alias("wanted"), F.explode(terms_of(F.col(text))).alias("term"))
-    counted = asked.groupBy("q", "wanted", "term").agg(_bits(F.count("*")).cast("long").alias("bits"))
+    counted = asked.where("q is not null").groupBy("q", "wanted", "term").agg(_bits(F.count("*")).cast("long").alias("bits"))
     known = counted.join(index.rarities, "term").withColumn("ask", F.col("bits") * F.col("rarity"))
-    whole = Window.partitionBy("q")
-    rarer = whole.orderBy("n", "term").rowsBetween(Window.unboundedPreceding, -1)
-    return known.withColumns({
-        "long": F.sum(F.col("ask") * F.col("ask")).over(whole), "before": F.coalesce(F.sum("n").over(rarer), F.lit(0)),
-    }).where("long > 0").select("q", "wanted", "term", "ask", "long", "before")
-
-
-def _fits(group: str | None) -> Column:
-    return F.lit(True) if group is None else F.col("wanted").isNull() | (F.col("wanted") == F.col("g"))
+    whole = known.groupBy("q", "wanted").agg(
+        F.sum(F.col("ask") * F.col("ask")).alias("long"), F.collect_list(F.struct("t", "ask")).alias("held")
+    ).where("long > 0")
+    return whole.select("q", "wanted", "long", F.col("held.t").alias("terms"), F.col("held.ask").alias("asks"))
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -92,8 +106,146 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _cosine(dot: Column) -> Column:
-    return dot.cast("double") / (F.sqrt(F.col("long").cast("double")) * F.sqrt(F.col("square").cast("double")))
+class _Block:
+    """The texts of a block: their postings by term, and beside them the weights of its frequent terms as a matrix."""
+
+    def __init__(self, units: pa.Table):
+        self.units = units = units.sort_by("at")
+        n = self.n = units.num_rows
+        terms, weights = (units[c].combine_chunks().flatten().to_numpy() for c in ("terms", "weights"))
+        text = np.repeat(np.arange(n), pc.list_value_length(units["terms"]).to_numpy())
+        order = np.argsort(terms, kind="stable")
+        self.text, self.weight = text[order].astype(np.int32), weights[order].astype(np.float64)
+        self.terms, self.starts, self.often = np.unique(terms[order], return_index=True, return_counts=True)
+        most = min(max(1, 2 * CELLS_AT_ONCE // n), 256)
+        by_n = np.argsort(-self.often, kind="stable")[:most]
+        frequent = by_n[self.often[by_n] * FREQUENT >= n]
+        self.place = np.full(len(self.terms), -1)
+        self.place[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), n))
+        for row, term in enumerate(frequent):
+            here = slice(self.starts[term], self.starts[term] + self.often[term])
+            self.dense[row, self.text[here]] = self.weight[here]
+        self.root = np.sqrt(units["square"].to_numpy().astype(np.float64))
+        self.share = (np.sqrt((self.dense**2).sum(0)) / self.root).astype(np.float32)  # of a text's length, what is frequent
+        self.inverse = (1 / self.root).astype(np.float32)
+        self.pool = units["pool_at"].to_numpy()
+        self.pools = np.flatnonzero(np.diff(self.pool, prepend=-1))  # where each begins
+        self.single = len(self.pools) == n
+
+    def sums(self, row: np.ndarray, term: np.ndarray, ask: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the rarer terms add up to for each query and text, and the queries' weights of the frequent ones."""
+        place = self.place[term]
+        asked = np.zeros((rows, len(self.dense)))
+        asked[row[place >= 0], place[place >= 0]] = ask[place >= 0]
+        row, term, ask = (x[place < 0] for x in (row, term, ask))
+        often = self.often[term]
+        at = np.arange(often.sum()) + np.repeat(self.starts[term] - np.cumsum(often) + often, often)
+        found = np.bincount(np.repeat(row * self.n, often) + self.text[at], np.repeat(ask, often) * self.weight[at], rows * self.n)
+        return found.astype(np.float64, copy=False).reshape(rows, self.n), asked  # sums of nothing are whole numbers
+
+    def kth(self, which: np.ndarray, at: np.ndarray, score: np.ndarray, rows: int, k: int) -> np.ndarray:
+        """The score of the k-th best pool of each query among pairs of queries and texts; 0 where there are fewer."""
+        which, at, score = self.best(which, at, score, k)
+        place = np.arange(len(which)) - np.searchsorted(which, which)
+        out = np.zeros(rows)
+        out[which[place == k - 1]] = score[place == k - 1]
+        return out
+
+    def best(self, which: np.ndarray, at: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best text of each pool, and of those the ``k`` best of each query; ties by place."""
+        order = np.lexsort((at, -score, which))
+        which, at, score = which[order], at[order], score[order]
+        first = np.sort(np.unique(which * (self.n + 1) + self.pool[at], return_index=True)[1])
+        which, at, score = which[first], at[first], score[first]
+        kept = np.arange(len(which)) - np.searchsorted(which, which) < k
+        return which[kept], at[kept], score[kept]
+
+
+def _promising(bound: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` texts or so for each query, the greatest of those groups of texts that have the greatest bounds."""
+    wide = max(1, bound.shape[1] // GROUP)
+    if wide <= n:
+        at = np.broadcast_to(np.arange(bound.shape[1]), bound.shape) if bound.shape[1] <= n else np.argpartition(bound, -n, axis=1)[:, -n:]
+        return np.repeat(np.arange(len(bound)), at.shape[1]), at.ravel()
+    parts = bound[:, : wide * GROUP].reshape(len(bound), GROUP, wide)
+    group = np.argpartition(parts.max(1), -n, axis=1)[:, -n:]
+    inside = np.take_along_axis(parts, group[:, None, :], 2).argmax(1)
+    return np.repeat(np.arange(len(bound)), n), (inside * wide + group).ravel()
+
+
+def _scorer(k: int, first: int, grouped: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def score(asks: pa.Table, units: pa.Table) -> pa.Table:
+        names = ["q", "pool", "unit", "score"]
+        if not asks.num_rows or not units.num_rows:
+            none = pa.array([], pa.float64())
+            return pa.table([asks["q"].slice(0, 0), units["pool"].slice(0, 0), units["unit"].slice(0, 0), none], names=names)
+        block = _Block(units)
+        sizes = pc.list_value_length(asks["terms"]).to_numpy()
+        terms, weights = (asks[c].combine_chunks().flatten().to_numpy() for c in ("terms", "asks"))
+        term = np.minimum(np.searchsorted(block.terms, terms), len(block.terms) - 1)
+        known = block.terms[term] == terms
+        row, term, weight = np.repeat(np.arange(len(sizes)), sizes)[known], term[known], weights[known].astype(np.float64)
+        root = np.sqrt(asks["long"].to_numpy().astype(np.float64))
+        if grouped:
+            values = block.units["g"].combine_chunks().dictionary_encode()
+            own = values.indices.fill_null(-2).to_numpy()
+            free = np.asarray(pc.is_null(asks["wanted"]))
+            wanted = pc.index_in(asks["wanted"].combine_chunks(), value_set=values.dictionary).fill_null(-1).to_numpy()
+        parts, step = [], max(1, CELLS_AT_ONCE // block.n)
+        for start in range(0, len(sizes), step):
+            rows = min(step, len(sizes) - start)
+            here = slice(*np.searchsorted(row, (start, start + rows)))
+            found, asked = block.sums(row[here] - start, term[here], weight[here], rows)
+            length = root[start : start + rows]
+            part = np.sqrt((asked**2).sum(1)) / length
+            bound = found.astype(np.float32) * block.inverse / length[:, None].astype(np.float32) + part[:, None].astype(np.float32) * block.share
+            if grouped:
+                bound[~(free[start : start + rows, None] | (wanted[start : start + rows, None] == own))] = -1
+
+            def cosine(which: np.ndarray, at: np.ndarray, dots: np.ndarray | None = None) -> np.ndarray:
+                if dots is None:
+                    dot = found[which, at]
+                    for i in range(0, len(which), 16384):
+                        few = slice(i, i + 16384)
+                        dot[few] += np.einsum("ij,ji->i", asked[which[few]], block.dense[:, at[few]])
+                else:
+                    dot = dots[which, at]
+                return dot / (length[which] * block.root[at])
+
+            which, at = _promising(bound, first)
+            likely = bound[which, at] > 0
+            which, at = which[likely], at[likely]
+            floor = block.kth(which, at, cosine(which, at), rows, k)
+            told = bound >= np.maximum(floor - SLACK, 1e-30)[:, None].astype(np.float32)
+            dots = None
+            if told.mean() > 1 / FREQUENT:  # too little is ruled out: all sums at once, and what they rule out
+                used = np.flatnonzero(asked.any(0))
+                dots = found + asked[:, used] @ block.dense[used]
+                rough = dots.astype(np.float32) * block.inverse / length[:, None].astype(np.float32)
+                rough[bound < 0] = -1
+                tops = rough if block.single else np.maximum.reduceat(rough, block.pools, axis=1)
+                floor = np.maximum(floor, _kth_of(tops, k) - SLACK)
+                told = rough >= np.maximum(floor - SLACK, 1e-30)[:, None].astype(np.float32)
+            which, at = np.nonzero(told)
+            scores = cosine(which, at, dots)
+            some = scores > 0
+            which, at, scores = block.best(which[some], at[some], scores[some], k)
+            parts.append((which + start, at, scores))
+        which, at, scores = (np.concatenate(x) for x in zip(*parts))
+        at = pa.array(at)
+        return pa.table([asks["q"].take(pa.array(which)), block.units["pool"].take(at), block.units["unit"].take(at), pa.array(scores)], names=names)
+
+    return score
+
+
+def _kth_of(scores: np.ndarray, k: int) -> np.ndarray:
+    """For each row a number that ``k`` of its scores reach, near the k-th greatest; -1 where there are fewer."""
+    wide = scores.shape[1] // GROUP
+    if wide > 4 * k:
+        scores = scores[:, : wide * GROUP].reshape(len(scores), GROUP, wide).max(1)
+    n = scores.shape[1]
+    return np.partition(scores, n - k, axis=1)[:, n - k] if n >= k else np.full(len(scores), -1.0)
 
 
 def search(
@@ -104,30 +256,20 @@ def search(
     Only texts that share a term with the query are found. ``group`` names a column of the queries: where
     it is set, only texts of that group are ranked.
     """
-    terms = cut(_question_terms(index, queries, query_id, text, group))
-    postings = index.postings
-
-    few = terms.where(F.col("before") < FIRST_TEXTS).join(postings, "term").where(_fits(group))
-    partly = few.groupBy("q", "pool", "unit", "long", "square").agg(F.sum(F.col("ask") * F.col("weight")).alias("dot"))
-    kth = _best(partly.withColumn("score", _cosine(F.col("dot"))), k).where(F.col("rank") == k)
-    floors = kth.select("q", (F.col("score") - SLACK).alias("floor"))
-
-    # of a block, a text with none of the terms whose sum can still lift it over the floor need not be looked at; and of those that
-    # are, only the ones that the other terms could lift over it, on top of what they have, are scored in full
-    order = Window.partitionBy("q", "block").orderBy(F.desc("gain"), "term").rowsBetween(0, Window.unboundedFollowing)
-    gains = terms.join(index.blocks, "term").withColumn("gain", F.col("ask") / F.sqrt("long") * F.col("top"))
-    ranked = gains.withColumn("rest", F.sum("gain").over(order)).join(floors, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
-    others = F.coalesce(F.max(F.when(F.col("rest") < F.col("floor"), F.col("rest"))).over(Window.partitionBy("q", "block")), F.lit(0.0))
-    telling = ranked.withColumn("others", others).where(F.col("rest") >= F.col("floor")).select(
-        "q", "wanted", "term", "block", "ask", "long", "floor", "others"
+    questions = cut(_questions(index, queries, query_id, text, group))
+    asked, cores = questions.count(), queries.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-asked // BLOCK_QUERIES), min(-(-TASKS_PER_CORE * cores // index.blocks), -(-asked // LEAST_ASKED)))
+    key = ["block", "part"]
+    left = questions.withColumn("part", F.pmod(F.xxhash64("q"), F.lit(parts)).cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(index.blocks - 1)))
     )
-    met = telling.join(postings, ["term", "block"]).where(_fits(group))
-    partial = met.groupBy("q", "unit", "long", "square", "floor", "others").agg(F.sum(F.col("ask") * F.col("weight")).alias("dot"))
-    found = partial.where(_cosine(F.col("dot")) + F.col("others") >= F.col("floor")).select("q", "unit")
-
-    pairs = found.join(terms.select("q", "term", "ask", "long"), "q").join(postings, ["unit", "term"])
-    full = pairs.groupBy("q", "unit", "pool", "long", "square").agg(F.sum(F.col("ask") * F.col("weight")).alias("dot"))
-    return _best(full.withColumn("score", _cosine(F.col("dot"))), k).select("q", "pool", "unit", "score", "rank")
+    right = index.units.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    out = T.StructType([
+        T.StructField("q", questions.schema["q"].dataType), T.StructField("pool", index.units.schema["pool"].dataType),
+        T.StructField("unit", index.units.schema["unit"].dataType), T.StructField("score", T.DoubleType()),
+    ])
+    hits = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_scorer(k, FIRST_TEXTS, group is not None), out)
+    return _best(hits, k).select("q", "pool", "unit", "score", "rank")
 
 
 # --- passages ---

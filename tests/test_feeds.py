@@ -168,3 +168,48 @@ def test_passages_overlap_and_cover(spark):
     assert all(body == [f"w{i}" for i in range(p, p + n)] for p, n, body in by_id[1])
     assert by_id[2] == [(0, 4, list("abcd"))] and set(by_id) == {1, 2, 5, 6}
     assert [(p, n) for p, n, _ in by_id[5]] == [(0, 120)] and [(p, n) for p, n, _ in by_id[6]] == [(0, 120), (60, 61)]
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_a_block_hands_on_k_texts_of_a_query(spark, monkeypatch, rare):
+    """All texts share words with all queries; what moves is a few texts for each query and block, in full and in order."""
+    words = "a de que um rei mar sol lua".split()
+    said = lambda i: " ".join([w for j, w in enumerate(words) if (i * 7 + j * j) % 3] + ([f"w{i % 40}", f"v{i % 11}"] if rare else []))
+    texts = [(f"t{i:03}", said(i), "gh"[i % 2]) for i in range(300)]
+    asked = [(i, said(i * 5 + 1), None if i % 3 else "g") for i in range(20)]
+    handed = spark.sparkContext.accumulator(0)
+    plain = text_index._scorer
+
+    def watched(*args):
+        score = plain(*args)
+
+        def run(asks, units):
+            found = score(asks, units)
+            handed.add(found.num_rows)
+            return found
+
+        return run
+
+    monkeypatch.setattr(text_index, "_scorer", watched)
+    monkeypatch.setattr(text_index, "BLOCK_TEXTS", 100)
+    held = text_index.build(spark.createDataFrame(texts, "id string, body string, kind string"), "id", "body", group="kind")
+    assert held.blocks == 3
+    found = text_index.search(held, spark.createDataFrame(asked, "q int, text string, wanted string"), 4, query_id="q", group="wanted").collect()
+    want = {(q, rank): (key, score) for q, key, score, rank in by_words(texts, asked, 4)}
+    assert {(r["q"], r["rank"]): r["unit"] for r in found} == {at: key for at, (key, _) in want.items()}
+    assert all(r["score"] == pytest.approx(want[r["q"], r["rank"]][1]) for r in found)
+    assert handed.value <= 4 * 3 * 20
+
+
+def test_scores_from_the_nodes_join_nothing(spark):
+    """A stump on a number and one on a level; the ensemble goes to the rows as arrays."""
+    from pyspark.ml.functions import array_to_vector
+
+    kinds = "tree int, weight double, node int, prediction double, yes int, no int, feature int, threshold double, level double"
+    rows = [(0, 1.0, 0, 0.0, 1, 2, 1, 0.5, None), (0, 1.0, 1, 0.25, None, None, None, None, None), (0, 1.0, 2, -0.5, None, None, None, None, None),
+            (1, 0.1, 0, 0.0, 1, 2, 0, None, 1.0), (1, 0.1, 1, 2.0, None, None, None, None, None), (1, 0.1, 2, 3.0, None, None, None, None, None)]
+    x = spark.createDataFrame([(1, [1.0, 0.5]), (2, [0.0, 0.6]), (3, [0.0, float("nan")])], "id int, x array<double>")
+    scored = trees.score_by_nodes(x.withColumn("features", array_to_vector("x")), spark.createDataFrame(rows, kinds))
+    assert "Join" not in scored._jdf.queryExecution().executedPlan().toString()
+    margins = {1: 0.25 + 0.2, 2: -0.5 + 0.1 * 3.0, 3: -0.5 + 0.1 * 3.0}
+    assert {r["id"]: r["score"] for r in scored.collect()} == pytest.approx({i: 1 / (1 + math.exp(-2 * m)) for i, m in margins.items()})
