@@ -131,11 +131,11 @@ def feature_stages(spec: ModelSpec) -> list:
 
 
 def fit(train: DataFrame, spec: ModelSpec, rounds: int = ROUNDS, **options) -> PipelineModel:
-    """Fit on rows from ``targets``, which are stored once, in partitions of ``PARTITION_ROWS`` rows or more. The
+    """Fit on rows from ``targets``, which are stored once, in ``partitions``. The
     trees' intermediate state is checkpointed in the shared folder every ten rounds."""
     shared_folder(train.sparkSession)
     held = cut(train.select(*spec.categorical, *spec.numeric, "label"))
-    train = held.coalesce(max(1, -(-held.count() // PARTITION_ROWS)))
+    train = held.coalesce(partitions(held.count(), train.sparkSession.sparkContext.defaultParallelism))
     booster = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=rounds, stepSize=LEARNING_RATE, seed=SEED,
         checkpointInterval=10, **options,
@@ -143,6 +143,12 @@ def fit(train: DataFrame, spec: ModelSpec, rounds: int = ROUNDS, **options) -> P
     return Pipeline(stages=[*feature_stages(spec), booster]).fit(train)
 
 
+def partitions(rows: int, cores: int) -> int:
+    """Of training: no more than whole rounds of all cores, as each of a thousand jobs waits for a last round of a few tasks."""
+    wanted = max(1, -(-rows // PARTITION_ROWS))
+    return wanted if wanted < cores else wanted // cores * cores
+
+
 def with_probability(model: PipelineModel, rows: DataFrame, output: str = "score") -> DataFrame:
     """``rows`` with the probability of label 1."""
     scored = model.transform(rows)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscope.settings import cut
 
+ROWS_AT_ONCE = 1024
+
 
 def nodes_of(model: PipelineModel, path: str) -> DataFrame:
     """``tree, weight, node, prediction, yes, no, feature, threshold, level``: a row for each node of the fitted trees.
@@ -46,26 +50,36 @@ def depth_of(nodes: DataFrame) -> int:
 def score_by_nodes(encoded: DataFrame, nodes: DataFrame, output: str = "score", features: str = "features") -> DataFrame:
     """``encoded`` with the probability of label 1, from the nodes and the feature vectors alone.
 
-    All trees are one row, of as many numbers as the ensemble has nodes, which every row of features walks through.
+    The ensemble's nodes, a table of the model's size whatever the number of rows, go to every task as arrays, and all rows of a
+    batch walk all trees together, a step at a time.
     """
-    steps = depth_of(nodes)
-    by_node = F.array_sort(F.collect_list(F.struct("node", "prediction", "yes", "no", "feature", "threshold", "level")))
-    trees = nodes.groupBy("tree").agg(F.first("weight").alias("weight"), by_node.alias("nodes"))
-    forest = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("_trees"))
-    # one forest for all, met by an equality of numbers that no optimizer folds into the plan
-    met = encoded.withColumn("_x", vector_to_array(features)).withColumn("_one", F.pmod(F.hash("_x"), F.lit(1))).join(
-        F.broadcast(forest.withColumn("_one", F.pmod(F.hash(F.size("_trees")), F.lit(1)))), "_one"
-    )
-
-    def walk(tree: Column) -> Column:
-        def step(at: Column, _: Column) -> Column:
-            x = F.element_at("_x", at["feature"] + 1)
-            left = F.when(at["level"].isNotNull(), x == at["level"]).otherwise(x <= at["threshold"])
-            goes = F.when(left, at["yes"]).otherwise(at["no"])
-            return F.when(at["yes"].isNull(), at).otherwise(F.element_at(tree["nodes"], goes + 1))
+    held = nodes.orderBy("tree", "node").select(
+        "tree", "weight", "prediction", "feature", F.coalesce("threshold", F.lit(np.nan)).alias("threshold"),
+        F.coalesce("level", F.lit(np.nan)).alias("level"), "yes", "no", F.col("level").isNotNull().alias("leveled"), F.col("yes").isNull().alias("leaf"),
+    ).toArrow()
+    tree, leaf = held["tree"].to_numpy(), held["leaf"].to_numpy()
+    roots = np.flatnonzero(np.diff(tree, prepend=-1))
+    base, own = np.repeat(roots, np.diff(np.append(roots, len(tree)))), np.arange(len(tree))
+    yes, no = (np.where(leaf, own, base + held[c].fill_null(0).to_numpy()) for c in ("yes", "no"))
+    feature, threshold, level, leveled = (held[c].to_numpy() for c in ("feature", "threshold", "level", "leveled"))
+    feature = np.nan_to_num(feature).astype(np.int64)
+    gain = held["weight"].to_numpy() * held["prediction"].to_numpy()
 
-        leaf = F.aggregate(F.sequence(F.lit(1), F.lit(max(steps, 1))), F.element_at(tree["nodes"], 1), step)
-        return tree["weight"] * leaf["prediction"]
+    def score(vectors: pa.Array) -> pa.Array:
+        x = np.full((len(vectors), feature.max() + 1), np.nan)
+        some = np.asarray(vectors.is_valid())
+        if some.any():
+            given = vectors.flatten().to_numpy().reshape(some.sum(), -1)[:, : x.shape[1]]
+            x[some, : given.shape[1]] = given
+        out = np.empty(len(x))
+        for start in range(0, len(x), ROWS_AT_ONCE):
+            rows = x[start : start + ROWS_AT_ONCE]
+            at = np.broadcast_to(roots, (len(rows), len(roots)))
+            while not leaf[at].all():
+                value = np.take_along_axis(rows, feature[at], 1)
+                at = np.where(np.where(leveled[at], value == level[at], value <= threshold[at]), yes[at], no[at])
+            margin = gain[at].cumsum(1)[:, -1]  # tree by tree
+            out[start : start + ROWS_AT_ONCE] = 1 / (1 + np.exp(-2 * margin))
+        return pa.array(out)
 
-    margin = F.aggregate("_trees", F.lit(0.0), lambda total, tree: total + walk(tree))
-    return met.withColumn(output, 1 / (1 + F.exp(-2 * margin))).drop("_x", "_one", "_trees")
+    return encoded.withColumn(output, F.arrow_udf(score, "double")(vector_to_array(features)))

@@ -222,3 +222,7 @@ def test_a_query_travels_once_to_a_pack(spark, monkeypatch, kind):
         hits = ann.search_codes(ann.encode(rows, "pk", k=4, cell_rows=16, sample=200), queries, 4, "query_id")
     assert hits.where("rank = 1 AND query_id = pk").count() == 50
     assert asked.value == 50
+
+
+def test_training_runs_in_whole_rounds_of_all_cores():
+    assert [models.partitions(n, 12) for n in (0, 11_000, 500_000, 675_000, 4_050_000)] == [1, 1, 10, 12, 72]
