@@ -33,7 +33,7 @@ PIECE = 4  # dimensions of a piece
 CENTROIDS = 256
 STEPS = 8  # of k-means
 TARGET = 0.98  # share of a query's hits that the cells it visits are expected to hold
-AGAIN = 12  # rows scored exactly for each hit wanted
+AGAIN = 24  # rows scored exactly for each hit wanted
 CLOSE = 128  # of a pack's rows, one in so many is scored exactly at least: as many more lie between the hits as there are rows
 LEAST_CELL, MOST_CELL = 256, 32768
 
