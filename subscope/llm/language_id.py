@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from subscope.llm.spans import WHITE, Texts, by_bytes, texts_of
 from subscope.llm.stage import stored
+from subscope.settings import small_batches
 
 UNDETERMINED = "und"
 WINDOW = 128  # bytes read with one state; a text is as many windows as it takes
@@ -280,6 +281,7 @@ def predict(docs: DataFrame, net: Network, *, key: str = "doc_id", text: str = "
     Repeated rows and null keys come through one by one, an empty table gives no rows. Only the two
     columns named are read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(net)
 

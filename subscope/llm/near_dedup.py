@@ -18,12 +18,13 @@ from subscope.llm.components import components
 from subscope.llm.linking import Shape, links, lists
 from subscope.llm.spans import by_bytes, mixed, texts_of, words
 from subscope.llm.stage import stored
+from subscope.settings import small_batches
 
 WORDS = 5
 PERCENT = 80  # similarity from which documents are linked
 SHAPE = Shape(bands=40, rows=5, sketch=1024, parity=2048)  # misses a pair of similarity 0.8 once in seven million
 
-BATCH_BYTES = 2 << 20  # of text signed together
+BATCH_BYTES = 1 << 20  # of text signed together
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -109,6 +110,7 @@ def near_duplicates(
     one shingle. Rows of one key are separate and share a component only by their texts; a row with a null
     key is kept if all of its component have none. An empty table gives no rows. Only two columns are read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     signed = stored(_signed(rows, n))
     classes = signed.where("n_shingles > 0").groupBy("set").agg(

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from subscope.llm.encoding import encoder
 from subscope.llm.spans import by_bytes
-from subscope.settings import cut
+from subscope.settings import cut, small_batches
 
 CAPACITY = 4096
 PER_PARTITION = 20_000  # pieces packed together by one task
-BATCH_BYTES = 3 << 20  # of text encoded at once
+BATCH_BYTES = 1 << 20  # of text encoded at once
 _CLASSIC = 64  # members tried of the family that rounds multiples
 
 
@@ -37,6 +37,7 @@ def token_pieces(
     counts the document's ids before the piece. Null and empty texts are the end id alone; repeated
     rows and null keys are documents like others; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,12 +15,12 @@ from subscope.functions.bitmaps import mark, maybe_in, unused
 from subscope.functions.hashing import row_hash
 from subscope.llm.spans import Pieces, Texts, by_bytes, line_starts, mixed, summed, texts_of, words
 from subscope.llm.stage import stored
-from subscope.settings import cut
+from subscope.settings import cut, small_batches
 
 # The characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
 
-BATCH_BYTES = 4 << 20  # of text measured together
+BATCH_BYTES = 1 << 20  # of text measured together
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -141,6 +141,7 @@ def judge(
     and fails; a null host is a host of its own; repeated rows are documents of their own, alike.
     An empty table gives no rows. Only the three columns named are read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(host).alias("host"), F.col(text).alias("text"))
     rows = rows.withColumn("who", row_hash(["key", "host", "text"]))
 

@@ -95,3 +95,21 @@ def test_stages_keep_columns_of_any_name(spark, awkward, small):
         assert found.columns == df.columns
         for r in found.collect():
             assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for c in names) and r.who == r.doc_id == r.kept
+
+
+def test_long_texts_reach_workers_in_small_batches(spark, small):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id as doc_id", "repeat('some words ', 1000) as text", "'a' as source", "'en' as lang")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for given, most in ((None, 6 << 20), (1 << 20, 2 << 20)):
+        spark.conf.unset(name)
+        if given:
+            spark.conf.set(name, str(given))
+        corpus_pipeline.quality(spark, docs, small)
+        assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < most
+    spark.conf.unset(name)
