@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subscope.functions import bitmaps
-from subscope.llm import components, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, quality_rules
+from subscope.llm import components, exact_dedup, language_id, line_dedup, linking, lm_scoring, meeting, near_dedup, quality_rules
 from subscope.llm.spans import texts_of
 from tests.llm.conftest import WORD, Groups, similar_pairs, words_of
 
@@ -283,6 +283,40 @@ def test_line_duplicates(awkward, docs):
     assert line_dedup.duplicate_lines(awkward).count() > 0
 
 
+def test_lines_like_their_neighbours_only(spark, monkeypatch):
+    """A large bucket's lines are connected in one go, with as many tables written as for any other."""
+    written = []
+    real = line_dedup.stored
+    for module in (line_dedup, linking, meeting):
+        monkeypatch.setattr(module, "stored", lambda df: written.append(df) or real(df), raising=False)
+    text = "".join(chr(97 + int(x)) for x in np.random.default_rng(3).integers(0, 26, 700))
+    chain = [(i, text[i * 4 : i * 4 + 300]) for i in range(90)]
+    other = [(200 + i, f"{text[400:]} {'yz'[i % 2]}{i}") for i in range(60)]
+    short = [(300, "a b"), (301, "A  b"), (302, "a c")]
+    df = spark.createDataFrame([*chain, *other, *short], "doc_id long, text string")
+    found = {r.doc_id: (r.keep_doc_id, r.kept) for r in line_dedup.duplicate_lines(df).collect()}
+    want = {i: 0 for i, _ in chain} | {i: 200 for i, _ in other} | {300: 300, 301: 300, 302: 302}
+    assert found == {i: (k, i == k) for i, k in want.items()}
+    assert len(written) <= 10
+
+
+def test_blocks_of_a_bucket_all_meet(spark):
+    nodes = [(i, [5, 100 + i % 3]) for i in [*range(20), 3, 4]]
+    nodes += [(50, [9, 10]), (51, [9, 10]), (52, [11, 12])]
+    signed = spark.createDataFrame(nodes, "node long, bands array<long>")
+    rows = meeting.runs(signed, 2, per_part=7, block=4).collect()
+    met = {}
+    for r in rows:
+        met.setdefault(r.run, []).append((r.node, r.side))
+    pairs = Counter()
+    for run in met.values():
+        sides = {side for _, side in run}
+        pairs.update({(a, b) for a, s in run for b, t in run if a < b and (len(sides) == 1 or s != t)})
+    assert set(pairs) == {(a, b) for a in range(20) for b in range(a + 1, 20)} | {(50, 51)}
+    assert pairs[50, 51] == 1 and {r.n for r in rows if r.node in (50, 51)} == {2}
+    assert not any(r.node == 52 for r in rows)
+
+
 def test_scores(docs):
     texts = {r.doc_id: [*words_of(r.text), None] for r in docs.collect()}
     held = {k: zlib.crc32(str(k).encode()) % 5 == 1 for k in texts}
