@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -300,6 +301,45 @@ def test_lines_like_their_neighbours_only(spark, monkeypatch):
     assert len(written) <= 10
 
 
+def test_lines_of_a_large_bucket_are_cut_once(monkeypatch):
+    """However often a line is compared with others: cutting it into shingles again each time was most of the work."""
+    text = "".join(chr(97 + int(x)) for x in np.random.default_rng(4).integers(0, 26, 1500))
+    lines = [text[i * 4 : i * 4 + 300] for i in range(200)] + [f"{text[1200:]} {'yz'[i % 2]}{i}" for i in range(50)]
+    sets = line_dedup._sets(texts_of(pa.array(lines)))
+    parity = line_dedup.lists(line_dedup.SHAPE.parities(*sets), np.ones(len(lines), bool))
+    n, cut, real = len(lines), [], line_dedup.mixed
+    rows = pa.table({
+        "run": np.zeros(n, np.int64), "node": np.arange(n), "side": np.zeros(n, np.int32), "size": np.diff(sets[1]),
+        "parity": parity, "body": lines,
+    })
+    monkeypatch.setattr(line_dedup, "mixed", lambda x: cut.append(len(x)) or real(x))
+    found = meeting._connected(rows, 80, lambda body: line_dedup._comparer(body, 80))
+    groups = Groups(range(n))
+    for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist()):
+        groups.link(a, b)
+    assert [groups.find(i) for i in range(n)] == [0] * 200 + [200] * 50
+    assert sum(cut) <= sum(map(len, lines))
+
+
+def test_lines_are_compared_by_all_their_shingles(monkeypatch):
+    """Whatever parts and blocks they are cut in, of whatever characters they are, long and short."""
+    draw = np.random.default_rng(6)
+    lines = ["a", "ab", "a b c d", "é", "ab", "日本語", "a" * 50, "ab" * 30, "ab" * 31]
+    for letters in ("abc", "aé日😀", "xy"):
+        base = "".join(draw.choice(list(letters), 120))
+        lines += [base[i : i + 40 + 5 * (i % 3)] for i in range(0, 60, 4)]
+    sets = [frozenset(t[i : i + 8] for i in range(len(t) - 7)) or frozenset([t]) for t in lines]
+    monkeypatch.setattr(line_dedup, "PART_BYTES", 64)
+    monkeypatch.setattr(line_dedup, "BATCH_BYTES", 500)
+    held, bounds = line_dedup._sets(texts_of(pa.array(lines)))
+    assert np.diff(bounds).tolist() == [len(s) for s in sets]
+    alike = line_dedup._comparer(pa.array(lines), 80)
+    for i, one in enumerate(sets):
+        want = [100 * len(one & s) >= 80 * len(one | s) for s in sets]
+        assert alike(i, np.arange(len(lines))).tolist() == want
+        assert line_dedup._similar((held, bounds), np.full(len(lines), i), np.arange(len(lines)), 80).tolist() == want
+
+
 def test_blocks_of_a_bucket_all_meet(spark):
     nodes = [(i, [5, 100 + i % 3]) for i in [*range(20), 3, 4]]
     nodes += [(50, [9, 10]), (51, [9, 10]), (52, [11, 12])]
