@@ -200,23 +200,24 @@ def find_titles(
     titles: DataFrame, queries: DataFrame, query_id: str, k: int = TITLE_HITS, genre: str | None = None,
     held: text_index.TextIndex | None = None,
 ) -> DataFrame:
-    """``search_titles`` by the words of the synopsis: only titles that share a word with the query are found."""
+    """``search_titles`` by the words of the synopsis: only titles that share a word with the query are found, and of the others nothing travels."""
     held = held or text_index.build(titles, "content_id", "synopsis", group="genre")
-    hits = text_index.search(held, queries, k, query_id=query_id, group=genre).select(
+    hits = cut(text_index.search(held, queries, k, query_id=query_id, group=genre).select(
         F.col("q").alias(query_id), F.col("unit").alias("content_id"), "score", "rank"
-    )
-    return with_payload(hits, titles, "content_id", title_details())
+    ))
+    return with_payload(hits, maybe_in(titles, hits, "content_id"), "content_id", title_details())
 
 
 def find_articles(articles: DataFrame, queries: DataFrame, query_id: str, k: int = HELP_HITS) -> DataFrame:
     """``query_id, doc_id, passage, score, rank, topic, body``: the articles that suit each query, each by its best passage.
 
-    An article of any length is cut into passages that overlap, and ranks by the one that suits best.
+    An article of any length is cut into passages that overlap, and ranks by the one that suits best. Passages are
+    cut anew wherever they are read, and only those that are hit travel.
     """
-    cut_up = cut(text_index.passages(articles, "doc_id", "body").withColumn("unit", F.struct("doc_id", "passage")))
+    cut_up = text_index.passages(articles, "doc_id", "body").withColumn("unit", F.struct("doc_id", "passage"))
     held = text_index.build(cut_up, "unit", "body", pool="doc_id")
-    hits = text_index.search(held, queries, k, query_id=query_id)
-    return hits.join(cut_up, "unit").select(
+    hits = cut(text_index.search(held, queries, k, query_id=query_id))
+    return hits.join(maybe_in(cut_up, hits, "unit"), "unit").select(
         F.col("q").alias(query_id), "doc_id", "passage", "score", "rank", F.col("title").alias("topic"), "body"
     )
 

@@ -213,3 +213,65 @@ def test_scores_from_the_nodes_join_nothing(spark):
     assert "Join" not in scored._jdf.queryExecution().executedPlan().toString()
     margins = {1: 0.25 + 0.2, 2: -0.5 + 0.1 * 3.0, 3: -0.5 + 0.1 * 3.0}
     assert {r["id"]: r["score"] for r in scored.collect()} == pytest.approx({i: 1 / (1 + math.exp(-2 * m)) for i, m in margins.items()})
+
+
+def test_a_query_goes_from_pack_to_pack_with_what_must_be_reached(spark, monkeypatch):
+    """Later packs hand on only what comes among the best so far, also if many texts are alike."""
+    words = "a de que um rei mar sol lua".split()
+    said = lambda i: " ".join([w for j, w in enumerate(words) if (i * 7 + j * j) % 3] + [f"w{i % 40}", f"v{i % 11}"])
+    texts = [(f"t{i:03}", said(i % 500), "gh"[i % 2]) for i in range(600)]
+    asked = [(i, said(i * 5 + 1), None if i % 3 else "g") for i in range(60)]
+    handed = spark.sparkContext.accumulator(0)
+    plain = text_index._scorer
+
+    def watched(*args):
+        score = plain(*args)
+
+        def run(asks, units):
+            found = score(asks, units)
+            handed.add(found.num_rows)
+            return found
+
+        return run
+
+    monkeypatch.setattr(text_index, "_scorer", watched)
+    monkeypatch.setattr(text_index, "BLOCK_TEXTS", 100)
+    monkeypatch.setattr(text_index, "BLOCK_QUERIES", 4)  # as many blocks of queries as there are tasks
+    held = text_index.build(spark.createDataFrame(texts, "id string, body string, kind string"), "id", "body", group="kind")
+    found = text_index.search(held, spark.createDataFrame(asked, "q int, text string, wanted string"), 4, query_id="q", group="wanted").collect()
+    want = {(q, rank): (key, score) for q, key, score, rank in by_words(texts, asked, 4)}
+    assert {(r["q"], r["rank"]): r["unit"] for r in found} == {at: key for at, (key, _) in want.items()}
+    assert all(r["score"] == pytest.approx(want[r["q"], r["rank"]][1]) for r in found)
+    assert held.blocks == 6 and handed.value < 4 * 6 * 60 * 0.75
+
+
+def test_texts_of_one_key_are_one(spark):
+    """Rows of a repeated key are searched as one text; rows without a key only make their words less rare."""
+    texts = [("a", "mar lua", "x"), ("a", "mar sol", "x"), ("b", "lua", "x"), ("a", "sol", "y"), (None, "lua", "x"), (None, "lua lua", "x"), ("c", None, "x")]
+    held = text_index.build(spark.createDataFrame(texts, "id string, body string, kind string"), "id", "body", group="kind")
+    found = text_index.search(held, spark.createDataFrame([(1, "lua sol", None), (2, "sol", "y")], "q int, text string, wanted string"), 4, query_id="q", group="wanted")
+    rare = lambda n: int(math.floor(100 * math.log(1 + 7 / n) + 0.5))
+    lua, sol, mar = rare(3), rare(2), rare(1)
+    length = lambda *w: math.sqrt(sum(x * x for x in w))
+    both = (lua * lua + sol * sol) / (length(2 * mar, lua, sol) * length(lua, sol))
+    want = {(1, "a"): max(both, sol / length(lua, sol)), (1, "b"): lua / length(lua, sol), (2, "a"): 1.0}
+    assert {(r["q"], r["unit"]): r["score"] for r in found.collect()} == pytest.approx(want)
+
+
+def test_a_search_of_passages_keeps_less_than_twice_the_texts(spark):
+    """Neither the passages nor their postings are kept or sent as rows: only packs of them, and what distinct words need."""
+    from pathlib import Path
+
+    from subscope.operators import index
+    from subscope.settings import shared_folder
+
+    words = [f"{a}{b}{c}" for a in "bdfglmnprst" for b in "aeiou" for c in ("lha", "no", "ra", "", "ste", "ver")]
+    said = lambda i, n: " ".join(words[(i * 31 + j * j * 7 + i * j) % len(words)] for j in range(n))
+    texts = [(i, "t", said(i, 700)) for i in range(600)]
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    used = lambda: sum(x.stat().st_size for x in folder.rglob("*") if x.is_file())
+    asked = spark.createDataFrame([(i, said(i * 3 + 1, 9)) for i in range(40)], "q int, text string")
+    before = used()
+    found = index.find_articles(spark.createDataFrame(texts, "doc_id int, title string, body string"), asked, "q")
+    assert found.count() == 120
+    assert used() - before < 2 * sum(len(t) for _, _, t in texts)
