@@ -321,6 +321,26 @@ def test_lines_of_a_large_bucket_are_cut_once(monkeypatch):
     assert sum(cut) <= sum(map(len, lines))
 
 
+@pytest.mark.parametrize("sides", [1, 2])
+def test_lines_of_a_large_bucket_are_sifted(monkeypatch, sides):
+    """Whole sketches are compared only where sizes and the first words of them allow it, not for all pairs, and nothing is missed."""
+    draw = np.random.default_rng(5)
+    lines = ["".join(chr(97 + int(x)) for x in draw.integers(0, 26, n)) for n in draw.integers(20, 300, 400)]
+    lines += [f"{line} {i % 7}" for i, line in enumerate(lines[:40])]
+    sets = line_dedup._sets(texts_of(pa.array(lines)))
+    n, compared, real = len(lines), [], meeting._maybe
+    rows = pa.table({
+        "run": np.zeros(n, np.int64), "node": np.arange(n), "side": np.arange(n) // 400 if sides == 2 else np.zeros(n, np.int64),
+        "size": np.diff(sets[1]), "parity": meeting.packed(line_dedup.SHAPE.parities(*sets), np.ones(n, bool)), "body": lines,
+    })
+    monkeypatch.setattr(meeting, "_maybe", lambda size, parity, a, b, percent: compared.append(len(b)) or real(size, parity, a, b, percent))
+    found = meeting._connected(rows, 80, lambda body: line_dedup._comparer(body, 80))
+    whole = [frozenset(t[i : i + 8] for i in range(len(t) - 7)) for t in lines]
+    want = {i for i in range(40) if 100 * len(whole[i] & whole[400 + i]) >= 80 * len(whole[i] | whole[400 + i])}
+    assert len(want) > 30 and {tuple(sorted(x)) for x in zip(found["a"].to_pylist(), found["b"].to_pylist())} == {(i, 400 + i) for i in want}
+    assert sum(compared) < n * (n - 1) / 2 / 20
+
+
 def test_lines_are_compared_by_all_their_shingles(monkeypatch):
     """Whatever parts and blocks they are cut in, of whatever characters they are, long and short."""
     draw = np.random.default_rng(6)
