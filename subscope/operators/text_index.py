@@ -37,7 +37,7 @@ TERM = r"[\p{L}\p{N}]+"
 RARITY = 100  # a unit of rarity
 FIRST_TEXTS = 1024  # of a pack, scored before anything is ruled out
 SLACK = 1e-5  # by which bounds in single precision are widened, above any rounding
-BLOCK_TEXTS, BLOCK_POSTINGS, BLOCK_QUERIES = 262144, 1 << 23, 16384  # of a pack of texts, which has up to twice as many, and a block of queries
+BLOCK_TEXTS, BLOCK_POSTINGS, BLOCK_QUERIES = 262144, 6_000_000, 16384  # of a pack, which has up to twice as many texts, and of a block of queries
 LEAST_TEXTS, LEAST_ASKED, TASKS_PER_CORE = 8192, 1024, 2  # smaller packs and blocks are made for idle cores, but not below so many
 CELLS_AT_ONCE = 1 << 18  # bounds of a batch
 FREQUENT, MOST_FREQUENT = 16, 256  # a term that one in so many of a pack's texts has, is frequent; so many terms at most
@@ -170,11 +170,11 @@ def _packed(rows: DataFrame) -> DataFrame:
             given = np.repeat(np.asarray(pc.is_valid(batch["bits"])), size)
             pairs, counts = np.unique(text[~given] * n + code[~given], return_counts=True)
             text, code = np.append(pairs // n, text[given]), np.append(pairs % n, code[given])
-            bits = np.append(np.frexp(counts)[1], batch["bits"].flatten().to_numpy(zero_copy_only=False)).astype(np.int64)
+            bits = np.append(np.frexp(counts)[1], batch["bits"].flatten().to_numpy(zero_copy_only=False))
             if held and (texts + batch.num_rows > most_texts or postings + len(text) > most_postings):
                 yield packed(number, held)
                 number, held, texts, postings = number + 1, [], 0, 0
-            held.append((batch.select(["unit", "pool", "g"]), words.dictionary, text, code, bits))
+            held.append((batch.select(["unit", "pool", "g"]), words.dictionary, text.astype(np.int32), code.astype(np.int32), bits.astype(np.uint8)))
             texts, postings = texts + batch.num_rows, postings + len(text)
         if held:
             yield packed(number, held)
@@ -220,14 +220,17 @@ def _finished(packs: DataFrame) -> DataFrame:
             named, rare = np.empty(len(often), np.int64), np.empty(len(often), np.int64)
             order = np.argsort(t)
             named[code[order]], rare[code] = np.arange(len(often)), rarity
-            weight = bits * np.repeat(rare, often)
-            square = np.bincount(at, weight.astype(np.float64) ** 2, n)
+            weight = np.repeat(rare.astype(np.float64), often)
+            weight *= bits
+            weight *= weight
+            square = np.bincount(at, weight, n)
             frequent = _frequent(often, n)
             share, has = np.zeros(n), np.zeros((-(-max(1, len(frequent)) // 64) * 64, n), bool)
             for i, term in enumerate(frequent):
                 here = slice(starts[term], starts[term] + often[term])
                 has[i, at[here]] = True
-                share[at[here]] += weight[here].astype(np.float64) ** 2
+                share[at[here]] += weight[here]
+            del weight
             share = (SHARES * np.sqrt(share / square)).astype(np.int64)
             alike = np.packbits(has, axis=0).reshape(-1, 8, n)  # a number of 64 bits for as many terms, the most frequent first
             alike = [np.ascontiguousarray(x.T).view(">u8").ravel() for x in alike]
@@ -236,7 +239,11 @@ def _finished(packs: DataFrame) -> DataFrame:
             place = np.empty(n, np.int64)
             place[own] = _Places(n).of(np.arange(n))
             unit, pool = _ranks(keys[1], keys[0])[own], _ranks(keys[1])[own]
-            moved = (np.repeat(named, often) << 24 | place[at]) << 8 | bits
+            moved = np.repeat(named, often)
+            moved <<= 24
+            moved |= place[at]
+            moved <<= 8
+            moved |= bits
             moved.sort()
             often = often[code[order]]
             apart = _apart(moved >> 8 & 0xFFFFFF, np.cumsum(often) - often)
